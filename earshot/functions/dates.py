@@ -20,8 +20,6 @@ ZONE_MINUTES = {
     "ast": -240, "adt": -180,
 }
 
-_NUMERIC_ZONE = r"^[+-]\d{2}:?\d{2}(:?\d{2})?$"
-
 _STRICT = (
     r"(?i)^(?:" + "|".join(WEEKDAYS) + r"),\s+(\d{1,2})\s+(" + "|".join(MONTHS) + r")\s+(\d{4})\s+"
     r"(\d{1,2}):(\d{1,2}):(\d{1,2})\s+([+-]\d{2}:?[0-5]\d(?::?[0-5]\d)?|(?-i:Z))$"
@@ -30,34 +28,40 @@ _LENIENT = (
     r"(?i)^(?:[a-z]+\.?,?\s+)?(\d{1,2})[\s-]+((?:" + "|".join(MONTHS) + r")[a-z]*)[\s-]+(\d{2}|\d{4}),?\s+"
     r"(\d{1,2})[:.](\d{2})(?:[:.](\d{2}))?(?:\s+(\S+).*)?$"
 )
+_FIELDS = " ".join(f"${i}" for i in range(1, 7)) + " $7"
 
 
 def _zone_seconds(zone: Column) -> Column:
     digits = F.regexp_replace(zone, r"[^0-9]", "")
     part = lambda start: F.coalesce(F.substring(digits, start, 2).try_cast("int"), F.lit(0))
     sign = F.when(zone.startswith("-"), -1).otherwise(1)
-    named = F.lit(0)
-    for name, minutes in ZONE_MINUTES.items():
-        named = F.when(F.lower(zone) == name, minutes * 60).otherwise(named)
-    numeric = sign * (part(1) * 3600 + part(3) * 60 + part(5))
-    return F.when(zone.rlike(_NUMERIC_ZONE), numeric).otherwise(named)
+    named = F.create_map(*[F.lit(x) for pair in ZONE_MINUTES.items() for x in pair])
+    return F.when(zone.rlike(r"^[+-]\d"), sign * (part(1) * 3600 + part(3) * 60 + part(5))).otherwise(
+        F.coalesce(F.try_element_at(named, F.lower(zone)), F.lit(0)) * 60
+    )
 
 
-def _assemble(col: Column, pattern: str) -> Column:
-    group = lambda i: F.regexp_extract(col, pattern, i)
-    number = lambda i: group(i).try_cast("int")
+def _from_fields(fields: Column) -> Column:
+    """UTC timestamp from day, month, year, hour, minute, second and zone."""
+    text = lambda i: F.get(fields, F.lit(i))
+    number = lambda i: text(i).try_cast("int")
     month = F.array_position(
-        F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(group(2), 1, 3))
+        F.array(*[F.lit(m) for m in MONTHS]), F.lower(F.substring(text(1), 1, 3))
     ).cast("int")
     # Two-digit years: 69..99 belong to the last century.
-    year = F.when(F.length(group(3)) > 2, number(3)).otherwise(
-        number(3) + F.when(number(3) > 68, 1900).otherwise(2000)
+    year = F.when(F.length(text(2)) > 2, number(2)).otherwise(
+        number(2) + F.when(number(2) > 68, 1900).otherwise(2000)
     )
-    second = F.coalesce(number(6), F.lit(0))
-    local = F.try_make_timestamp_ntz(year, month, number(1), number(4), number(5), second)
-    moved = F.timestamp_add("SECOND", -_zone_seconds(group(7)), local)
+    second = F.coalesce(number(5), F.lit(0))
+    local = F.try_make_timestamp_ntz(year, month, number(0), number(3), number(4), second)
     # Second 60 would roll over instead of failing.
-    return F.when(col.rlike(pattern) & (second < 60), moved)
+    return F.when(second < 60, F.timestamp_add("SECOND", -_zone_seconds(text(6)), local))
+
+
+def _assemble(col: Column, pattern: str) -> Column:
+    """The text is matched once; its fields are a lambda argument, so no use of them matches again."""
+    fields = F.split(F.regexp_replace(col, pattern, _FIELDS), " ")
+    return F.when(col.rlike(pattern), F.get(F.transform(F.array(fields), _from_fields), F.lit(0)))
 
 
 def feed_date(col: Column) -> Column:

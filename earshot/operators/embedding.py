@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.grouping import mark_existing
-from earshot.functions.text import is_blank, strip
+from earshot.functions.text import SPACE, is_blank, strip
 from earshot.session import shared_dir
 
 Embedder = Callable[[DataFrame], DataFrame]
@@ -23,7 +23,7 @@ def gate_transcripts(df: DataFrame, min_length: int = 100) -> DataFrame:
 
 def space_tokens(text: Column) -> Column:
     """Tokens between runs of white space; a model's own tokenizer can stand in."""
-    return F.filter(F.split(text, r"(?U)\s+"), lambda t: t != "")
+    return F.filter(F.split(text, rf"(?U){SPACE}+"), lambda t: t != "")
 
 
 def chunk_transcripts(

@@ -272,20 +272,12 @@ def load_stats(outcomes: DataFrame) -> DataFrame:
         F.count_if(F.col("outcome") == "inserted").alias("inserted_episodes"),
         F.count_if(F.col("outcome") == "skipped").alias("skipped_episodes"),
     )
+    # The total is taken over the per-podcast rows, so the outcomes are read once.
+    key = [F.col("podcast_id"), F.col("podcast_name")]
     counts = ["total_episodes", "inserted_episodes", "skipped_episodes"]
-    overall = per_podcast.agg(
+    return per_podcast.groupingSets([key, []], *key).agg(
         F.count("*").alias("total_podcasts"), *[F.sum(c).alias(c) for c in counts]
     )
-    return per_podcast.select(
-        "podcast_id", "podcast_name", F.lit(1).cast("bigint").alias("total_podcasts"), *counts
-    ).unionByName(
-        overall.select(
-            F.lit(None).cast("bigint").alias("podcast_id"),
-            F.lit(None).cast("string").alias("podcast_name"),
-            "total_podcasts",
-            *counts,
-        )
-    )
 
 
 def cascade_delete(

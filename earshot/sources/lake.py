@@ -116,8 +116,7 @@ def write_partitioned(
 
     ``parquet`` writes a fixed number of key buckets, sorted so that row-group
     statistics prune lookups. ``jsonl`` is the exchange layout: ids only in the
-    folder names; where ``order`` must hold inside the file, an episode has one
-    writer, else rows are written where they are.
+    folder names, one writer per episode, records in ``order`` inside the file.
     """
     if layout == "parquet":
         sorting = ["bucket", *KEYS, *([order] if order else [])]
@@ -130,9 +129,7 @@ def write_partitioned(
             .parquet(path)
         )
     elif layout == "jsonl":
-        if order is not None:
-            df = df.repartition(*KEYS).sortWithinPartitions(*KEYS, order).drop(order)
-        _write_json(df, path)
+        _write_json(df, path, order)
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
@@ -152,10 +149,18 @@ def bucket_filter(podcast_id: str, episode_id: str, buckets: int = 64) -> Column
     )
 
 
-def _write_json(df: DataFrame, path: str) -> None:
-    """JSON lines below the key folders; only the folders written to are replaced."""
+def _write_json(df: DataFrame, path: str, order: str | None = None) -> None:
+    """JSON lines below the key folders; only the folders written to are replaced.
+
+    The number of writers is given, because small data in many folders would
+    otherwise be coalesced into one writer.
+    """
+    writers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartition(writers, *KEYS)
+    if order is not None:
+        spread = spread.sortWithinPartitions(*KEYS, order).drop(order)
     (
-        df.write.partitionBy(*KEYS)
+        spread.write.partitionBy(*KEYS)
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
         .mode("overwrite")
