@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from earshot.functions.once import let
 from earshot.functions.text import strip
 
 # Month and weekday abbreviations of RFC 2822.
@@ -58,10 +59,10 @@ def _from_fields(fields: Column) -> Column:
     return F.when(second < 60, F.timestamp_add("SECOND", -_zone_seconds(text(6)), local))
 
 
-def _assemble(col: Column, pattern: str) -> Column:
-    """The text is matched once; its fields are a lambda argument, so no use of them matches again."""
-    fields = F.split(F.regexp_replace(col, pattern, _FIELDS), " ")
-    return F.when(col.rlike(pattern), F.get(F.transform(F.array(fields), _from_fields), F.lit(0)))
+def _assemble(text: Column, pattern: str) -> Column:
+    """The text is matched once and taken apart into its fields."""
+    fields = F.split(F.regexp_replace(text, pattern, _FIELDS), " ")
+    return F.when(text.rlike(pattern), let(fields, _from_fields))
 
 
 def feed_date(col: Column) -> Column:
@@ -74,4 +75,4 @@ def mail_date(col: Column) -> Column:
 
     A missing or unknown zone counts as UTC.
     """
-    return _assemble(strip(col), _LENIENT)
+    return let(strip(col), lambda text: _assemble(text, _LENIENT))

@@ -70,6 +70,33 @@ def running_total(
     )
 
 
+def top_n(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    salt_by: Sequence[str],
+    rank: str = "rank",
+    salts: int = 64,
+) -> DataFrame:
+    """The first ``n`` rows per group with their ``rank``.
+
+    Tasks cut to ``n`` rows before they shuffle. A hot group would still send
+    ``n`` rows from every task to one place, so its rows are cut in ``salts``
+    parts (by the columns ``salt_by``) first, and the parts' winners after that.
+    """
+    part = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
+    in_part = Window.partitionBy(*keys, "_part").orderBy(*order)
+    cut = (
+        df.withColumn("_part", part)
+        .withColumn("_place", F.row_number().over(in_part))
+        .filter(F.col("_place") <= n)
+        .drop("_part", "_place")
+    )
+    in_group = Window.partitionBy(*keys).orderBy(*order)
+    return cut.withColumn(rank, F.row_number().over(in_group)).filter(F.col(rank) <= n)
+
+
 def first_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str]
 ) -> DataFrame:

@@ -9,9 +9,23 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x1c-\x1f]"
 
 
+# The same characters one by one.
+SPACE_CHARS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(col: Column) -> Column:
-    """Remove leading and trailing Unicode white space (``trim`` removes blanks only)."""
-    return F.regexp_replace(col, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    """Remove leading and trailing Unicode white space (``trim`` removes blanks only).
+
+    The pattern runs only where the first or last character calls for it.
+    """
+    spaces = F.lit(SPACE_CHARS)
+    at_edge = (F.instr(spaces, F.substring(col, 1, 1)) > 0) | (F.instr(spaces, F.substring(col, -1, 1)) > 0)
+    stripped = F.regexp_replace(col, rf"(?U)\A{SPACE}+|{SPACE}+\z", "")
+    return F.when(at_edge, stripped).otherwise(col)
 
 
 def is_blank(col: Column) -> Column:

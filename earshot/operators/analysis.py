@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.functions.grouping import first_per_group, ordered_concat
+from earshot.functions.grouping import first_per_group, ordered_concat, top_n
 from earshot.functions.keys import hash_id, require_distinct_ids
 from earshot.functions.text import is_missing, strip
 
@@ -18,16 +18,14 @@ def speaker_samples(segments: DataFrame, max_chars: int = 500) -> DataFrame:
     """The first ``max_chars`` characters each speaker says in an episode.
 
     ``segments`` has ``episode_id, pos, speaker, text``. Every kept text adds at
-    least two characters, so half of ``max_chars`` rows per speaker are enough;
-    that limit is applied before the shuffle and bounds what a group can hold.
+    least two characters, so half of ``max_chars`` rows per speaker are enough,
+    which bounds what a group can hold.
     """
     who = ["episode_id", "speaker"]
-    spoken = (
-        segments.select(*who, "pos", strip(F.col("text")).alias("text"))
-        .filter(~is_missing(F.col("speaker")) & ~is_missing(F.col("text")))
-        .withColumn("_row", F.row_number().over(Window.partitionBy(*who).orderBy("pos")))
-        .filter(F.col("_row") <= max_chars // 2 + 1)
+    said = segments.select(*who, "pos", strip(F.col("text")).alias("text")).filter(
+        ~is_missing(F.col("speaker")) & ~is_missing(F.col("text"))
     )
+    spoken = top_n(said, who, [F.col("pos")], max_chars // 2 + 1, salt_by=["pos"]).drop("rank")
     earlier = Window.partitionBy(*who).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     used = F.coalesce(F.sum(F.length("text") + 1).over(earlier), F.lit(0))
     return (

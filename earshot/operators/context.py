@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from earshot.functions.grouping import top_n
+
 # Layout of the context texts and the words that ask for similar episodes.
 CHUNK_LINE = "[Chunk %d]: %s"
 CHUNK_SEPARATOR = "\\n\\n"
@@ -81,8 +83,7 @@ def with_context(messages: DataFrame, chunks: DataFrame, similar: DataFrame) ->
 
 def recent_turns(conversations: DataFrame, n: int = 10) -> DataFrame:
     """The last ``n`` turns of each conversation, numbered in their original order."""
-    newest = Window.partitionBy("conv_id").orderBy(F.col("turn").desc())
-    last = conversations.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= n)
+    last = top_n(conversations, ["conv_id"], [F.col("turn").desc()], n, salt_by=["turn"], rank="_back")
     position = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
     return last.withColumn("position", position).drop("_back")
 

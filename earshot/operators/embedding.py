@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.grouping import mark_existing
+from earshot.functions.once import compute_once
 from earshot.functions.text import SPACE, is_blank, strip
 from earshot.session import shared_dir
 
@@ -86,14 +87,13 @@ def embed_chunks(chunks: DataFrame, embedder: Embedder) -> tuple[DataFrame, Data
     checkpointed, because both results need them and a model is called once.
     """
     shared_dir(chunks.sparkSession)
-    spread = chunks.repartition("episode_id", "chunk_index")
-    blank = is_blank(F.col("chunk_text"))
-    none = F.lit(None).cast("array<float>")
-    embedded = (
-        embedder(spread.filter(~blank))
-        .unionByName(spread.filter(blank).withColumn("transcript_embedding", none))
-        .checkpoint()
+    spread = compute_once(
+        chunks.repartition("episode_id", "chunk_index"), {"_blank": is_blank(F.col("chunk_text"))}
     )
+    none = F.lit(None).cast("array<float>")
+    offered = embedder(spread.filter(~F.col("_blank")).drop("_blank"))
+    refused = spread.filter("_blank").drop("_blank").withColumn("transcript_embedding", none)
+    embedded = offered.unionByName(refused).checkpoint()
     failed = (
         embedded.filter(F.col("transcript_embedding").isNull())
         .groupBy("episode_id")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.dates import feed_date, mail_date
-from earshot.functions.grouping import first_per_group, mark_existing
+from earshot.functions.grouping import first_per_group, mark_existing, top_n
 from earshot.functions.keys import hash_id, require_distinct_ids
-from earshot.functions.text import is_blank, is_missing, strip
+from earshot.functions.once import compute_once, let
+from earshot.functions.text import is_missing, strip
 from earshot.schemas import TABLES
 
 FEED_SUFFIXES = (".rss", ".xml")
@@ -58,13 +59,14 @@ def canonical_link() -> Column:
 
 def validate_feeds(feeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Feed rows to accepted podcasts (four fields) and rejected rows with a reason."""
-    checked = feeds.withColumns(
+    checked = compute_once(
+        feeds,
         {
             "podcast_name": strip(F.col("title")),
             "publish_date": feed_date(F.col("published")),
             "language_name": F.lower(strip(F.col("language"))),
             "podcast_url": canonical_link(),
-        }
+        },
     ).withColumn(
         "reject_reason",
         _ordered_reasons(
@@ -154,19 +156,17 @@ def select_new_episodes(entries: DataFrame, cutoffs: DataFrame, first_n: int = 2
     """Entries to load: the first ``first_n`` of a podcast without episodes, else the newer ones.
 
     Podcasts whose address is no feed url give nothing; with a cutoff, undated
-    entries are left out and the comparison is strict.
+    entries are left out and the comparison is strict. ``published_parsed`` is
+    filled in where the text gave the date.
     """
-    known = entries.filter(F.coalesce(_has_feed_suffix(F.col("podcast_url")), F.lit(False))).join(
-        cutoffs.select("podcast_id", "cutoff"), "podcast_id", "left"
-    )
-    newer = known.filter(entry_date() > F.col("cutoff"))
-    position = Window.partitionBy("podcast_id").orderBy("feed_pos")
-    first = (
-        known.filter(F.col("cutoff").isNull())
-        .withColumn("_position", F.row_number().over(position))
-        .filter(F.col("_position") <= first_n)
-        .drop("_position")
-    )
+    gated = entries.filter(F.coalesce(_has_feed_suffix(F.col("podcast_url")), F.lit(False)))
+    dated = compute_once(gated, {"published_parsed": entry_date()}).select(*entries.columns)
+    known = dated.join(cutoffs.select("podcast_id", "cutoff"), "podcast_id", "left")
+    newer = known.filter(F.col("published_parsed") > F.col("cutoff"))
+    first = top_n(
+        known.filter(F.col("cutoff").isNull()),
+        ["podcast_id"], [F.col("feed_pos")], first_n, salt_by=["feed_pos"], rank="_position",
+    ).drop("_position")
     return newer.unionByName(first).drop("cutoff")
 
 
@@ -176,12 +176,16 @@ def audio_url() -> Column:
     The first enclosure, else the first link of any kind; where that is not
     http(s), the page link or href stands in, and must be http(s) itself.
     """
-    with_href = F.filter("links", lambda l: ~is_missing(l["href"]))
-    enclosures = F.filter(with_href, lambda l: F.coalesce(l["rel"] == "enclosure", F.lit(False)))
-    preferred = strip(F.coalesce(F.get(enclosures, F.lit(0))["href"], F.get(with_href, F.lit(0))["href"]))
-    page = strip(F.when(~is_missing(F.col("link")), F.col("link")).otherwise(F.col("href")))
+    first_href = lambda links: F.get(links, F.lit(0))["href"]
+    enclosures = lambda links: F.filter(links, lambda l: F.coalesce(l["rel"] == "enclosure", F.lit(False)))
+    preferred = let(
+        F.filter("links", lambda l: ~is_missing(l["href"])),
+        lambda links: F.coalesce(first_href(enclosures(links)), first_href(links)),
+    )
+    page = F.when(~is_missing(F.col("link")), F.col("link")).otherwise(F.col("href"))
     is_http = lambda url: url.startswith("http://") | url.startswith("https://")
-    return F.when(is_http(preferred), preferred).when(is_http(page), page)
+    usable = lambda raw: let(raw, lambda r: let(strip(r), lambda url: F.when(is_http(url), url)))
+    return F.coalesce(usable(preferred), usable(page))
 
 
 def validate_episodes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -189,14 +193,15 @@ def validate_episodes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Entries of podcasts without id or name are rejected as a whole.
     """
-    checked = entries.withColumns(
-        {"episode_title": strip(F.col("title")), "audio_url": audio_url(), "published_at": entry_date()}
+    checked = compute_once(
+        entries,
+        {"episode_title": strip(F.col("title")), "audio_url": audio_url(), "published_at": entry_date()},
     ).withColumn(
         "reject_reason",
         _ordered_reasons(
             (F.col("podcast_id").isNull(), "podcast_id"),
             (is_missing(F.col("podcast_name")), "podcast_name"),
-            (is_blank(F.col("title")), "title"),
+            (is_missing(F.col("episode_title")), "title"),
             (F.col("audio_url").isNull(), "audio_url"),
             (F.col("published_at").isNull(), "published"),
         ),

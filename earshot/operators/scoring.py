@@ -20,15 +20,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.functions.grouping import top_n
+
 # Scores closer than this many decimals are ties; ids decide between them.
 SCORE_DECIMALS = 9
 # Scores a task computes at a time, which bounds its memory.
 MAX_SCORES = 4_000_000
 # Hit tables of at most this many rows are small enough to send to every task.
-SMALL_HITS = 1_000_000
+SMALL_HITS = 100_000
 RESULT_SCHEMA = "query_id bigint, episode_id bigint, chunk_index bigint, score double"
 _ARROW_SCHEMA = pa.schema(
     [("query_id", pa.int64()), ("episode_id", pa.int64()), ("chunk_index", pa.int64()), ("score", pa.float64())]
@@ -299,5 +301,4 @@ def _final(found: DataFrame, ranking: Ranking) -> DataFrame:
         found = found.groupBy("query_id", "episode_id").agg(best("score").alias("score"))
     better = F.col("score").desc() if ranking.metric == "cosine" else F.col("score").asc()
     key = ["episode_id"] if ranking.per_episode else ["episode_id", "chunk_index"]
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(better, *key))
-    return found.withColumn("rank", place).filter(F.col("rank") <= ranking.k)
+    return top_n(found, ["query_id"], [better, *[F.col(c) for c in key]], ranking.k, salt_by=key)

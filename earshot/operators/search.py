@@ -13,9 +13,10 @@ from earshot.functions.grouping import mark_existing
 from earshot.functions.text import sentence_start
 from earshot.operators.scoring import Hits, Ranking, best_matches, matrix, unit
 
-def _with_episode(hits: DataFrame, episodes: DataFrame, podcasts: DataFrame) -> DataFrame:
+def _with_episode(hits: Hits, episodes: DataFrame, podcasts: DataFrame) -> DataFrame:
     about = episodes.select("episode_id", "episode_title", "published_at", "podcast_id")
-    return hits.join(about, "episode_id").join(podcasts.select("podcast_id", "podcast_name"), "podcast_id")
+    found = hits.hinted(about.join(hits.hinted(), "episode_id"))
+    return podcasts.select("podcast_id", "podcast_name").join(found, "podcast_id")
 
 
 def _of_known_episodes(embeddings: DataFrame, episodes: DataFrame | None) -> DataFrame:
@@ -44,10 +45,11 @@ def search_chunks(
     """
     corpus = _of_known_episodes(embeddings, episodes if check_episodes else None)
     hits = best_matches(queries, corpus, Ranking(limit, metric, threshold), **options)
+    # Names first: with them a hit is still a short row, with its text it is not.
+    found = hits.hinted(_with_episode(hits, episodes, podcasts))
     texts = embeddings.select("episode_id", "chunk_index", "chunk_text")
-    found = texts.join(hits.hinted(), ["episode_id", "chunk_index"])
     return (
-        _with_episode(hits.hinted(found), episodes, podcasts)
+        texts.join(found, ["episode_id", "chunk_index"])
         .withColumn("chunk_text", sentence_start(F.col("chunk_text")))
         .select(
             "query_id", "rank", "episode_id", "episode_title", "podcast_name", "published_at",
@@ -71,7 +73,7 @@ def search_episodes(
 
 
 def _episode_hits(hits: Hits, episodes: DataFrame, podcasts: DataFrame) -> DataFrame:
-    return _with_episode(hits.hinted(), episodes, podcasts).select(
+    return _with_episode(hits, episodes, podcasts).select(
         "query_id", "rank", "episode_id", "episode_title", "published_at", "podcast_id", "podcast_name",
         F.col("score").alias("similarity_score"),
     )

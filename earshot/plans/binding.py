@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from earshot.functions.grouping import ordered_concat
 from earshot.session import tune
 
+ONE_SPLIT = 128 << 20
 RFC = "EEE, dd MMM yyyy HH:mm:ss"
 
 
@@ -27,6 +28,17 @@ class Domain:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table that costs much work per row, over all cores even if it is one small file.
+
+        Only an input below one scan split is moved; larger ones are parallel as they are.
+        """
+        df = self.raw(name)
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size >= ONE_SPLIT:
+            return df
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
+
     # -- relational tables -------------------------------------------------
 
     @cached_property
@@ -82,7 +94,7 @@ class Domain:
 
     @cached_property
     def transcripts(self) -> DataFrame:
-        return self.raw("documents").selectExpr(
+        return self.spread("documents").selectExpr(
             "source AS podcast_id", "CAST(doc_id AS STRING) AS episode_id", "text AS transcript_text"
         )
 
@@ -212,7 +224,7 @@ class Domain:
         audio = "concat('https://cdn.example/', event_type, '/', CAST(floor(value) AS BIGINT), '.mp3')"
         page = "concat('https://page.example/', event_id)"
         return (
-            self.raw("events")
+            self.spread("events")
             .join(named, "user_id", "left")
             .selectExpr(
                 "user_id AS podcast_id",

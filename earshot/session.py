@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rank filters cut each task's rows before the shuffle, for larger n as well.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }
 
 
