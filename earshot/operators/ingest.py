@@ -309,5 +309,5 @@ def cascade_delete(
         marked = mark_existing(out["podcast"], lost, ["language_id"], "_lost")
         out["podcast"] = marked.withColumn(
             "language_id", F.when(~F.col("_lost"), F.col("language_id"))
-        ).select(*tables["podcast"].columns)
-    return out
+        )
+    return {name: df.select(*tables[name].columns) for name, df in out.items()}
