@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from earshot.functions.grouping import ordered_concat
 from earshot.functions.text import SPACE, is_missing, strip
 from earshot.schemas import PARTITION_KEYS, SEGMENT_RECORD, SUMMARY_RECORD, TRANSCRIPT_RECORD
+from earshot.sources.tables import path_exists
 
 KEYS = ["podcast_id", "episode_id"]
 
@@ -192,11 +193,15 @@ def register_datasets(spark: SparkSession, root: str, prefix: str = "") -> list[
 
     A table whose columns changed is declared again, and partitions are added
     as they appear; files are never touched and vanished folders stay listed.
+    A dataset without a folder is passed over until it has one.
     """
     names = []
+    shape = lambda schema: [(f.name, f.dataType) for f in schema.fields]
     for name, record in DATASETS.items():
         table, columns = f"{prefix}{name}", _with_keys(record)
-        if spark.catalog.tableExists(table) and spark.table(table).columns != columns.fieldNames():
+        if not path_exists(spark, f"{root}/{name}"):
+            continue
+        if spark.catalog.tableExists(table) and shape(spark.table(table).schema) != shape(columns):
             spark.sql(f"DROP TABLE {table}")
         ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns.fields)
         spark.sql(

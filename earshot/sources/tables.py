@@ -34,20 +34,32 @@ def publish_snapshot(df: DataFrame, root: str, name: str, version: int) -> str:
     return path
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it wants it."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = file_system(spark, path)
+    return fs.exists(hadoop_path)
+
+
 def latest_version(spark: SparkSession, root: str, name: str) -> int | None:
     """Highest version of a table that was written completely."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
+    base = f"{root}/{name}"
+    if not path_exists(spark, base):
         return None
-    done = [
-        int(status.getPath().getName().split("=", 1)[1])
-        for status in fs.listStatus(base)
-        if status.getPath().getName().startswith("version=")
-        and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-    ]
-    return max(done, default=None)
+    fs, hadoop_path = file_system(spark, base)
+    folders = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    return max(
+        (
+            int(folder.split("=", 1)[1])
+            for folder in folders
+            if folder.startswith("version=") and path_exists(spark, f"{base}/{folder}/_SUCCESS")
+        ),
+        default=None,
+    )
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -86,9 +86,10 @@ def ingest_stream(
     if drop_repeats_within is not None:
         entries = (
             entries.withColumn("_entry", F.coalesce(audio_url(), F.col("title"), F.lit("")))
-            .withWatermark("fetched_at", drop_repeats_within)
+            .withColumn("_seen", F.col("fetched_at").cast("timestamp"))
+            .withWatermark("_seen", drop_repeats_within)
             .dropDuplicatesWithinWatermark(["podcast_id", "_entry", "published"])
-            .drop("_entry")
+            .drop("_entry", "_seen")
         )
     return (
         entries.writeStream.foreachBatch(
