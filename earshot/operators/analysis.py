@@ -98,16 +98,15 @@ def upsert_topics(
     named = analysis.select("episode_id", F.explode("topics").alias("topic_name")).filter(
         F.col("topic_name").isNotNull()
     )
-    new = (
-        named.select("topic_name")
-        .distinct()
-        .join(topics, "topic_name", "left_anti")
-        .select(hash_id(F.col("topic_name")).alias("topic_id"), "topic_name")
+    known = topics.select("topic_id", "topic_name")
+    # A new topic's id follows from its name, so linking needs the known topics only.
+    new_id = hash_id(F.col("topic_name"))
+    new = named.select("topic_name").distinct().join(known, "topic_name", "left_anti")
+    links = named.distinct().join(known, "topic_name", "left").select(
+        "episode_id", F.coalesce("topic_id", new_id).alias("topic_id")
     )
-    all_topics = topics.select("topic_id", "topic_name").unionByName(new)
-    links = named.distinct().join(all_topics, "topic_name").select("episode_id", "topic_id")
     bridge = episode_topics.select("episode_id", "topic_id").unionByName(links).distinct()
-    return all_topics, bridge
+    return known.unionByName(new.select(new_id.alias("topic_id"), "topic_name")), bridge
 
 
 def upsert_speakers(
@@ -126,21 +125,19 @@ def upsert_speakers(
     spellings = first_per_group(
         named.filter(F.col("_key").isNotNull()), ["_key"], ["episode_id", "_pos"], ["speaker_name"]
     )
+    new_id = hash_id(F.col("_key"))
     new = spellings.join(known, "_key", "left_anti").select(
-        hash_id(F.col("_key")).alias("speaker_id"),
-        "speaker_name",
-        F.lit(None).cast("string").alias("speaker_username"),
-        "_key",
+        new_id.alias("speaker_id"), "speaker_name", F.lit(None).cast("string").alias("speaker_username")
     )
-    columns = ["speaker_id", "speaker_name", "speaker_username"]
-    ids = known.unionByName(new.select("_key", "speaker_id"))
-    links = named.select("episode_id", "_key").distinct().join(ids, "_key")
-    bridge = (
-        episode_speakers.select("episode_id", "speaker_id")
-        .unionByName(links.select("episode_id", "speaker_id"))
+    links = (
+        named.filter(F.col("_key").isNotNull())
+        .select("episode_id", "_key")
         .distinct()
+        .join(known, "_key", "left")
+        .select("episode_id", F.coalesce("speaker_id", new_id).alias("speaker_id"))
     )
-    return speakers.select(*columns).unionByName(new.select(*columns)), bridge
+    bridge = episode_speakers.select("episode_id", "speaker_id").unionByName(links).distinct()
+    return speakers.select(*new.columns).unionByName(new), bridge
 
 
 def analysis_status(analysis: DataFrame, episodes: DataFrame) -> DataFrame:

@@ -113,11 +113,13 @@ def upsert_podcasts(
         [order],
         ["podcast_name", "publish_date", "language_name"],
     )
-    added = winners.join(all_languages, "language_name").select(
+    # A new language's id follows from its name.
+    known = languages.select("language_id", "language_name")
+    added = winners.join(known, "language_name", "left").select(
         hash_id(F.col("podcast_url")).alias("podcast_id"),
         "podcast_name",
         "publish_date",
-        "language_id",
+        F.coalesce("language_id", hash_id(F.col("language_name"))).alias("language_id"),
         (F.lit(None) if uploaded_at is None else uploaded_at).cast("timestamp_ntz").alias("uploaded_at"),
         "podcast_url",
     )

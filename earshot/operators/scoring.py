@@ -232,26 +232,38 @@ def _tile_scorer(ranking: Ranking) -> Callable:
 def _tiled(
     queries: DataFrame, corpus: DataFrame, ranking: Ranking, query_tile: int, chunk_tile: int
 ) -> DataFrame:
-    """Pairs of bounded tiles. A key's rows are cut into as many tiles as its count asks for,
-    so one key with a large share of all rows is many groups, not one."""
-    tiles = lambda df, rows, name: df.groupBy("match").agg(F.ceil(F.count("*") / rows).cast("int").alias(name))
-    counts = tiles(queries, query_tile, "query_tiles").join(tiles(corpus, chunk_tile, "chunk_tiles"), "match")
-    place = lambda count, *key: F.pmod(F.xxhash64(*key), F.col(count)).cast("int")
-    upto = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    left = (
-        queries.join(counts, "match")
-        .withColumn("query_part", place("query_tiles", "query_id"))
-        .withColumn("chunk_part", upto("chunk_tiles"))
-        .drop("query_tiles", "chunk_tiles")
+    """Pairs of bounded tiles.
+
+    The rows of a match value (of the whole tables without one) are cut into as
+    many tiles as their count asks for, so a value with a large share of all
+    rows is many groups, not one.
+    """
+    tile_count = lambda rows: F.ceil(F.count("*") / rows).cast("int")
+    if "match" in corpus.columns:
+        counts = queries.groupBy("match").agg(tile_count(query_tile).alias("query_tiles")).join(
+            corpus.groupBy("match").agg(tile_count(chunk_tile).alias("chunk_tiles")), "match"
+        )
+        left, right = queries.join(counts, "match"), corpus.join(counts, "match")
+        key = ["match", "query_part", "chunk_part"]
+    else:
+        cuts = {
+            "query_tiles": queries.agg(tile_count(query_tile)).first()[0],
+            "chunk_tiles": corpus.agg(tile_count(chunk_tile)).first()[0],
+        }
+        # Empty tables have no tile.
+        literals = {name: F.lit(max(1, cut)) for name, cut in cuts.items()}
+        left, right = queries.withColumns(literals), corpus.withColumns(literals)
+        key = ["query_part", "chunk_part"]
+    place = lambda tiles, *by: F.pmod(F.xxhash64(*by), F.col(tiles)).cast("int")
+    every = lambda tiles: F.explode(F.sequence(F.lit(0), F.col(tiles) - 1))
+    left = left.withColumn("query_part", place("query_tiles", "query_id")).withColumn(
+        "chunk_part", every("chunk_tiles")
     )
-    right = (
-        corpus.join(counts, "match")
-        .withColumn("chunk_part", place("chunk_tiles", "episode_id", "chunk_index"))
-        .withColumn("query_part", upto("query_tiles"))
-        .drop("query_tiles", "chunk_tiles")
+    right = right.withColumn("chunk_part", place("chunk_tiles", "episode_id", "chunk_index")).withColumn(
+        "query_part", every("query_tiles")
     )
-    key = ["match", "query_part", "chunk_part"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_tile_scorer(ranking), RESULT_SCHEMA)
+    groups = lambda df: df.drop("query_tiles", "chunk_tiles").groupBy(*key)
+    return groups(left).cogroup(groups(right)).applyInArrow(_tile_scorer(ranking), RESULT_SCHEMA)
 
 
 def best_matches(
@@ -289,8 +301,7 @@ def best_matches(
         block = _Queries.read(asked.toArrow())
         found = scanned.mapInArrow(_with_queries(block, ranking), RESULT_SCHEMA)
     else:
-        keyed = lambda df: df if match else df.withColumn("match", F.lit(0).cast("bigint"))
-        found = _tiled(keyed(asked), keyed(scanned), ranking, query_tile, chunk_tile)
+        found = _tiled(asked, scanned, ranking, query_tile, chunk_tile)
     return Hits(_final(found, ranking), size["rows"] * ranking.k <= SMALL_HITS)
 
 

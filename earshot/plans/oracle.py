@@ -428,16 +428,16 @@ ORACLE: dict[str, str] = {
     ),
     "analysis_requests": _sql(
         f"""SELECT *, transcript || speaker_block AS request FROM (
-              SELECT t.episode_id, substr(transcript_text, 1, 1000) AS transcript,
+              SELECT doc_id AS episode_id, substr(text, 1, 10000) AS transcript,
                 coalesce(chr(10) || chr(10) || 'SPEAKER SAMPLES (for identification):' || chr(10)
                   || string_agg(chr(10) || 'Speaker ' || speaker || ' said:' || chr(10) || '"' || sample || '"'
                        || chr(10), '' ORDER BY first_pos), '') AS speaker_block
-              FROM turn_text t LEFT JOIN (
+              FROM documents LEFT JOIN (
                 SELECT episode_id, speaker, min(pos) AS first_pos,
-                  {strip("substr(string_agg(said, ' ' ORDER BY pos), 1, 200)")} AS sample
-                FROM measured WHERE used < 200 GROUP BY 1, 2) s ON s.episode_id = t.episode_id
+                  {strip("substr(string_agg(said, ' ' ORDER BY pos), 1, 500)")} AS sample
+                FROM measured WHERE used < 500 GROUP BY 1, 2) s ON s.episode_id = doc_id
               GROUP BY 1, 2)""",
-        "turn_text", "measured",
+        "measured",
     ),
     "parse_analysis": """SELECT doc_id AS episode_id,
         CASE WHEN n_chars < 500 THEN 'failed' ELSE 'parsed' END AS status,
@@ -497,10 +497,11 @@ ORACLE: dict[str, str] = {
         CASE WHEN {strip('text')} = '' THEN 'empty' WHEN length({strip('text')}) < 100 THEN 'too short' END
           AS reject_reason FROM documents""",
     "chunk_transcripts": _sql(
-        """SELECT episode_id, i::INT AS chunk_index, array_to_string(tokens[i * 32 + 1 : i * 32 + 64], ' ') AS chunk_text,
-             len(tokens[i * 32 + 1 : i * 32 + 64])::INT AS token_count, (i * 32)::INT AS start_token,
-             (i * 32 + 64)::INT AS end_token
-           FROM (SELECT episode_id, tokens, unnest(range(0, ceil(len(tokens) / 32)::BIGINT)) AS i FROM tokenised)""",
+        """SELECT episode_id, i::INT AS chunk_index,
+             array_to_string(tokens[i * 256 + 1 : i * 256 + 512], ' ') AS chunk_text,
+             len(tokens[i * 256 + 1 : i * 256 + 512])::INT AS token_count, (i * 256)::INT AS start_token,
+             (i * 256 + 512)::INT AS end_token
+           FROM (SELECT episode_id, tokens, unnest(range(0, ceil(len(tokens) / 256)::BIGINT)) AS i FROM tokenised)""",
         "tokenised",
     ),
     "embed_chunks": _sql(

@@ -455,10 +455,8 @@ def speaker_samples(d: Domain) -> DataFrame:
 
 @query
 def analysis_requests(d: Domain) -> DataFrame:
-    transcripts = lake.assemble_transcripts(
-        d.turns.select(F.lit("show").alias("podcast_id"), "episode_id", "pos", "text")
-    )
-    return analysis.analysis_requests(transcripts, analysis.speaker_samples(d.turns, 200), 1000)
+    transcripts = d.transcripts.withColumn("episode_id", F.col("episode_id").cast("bigint"))
+    return analysis.analysis_requests(transcripts, analysis.speaker_samples(d.turns))
 
 
 @query
@@ -556,7 +554,7 @@ def _tokens(d: Domain) -> DataFrame:
 
 @query
 def chunk_transcripts(d: Domain) -> DataFrame:
-    return embedding.chunk_transcripts(_tokens(d), 64, 32)[0]
+    return embedding.chunk_transcripts(_tokens(d))[0]
 
 
 @query

@@ -52,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master may fall back to a folder of this machine.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)

@@ -111,13 +111,19 @@ def read_summaries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, layout: str = "parquet", order: str | None = None, buckets: int = 64
+    df: DataFrame,
+    path: str,
+    layout: str = "parquet",
+    order: str | None = None,
+    buckets: int = 64,
+    mode: str = "overwrite",
 ) -> None:
     """Store transcripts or segments.
 
     ``parquet`` writes a fixed number of key buckets, sorted so that row-group
-    statistics prune lookups. ``jsonl`` is the exchange layout: ids only in the
-    folder names, one writer per episode, records in ``order`` inside the file.
+    statistics prune lookups; ``mode`` is overwrite or append. ``jsonl`` is the exchange layout: ids only in the
+    folder names, one writer per episode, records in ``order`` inside the file;
+    it replaces the episodes written and no others.
     """
     if layout == "parquet":
         sorting = ["bucket", *KEYS, *([order] if order else [])]
@@ -126,7 +132,7 @@ def write_partitioned(
             .repartitionByRange(*sorting)
             .sortWithinPartitions(*sorting)
             .write.partitionBy("bucket")
-            .mode("overwrite")
+            .mode(mode)
             .parquet(path)
         )
     elif layout == "jsonl":
@@ -140,6 +146,18 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("bucket")
 
 
+def add_missing(df: DataFrame, path: str, order: str | None = None) -> None:
+    """Append the episodes that the Parquet layout does not have yet.
+
+    A run repeated after a failure adds nothing twice.
+    """
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path).select(*KEYS).distinct()
+        df = df.join(stored, KEYS, "left_anti")
+    write_partitioned(df, path, order=order, mode="append")
+
+
 def bucket_filter(podcast_id: str, episode_id: str, buckets: int = 64) -> Column:
     """Predicate for one key that lets a lookup open one bucket only."""
     key = F.pmod(F.xxhash64(F.lit(podcast_id), F.lit(episode_id)), F.lit(buckets)).cast("int")
