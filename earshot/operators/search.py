@@ -13,19 +13,13 @@ from earshot.functions.grouping import mark_existing
 from earshot.functions.text import sentence_start
 from earshot.operators.scoring import Hits, Ranking, best_matches, matrix, unit
 
+
 def _with_episode(hits: Hits, episodes: DataFrame, podcasts: DataFrame) -> DataFrame:
     about = episodes.select("episode_id", "episode_title", "published_at", "podcast_id")
     found = hits.hinted(about.join(hits.hinted(), "episode_id"))
     return podcasts.select("podcast_id", "podcast_name").join(found, "podcast_id")
 
 
-def _of_known_episodes(embeddings: DataFrame, episodes: DataFrame | None) -> DataFrame:
-    """Chunks whose episode exists. A foreign key guarantees it, so this is on request only."""
-    if episodes is None:
-        return embeddings
-    return embeddings.join(episodes.select("episode_id"), "episode_id", "left_semi")
-
-
 def search_chunks(
     queries: DataFrame,
     embeddings: DataFrame,
@@ -34,17 +28,17 @@ def search_chunks(
     limit: int = 5,
     threshold: float = 0.5,
     metric: str = "cosine",
-    check_episodes: bool = False,
     **options,
 ) -> DataFrame:
     """Best chunks per query above ``threshold``, with episode, podcast and trimmed text.
 
     Ranking reads ids and vectors only; texts and names are fetched for the hits.
+    Every chunk is taken to belong to a stored episode (``replace_embeddings``
+    stores no others).
     With ``metric="l2"`` the score is a distance and ``threshold`` its upper bound
     (``None`` for no bound).
     """
-    corpus = _of_known_episodes(embeddings, episodes if check_episodes else None)
-    hits = best_matches(queries, corpus, Ranking(limit, metric, threshold), **options)
+    hits = best_matches(queries, embeddings, Ranking(limit, metric, threshold), **options)
     # Names first: with them a hit is still a short row, with its text it is not.
     found = hits.hinted(_with_episode(hits, episodes, podcasts))
     texts = embeddings.select("episode_id", "chunk_index", "chunk_text")

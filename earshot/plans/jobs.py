@@ -137,12 +137,13 @@ def store_embeddings(
     )
     unknown = _fixed(unknown)
     publish_next(spark, root, {"episode_embedding": table})
-    report = lambda df, label: df.select(F.col("episode_id").cast("bigint").alias("episode_id"), F.lit(label).alias("status"))
+    number = F.col("episode_id").cast("bigint").alias("episode_id")
+    report = lambda df, label: df.select(number, F.lit(label).alias("status"))
+    refused = gated.filter(F.col("reject_reason").isNotNull())
     return (
         report(verdict.filter("is_valid").join(unknown, "episode_id", "left_anti"), "stored")
         .unionByName(report(unknown, "episode missing"))
         .unionByName(report(verdict.filter("not is_valid"), "wrong dimension"))
         .unionByName(report(failed, "embedding failed"))
-        .unionByName(gated.filter(F.col("reject_reason").isNotNull()).select(
-            F.col("episode_id").cast("bigint").alias("episode_id"), F.col("reject_reason").alias("status")))
+        .unionByName(refused.select(number, F.col("reject_reason").alias("status")))
     )

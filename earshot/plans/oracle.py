@@ -408,7 +408,8 @@ ORACLE: dict[str, str] = {
         cut AS (SELECT conv_id, turn, role, offset_s, unnest(range(0, len(lines))) AS pos,
           unnest(lines) AS text FROM slices)
         SELECT conv_id AS episode_id, offset_s + pos * 1.5::DOUBLE AS start_time,
-          offset_s + pos * 1.5::DOUBLE + 1 AS end_time, role AS speaker, text, turn AS slice_index, pos::INT AS pos FROM cut""",
+          offset_s + pos * 1.5::DOUBLE + 1 AS end_time, role AS speaker, text,
+          turn AS slice_index, pos::INT AS pos FROM cut""",
     "assemble_text": f"""SELECT conv_id AS episode_id,
         CASE WHEN bool_or(role = 'system') THEN 'failed' ELSE 'success' END AS status,
         CASE WHEN NOT bool_or(role = 'system') THEN {strip("string_agg(text, ' ' ORDER BY turn)")} END
@@ -602,7 +603,8 @@ ORACLE: dict[str, str] = {
         "episode", "podcast", "episode_topics", "topics", "episode_speakers", "speakers",
     ),
     "episodes_with_podcast": _sql(
-        """SELECT e.* REPLACE (e.transcribed::VARCHAR AS transcribed), p.podcast_name, p.language_id, p.uploaded_at AS podcast_uploaded_at, p.podcast_url
+        """SELECT e.* REPLACE (e.transcribed::VARCHAR AS transcribed), p.podcast_name,
+             p.language_id, p.uploaded_at AS podcast_uploaded_at, p.podcast_url
            FROM episode e JOIN podcast p ON p.podcast_id = e.podcast_id""",
         "episode", "podcast",
     ),

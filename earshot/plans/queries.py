@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.functions.dates import mail_date
-from earshot.functions.grouping import mark_existing
 from earshot.functions.text import sentence_start
 from earshot.operators import analysis, analytics, context, embedding, ingest, search, transcription
 from earshot.plans.binding import Domain
@@ -146,8 +145,10 @@ def registered_datasets(d: Domain) -> DataFrame:
     )
     lines = lake.assemble_transcripts(keyed.select("podcast_id", "episode_id", "pos", "text"))
     lake.write_partitioned(lines, f"{root}/transcripts", "jsonl")
-    summary = lines.select("podcast_id", "episode_id", F.col("transcript_text").alias("summary"),
-                           F.array(F.lit("talk")).alias("topics"), F.lit(None).cast("array<string>").alias("speakers"))
+    summary = lines.select(
+        "podcast_id", "episode_id", F.col("transcript_text").alias("summary"),
+        F.array(F.lit("talk")).alias("topics"), F.lit(None).cast("array<string>").alias("speakers"),
+    )
     lake.write_summaries(summary, f"{root}/summaries")
     prefix = "lake_" + root.rsplit("-", 1)[1] + "_"
     names = lake.register_datasets(d.spark, root, prefix)

@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from earshot.operators import analysis as a
 
 SEGMENTS = "episode_id bigint, pos int, speaker string, text string"
