@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions.grouping import top_n
+from earshot.functions.once import let
+
+try:
+    import ahocorasick
+except ImportError:  # Keywords are then looked for one by one.
+    ahocorasick = None
+
+# Up to this many keywords it is cheaper to stay inside the JVM.
+FEW_KEYWORDS = 16
 
 # Layout of the context texts and the words that ask for similar episodes.
 CHUNK_LINE = "[Chunk %d]: %s"
@@ -98,52 +108,82 @@ def chat_request(conversations: DataFrame, messages: DataFrame, n: int = 10) ->
 
 
 def keyword_search(
-    keywords: DataFrame, episodes: DataFrame, transcripts: DataFrame, per_pass: int = 1000
+    keywords: DataFrame, episodes: DataFrame, transcripts: DataFrame, per_pass: int = 10_000
 ) -> DataFrame:
     """Episodes whose title or transcript contains a keyword, in any case.
 
     ``keywords`` has ``query_id, keyword``; every character of a keyword is
-    literal. Keywords ride along in the scan of the texts, so nothing is joined
+    literal. Keywords travel with the scan of the texts, so nothing is joined
     and only matches become rows. A keyword table of more than ``per_pass`` rows
     is cut into passes by hash, and the passes are put together.
     """
-    asked = keywords.filter(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
-    total = asked.count()
-    passes = max(1, -(-total // per_pass))
-    part = F.pmod(F.xxhash64("query_id", "keyword"), F.lit(passes))
+    asked = keywords.filter(F.col("keyword").isNotNull() & (F.col("keyword") != "")).select(
+        F.col("query_id").cast("bigint").alias("query_id"), F.lower("keyword").alias("word")
+    )
+    passes = max(1, -(-asked.count() // per_pass))
+    part = F.pmod(F.xxhash64("query_id", "word"), F.lit(passes))
     found = None
     for number in range(passes):
-        rows = asked.filter(part == number).select("query_id", F.lower("keyword")).collect()
-        if rows or passes == 1:
-            matches = _matches(episodes, transcripts, [tuple(row) for row in rows])
-            found = matches if found is None else found.unionByName(matches)
-    return found
-
-
-def _matches(episodes: DataFrame, transcripts: DataFrame, asked: Sequence[tuple[int, str]]) -> DataFrame:
-    words = F.array(*[F.struct(F.lit(i).alias("query_id"), F.lit(w).alias("word")) for i, w in asked])
-    words = words.cast("array<struct<query_id:bigint,word:string>>")
-
-    def hits(text: Column) -> Column:
-        found = F.filter(words, lambda k: F.contains(text, k["word"]))
-        return F.transform(found, lambda k: k["query_id"])
-
-    def scan(texts: DataFrame, column: str) -> DataFrame:
-        """Only matching queries are exploded. The text is a lambda argument so that
-        it is put in lower case once per row and not once per keyword."""
-        matched = F.flatten(F.transform(F.array(F.lower(column)), hits))
-        return texts.select("episode_id", F.explode(matched).alias("query_id"))
-
-    titles = scan(episodes, "episode_title").withColumn("in_title", F.lit(True))
-    bodies = scan(transcripts, "transcript_text").withColumn("in_title", F.lit(False))
-    found = titles.unionByName(bodies).groupBy("query_id", "episode_id").agg(
+        words = [(row["query_id"], row["word"]) for row in asked.filter(part == number).collect()]
+        pairs = _pairs(episodes, "episode_title", words).withColumn("in_title", F.lit(True)).unionByName(
+            _pairs(transcripts, "transcript_text", words).withColumn("in_title", F.lit(False))
+        )
+        found = pairs if found is None else found.unionByName(pairs)
+    matched = found.groupBy("query_id", "episode_id").agg(
         F.bool_or("in_title").alias("in_title"), F.bool_or(~F.col("in_title")).alias("in_transcript")
     )
-    return found.join(episodes.select("episode_id", "episode_title"), "episode_id").select(
+    return matched.join(episodes.select("episode_id", "episode_title"), "episode_id").select(
         "query_id", "episode_id", "episode_title", "in_title", "in_transcript"
     )
 
 
+def _pairs(texts: DataFrame, column: str, words: Sequence[tuple[int, str]]) -> DataFrame:
+    """``episode_id, query_id`` of every match."""
+    if len(words) <= FEW_KEYWORDS or ahocorasick is None:
+        return _pairs_by_expression(texts, column, words)
+    queries: dict[str, list[int]] = {}
+    for query_id, word in words:
+        queries.setdefault(word, []).append(query_id)
+    low = texts.select("episode_id", F.lower(column).alias("text")).filter(F.col("text").isNotNull())
+    kind = low.schema["episode_id"].dataType.simpleString()
+    return low.mapInArrow(_automaton_scan(queries), f"episode_id {kind}, query_id bigint")
+
+
+def _pairs_by_expression(texts: DataFrame, column: str, words: Sequence[tuple[int, str]]) -> DataFrame:
+    """Few keywords: each is looked for inside the JVM and only matches are exploded.
+
+    The text is a lambda argument so that it is put in lower case once per row
+    and not once per keyword.
+    """
+    asked = F.array(*[F.struct(F.lit(i).alias("query_id"), F.lit(w).alias("word")) for i, w in words])
+    asked = asked.cast("array<struct<query_id:bigint,word:string>>")
+    hits = lambda text: F.transform(
+        F.filter(asked, lambda k: F.contains(text, k["word"])), lambda k: k["query_id"]
+    )
+    return texts.select("episode_id", F.explode(let(F.lower(column), hits)).alias("query_id"))
+
+
+def _automaton_scan(queries: dict[str, list[int]]):
+    """Many keywords: one automaton per task finds all of them in one pass over each text."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for word, query_ids in queries.items():
+            automaton.add_word(word, (word, query_ids))
+        automaton.make_automaton()
+        for batch in batches:
+            rows: list[int] = []
+            found: list[int] = []
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                for _, query_ids in dict(value for _, value in automaton.iter(text)).items():
+                    rows.extend([row] * len(query_ids))
+                    found.extend(query_ids)
+            episodes = batch.column("episode_id").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([episodes, pa.array(found, pa.int64())], ["episode_id", "query_id"])
+
+    return scan
+
+
 def filter_episodes(
     tables: dict[str, DataFrame],
     topics: Sequence[str] | None = None,

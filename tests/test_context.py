@@ -67,17 +67,19 @@ def test_recent_turns(spark):
     assert request == ["Message 13", "Message 14", "now", "only"]
 
 
-@pytest.mark.parametrize("per_pass", [1000, 2])
-def test_keyword_search(spark, rows, per_pass):
+@pytest.mark.parametrize("per_pass, few", [(1000, 100), (2, 100), (1000, 0), (2, 0)])
+def test_keyword_search(spark, rows, per_pass, few, monkeypatch):
+    monkeypatch.setattr(c, "FEW_KEYWORDS", few)
     episodes = spark.createDataFrame([(1, "All about AI"), (2, "100% pure"), (3, "x")], "episode_id bigint, episode_title string")
     texts = spark.createDataFrame([(1, "nothing"), (2, "hair_style"), (3, "HAIR and ÉTÉ")], "episode_id bigint, transcript_text string")
     words = spark.createDataFrame(
-        [(1, "ai"), (2, "0% P"), (3, "_"), (4, "été"), (5, ""), (6, None), (7, "%")], "query_id bigint, keyword string"
+        [(1, "ai"), (2, "0% P"), (3, "_"), (4, "été"), (5, ""), (6, None), (7, "%"), (8, "AI")],
+        "query_id bigint, keyword string",
     )
     got = c.keyword_search(words, episodes, texts, per_pass)
     assert rows(got, "query_id", "episode_id", "in_title", "in_transcript") == [
         (1, 1, True, False), (1, 2, False, True), (1, 3, False, True), (2, 2, True, False), (3, 2, False, True),
-        (4, 3, False, True), (7, 2, True, False),
+        (4, 3, False, True), (7, 2, True, False), (8, 1, True, False), (8, 2, False, True), (8, 3, False, True),
     ]
     assert c.keyword_search(words.limit(0), episodes, texts, per_pass).count() == 0
 
