@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.session import shared_dir
+from earshot.session import fixed
 
 
 def ordered_concat(
@@ -39,18 +39,16 @@ def running_total(
     Rows are range-partitioned over group and order, so a hot group spans many
     partitions. Each partition sums its own stretch; the stretch totals (one
     row per group and partition) supply what came before. The placed rows are
-    checkpointed because the stretch number must not change when a lost task
+    written down because the stretch number must not change when a lost task
     is run again.
     """
-    shared_dir(df.sparkSession)
     ordering = {f"_order{i}": c for i, c in enumerate(order)}
     # One struct as group key: NULL keys form a group and all steps share one exchange.
     group = F.struct(*[F.col(k) for k in keys]).alias("_group") if keys else F.struct(F.lit(0).alias("all"))
-    placed = (
+    placed = fixed(
         df.withColumns({**ordering, "_value": value, "_group": group})
         .repartitionByRange("_group", *ordering)
         .withColumn("_stretch", F.spark_partition_id())
-        .checkpoint()
     )
     totals = placed.groupBy("_group", "_stretch").agg(F.sum("_value").alias("_total"))
     before = Window.partitionBy("_group").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)

@@ -71,7 +71,10 @@ def parse_analysis(responses: DataFrame) -> DataFrame:
     ``name`` is a non-blank string. What is no JSON object is ``failed``.
     """
     nothing = F.array().cast("array<string>")
-    is_object = F.schema_of_variant("_answer").startswith("OBJECT")
+    # Read as a list, so that text behind the object is an error.
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col("response"), F.lit("]")))
+    element = lambda i: F.try_variant_get("_list", f"$[{i}]", "variant")
+    is_object = F.schema_of_variant("_answer").startswith("OBJECT") & element(1).isNull()
     field = lambda name, kind: F.try_variant_get("_answer", f"$.{name}", kind)
     name_of = lambda speaker: F.try_variant_get(speaker, "$.name", "variant")
     is_text = lambda value: F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
@@ -79,7 +82,8 @@ def parse_analysis(responses: DataFrame) -> DataFrame:
     names = F.transform(named, lambda speaker: strip(F.try_variant_get(speaker, "$.name", "string")))
     ok = F.col("status") == "parsed"
     return (
-        responses.withColumn("_answer", F.try_parse_json("response"))
+        responses.withColumn("_list", listed)
+        .withColumn("_answer", element(0))
         .withColumn("status", F.when(is_object, "parsed").otherwise("failed"))
         .select(
             "episode_id",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from earshot.functions.grouping import mark_existing
 from earshot.functions.once import compute_once
 from earshot.functions.text import SPACE, is_blank, strip
-from earshot.session import shared_dir
+from earshot.session import fixed
 
 Embedder = Callable[[DataFrame], DataFrame]
 
@@ -84,16 +84,15 @@ def embed_chunks(chunks: DataFrame, embedder: Embedder) -> tuple[DataFrame, Data
     NULL where it failed (a model plugs in through ``mapInPandas``). Blank
     chunks are not offered to it. Chunks are spread evenly first, because a
     long transcript leaves all of its chunks in one partition; the vectors are
-    checkpointed, because both results need them and a model is called once.
+    written down, because both results need them and a model is called once.
     """
-    shared_dir(chunks.sparkSession)
     spread = compute_once(
         chunks.repartition("episode_id", "chunk_index"), {"_blank": is_blank(F.col("chunk_text"))}
     )
     none = F.lit(None).cast("array<float>")
     offered = embedder(spread.filter(~F.col("_blank")).drop("_blank"))
     refused = spread.filter("_blank").drop("_blank").withColumn("transcript_embedding", none)
-    embedded = offered.unionByName(refused).checkpoint()
+    embedded = fixed(offered.unionByName(refused))
     failed = (
         embedded.filter(F.col("transcript_embedding").isNull())
         .groupBy("episode_id")

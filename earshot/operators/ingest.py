@@ -158,18 +158,18 @@ def select_new_episodes(entries: DataFrame, cutoffs: DataFrame, first_n: int = 2
     """Entries to load: the first ``first_n`` of a podcast without episodes, else the newer ones.
 
     Podcasts whose address is no feed url give nothing; with a cutoff, undated
-    entries are left out and the comparison is strict. ``published_parsed`` is
-    filled in where the text gave the date.
+    entries are left out and the comparison is strict; ``published_parsed`` is
+    then filled in where the text gave the date.
     """
     gated = entries.filter(F.coalesce(_has_feed_suffix(F.col("podcast_url")), F.lit(False)))
-    dated = compute_once(gated, {"published_parsed": entry_date()}).select(*entries.columns)
-    known = dated.join(cutoffs.select("podcast_id", "cutoff"), "podcast_id", "left")
-    newer = known.filter(F.col("published_parsed") > F.col("cutoff"))
+    known = gated.join(cutoffs.select("podcast_id", "cutoff"), "podcast_id", "left")
+    dated = compute_once(known.filter(F.col("cutoff").isNotNull()), {"published_parsed": entry_date()})
+    newer = dated.filter(F.col("published_parsed") > F.col("cutoff"))
     first = top_n(
         known.filter(F.col("cutoff").isNull()),
         ["podcast_id"], [F.col("feed_pos")], first_n, salt_by=["feed_pos"], rank="_position",
     ).drop("_position")
-    return newer.unionByName(first).drop("cutoff")
+    return newer.unionByName(first).select(*entries.columns)
 
 
 def audio_url() -> Column:
@@ -268,6 +268,10 @@ def load_episodes(
 def append_episodes(episodes: DataFrame, inserted: DataFrame) -> DataFrame:
     """Episode table with the new rows, after checking that their ids are sound."""
     require_distinct_ids(inserted, "episode_id", F.col("audio_url"))
+    # The urls are new, so a known id among them stands for another url.
+    clash = episodes.join(inserted.select("episode_id"), "episode_id", "left_semi").head(1)
+    if clash:
+        raise ValueError(f"episode_id {clash[0]['episode_id']} of a new episode is taken")
     columns = TABLES["episode"].fieldNames()
     return episodes.select(*columns).unionByName(inserted.select(*columns))
 

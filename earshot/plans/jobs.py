@@ -9,18 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.functions.keys import require_distinct_ids
 from earshot.operators import analysis, embedding, ingest, transcription
-from earshot.session import shared_dir, tune
+from earshot.session import fixed, tune
 from earshot.sources import feeds, lake
 from earshot.sources.tables import publish_next, read_snapshot
 
 
-def _fixed(df: DataFrame) -> DataFrame:
-    """Rows several results are made of, computed once and safe from lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def add_podcasts(spark: SparkSession, root: str, documents: DataFrame, loaded_at: Column) -> DataFrame:
     """Register the podcasts behind landed feed documents (``url``, ``body``).
 
@@ -32,11 +27,13 @@ def add_podcasts(spark: SparkSession, root: str, documents: DataFrame, loaded_at
     accepted, rejected = ingest.validate_feeds(
         feeds.parse_feed_headers(gated.filter(F.col("reject_reason").isNull()))
     )
-    accepted = _fixed(accepted)
+    accepted = fixed(accepted)
     podcasts, languages, status = ingest.upsert_podcasts(
         accepted, read_snapshot(spark, root, "podcast"), read_snapshot(spark, root, "language"), "url", loaded_at
     )
-    status = _fixed(status.select("url", "status"))
+    status = fixed(status.select("url", "status"))
+    require_distinct_ids(podcasts, "podcast_id", F.col("podcast_url"))
+    require_distinct_ids(languages, "language_id", F.col("language_name"))
     publish_next(spark, root, {"language": languages, "podcast": podcasts})
     return status.unionByName(refused).unionByName(
         rejected.select("url", F.col("reject_reason").alias("status"))
@@ -59,9 +56,9 @@ def load_new_episodes(
         fetched_at.cast("timestamp_ntz").alias("fetched_at"),
     )
     fresh = ingest.select_new_episodes(entries, ingest.ingest_cutoffs(episodes), first_n)
-    accepted = _fixed(ingest.validate_episodes(fresh)[0])
+    accepted = fixed(ingest.validate_episodes(fresh)[0])
     inserted, outcomes = ingest.load_episodes(accepted, episodes, podcasts)
-    stats = _fixed(ingest.load_stats(outcomes))
+    stats = fixed(ingest.load_stats(outcomes))
     publish_next(spark, root, {"episode": ingest.append_episodes(episodes, inserted)})
     return stats
 
@@ -76,7 +73,7 @@ def store_transcripts(
     """
     tune(spark)
     episodes = read_snapshot(spark, root, "episode")
-    results = _fixed(
+    results = fixed(
         transcription.assemble_text(slices).join(episodes.select("episode_id", "podcast_id"), "episode_id")
     )
     done = results.filter("status = 'success'")
@@ -97,7 +94,7 @@ def store_analyses(spark: SparkSession, root: str, responses: DataFrame, lake_ro
     """
     tune(spark)
     episodes = read_snapshot(spark, root, "episode")
-    parsed = _fixed(analysis.parse_analysis(responses))
+    parsed = fixed(analysis.parse_analysis(responses))
     answers = parsed.filter("status = 'parsed'")
     tables = {name: read_snapshot(spark, root, name) for name in
               ("topics", "speakers", "episode_topics", "episode_speakers")}
@@ -135,7 +132,7 @@ def store_embeddings(
         read_snapshot(spark, root, "episode_embedding"),
         read_snapshot(spark, root, "episode"),
     )
-    unknown = _fixed(unknown)
+    unknown = fixed(unknown)
     publish_next(spark, root, {"episode_embedding": table})
     number = F.col("episode_id").cast("bigint").alias("episode_id")
     report = lambda df, label: df.select(number, F.lit(label).alias("status"))

@@ -16,7 +16,7 @@ from earshot.functions.dates import mail_date
 from earshot.functions.text import sentence_start
 from earshot.operators import analysis, analytics, context, embedding, ingest, search, transcription
 from earshot.plans.binding import Domain
-from earshot.session import scratch_path
+from earshot.session import fixed, scratch_path
 from earshot.sources import feeds, lake, lookups, tables
 from earshot.streaming import ingest_stream as streaming
 
@@ -301,7 +301,8 @@ def podcasts_with_episodes(d: Domain) -> DataFrame:
 
 
 def _loaded(d: Domain) -> tuple[DataFrame, DataFrame]:
-    accepted, _ = ingest.validate_episodes(_new(d))
+    # As in the job: the accepted rows serve the insert and the outcomes, and are worked out once.
+    accepted = fixed(ingest.validate_episodes(_new(d))[0])
     return ingest.load_episodes(accepted, d.loaded, d.known_podcasts)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on. AQE splits skewed join partitions
 # even where that costs one more exchange, and naive timestamps are read as UTC.
@@ -70,3 +70,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     return os.path.join(shared_dir(spark), "earshot", f"{label}-{uuid.uuid4().hex}")
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """Rows that several results are made of: computed once, and kept if an executor is lost.
+
+    They are written below the shared folder and read back, which cuts the
+    lineage like a checkpoint and also tells the optimizer their size.
+    """
+    path = scratch_path(df.sparkSession, "rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

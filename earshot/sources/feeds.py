@@ -15,9 +15,11 @@ def _record(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 _ATTRS = _record(("_rel", _TEXT), ("_type", _TEXT), ("_href", _TEXT))
 _ENCLOSURE = _record(("_url", _TEXT), ("_type", _TEXT))
+_GUID = _record(("_VALUE", _TEXT), ("_isPermaLink", _TEXT))
 _ITEM = _record(
     ("title", _TEXT),
     ("link", _TEXT),
+    ("guid", _GUID),
     ("pubDate", _TEXT),
     ("enclosure", T.ArrayType(_ENCLOSURE)),
     ("atom:link", T.ArrayType(_ATTRS)),
@@ -85,15 +87,24 @@ def parse_feed_headers(raw: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_feeds(raw: DataFrame) -> DataFrame:
+    """Documents that are no well-formed feed; they give no header and no entry."""
+    return _parsed(raw).filter(F.col("channel").isNull()).select("url")
+
+
 def parse_feed_entries(raw: DataFrame) -> DataFrame:
-    """One row per item in document order (``feed_pos`` from 0)."""
+    """One row per item in document order (``feed_pos`` from 0).
+
+    An item without link is linked by its guid, unless that says it is no link.
+    """
     items = _parsed(raw).select("url", F.posexplode("channel.item").alias("feed_pos", "item"))
     item = F.col("item")
+    is_link = F.coalesce(F.lower(item["guid"]["_isPermaLink"]) != "false", F.lit(True))
     return items.select(
         "url",
         F.col("feed_pos").cast("bigint").alias("feed_pos"),
         item["title"].alias("title"),
-        item["link"].alias("link"),
+        F.coalesce(item["link"], F.when(is_link, item["guid"]["_VALUE"])).alias("link"),
         item["pubDate"].alias("published"),
         F.concat(
             _page_link(item["link"]), _atom_links(item["atom:link"]), _enclosures(item["enclosure"])

@@ -7,12 +7,12 @@ layout is Parquet in a fixed number of key buckets.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions.grouping import ordered_concat
+from earshot.functions.once import let
 from earshot.functions.text import SPACE, is_missing, strip
 from earshot.schemas import PARTITION_KEYS, SEGMENT_RECORD, SUMMARY_RECORD, TRANSCRIPT_RECORD
 from earshot.sources.tables import path_exists
@@ -30,13 +30,23 @@ def _whole_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).text(path, wholetext=True)
 
 
+def _records(line: Column, record: T.StructType, mode: str) -> Column:
+    """The JSON objects of a line. Read as a list, so that text behind an object is an error."""
+    listed = F.concat(F.lit("["), line, F.lit("]"))
+    return F.from_json(listed, T.ArrayType(record), {"mode": mode})
+
+
 def _line_texts(body: Column, policy: str) -> Column:
     """Array of the texts of a JSON-lines file, in line order.
 
     A malformed line fails the job under both policies.
     """
     lines = F.split(strip(body), "\n")
-    parse = lambda line: F.from_json(line, TRANSCRIPT_RECORD, {"mode": "FAILFAST"})["transcript_text"]
+    malformed = F.raise_error(F.lit("malformed transcript line")).cast("string")
+    one_record = lambda found: F.when(
+        (F.size(found) == 1) & F.get(found, F.lit(0)).isNotNull(), F.get(found, F.lit(0))["transcript_text"]
+    ).otherwise(malformed)
+    parse = lambda line: let(_records(line, TRANSCRIPT_RECORD, "FAILFAST"), one_record)
     blank = rf"(?U)\A{SPACE}*\z"
     if policy == "strict":
         # Blank lines and lines without text are passed over.
@@ -44,7 +54,6 @@ def _line_texts(body: Column, policy: str) -> Column:
         return F.filter(texts, lambda text: ~is_missing(text))
     if policy == "keep_empty":
         # Only an empty line is passed over; a line of blanks is malformed.
-        malformed = F.raise_error(F.lit("malformed transcript line")).cast("string")
         return F.transform(
             F.filter(lines, lambda line: line != ""),
             lambda line: F.when(line.rlike(blank), malformed).otherwise(
@@ -92,17 +101,18 @@ def read_transcripts(
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """Segment records with their string keys; malformed lines are dropped.
+    """Segment records with their string keys; lines that are no JSON object are dropped.
 
     A folder that does not exist yet has no segments.
     """
-    schema = _with_keys(SEGMENT_RECORD)
-    try:
-        return spark.read.schema(schema).json(path, mode="DROPMALFORMED")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], _with_keys(SEGMENT_RECORD))
+    lines = spark.read.schema(_with_keys(T.StructType([T.StructField("line", T.StringType())]))).text(path)
+    found = lines.select(*KEYS, _records(F.col("line"), SEGMENT_RECORD, "PERMISSIVE").alias("found"))
+    record = F.get("found", F.lit(0))
+    return found.filter((F.size("found") == 1) & record.isNotNull()).select(
+        *[record[name].alias(name) for name in SEGMENT_RECORD.fieldNames()], *KEYS
+    )
 
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:

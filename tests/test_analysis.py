@@ -45,13 +45,18 @@ def test_parse_analysis(spark):
         6: json.dumps({"speakers": ["Ann", {"name": 5}, {"name": " "}, {"nick": "x"}, {"name": None}, 7,
                                     '{"name": "text"}', {"name": "Cy"}]}),
         7: None,
+        8: '{"topics": []} and more',
+        9: '{"topics": []}, {}',
+        10: " {} ",
     }
     df = spark.createDataFrame(list(answers.items()), "episode_id bigint, response string")
     got = {r["episode_id"]: tuple(r)[1:] for r in a.parse_analysis(df).collect()}
     assert got[1] == ("parsed", ["AI", "ml"], "S", ["Ann", "Bob"])
     assert got[2] == ("parsed", ["AI"], "", [])
     assert got[3] == ("parsed", [], "", [])
-    assert got[4] == got[5] == got[7] == ("failed", None, None, None)
+    for failed in (4, 5, 7, 8, 9):
+        assert got[failed] == ("failed", None, None, None)
+    assert got[10] == got[3]
     assert got[6] == ("parsed", [], "", ["Cy"])
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from earshot.operators import ingest
 from earshot.schemas import FEED_ENTRY
-from earshot.sources.feeds import parse_feeds
+from earshot.sources.feeds import parse_feed_entries, parse_feeds, unreadable_feeds
 
 FEED = (
     "row_id bigint, title string, published string, language string, link string, new_feed_url string, "
@@ -56,6 +56,20 @@ def test_parse_feeds_keeps_order_and_prefixed_tags(spark):
     assert got == [(p, f"Ep {i} & more", f"https://e.com/{i}.mp3") for p, i in enumerate((3, 1, 2))]
 
 
+def test_guid_stands_in_for_the_link(spark):
+    items = [
+        "<link>https://e.com/l</link><guid>https://e.com/g</guid>", "<guid>https://e.com/g</guid>",
+        '<guid isPermaLink="true">https://e.com/g</guid>', '<guid isPermaLink="false">https://e.com/g</guid>',
+        "<title><![CDATA[A <b>bold</b> title]]></title>",
+    ]
+    body = "<rss><channel>" + "".join(f"<item>{i}</item>" for i in items) + "</channel></rss>"
+    raw = spark.createDataFrame([("u", body), ("broken", "<rss><channel>")], "url string, body string")
+    got = parse_feed_entries(raw).orderBy("feed_pos").collect()
+    assert [r["link"] for r in got] == ["https://e.com/l", "https://e.com/g", "https://e.com/g", None, None]
+    assert got[4]["title"] == "A <b>bold</b> title"
+    assert [r["url"] for r in unreadable_feeds(raw).collect()] == ["broken"]
+
+
 def test_gate_feed_urls(spark):
     urls = ["a.rss", "a.xml", "a.json", "", None, "a.RSS"]
     got = ingest.gate_feed_urls(spark.createDataFrame([(u,) for u in urls], "url string"))
@@ -249,6 +263,8 @@ def test_append_checks_ids(spark):
     assert table.count() == 2 and table.first()["uploaded_at"] == datetime(2024, 2, 2)
     with pytest.raises(ValueError):
         ingest.append_episodes(inserted.limit(0), inserted.withColumn("episode_id", F.lit(1)))
+    with pytest.raises(ValueError, match="is taken"):
+        ingest.append_episodes(inserted.withColumn("audio_url", F.lit("other")), inserted)
 
 
 def test_cascade_delete(spark, rows):

@@ -38,8 +38,9 @@ def test_strict_and_keep_empty(spark, transcripts, rows):
 
 
 @pytest.mark.parametrize("policy", ["strict", "keep_empty"])
-def test_malformed_lines_fail(spark, folder, policy):
-    put(folder, 1, 1, line("a") + "\n{broken\n" + line("b"))
+@pytest.mark.parametrize("bad", ["{broken", "[1]", "null", "5", line("x") + " more", line("x") + "," + line("y")])
+def test_malformed_lines_fail(spark, folder, policy, bad):
+    put(folder, 1, 1, line("a") + f"\n{bad}\n" + line("b"))
     with pytest.raises(Exception):
         lake.read_transcripts(spark, folder, policy).collect()
 
@@ -77,8 +78,11 @@ def test_unknown_options(spark, transcripts):
 
 def test_segments_drop_malformed_lines(spark, folder, rows):
     good = json.dumps({"start_time": 0, "end_time": 10, "speaker": "A", "text": "Hello"})
-    put(folder, 1, 2, good + "\n{nope\n" + good + "\n")
-    assert rows(lake.read_segments(spark, folder)) == [(0.0, 10.0, "A", "Hello", "1", "2")] * 2
+    put(folder, 1, 2, good + "\n{nope\n\n  \nnull\n[]\n" + good + " x\n" + good + "\n")
+    put(folder, 1, 3, json.dumps({"speaker": "B"}))
+    got = lake.read_segments(spark, folder)
+    assert rows(got) == [(0.0, 10.0, "A", "Hello", "1", "2")] * 2 + [(None, None, "B", None, "1", "3")]
+    assert got.count() == 3
     assert lake.read_segments(spark, folder + "/absent").count() == 0
 
 
