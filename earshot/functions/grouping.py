@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from earshot.session import fixed
 
+# A cut to this many rows per task leaves little of a hot group: even from
+# 100,000 tasks a few million rows come together, which one task can sort.
+FEW_ROWS = 64
+
 
 def ordered_concat(
     df: DataFrame, keys: Sequence[str], pos: str, text: str, sep: str, out: str, block: int = 1024
@@ -79,20 +83,22 @@ def top_n(
 ) -> DataFrame:
     """The first ``n`` rows per group with their ``rank``.
 
-    Tasks cut to ``n`` rows before they shuffle. A hot group would still send
-    ``n`` rows from every task to one place, so its rows are cut in ``salts``
-    parts (by the columns ``salt_by``) first, and the parts' winners after that.
+    Tasks cut groups to ``n`` rows before they shuffle, so a hot group sends at
+    most ``n`` rows from each task to one place. That is little for a small
+    ``n``. For a larger one groups are cut in ``salts`` parts (by the columns
+    ``salt_by``) first, and the parts' winners meet after that.
     """
-    part = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
-    in_part = Window.partitionBy(*keys, "_part").orderBy(*order)
-    cut = (
-        df.withColumn("_part", part)
-        .withColumn("_place", F.row_number().over(in_part))
-        .filter(F.col("_place") <= n)
-        .drop("_part", "_place")
-    )
+    if n > FEW_ROWS:
+        part = F.pmod(F.xxhash64(*salt_by), F.lit(salts))
+        in_part = Window.partitionBy(*keys, "_part").orderBy(*order)
+        df = (
+            df.withColumn("_part", part)
+            .withColumn("_place", F.row_number().over(in_part))
+            .filter(F.col("_place") <= n)
+            .drop("_part", "_place")
+        )
     in_group = Window.partitionBy(*keys).orderBy(*order)
-    return cut.withColumn(rank, F.row_number().over(in_group)).filter(F.col(rank) <= n)
+    return df.withColumn(rank, F.row_number().over(in_group)).filter(F.col(rank) <= n)
 
 
 def first_per_group(

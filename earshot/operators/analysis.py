@@ -22,7 +22,9 @@ def speaker_samples(segments: DataFrame, max_chars: int = 500) -> DataFrame:
     which bounds what a group can hold.
     """
     who = ["episode_id", "speaker"]
-    said = segments.select(*who, "pos", strip(F.col("text")).alias("text")).filter(
+    # No more of a text can show up in the sample than the sample has characters.
+    start = F.substring(strip(F.col("text")), 1, max_chars)
+    said = segments.select(*who, "pos", start.alias("text")).filter(
         ~is_missing(F.col("speaker")) & ~is_missing(F.col("text"))
     )
     spoken = top_n(said, who, [F.col("pos")], max_chars // 2 + 1, salt_by=["pos"]).drop("rank")

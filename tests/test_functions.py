@@ -154,12 +154,13 @@ def test_ordered_concat_keeps_empty_texts_and_quotes(spark):
     assert ordered_concat(df, ["k"], "p", "t", "'", "j").first()["j"] == "a''b"
 
 
-def test_top_n_of_a_hot_group(spark):
+@pytest.mark.parametrize("n", [5, 500])
+def test_top_n_of_a_hot_group(spark, n):
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 100 + 1).alias("g"), "id")
-    got = top_n(df, ["g"], [F.col("id").desc()], 5, salt_by=["id"]).toPandas()
-    pdf = df.toPandas().sort_values("id", ascending=False).groupby("g").head(5)
-    assert set(got["id"]) == set(pdf["id"])
-    assert got[got.g == 0].sort_values("rank")["id"].tolist() == [8997, 8994, 8991, 8988, 8985]
+    got = top_n(df, ["g"], [F.col("id").desc()], n, salt_by=["id"]).toPandas()
+    pdf = df.toPandas().sort_values("id", ascending=False).groupby("g").head(n)
+    assert len(got) == len(pdf) and set(got["id"]) == set(pdf["id"])
+    assert got[got.g == 0].sort_values("rank")["id"].tolist() == [8997 - 3 * i for i in range(n)]
 
 
 def test_first_per_group_and_mark_existing(spark, rows):
