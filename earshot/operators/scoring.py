@@ -223,7 +223,6 @@ def _tile_scorer(ranking: Ranking) -> Callable:
         if left.num_rows == 0 or right.num_rows == 0:
             return _ARROW_SCHEMA.empty_table()
         queries = _Queries.read(left)
-        queries.match = None
         return _as_table(queries, _scan(queries, ranking, iter(right.to_batches())))
 
     return score
@@ -236,15 +235,18 @@ def _tiled(
 
     The rows of a match value (of the whole tables without one) are cut into as
     many tiles as their count asks for, so a value with a large share of all
-    rows is many groups, not one.
+    rows is many groups, not one. Small values share the tiles of a bucket,
+    where each query still sees its own value only.
     """
     tile_count = lambda rows: F.ceil(F.count("*") / rows).cast("int")
     if "match" in corpus.columns:
         counts = queries.groupBy("match").agg(tile_count(query_tile).alias("query_tiles")).join(
             corpus.groupBy("match").agg(tile_count(chunk_tile).alias("chunk_tiles")), "match"
         )
-        left, right = queries.join(counts, "match"), corpus.join(counts, "match")
-        key = ["match", "query_part", "chunk_part"]
+        buckets = max(1, -(-corpus.count() // chunk_tile))
+        bucket = F.pmod(F.xxhash64("match"), F.lit(buckets))
+        left, right = (df.join(counts, "match").withColumn("bucket", bucket) for df in (queries, corpus))
+        key = ["bucket", "query_part", "chunk_part"]
     else:
         cuts = {
             "query_tiles": queries.agg(tile_count(query_tile)).first()[0],
