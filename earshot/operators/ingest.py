@@ -10,7 +10,8 @@ from earshot.functions.grouping import first_per_group, mark_existing, top_n
 from earshot.functions.keys import hash_id, require_distinct_ids
 from earshot.functions.once import compute_once, let
 from earshot.functions.text import is_missing, strip
-from earshot.schemas import TABLES
+from earshot.schemas import FEED_ENTRY, TABLES
+from earshot.sources.feeds import parse_feed_entries
 
 FEED_SUFFIXES = (".rss", ".xml")
 
@@ -134,6 +135,14 @@ def upsert_podcasts(
     return table, all_languages, status
 
 
+def landed_entries(documents: DataFrame, podcasts: DataFrame) -> DataFrame:
+    """Entries of the landed documents (``url, body, fetched_at``) of known podcasts."""
+    named = podcasts.select("podcast_id", "podcast_name", "podcast_url")
+    parsed = parse_feed_entries(documents).join(named, F.col("url") == F.col("podcast_url"))
+    absent = {"href": F.lit(None).cast("string"), "published_parsed": F.lit(None).cast("timestamp_ntz")}
+    return parsed.withColumns(absent).select(*FEED_ENTRY.fieldNames())
+
+
 def ingest_cutoffs(
     episodes: DataFrame, cutoff: str = "uploaded_at", lateness: str = "0 seconds"
 ) -> DataFrame:

@@ -24,9 +24,8 @@ def add_podcasts(spark: SparkSession, root: str, documents: DataFrame, loaded_at
     tune(spark)
     gated = ingest.gate_feed_urls(documents)
     refused = gated.filter(F.col("reject_reason").isNotNull()).select("url", F.col("reject_reason").alias("status"))
-    accepted, rejected = ingest.validate_feeds(
-        feeds.parse_feed_headers(gated.filter(F.col("reject_reason").isNull()))
-    )
+    readable = gated.filter(F.col("reject_reason").isNull()).select("url", "body")
+    accepted, rejected = ingest.validate_feeds(feeds.parse_feed_headers(readable))
     accepted = fixed(accepted)
     podcasts, languages, status = ingest.upsert_podcasts(
         accepted, read_snapshot(spark, root, "podcast"), read_snapshot(spark, root, "language"), "url", loaded_at
@@ -47,14 +46,8 @@ def load_new_episodes(
     tune(spark)
     podcasts = read_snapshot(spark, root, "podcast")
     episodes = read_snapshot(spark, root, "episode")
-    named = podcasts.select("podcast_id", "podcast_name", "podcast_url")
-    entries = feeds.parse_feed_entries(documents).join(named, F.col("url") == F.col("podcast_url")).select(
-        "podcast_id", "podcast_name", "podcast_url", "feed_pos", "title", "links", "link",
-        F.lit(None).cast("string").alias("href"),
-        F.lit(None).cast("timestamp_ntz").alias("published_parsed"),
-        "published",
-        fetched_at.cast("timestamp_ntz").alias("fetched_at"),
-    )
+    landed = documents.withColumn("fetched_at", fetched_at.cast("timestamp_ntz"))
+    entries = ingest.landed_entries(landed, podcasts)
     fresh = ingest.select_new_episodes(entries, ingest.ingest_cutoffs(episodes), first_n)
     accepted = fixed(ingest.validate_episodes(fresh)[0])
     inserted, outcomes = ingest.load_episodes(accepted, episodes, podcasts)

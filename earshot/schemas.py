@@ -55,6 +55,7 @@ SUMMARY_RECORD = _struct(
 )
 PARTITION_KEYS = _struct(podcast_id=STRING, episode_id=STRING)
 
+FEED_DOCUMENT = _struct(url=STRING, body=STRING, fetched_at=NTZ)
 FEED_ENTRY = _struct(
     podcast_id=LONG,
     podcast_name=STRING,

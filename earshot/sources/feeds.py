@@ -70,14 +70,14 @@ def _enclosures(enclosures: Column) -> Column:
 
 def _parsed(raw: DataFrame) -> DataFrame:
     document = F.from_xml("body", _RSS, {"rowTag": "rss", "mode": "PERMISSIVE"})
-    return raw.select("url", document["channel"].alias("channel"))
+    return raw.select(*[c for c in raw.columns if c != "body"], document["channel"].alias("channel"))
 
 
 def parse_feed_headers(raw: DataFrame) -> DataFrame:
     """One row per document: title, date, language and the feed-level links."""
     channel = F.col("channel")
     return _parsed(raw).select(
-        "url",
+        *[c for c in raw.columns if c != "body"],
         channel["title"].alias("title"),
         channel["pubDate"].alias("published"),
         channel["language"].alias("language"),
@@ -97,11 +97,12 @@ def parse_feed_entries(raw: DataFrame) -> DataFrame:
 
     An item without link is linked by its guid, unless that says it is no link.
     """
-    items = _parsed(raw).select("url", F.posexplode("channel.item").alias("feed_pos", "item"))
+    kept = [c for c in raw.columns if c != "body"]
+    items = _parsed(raw).select(*kept, F.posexplode("channel.item").alias("feed_pos", "item"))
     item = F.col("item")
     is_link = F.coalesce(F.lower(item["guid"]["_isPermaLink"]) != "false", F.lit(True))
     return items.select(
-        "url",
+        *kept,
         F.col("feed_pos").cast("bigint").alias("feed_pos"),
         item["title"].alias("title"),
         F.coalesce(item["link"], F.when(is_link, item["guid"]["_VALUE"])).alias("link"),
@@ -113,5 +114,8 @@ def parse_feed_entries(raw: DataFrame) -> DataFrame:
 
 
 def parse_feeds(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Landed documents (``url``, ``body``) to feed rows and entry rows."""
+    """Landed documents (``url``, ``body``) to feed rows and entry rows.
+
+    Further columns of a document, such as its landing time, go to all its rows.
+    """
     return parse_feed_headers(raw), parse_feed_entries(raw)

@@ -10,11 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 from earshot.operators.ingest import (
     audio_url,
     ingest_cutoffs,
+    landed_entries,
     load_episodes,
     select_new_episodes,
     validate_episodes,
 )
-from earshot.schemas import FEED_ENTRY, TABLES
+from earshot.schemas import FEED_DOCUMENT, FEED_ENTRY, TABLES
 from earshot.session import tune
 
 
@@ -73,16 +74,19 @@ def ingest_stream(
     first_n: int = 20,
     files_per_batch: int = 1000,
     drop_repeats_within: str | None = None,
+    documents: bool = False,
 ) -> StreamingQuery:
-    """Start loading the entry files below ``landing`` and stop when all are in.
+    """Start loading the files below ``landing`` and stop when all are in.
 
+    The files hold feed entries, or whole feed documents with ``documents``.
     The anti-join against ``target`` keeps urls unique. ``drop_repeats_within``
     also drops repeated polls early, at the price of losing entries that land
     later than this behind the newest one; it is off unless asked for.
     """
-    entries = (
-        spark.readStream.schema(FEED_ENTRY).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
-    )
+    schema = FEED_DOCUMENT if documents else FEED_ENTRY
+    entries = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
+    if documents:
+        entries = landed_entries(entries, podcasts)
     if drop_repeats_within is not None:
         entries = (
             entries.withColumn("_entry", F.coalesce(audio_url(), F.col("title"), F.lit("")))

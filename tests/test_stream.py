@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from earshot.schemas import FEED_ENTRY
+from earshot.schemas import FEED_DOCUMENT, FEED_ENTRY
 from earshot.streaming.ingest_stream import ingest_stream, load_batch, read_target
 
 POLLS = {1: datetime(2024, 2, 1), 2: datetime(2024, 2, 2), 3: datetime(2024, 2, 3)}
@@ -74,3 +74,18 @@ def test_repeats_may_be_dropped_early(spark, folder):
     same = entry(1, 0, "https://e.com/a.mp3", JAN, 1)
     land(spark, folder, same, same, entry(1, 1, "https://e.com/b.mp3", JAN, 1))
     assert run(spark, folder, drop_repeats_within="7 days").count() == 2
+
+
+def test_documents_land_as_they_are(spark, folder, rows):
+    item = "<item><title>T{0}</title><pubDate>Mon, 01 Jan 2024 12:00:00 +0000</pubDate><enclosure url='https://e.com/{0}.mp3'/></item>"
+    body = "<rss><channel>" + "".join(item.format(i) for i in range(4)) + "</channel></rss>"
+    known = spark.createDataFrame([(1, "P1", "https://e.com/1.rss")], "podcast_id bigint, podcast_name string, podcast_url string")
+    documents = spark.createDataFrame(
+        [("https://e.com/1.rss", body, POLLS[1]), ("https://e.com/unknown.rss", body, POLLS[1])], FEED_DOCUMENT
+    )
+    documents.write.parquet(f"{folder}/landing")
+    for _ in range(2):
+        ingest_stream(
+            spark, f"{folder}/landing", f"{folder}/episodes", f"{folder}/progress", known, first_n=3, documents=True
+        ).awaitTermination()
+    assert rows(read_target(spark, f"{folder}/episodes"), "audio_url") == [(f"https://e.com/{i}.mp3",) for i in range(3)]
