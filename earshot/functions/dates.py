@@ -31,7 +31,7 @@ _STRICT = (
     r"(\d{1,2}):(\d{1,2}):(\d{1,2})\s+([+-]\d{2}:?[0-5]\d(?::?[0-5]\d)?|(?-i:Z))\z"
 )
 _LENIENT = (
-    rf"(?i)\A(?:[^\s,]*,\s*|(?:{_DAYS})\s+)?(\d{{1,2}})[\s-]+({_ANY_MONTHS})[\s-]+(\d{{2}}|\d{{4}}),?\s+"
+    rf"(?i)\A(?:[^\s,]*,\s*|(?:{_DAYS})\s+)?(\d{{1,2}})[\s-]+({_ANY_MONTHS})[\s-]+0*(\d{{2}}|\d{{4}}),?\s+"
     r"(\d{1,2})[:.](\d{2})(?:[:.](\d{2}))?(?:(?:\s+|(?=[+-]))(\S+).*)?\z"
 )
 _FIELDS = "$1 $2 $3 $4 $5 $6 $7"

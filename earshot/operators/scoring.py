@@ -243,7 +243,8 @@ def _tiled(
         counts = queries.groupBy("match").agg(tile_count(query_tile).alias("query_tiles")).join(
             corpus.groupBy("match").agg(tile_count(chunk_tile).alias("chunk_tiles")), "match"
         )
-        buckets = max(1, -(-corpus.count() // chunk_tile))
+        # Enough buckets for both sides to have bounded tiles.
+        buckets = max(1, -(-corpus.count() // chunk_tile), -(-queries.count() // query_tile))
         bucket = F.pmod(F.xxhash64("match"), F.lit(buckets))
         left, right = (df.join(counts, "match").withColumn("bucket", bucket) for df in (queries, corpus))
         key = ["bucket", "query_part", "chunk_part"]

@@ -106,6 +106,17 @@ def test_similar_episodes_leave_themselves_out(spark, corpus, tables, options):
     assert picked(got, chunk=False) == brute(anchors, corpus[1], 6, per_episode=True, own={0: 0, 3: 3})
 
 
+def test_many_queries_few_chunks(spark, corpus):
+    """More queries than chunks: the tiles are bounded by the queries as well."""
+    few = corpus[0].filter("chunk_index < 60")
+    rng = np.random.default_rng(8)
+    rows = [(i, i % 31, rng.normal(size=DIM).tolist()) for i in range(500)]
+    asked = spark.createDataFrame(rows, "query_id bigint, episode_id bigint, query_vector array<double>")
+    got = search.search_within(asked, few, 2, max_query_bytes=0, query_tile=20, chunk_tile=1000)
+    chunks = [r for r in corpus[1] if r[1] < 60]
+    assert picked(got) == brute([(i, q) for i, _, q in rows], chunks, 2, within={i: e for i, e, _ in rows})
+
+
 def test_search_reports_names_and_trimmed_text(corpus, queries, tables):
     lower = corpus[0].withColumn("chunk_text", F.concat(F.lit("tail end. Now "), F.col("chunk_text")))
     got = search.search_chunks(queries[0], lower, *tables, threshold=0.1).collect()
