@@ -139,6 +139,18 @@ def test_registered_tables_follow_the_files(spark, folder, rows):
         spark.sql(f"DROP TABLE {name}")
 
 
+@pytest.mark.parametrize("few", [1000, 0])
+def test_lookup_reads_the_asked_folders_only(spark, folder, rows, few, monkeypatch):
+    monkeypatch.setattr(lookups, "FEW_KEYS", few)
+    df = spark.range(20).selectExpr("'p' AS podcast_id", "CAST(id AS STRING) AS episode_id", "concat('t', id) AS transcript_text")
+    lake.write_partitioned(df, f"{folder}/t", "jsonl")
+    stored = spark.read.schema("transcript_text string, podcast_id string, episode_id string").json(f"{folder}/t")
+    got = lookups.lookup_transcripts(spark.createDataFrame([("p", 7), ("p", 99)], "podcast_id string, episode_id int"), stored)
+    assert rows(got) == [("p", "7", "t7", "found"), ("p", "99", None, "missing")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("episode_id#" in plan.split("PartitionFilters: [")[1].split("]")[0] and " IN (" in plan) == (few > 0)
+
+
 def test_lookups(spark, rows):
     stored = spark.createDataFrame(
         [("1", "1", "text"), ("1", "2", ""), ("1", "3", None)], "podcast_id string, episode_id string, transcript_text string"
