@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import exact_dedup, sharding, substring_dedup, token_counts
+from earshot.llm import decontamination, exact_dedup, packing, sharding, substring_dedup, token_counts, warc
 from earshot.llm.common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,63 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_pieces(documents(spark, sf_dir), token_counts.build(pieces))
 
 
+@query
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back from the archives."""
+    path = warc.archive_path(spark)
+    index = warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, min_bytes=0)
+    return warc.read_records(index, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+# Base32 from hexadecimal: five hex digits are four characters.
+ORACLE["op4_warc"] = """
+WITH keyed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), coded AS (
+  SELECT page_id, payload_bytes,
+         array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, i * 5 + 1, 5))::INTEGER >> s) & 31) + 1)::BIGINT, 1)
+         ), '')), '') AS payload_digest
+  FROM keyed
+), grouped AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM coded
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM grouped
+"""
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that stand in it."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    marked = decontamination.mark_contaminated(documents(spark, sf_dir), items)
+    listed = F.array_join(F.transform("item_ids", lambda i: i.cast("string")), ",")
+    return marked.select("doc_id", "contaminated", "n_items", listed.alias("item_ids"), "n_edits")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens in sequences of at most 4096."""
+    import zlib
+
+    import public_tokenizers
+
+    pieces = packing.pack(
+        documents(spark, sf_dir),
+        public_tokenizers.path("word_bpe_49k.json"),
+        payload=lambda ids: zlib.crc32(ids).to_bytes(4, "big"),
+    )
+    crc = F.conv(F.hex("payload"), 16, 10).cast("long")
+    return pieces.select(
+        "doc_id", "start", "length", crc.alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document of equal text that stays."""
