@@ -76,3 +76,45 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     return x
+
+
+_MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACES = np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[48:58] = _ALNUM[97:123] = _ALNUM[128:] = True
+
+
+class Words:
+    """Words of some texts with 64-bit hashes: A-Z in lower case, whole words at any length."""
+
+    def __init__(self, raw: list[bytes], letters_only: bool = False):
+        self.starts = np.zeros(len(raw) + 1, np.int64)
+        np.cumsum([len(t) + 1 for t in raw], out=self.starts[1:])
+        self.raw = np.frombuffer(b"\n".join(raw) + b"\n" * 9, np.uint8)
+        folded = _LOWER[self.raw]
+        inside = _ALNUM[folded] if letters_only else ~_SPACES[folded]
+        edges = np.diff(inside.astype(np.int8), prepend=np.int8(0))
+        self.begin = np.flatnonzero(edges == 1)
+        self.length = np.flatnonzero(edges == -1) - self.begin
+        self.wide = folded.astype(np.uint64)
+        self.wide[:-1] |= self.wide[1:] << np.uint64(8)
+        self.wide[:-2] |= self.wide[2:] << np.uint64(16)
+        self.wide[:-4] |= self.wide[4:] << np.uint64(32)
+        self.text = np.searchsorted(self.starts, self.begin, "right") - 1
+
+    def hashes(self, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Eight bytes at a time are folded into the hash."""
+        out = length.astype(np.uint64) * _STEP
+        todo = np.arange(len(begin))
+        at, left = begin.astype(np.int64), length.astype(np.int64)
+        while len(todo):
+            lane = self.wide[at]
+            short = left < 8
+            lane[short] &= (np.uint64(1) << (np.uint64(8) * left[short].astype(np.uint64))) - np.uint64(1)
+            out[todo] = mix((out[todo] ^ lane) * _MIX)
+            more = left > 8
+            todo, at, left = todo[more], at[more] + 8, left[more] - 8
+        return out

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import decontamination, exact_dedup, packing, sharding, substring_dedup, token_counts, warc
+from earshot.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, substring_dedup, token_counts, toxicity, warc
 from earshot.llm.common import documents
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,14 @@ FROM ranked GROUP BY doc_id
 """
 
 
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score_documents(documents(spark, sf_dir), labels)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word pieces of every document by greedy longest match over a public vocabulary."""
@@ -155,3 +163,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest document that links of similar shingle sets reach."""
+    return jaccard_join.similarity_classes(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
