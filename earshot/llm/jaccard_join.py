@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.blocks import BLOCKS, block_number, by_bucket, pack40, read_ipc, records, to_ipc, unpack40
 from earshot.llm.common import Words, as_bytes, mix, numbered, quoted
 from earshot.llm.components import components
 from earshot.session import fixed
@@ -23,7 +22,6 @@ SLICE_BYTES = 4 << 20
 PARTS = 64
 # Documents of a posting list that are held against its pivots before pairs are listed.
 PIVOT_ROUNDS = 2
-_KEY = np.uint64((1 << 40) - 1)
 _SALT = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -74,31 +72,6 @@ def _slice_sets(raw: list[bytes], words_per: int) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
-def _block_number(batch: int) -> int:
-    return TaskContext.get().partitionId() << 32 | batch
-
-
-def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Bucket and the places of its keys, in key order within a bucket if the keys are sorted."""
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    for b in range(buckets):
-        if cuts[b] < cuts[b + 1]:
-            yield b, order[cuts[b] : cuts[b + 1]]
-
-
-def _pack40(keys: np.ndarray) -> bytes:
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def _unpack40(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return out.view("<u8").ravel()
-
-
-_BLOCKS = "bucket int, block long, info boolean, keys binary, owners binary, multiple binary"
 
 
 def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -117,7 +90,7 @@ def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT) -
         for number, batch in enumerate(batches):
             if not batch.num_rows:
                 continue
-            block = _block_number(number)
+            block = block_number(number)
             sizes, digests, prefixes = [], [], []
             for tokens in shingle_sets(as_bytes(batch.column("text")), words_per):
                 n = len(tokens)
@@ -136,33 +109,33 @@ def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT) -
             local = np.bincount(owner[~single], minlength=len(sizes)).astype("<u4")
             multiple = keys[first & ~single]
             keys, owner = keys[single], owner[single].astype("<u4")
-            several = {b: multiple[at] for b, at in _by_bucket(multiple, buckets)}
+            several = {b: multiple[at] for b, at in by_bucket(multiple, buckets)}
             rows = []
-            for b, at in _by_bucket(keys, buckets):
+            for b, at in by_bucket(keys, buckets):
                 more = several.pop(b, multiple[:0])
-                shrink = lambda k: _pack40((k // np.uint64(buckets)) & _KEY)
+                shrink = lambda k: pack40(k // np.uint64(buckets))
                 rows.append((b, block, False, shrink(keys[at]), owner[at].tobytes(), shrink(more)))
             for b, more in several.items():
-                rows.append((b, block, False, b"", b"", _pack40((more // np.uint64(buckets)) & _KEY)))
+                rows.append((b, block, False, b"", b"", pack40(more // np.uint64(buckets))))
             head = pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("_row"), pa.array(sizes, pa.int64())]
                 + [pa.array(digests, pa.binary()), pa.array(local.astype(np.int64))],
                 ["doc_id", "_row", "n", "sig", "shared"],
             )
-            rows.append((block % buckets, block, True, _ipc(head), b"", b""))
-            yield _records(rows)
+            rows.append((block % buckets, block, True, to_ipc(head), b"", b""))
+            yield records(rows)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if row[2]:
-                    yield _records([row])
+                    yield records([row])
                 else:
                     held.setdefault(row[0], []).append(row)
         for rows in held.values():
-            keys = [_unpack40(r[3]) for r in rows]
-            more = [_unpack40(r[5]) for r in rows]
+            keys = [unpack40(r[3]) for r in rows]
+            more = [unpack40(r[5]) for r in rows]
             every = np.sort(np.concatenate(keys + more + more))
             again = np.unique(every[1:][every[1:] == every[:-1]])
             for row, own in zip(rows, keys):
@@ -171,11 +144,11 @@ def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT) -
                     owners = np.frombuffer(row[4], "<u4")[again[place] == own]
                     if len(owners):
                         found, n = np.unique(owners, return_counts=True)
-                        yield _records([(row[0], row[1], False, found.astype("<u4").tobytes(), n.astype("<u4").tobytes(), b"")])
+                        yield records([(row[0], row[1], False, found.astype("<u4").tobytes(), n.astype("<u4").tobytes(), b"")])
 
     def merge(table: pa.Table) -> pa.Table:
         info = table["info"].to_pylist()
-        head = _read_ipc(table["keys"][info.index(True)].as_py())
+        head = read_ipc(table["keys"][info.index(True)].as_py())
         shared = head["shared"].to_numpy().copy()
         for flag, owners, counts in zip(info, table["keys"].to_pylist(), table["owners"].to_pylist()):
             if not flag:
@@ -185,28 +158,11 @@ def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT) -
         alive = (n > 0) & (shared >= needed)
         return head.drop_columns(["shared"]).append_column("alive", pa.array(alive))
 
-    sent = numbered(docs).mapInArrow(send, _BLOCKS)
-    met = sent.repartition(buckets, "bucket").mapInArrow(meet, _BLOCKS)
+    sent = numbered(docs).mapInArrow(send, BLOCKS)
+    met = sent.repartition(buckets, "bucket").mapInArrow(meet, BLOCKS)
     return met.groupBy("block").applyInArrow(merge, "doc_id long, _row long, n long, sig binary, alive boolean")
 
 
-def _records(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary())
-    names = ["bucket", "block", "info", "keys", "owners", "multiple"]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-
-def _ipc(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _read_ipc(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
-
-
 _SETS = "block long, ids binary, sizes binary, tokens binary"
 
 
@@ -218,7 +174,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words_per: int) -> DataFrame:
             if batch.num_rows:
                 sets = list(shingle_sets(as_bytes(batch.column("text")), words_per))
                 arrays = [
-                    pa.array([_block_number(number)], pa.int64()),
+                    pa.array([block_number(number)], pa.int64()),
                     pa.array([batch.column("_row").to_numpy().astype("<i8").tobytes()], pa.binary()),
                     pa.array([np.array([len(s) for s in sets], "<i8").tobytes()], pa.binary()),
                     pa.array([np.concatenate(sets).astype("<u8").tobytes()], pa.binary()),
@@ -243,10 +199,10 @@ def _prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("tokens").to_pylist()):
                 keys, counts = np.unique(np.frombuffer(data, "<u8"), return_counts=True)
                 rows = []
-                for b, at in _by_bucket(keys, buckets):
+                for b, at in by_bucket(keys, buckets):
                     rows.append((b, block, False, keys[at].tobytes(), counts[at].astype("<u4").tobytes(), b""))
                 if rows:
-                    yield _records(rows)
+                    yield records(rows)
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
@@ -261,7 +217,7 @@ def _prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
                 n = sums[np.searchsorted(every, own)].astype("<u4")
                 several = n > 1
                 if several.any():
-                    yield _records([(row[0], row[1], False, own[several].tobytes(), n[several].tobytes(), b"")])
+                    yield records([(row[0], row[1], False, own[several].tobytes(), n[several].tobytes(), b"")])
 
     def order(left: pa.Table, right: pa.Table) -> pa.Table:
         out = ([], [], [], [])
@@ -292,8 +248,8 @@ def _prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
         arrays = [pa.array(column(out[0], np.uint64).view(np.int64))] + [pa.array(column(c, np.int64)) for c in out[1:]]
         return pa.table(arrays, ["token", "id", "n", "pos"])
 
-    counted = sets.select("block", "tokens").mapInArrow(send, _BLOCKS).repartition(buckets, "bucket")
-    counts = counted.mapInArrow(total, _BLOCKS).select("block", "keys", "owners")
+    counted = sets.select("block", "tokens").mapInArrow(send, BLOCKS).repartition(buckets, "bucket")
+    counts = counted.mapInArrow(total, BLOCKS).select("block", "keys", "owners")
     return (
         sets.groupBy("block")
         .cogroup(counts.groupBy("block"))

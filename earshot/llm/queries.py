@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, substring_dedup, token_counts, toxicity, warc
-from earshot.llm.common import documents
+from earshot.llm import (
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    packing,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
+from earshot.llm.common import documents, numbered
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -106,6 +117,28 @@ FROM grouped
 """
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that are covered by a 100-byte string met earlier."""
+    docs = documents(spark, sf_dir)
+    changed = suffix_dedup.remove_repeats(docs).select(
+        "_row",
+        F.size("spans").cast("long").alias("spans"),
+        F.octet_length("kept").cast("long").alias("bytes"),
+        F.sha2("kept", 256).alias("sha"),
+    )
+    every = numbered(docs).select(
+        "doc_id", "_row", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha")
+    )
+    return every.join(changed, "_row", "left").select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.coalesce("bytes", "n_bytes")).alias("n_removed"),
+        F.coalesce("spans", F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("sha", "text_sha").alias("kept_sha256"),
+    )
+
+
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark items that stand in it."""
