@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.session import fixed
+
 # ASCII white space, as the contracts spell it.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -26,12 +29,19 @@ def texts(docs: DataFrame, *extra: Column) -> DataFrame:
     )
 
 
-def numbered(docs: DataFrame, *extra: Column) -> DataFrame:
-    """``texts`` with ``_row``, which tells repeated rows apart.
+def settled(docs: DataFrame) -> DataFrame:
+    """The rows as a scan that gives them in the same order every time.
 
-    The number is the row's place in the scan; it is the same in every pass
-    over the same files.
+    A frame that is a file scan with projections and filters stays as it is;
+    any other (shuffled, joined, made by a function) is written down first.
     """
+    plan = docs._jdf.queryExecution().analyzed().toString()
+    nodes = {re.sub(r"[^A-Za-z].*", "", line.lstrip(" :+-'")) for line in plan.splitlines()}
+    return docs if nodes <= {"Project", "Filter", "Relation", "SubqueryAlias", "View", ""} else fixed(docs)
+
+
+def numbered(docs: DataFrame, *extra: Column) -> DataFrame:
+    """``texts`` of settled rows with ``_row``, which tells repeated rows apart: the place in the scan."""
     return texts(docs, *extra, F.monotonically_increasing_id().alias("_row"))
 
 
@@ -45,23 +55,6 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def by_batch(
-    df: DataFrame, convert: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch], schema: str
-) -> DataFrame:
-    """Map Arrow batches one by one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = convert(batch)
-                if isinstance(out, pa.RecordBatch):
-                    yield out
-                else:
-                    yield from out
-
-    return df.mapInArrow(run, schema)
-
-
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column without decoding them."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, numbered, quoted
+from earshot.llm.common import as_bytes, numbered, quoted, settled
 
 # Edits allowed per byte of an item.
 RATE = 0.1
@@ -212,6 +212,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """Per row ``doc_id, contaminated, n_items, item_ids`` (in order) and the least ``n_edits``."""
+    docs = settled(docs)
     found = (
         find_items(docs, benchmark, rate)
         .groupBy("_row")
@@ -229,7 +230,7 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE)
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows in which no item stands, with all their columns."""
-    names = docs.columns
+    docs = settled(docs)
     rows = docs.withColumn("_decon_row", F.monotonically_increasing_id())
     hit = find_items(docs, benchmark, rate).select(F.col("_row").alias("_decon_row")).distinct()
-    return rows.join(hit, "_decon_row", "left_anti").select(*[quoted(c) for c in names])
+    return rows.join(hit, "_decon_row", "left_anti").select(*[quoted(c) for c in docs.columns])

@@ -78,8 +78,10 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     They are found again by id and digest; of rows equal in both one is kept.
     """
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_key"))
-    own = docs.withColumn("_digest", _digest(F.col("text")))
-    met = own.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_key")))
-    one = Window.partitionBy("doc_id", "_digest").orderBy("_digest")
-    return met.withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").select(*docs.columns)
+    kept = exact_groups(docs).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("_exact_id"), F.unhex("text_sha256").alias("_exact_key"))
+    own = docs.withColumn("_exact_digest", _digest(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("_exact_id")) & (F.col("_exact_digest") == F.col("_exact_key"))
+    one = Window.partitionBy("doc_id", "_exact_digest").orderBy("_exact_digest")
+    first = own.join(kept, same).withColumn("_exact_nth", F.row_number().over(one)).filter("_exact_nth = 1")
+    return first.select(*[quoted(c) for c in docs.columns])

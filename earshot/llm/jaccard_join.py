@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.blocks import BLOCKS, block_number, by_bucket, pack40, read_ipc, records, to_ipc, unpack40
-from earshot.llm.common import Words, as_bytes, mix, numbered, quoted
+from earshot.llm.common import Words, as_bytes, mix, numbered, quoted, settled
 from earshot.llm.components import components
 from earshot.session import fixed
 
@@ -384,6 +384,7 @@ def similarity_classes(docs: DataFrame, words_per: int = WORDS, percent: int = P
     take part, and are named by null unless linked with others. Other columns
     play no part; an empty table gives an empty result.
     """
+    docs = settled(docs)
     base = fixed(described(docs, words_per, percent))
     filled = base.filter("n > 0")
     classes = fixed(
@@ -406,6 +407,7 @@ def similarity_classes(docs: DataFrame, words_per: int = WORDS, percent: int = P
 
 def one_per_class(docs: DataFrame) -> DataFrame:
     """The row with the smallest doc_id of each class (of rows that share it, the first), with all columns."""
+    docs = settled(docs)
     classes = similarity_classes(docs)
     alone = F.when(F.col("n_shingles") == 0, F.col("_row"))
     same = classes.groupBy("component_id", alone.alias("alone")).agg(

@@ -40,8 +40,12 @@ def shard_documents(
     spark = docs.sparkSession
     size = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long") + F.lit(8)
     kept = [c for c in without(docs, *RESULT) if not c.lower().startswith("_shard")]
+    # Plain names inside the job, the input's own in the files.
+    plain = {f"_shard_column{i}": c for i, c in enumerate(kept)}
+    names = {c.lower(): p for p, c in plain.items()}
+    doc_id = names["doc_id"]
     sized = docs.select(
-        *[quoted(c) for c in kept], size.alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_shard_hash")
+        *[quoted(c).alias(p) for p, c in plain.items()], size.alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_shard_hash")
     )
     total = sized.agg(F.sum("size")).head()[0] or 0
     buckets = max(math.ceil(total / bucket_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -61,7 +65,7 @@ def shard_documents(
         number = table["_shard_bucket"].to_numpy()
         for bucket in np.unique(number):
             own = table.filter(pc.equal(table["_shard_bucket"], int(bucket)))
-            own = own.take(pc.sort_indices(own, [("_shard_hash", "ascending"), ("doc_id", "ascending")]))
+            own = own.take(pc.sort_indices(own, [("_shard_hash", "ascending"), (doc_id, "ascending")]))
             dice = np.random.Generator(np.random.PCG64([seed, int(bucket)]))
             order = np.arange(own.num_rows)
             dice.shuffle(order)
@@ -76,7 +80,7 @@ def shard_documents(
     fields = [f for f in sized.schema.fields if f.name != "_shard_hash"]
     schema = StructType([*fields, StructField("slot", LongType()), StructField("shard", IntegerType())])
     path = path or scratch_path(spark, "shards")
-    scattered.repartitionById(buckets, F.col("_shard_bucket")).mapInArrow(shuffle, schema).write.partitionBy(
-        "shard"
-    ).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    shuffled = scattered.repartitionById(buckets, F.col("_shard_bucket")).mapInArrow(shuffle, schema)
+    named = shuffled.select(*[F.col(c).alias(plain.get(c, c)) for c in shuffled.columns])
+    named.write.partitionBy("shard").parquet(path)
+    return spark.read.schema(named.schema).parquet(path)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, numbered
+from earshot.llm.common import numbered, settled
 from earshot.session import fixed
 
 UNIT_SCHEMA = "doc_id long, _row long, digest binary, start long, end long"
@@ -69,6 +69,7 @@ def remove_repeats(docs: DataFrame, separator: str = "\n", min_words: int = 5) -
     Null and empty texts have nothing to remove; repeated rows are documents of
     their own, the first of which keeps its units. Other columns play no part.
     """
+    docs = settled(docs)
     spans = (
         repeated_units(docs, separator, min_words)
         .groupBy("_row")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.blocks import BLOCKS, block_number, by_bucket, pack40, read_ipc, records, to_ipc, unpack40
-from earshot.llm.common import as_bytes, numbered
+from earshot.llm.common import as_bytes, numbered, settled
 from earshot.session import scratch_path
 
 LENGTH, GRAM = 100, 40
@@ -329,7 +329,7 @@ def sorted_runs(strings: list[bytes], ranks: list[tuple[int, int, int]]) -> tupl
         before = own
     strings, ranks = [strings[i] for i in kept], [ranks[i] for i in kept]
     if strings:
-        width = max(map(len, strings))
+        width = max(1, *map(len, strings))
         table = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in strings]), np.uint8).reshape(-1, width)
         sizes = np.array([len(s) for s in strings])
         differ = table[1:] != table[:-1]
@@ -460,7 +460,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """
     if not 32 <= gram <= 64 or not gram < length <= 156 + gram:
         raise ValueError("anchors are 32 to 64 bytes and strings at most 156 bytes longer")
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, settled(docs)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     around = candidates(docs, length)
     found = _stored(

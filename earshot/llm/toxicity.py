@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Words, as_bytes, mix, numbered
+from earshot.llm.common import Words, as_bytes, mix, numbered, quoted, settled
 from earshot.session import fixed
 
 # Common English insults, a start where labels show little.
@@ -345,6 +345,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     of insults alone decides; an empty table gives an empty result. Language,
     source and id are no inputs.
     """
+    docs = settled(docs)
     sample = fixed(training_labels(docs, labels, sample_rows))
     vocabulary = mine_vocabulary(docs, sample)
     size = len(vocabulary.hashes)
@@ -388,6 +389,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows that are not predicted toxic, with all their columns."""
+    docs = settled(docs)
     rows = docs.withColumn("_toxic_row", F.monotonically_increasing_id())
     toxic = score_documents(docs, labels).filter("predicted = 1").select(F.col("_row").alias("_toxic_row"))
-    return rows.join(toxic, "_toxic_row", "left_anti").select(*docs.columns)
+    return rows.join(toxic, "_toxic_row", "left_anti").select(*[quoted(c) for c in docs.columns])

@@ -14,6 +14,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from earshot.llm.common import settled
 from earshot.session import scratch_path
 
 # Ranges closer than GAP are fetched by one read of READ bytes at most (a longer record alone is one read).
@@ -109,7 +110,7 @@ def with_roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     aggregate over slim rows; only groups of two and more take part in the join.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
-    own = pages.select(
+    own = settled(pages).select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         html.alias("html"),
