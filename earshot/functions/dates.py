@@ -75,6 +75,24 @@ def feed_date(col: Column) -> Column:
     return _assemble(col, _STRICT, r"^[+-]")
 
 
+_ISO = (
+    r"\A\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|[+-]\d{2}:?\d{2})?)?\z"
+)
+
+
+def iso_date(col: Column) -> Column:
+    """ISO date or time as naive UTC, without fractions; NULL for any other form. No zone counts as UTC."""
+    text = strip(col)
+    zoned = F.regexp_replace(text, r"([+-]\d{2})(\d{2})\z", "$1:$2")
+    whole = F.regexp_replace(F.when(text.rlike(r"T|\s"), zoned).otherwise(text), r"\.\d+", "")
+    utc = F.when(whole.rlike(r"[T ].*(?:Z|[+-]\d{2}:\d{2})\z"), whole).otherwise(
+        F.when(F.length(whole) > 10, F.concat(whole, F.lit("Z"))).otherwise(F.concat(whole, F.lit("T00:00:00Z")))
+    )
+    seconds = F.unix_seconds(utc.try_cast("timestamp"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.when(text.rlike(_ISO), F.timestamp_add("SECOND", seconds, epoch))
+
+
 def mail_date(col: Column) -> Column:
     """Lenient mail date: optional weekday, short years, zone names; NULL when unparseable.
 

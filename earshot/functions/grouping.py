@@ -36,9 +36,11 @@ def ordered_concat(
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str, inclusive: bool = True
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` per group, in ``order`` (which must be unique per group).
+    """Running sum of ``value`` per group, in ``order`` (which must be unique per group).
+
+    Unless ``inclusive``, the sum of the rows strictly before.
 
     Rows are range-partitioned over group and order, so a hot group spans many
     partitions. Each partition sums its own stretch; the stretch totals (one
@@ -62,10 +64,10 @@ def running_total(
     inside = (
         Window.partitionBy("_group", "_stretch")
         .orderBy(*ordering)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
     return (
-        placed.withColumn("_local", F.sum("_value").over(inside))
+        placed.withColumn("_local", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
         .join(offsets, ["_group", "_stretch"])
         .withColumn(out, F.col("_local") + F.col("_offset"))
         .select(*df.columns, out)

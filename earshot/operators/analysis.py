@@ -97,10 +97,10 @@ def parse_analysis(responses: DataFrame) -> DataFrame:
     )
 
 
-def upsert_topics(
+def new_topics(
     analysis: DataFrame, topics: DataFrame, episode_topics: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Topic and bridge tables with the topics of ``analysis`` in them; names are exact."""
+    """Topics and links of ``analysis`` that are not stored yet; names are exact."""
     named = analysis.select("episode_id", F.explode("topics").alias("topic_name")).filter(
         F.col("topic_name").isNotNull()
     )
@@ -111,14 +111,23 @@ def upsert_topics(
     links = named.distinct().join(known, "topic_name", "left").select(
         "episode_id", F.coalesce("topic_id", new_id).alias("topic_id")
     )
-    bridge = episode_topics.select("episode_id", "topic_id").unionByName(links).distinct()
-    return known.unionByName(new.select(new_id.alias("topic_id"), "topic_name")), bridge
+    missing = links.distinct().join(episode_topics, ["episode_id", "topic_id"], "left_anti")
+    return new.select(new_id.alias("topic_id"), "topic_name"), missing
 
 
-def upsert_speakers(
+def upsert_topics(
+    analysis: DataFrame, topics: DataFrame, episode_topics: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Topic and bridge tables with the topics of ``analysis`` in them."""
+    new, links = new_topics(analysis, topics, episode_topics)
+    bridge = episode_topics.select("episode_id", "topic_id").unionByName(links)
+    return topics.select("topic_id", "topic_name").unionByName(new), bridge
+
+
+def new_speakers(
     analysis: DataFrame, speakers: DataFrame, episode_speakers: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Speaker and bridge tables; names match without regard to case.
+    """Speakers and links that are not stored yet; names match without regard to case.
 
     A new speaker keeps the first spelling, by episode and list position.
     """
@@ -142,7 +151,16 @@ def upsert_speakers(
         .join(known, "_key", "left")
         .select("episode_id", F.coalesce("speaker_id", new_id).alias("speaker_id"))
     )
-    bridge = episode_speakers.select("episode_id", "speaker_id").unionByName(links).distinct()
+    missing = links.distinct().join(episode_speakers, ["episode_id", "speaker_id"], "left_anti")
+    return new, missing
+
+
+def upsert_speakers(
+    analysis: DataFrame, speakers: DataFrame, episode_speakers: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Speaker and bridge tables with the speakers of ``analysis`` in them."""
+    new, links = new_speakers(analysis, speakers, episode_speakers)
+    bridge = episode_speakers.select("episode_id", "speaker_id").unionByName(links)
     return speakers.select(*new.columns).unionByName(new), bridge
 
 
@@ -177,6 +195,21 @@ def store_analysis(
     }
 
 
+def analysis_additions(
+    analysis: DataFrame, episodes: DataFrame, tables: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The rows that every storable analysis adds to the four topic and speaker tables."""
+    storable = analysis_status(analysis, episodes).filter(F.col("status") == "stored")
+    topics, episode_topics = new_topics(storable, tables["topics"], tables["episode_topics"])
+    speakers, episode_speakers = new_speakers(storable, tables["speakers"], tables["episode_speakers"])
+    return {
+        "topics": topics,
+        "episode_topics": episode_topics,
+        "speakers": speakers,
+        "episode_speakers": episode_speakers,
+    }
+
+
 def check_analysis_ids(tables: dict[str, DataFrame]) -> None:
     """Fail before publishing when hashed topic or speaker ids clash."""
     require_distinct_ids(tables["topics"], "topic_id", F.col("topic_name"))

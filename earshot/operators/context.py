@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 from earshot.functions.grouping import top_n
 from earshot.functions.once import let
 
-try:
-    import ahocorasick
-except ImportError:  # Keywords are then looked for one by one.
-    ahocorasick = None
-
-# Up to this many keywords it is cheaper to stay inside the JVM.
-FEW_KEYWORDS = 16
-
 # Layout of the context texts and the words that ask for similar episodes.
 CHUNK_LINE = "[Chunk %d]: %s"
 CHUNK_SEPARATOR = "\\n\\n"
@@ -48,7 +40,24 @@ def chunk_context(hits: DataFrame, queries: DataFrame, top_k: int = 5) -> DataFr
 
 
 def _percent(score: Column) -> Column:
-    return F.format_string("%.1f", F.bround(score * 100, 1))
+    """Per cent with one decimal, rounded by the exact binary value (ties to the even digit).
+
+    The value is cut into a short and a rest part; twenty times each is exact, so
+    the sign of the distance to a midpoint between two tenths is.
+    """
+
+    def rounded(value: Column) -> Column:
+        short = value.cast("float").cast("double")
+        rest = value - short
+        above = lambda midpoint: (short * 20 - midpoint) + rest * 20
+        near = F.bround(value * 10).cast("long")
+        odd = near % 2 != 0
+        up, down = above(near * 2 + 1), above(near * 2 - 1)
+        tenths = F.when((up > 0) | ((up == 0) & odd), near + 1).when((down < 0) | ((down == 0) & odd), near - 1).otherwise(near)
+        sign, size = F.when(tenths < 0, "-").otherwise(""), F.abs(tenths)
+        return F.format_string("%s%d.%d", sign, F.floor(size / 10), size % 10)
+
+    return let(score.cast("double") * 100, rounded)
 
 
 def similar_context(similar: DataFrame, queries: DataFrame, top_k: int = 5) -> DataFrame:
@@ -108,78 +117,88 @@ def chat_request(conversations: DataFrame, messages: DataFrame, n: int = 10) ->
 
 
 def keyword_search(
-    keywords: DataFrame, episodes: DataFrame, transcripts: DataFrame, per_pass: int = 10_000
+    keywords: DataFrame, episodes: DataFrame, transcripts: DataFrame, max_bytes: int = 32 << 20
 ) -> DataFrame:
     """Episodes whose title or transcript contains a keyword, in any case.
 
     ``keywords`` has ``query_id, keyword``; every character of a keyword is
     literal. Keywords travel with the scan of the texts, so nothing is joined
-    and only matches become rows. A keyword table of more than ``per_pass`` rows
-    is cut into passes by hash, and the passes are put together.
+    and only matches become rows. Keywords of up to ``max_bytes`` together take one
+    pass over the texts; a larger table is cut by hash into parts that do.
     """
     asked = keywords.filter(F.col("keyword").isNotNull() & (F.col("keyword") != "")).select(
         F.col("query_id").cast("bigint").alias("query_id"), F.lower("keyword").alias("word")
     )
-    passes = max(1, -(-asked.count() // per_pass))
+    size = asked.agg(F.sum(F.octet_length("word") + 16)).head()[0] or 0
+    passes = max(1, -(-size // max_bytes))
     part = F.pmod(F.xxhash64("query_id", "word"), F.lit(passes))
+    low = lambda df, column, title: df.select(
+        F.col("episode_id").cast("string").alias("episode_key"), F.lower(column).alias("text"), F.lit(title).alias("in_title")
+    )
+    texts = low(episodes, "episode_title", True).unionByName(low(transcripts, "transcript_text", False))
+    texts = texts.filter(F.col("text").isNotNull())
     found = None
     for number in range(passes):
-        words = [(row["query_id"], row["word"]) for row in asked.filter(part == number).collect()]
-        pairs = _pairs(episodes, "episode_title", words).withColumn("in_title", F.lit(True)).unionByName(
-            _pairs(transcripts, "transcript_text", words).withColumn("in_title", F.lit(False))
-        )
+        queries: dict[str, list[int]] = {}
+        for query_id, word in asked.filter(part == number).toLocalIterator():
+            queries.setdefault(word, []).append(query_id)
+        pairs = texts.mapInArrow(_keyword_scan(queries), "episode_key string, in_title boolean, query_id bigint")
         found = pairs if found is None else found.unionByName(pairs)
-    matched = found.groupBy("query_id", "episode_id").agg(
+    matched = found.groupBy("query_id", "episode_key").agg(
         F.bool_or("in_title").alias("in_title"), F.bool_or(~F.col("in_title")).alias("in_transcript")
     )
-    return matched.join(episodes.select("episode_id", "episode_title"), "episode_id").select(
+    names = episodes.select("episode_id", "episode_title", F.col("episode_id").cast("string").alias("episode_key"))
+    return matched.join(names, "episode_key").select(
         "query_id", "episode_id", "episode_title", "in_title", "in_transcript"
     )
 
 
-def _pairs(texts: DataFrame, column: str, words: Sequence[tuple[int, str]]) -> DataFrame:
-    """``episode_id, query_id`` of every match."""
-    if len(words) <= FEW_KEYWORDS or ahocorasick is None:
-        return _pairs_by_expression(texts, column, words)
-    queries: dict[str, list[int]] = {}
-    for query_id, word in words:
-        queries.setdefault(word, []).append(query_id)
-    low = texts.select("episode_id", F.lower(column).alias("text")).filter(F.col("text").isNotNull())
-    kind = low.schema["episode_id"].dataType.simpleString()
-    return low.mapInArrow(_automaton_scan(queries), f"episode_id {kind}, query_id bigint")
+def _keyword_scan(queries: dict[str, list[int]]):
+    """All keywords in one pass over each text.
 
-
-def _pairs_by_expression(texts: DataFrame, column: str, words: Sequence[tuple[int, str]]) -> DataFrame:
-    """Few keywords: each is looked for inside the JVM and only matches are exploded.
-
-    The text is a lambda argument so that it is put in lower case once per row
-    and not once per keyword.
+    Keywords of one length are one set that the text's substrings of that length
+    are looked up in; an automaton does the same faster where the workers have one.
     """
-    asked = F.array(*[F.struct(F.lit(i).alias("query_id"), F.lit(w).alias("word")) for i, w in words])
-    asked = asked.cast("array<struct<query_id:bigint,word:string>>")
-    hits = lambda text: F.transform(
-        F.filter(asked, lambda k: F.contains(text, k["word"])), lambda k: k["query_id"]
-    )
-    return texts.select("episode_id", F.explode(let(F.lower(column), hits)).alias("query_id"))
-
 
-def _automaton_scan(queries: dict[str, list[int]]):
-    """Many keywords: one automaton per task finds all of them in one pass over each text."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finder():
+        try:
+            import ahocorasick
+        except ImportError:
+            by_length: dict[int, set[str]] = {}
+            for word in queries:
+                by_length.setdefault(len(word), set()).add(word)
+
+            def find(text: str) -> set[str]:
+                return {
+                    part
+                    for size, words in by_length.items()
+                    for at in range(len(text) - size + 1)
+                    if (part := text[at : at + size]) in words
+                }
+
+            return find
         automaton = ahocorasick.Automaton()
-        for word, query_ids in queries.items():
-            automaton.add_word(word, (word, query_ids))
+        for word in queries:
+            automaton.add_word(word, word)
         automaton.make_automaton()
+        return lambda text: {word for _, word in automaton.iter(text)}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not queries:
+            return
+        find = finder()
         for batch in batches:
             rows: list[int] = []
-            found: list[int] = []
+            ids: list[int] = []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                for _, query_ids in dict(value for _, value in automaton.iter(text)).items():
-                    rows.extend([row] * len(query_ids))
-                    found.extend(query_ids)
-            episodes = batch.column("episode_id").take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([episodes, pa.array(found, pa.int64())], ["episode_id", "query_id"])
+                for word in find(text):
+                    rows += [row] * len(queries[word])
+                    ids += queries[word]
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("episode_key").take(at), batch.column("in_title").take(at), pa.array(ids, pa.int64())],
+                names=["episode_key", "in_title", "query_id"],
+            )
 
     return scan
 

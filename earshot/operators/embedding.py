@@ -129,6 +129,15 @@ def keep_valid(chunks: DataFrame, verdict: DataFrame) -> DataFrame:
     return chunks.join(verdict.filter("is_valid").select("episode_id"), "episode_id", "left_semi")
 
 
+_COLUMNS = ["episode_id", "chunk_index", "chunk_text", "transcript_embedding"]
+
+
+def storable_embeddings(new: DataFrame, episodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chunks of known episodes, and the ids of the unknown ones."""
+    known = mark_existing(new.select(*_COLUMNS), episodes, ["episode_id"], "_known")
+    return known.filter("_known").drop("_known"), known.filter("not _known").select("episode_id").distinct()
+
+
 def replace_embeddings(
     new: DataFrame, current: DataFrame, episodes: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
@@ -138,10 +147,8 @@ def replace_embeddings(
     frame. The result is published as one new version, so readers see the old
     or the new chunks of an episode and never a mix.
     """
-    columns = ["episode_id", "chunk_index", "chunk_text", "transcript_embedding"]
-    known = mark_existing(new.select(*columns), episodes, ["episode_id"], "_known")
-    storable = known.filter("_known").drop("_known")
-    unknown = known.filter("not _known").select("episode_id").distinct()
+    columns = _COLUMNS
+    storable, unknown = storable_embeddings(new, episodes)
     touched = storable.select("episode_id").distinct()
     kept = current.select(*columns).join(touched, "episode_id", "left_anti")
     return kept.unionByName(storable), unknown

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.functions.dates import feed_date, mail_date
+from earshot.functions.dates import feed_date, iso_date, mail_date
 from earshot.functions.grouping import first_per_group, mark_existing, top_n
 from earshot.functions.keys import hash_id, require_distinct_ids
 from earshot.functions.once import compute_once, let
@@ -139,8 +139,8 @@ def landed_entries(documents: DataFrame, podcasts: DataFrame) -> DataFrame:
     """Entries of the landed documents (``url, body, fetched_at``) of known podcasts."""
     named = podcasts.select("podcast_id", "podcast_name", "podcast_url")
     parsed = parse_feed_entries(documents).join(named, F.col("url") == F.col("podcast_url"))
-    absent = {"href": F.lit(None).cast("string"), "published_parsed": F.lit(None).cast("timestamp_ntz")}
-    return parsed.withColumns(absent).select(*FEED_ENTRY.fieldNames())
+    derived = {"href": F.lit(None).cast("string"), "published_parsed": iso_date(F.col("published"))}
+    return parsed.withColumns(derived).select(*FEED_ENTRY.fieldNames())
 
 
 def ingest_cutoffs(
@@ -199,12 +199,9 @@ def audio_url() -> Column:
     return F.coalesce(usable(preferred), usable(page))
 
 
-def validate_episodes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries to accepted episodes and rejected entries with the first broken rule.
-
-    Entries of podcasts without id or name are rejected as a whole.
-    """
-    checked = compute_once(
+def checked_episodes(entries: DataFrame) -> DataFrame:
+    """Entries with the episode's fields and ``reject_reason``, the first broken rule."""
+    return compute_once(
         entries,
         {"episode_title": strip(F.col("title")), "audio_url": audio_url(), "published_at": entry_date()},
     ).withColumn(
@@ -217,7 +214,14 @@ def validate_episodes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
             (F.col("published_at").isNull(), "published"),
         ),
     )
-    accepted, rejected = _split(checked)
+
+
+def validate_episodes(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries to accepted episodes and rejected entries with the first broken rule.
+
+    Entries of podcasts without id or name are rejected as a whole.
+    """
+    accepted, rejected = _split(checked_episodes(entries))
     landed = ["fetched_at"] if "fetched_at" in entries.columns else []
     fields = ["podcast_id", "podcast_name", "feed_pos", "episode_title", "audio_url", "published_at", *landed]
     return (
@@ -240,10 +244,12 @@ def load_episodes(
 
     Rows are ranked by podcast, landing time and feed position; the first of
     several equal urls wins. Gives the episode rows to append and one outcome row
-    (``inserted`` or ``skipped``) per accepted row.
+    (``inserted`` or ``skipped``) per accepted row; a row that is given twice
+    counts once, so there are as many ``inserted`` outcomes as rows to append.
     """
     landed = ["fetched_at"] if "fetched_at" in accepted.columns else []
     row = ["podcast_id", *landed, "feed_pos"]
+    accepted = accepted.dropDuplicates([*row, "audio_url"])
     usable = accepted.filter(F.col("podcast_id").isNotNull() & ~is_missing(F.col("audio_url")))
     # Constraints look at distinct keys only; the big side keeps its hot keys apart.
     candidates = usable.join(podcasts.select("podcast_id").distinct(), "podcast_id", "left_semi")
@@ -274,13 +280,18 @@ def load_episodes(
     return inserted, outcomes
 
 
-def append_episodes(episodes: DataFrame, inserted: DataFrame) -> DataFrame:
-    """Episode table with the new rows, after checking that their ids are sound."""
+def require_new_ids(episodes: DataFrame, inserted: DataFrame) -> None:
+    """Fail the load when the id of a new episode stands for two urls."""
     require_distinct_ids(inserted, "episode_id", F.col("audio_url"))
-    # The urls are new, so a known id among them stands for another url.
-    clash = episodes.join(inserted.select("episode_id"), "episode_id", "left_semi").head(1)
+    new = inserted.select("episode_id", F.col("audio_url").alias("_url"))
+    clash = episodes.join(new, "episode_id").filter(F.col("audio_url") != F.col("_url")).head(1)
     if clash:
         raise ValueError(f"episode_id {clash[0]['episode_id']} of a new episode is taken")
+
+
+def append_episodes(episodes: DataFrame, inserted: DataFrame) -> DataFrame:
+    """Episode table with the new rows, after checking that their ids are sound."""
+    require_new_ids(episodes, inserted)
     columns = TABLES["episode"].fieldNames()
     return episodes.select(*columns).unionByName(inserted.select(*columns))
 

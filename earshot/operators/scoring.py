@@ -2,33 +2,34 @@
 
 The corpus is scanned in Arrow batches; a batch is scored against a block of
 queries as one matrix product and only the best ``k`` rows per query leave the
-task. Two ways to bring queries and corpus together:
-
-* a query block whose size was measured and fits ``max_query_bytes`` travels
-  with the function, and the corpus is not moved at all;
-* larger query tables are cut into tiles of bounded size and meet bounded
-  tiles of the corpus in a grouped job, each pair of tiles once.
-
-Both are exact. No pair of query and chunk is ever written out as a row.
+task. A query table larger than ``max_query_bytes`` is cut into blocks; every
+block travels to the corpus in turn, so vectors of the corpus are never moved.
+No pair of query and chunk is ever written out as a row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.functions.grouping import top_n
-
-# Scores closer than this many decimals are ties; ids decide between them.
-SCORE_DECIMALS = 9
-# Scores a task computes at a time, which bounds its memory.
-MAX_SCORES = 4_000_000
+from earshot.session import fixed
+
+# The matrix product only preselects: it may be off by so much (for distances
+# relative to the vectors' squared lengths), and what passes is scored again row
+# by row, so that equal vectors have equal scores wherever they are scored.
+MARGIN = 1e-9
+# Scores a task computes at a time, and rows it gathers before it keeps the best.
+MAX_SCORES, MAX_PENDING = 4_000_000, 1_000_000
+CORPUS_TILE = 2048
 # Hit tables of at most this many rows are small enough to send to every task.
 SMALL_HITS = 100_000
 RESULT_SCHEMA = "query_id bigint, episode_id bigint, chunk_index bigint, score double"
@@ -94,10 +95,11 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if len(array) == 0:
         return np.zeros((0, 0))
-    flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if array.null_count or flat.size % len(array):
-        raise ValueError("vectors must be present and of one dimension")
-    return flat.reshape(len(array), -1)
+    flat = array.flatten()
+    sizes = pc.unique(pc.list_value_length(array))
+    if array.null_count or flat.null_count or len(sizes) != 1:
+        raise ValueError("vectors must be present, without nulls and of one dimension")
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(array), -1)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -106,14 +108,19 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, length, out=np.full_like(vectors, np.nan), where=length > 0)
 
 
+def _about(queries: np.ndarray, chunks: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray | float]:
+    """Scores (squared for distances) by one matrix product, and how far off they may be."""
+    if metric == "cosine":
+        return unit(queries) @ unit(chunks).T, MARGIN
+    sizes = (queries * queries).sum(axis=1)[:, None] + (chunks * chunks).sum(axis=1)[None, :]
+    return sizes - 2 * (queries @ chunks.T), MARGIN * (sizes + 1)
+
+
 def _scores(queries: np.ndarray, chunks: np.ndarray, metric: str) -> np.ndarray:
-    if queries.shape[1] != chunks.shape[1]:
-        raise ValueError(f"query has {queries.shape[1]} dimensions, corpus has {chunks.shape[1]}")
+    """Score of each row of queries with the same row of chunks, whatever stands beside it."""
     if metric == "cosine":
-        raw = unit(queries) @ unit(chunks).T
-    else:
-        raw = np.stack([np.sqrt(((chunks - q) ** 2).sum(axis=1)) for q in queries])
-    return np.round(raw, SCORE_DECIMALS)
+        return (unit(queries) * unit(chunks)).sum(axis=1)
+    return np.sqrt(((chunks - queries) ** 2).sum(axis=1))
 
 
 def _keep_best(rows: dict[str, np.ndarray], ranking: Ranking) -> dict[str, np.ndarray]:
@@ -137,28 +144,34 @@ def _candidates(
     queries: _Queries, picked: np.ndarray, vectors, episodes, chunks, ranking: Ranking
 ) -> dict[str, np.ndarray]:
     """Rows of one tile that may be among the best of the picked queries."""
-    scores = _scores(queries.vectors[picked], vectors, ranking.metric)
-    usable = ~np.isnan(scores)
+    about, margin = _about(queries.vectors[picked], vectors, ranking.metric)
+    key = ranking.best_first * about
+    usable = ~np.isnan(key)
     if ranking.threshold is not None:
-        usable &= scores > ranking.threshold if ranking.metric == "cosine" else scores < ranking.threshold
+        bound = ranking.best_first * ranking.threshold if ranking.metric == "cosine" else ranking.threshold**2
+        usable &= key <= bound + margin
     if ranking.skip_own_episode:
         usable &= queries.own_episode[picked][:, None] != episodes[None, :]
-    key = np.where(usable, ranking.best_first * scores, np.inf)
+    low, high = np.where(usable, key - margin, np.inf), np.where(usable, key + margin, np.inf)
     if ranking.per_episode:
-        order = np.argsort(episodes, kind="stable")
-        episodes, starts = np.unique(episodes[order], return_index=True)
-        key = np.minimum.reduceat(key[:, order], starts, axis=1)
-        chunks = np.zeros(len(episodes), np.int64)
-    keep = key < np.inf
-    if key.shape[1] > ranking.k:
-        # Everything at least as good as the k-th best, so ties are all kept.
-        keep &= key <= np.partition(key, ranking.k - 1, axis=1)[:, ranking.k - 1 : ranking.k]
+        distinct, inverse = np.unique(episodes, return_inverse=True)
+        order = np.argsort(inverse, kind="stable")
+        starts = np.searchsorted(inverse[order], np.arange(len(distinct)))
+        own = np.minimum.reduceat(high[:, order], starts, axis=1)
+        keep = (low < np.inf) & (low <= own[:, inverse])
+    else:
+        own, keep = high, low < np.inf
+    if own.shape[1] > ranking.k:
+        # Everything that may be as good as the k-th best, so ties are all kept.
+        keep &= low <= np.partition(own, ranking.k - 1, axis=1)[:, ranking.k - 1 : ranking.k]
     q, c = np.nonzero(keep)
-    rows = {
-        "query": picked[q], "episode": episodes[c], "chunk": chunks[c],
-        "score": ranking.best_first * key[q, c],
-    }
-    return _keep_best(rows, ranking)
+    score = _scores(queries.vectors[picked[q]], vectors[c], ranking.metric)
+    good = ~np.isnan(score)
+    if ranking.threshold is not None:
+        good &= score > ranking.threshold if ranking.metric == "cosine" else score < ranking.threshold
+    q, c = q[good], c[good]
+    chunk = np.zeros(len(c), np.int64) if ranking.per_episode else chunks[c]
+    return _keep_best({"query": picked[q], "episode": episodes[c], "chunk": chunk, "score": score[good]}, ranking)
 
 
 def _positions(values: np.ndarray) -> dict[int, np.ndarray]:
@@ -178,25 +191,32 @@ def _scan(queries: _Queries, ranking: Ranking, batches: Iterator[pa.RecordBatch]
         return best
     everything = np.arange(len(queries.ids))
     asked = None if queries.match is None else _positions(queries.match)
-    tile = max(16, min(2048, MAX_SCORES // len(queries.ids)))
+    pending, waiting = [best], 0
+
+    def kept() -> dict[str, np.ndarray]:
+        return _keep_best({name: np.concatenate([p[name] for p in pending]) for name in best}, ranking)
+
     for batch in batches:
-        for offset in range(0, batch.num_rows, tile):
-            part = batch.slice(offset, tile)
+        for offset in range(0, batch.num_rows, CORPUS_TILE):
+            part = batch.slice(offset, CORPUS_TILE)
             vectors = matrix(part.column("transcript_embedding"))
             episodes = part.column("episode_id").to_numpy()
             chunks = part.column("chunk_index").to_numpy()
             if asked is None:
-                found = [_candidates(queries, everything, vectors, episodes, chunks, ranking)]
+                groups = [(everything, np.arange(len(chunks)))]
             else:
-                found = [
-                    _candidates(queries, asked[value], vectors[rows], episodes[rows], chunks[rows], ranking)
-                    for value, rows in _positions(part.column("match").to_numpy()).items()
-                    if value in asked
-                ]
-            if found:
-                merged = {name: np.concatenate([best[name], *[f[name] for f in found]]) for name in best}
-                best = _keep_best(merged, ranking)
-    return best
+                values = _positions(part.column("match").to_numpy())
+                groups = [(asked[value], rows) for value, rows in values.items() if value in asked]
+            for wanted, rows in groups:
+                block = max(1, MAX_SCORES // len(rows))
+                for first in range(0, len(wanted), block):
+                    picked = wanted[first : first + block]
+                    found = _candidates(queries, picked, vectors[rows], episodes[rows], chunks[rows], ranking)
+                    pending.append(found)
+                    waiting += len(found["query"])
+                    if waiting > MAX_PENDING:
+                        pending, waiting = [kept()], 0
+    return kept()
 
 
 def _as_table(queries: _Queries, best: dict[str, np.ndarray]) -> pa.Table:
@@ -211,62 +231,14 @@ def _as_table(queries: _Queries, best: dict[str, np.ndarray]) -> pa.Table:
     )
 
 
-def _with_queries(queries: _Queries, ranking: Ranking) -> Callable:
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _as_table(queries, _scan(queries, ranking, batches)).to_batches()
-
-    return score
-
-
-def _tile_scorer(ranking: Ranking) -> Callable:
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            return _ARROW_SCHEMA.empty_table()
-        queries = _Queries.read(left)
-        return _as_table(queries, _scan(queries, ranking, iter(right.to_batches())))
-
-    return score
-
+def _scored(spark: SparkSession, queries: _Queries, corpus: DataFrame, ranking: Ranking) -> DataFrame:
+    """The corpus against one block of queries."""
+    shared = spark.sparkContext.broadcast(queries)
 
-def _tiled(
-    queries: DataFrame, corpus: DataFrame, ranking: Ranking, query_tile: int, chunk_tile: int
-) -> DataFrame:
-    """Pairs of bounded tiles.
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _as_table(shared.value, _scan(shared.value, ranking, batches)).to_batches()
 
-    The rows of a match value (of the whole tables without one) are cut into as
-    many tiles as their count asks for, so a value with a large share of all
-    rows is many groups, not one. Small values share the tiles of a bucket,
-    where each query still sees its own value only.
-    """
-    tile_count = lambda rows: F.ceil(F.count("*") / rows).cast("int")
-    if "match" in corpus.columns:
-        counts = queries.groupBy("match").agg(tile_count(query_tile).alias("query_tiles")).join(
-            corpus.groupBy("match").agg(tile_count(chunk_tile).alias("chunk_tiles")), "match"
-        )
-        # Enough buckets for both sides to have bounded tiles.
-        buckets = max(1, -(-corpus.count() // chunk_tile), -(-queries.count() // query_tile))
-        bucket = F.pmod(F.xxhash64("match"), F.lit(buckets))
-        left, right = (df.join(counts, "match").withColumn("bucket", bucket) for df in (queries, corpus))
-        key = ["bucket", "query_part", "chunk_part"]
-    else:
-        cuts = {
-            "query_tiles": queries.agg(tile_count(query_tile)).first()[0],
-            "chunk_tiles": corpus.agg(tile_count(chunk_tile)).first()[0],
-        }
-        # Empty tables have no tile.
-        literals = {name: F.lit(max(1, cut)) for name, cut in cuts.items()}
-        left, right = queries.withColumns(literals), corpus.withColumns(literals)
-        key = ["query_part", "chunk_part"]
-    place = lambda tiles, *by: F.pmod(F.xxhash64(*by), F.col(tiles)).cast("int")
-    every = lambda tiles: F.explode(F.sequence(F.lit(0), F.col(tiles) - 1))
-    left = left.withColumn("query_part", place("query_tiles", "query_id")).withColumn(
-        "chunk_part", every("chunk_tiles")
-    )
-    right = right.withColumn("chunk_part", place("chunk_tiles", "episode_id", "chunk_index")).withColumn(
-        "query_part", every("query_tiles")
-    )
-    groups = lambda df: df.drop("query_tiles", "chunk_tiles").groupBy(*key)
-    return groups(left).cogroup(groups(right)).applyInArrow(_tile_scorer(ranking), RESULT_SCHEMA)
+    return corpus.mapInArrow(score, RESULT_SCHEMA)
 
 
 def best_matches(
@@ -275,15 +247,15 @@ def best_matches(
     ranking: Ranking,
     match: str | None = None,
     max_query_bytes: int = 64 << 20,
-    query_tile: int = 1024,
-    chunk_tile: int = 8192,
 ) -> Hits:
     """Best chunks or episodes of a corpus for every query.
 
     ``queries`` has ``query_id, query_vector`` (and ``episode_id`` where the
     ranking skips the query's own episode); ``corpus`` has ``episode_id,
     chunk_index, transcript_embedding``. With ``match``, a chunk is scored only
-    for queries with the same value in that bigint column.
+    for queries with the same value in that bigint column. Queries must be of one
+    dimension; a chunk whose vector has another one, or a null number, matches
+    nothing (``validate_embeddings`` reports such chunks).
     """
     own = F.col("episode_id") if ranking.skip_own_episode else F.lit(None)
     extra = [F.col(match).cast("bigint").alias("match")] if match else []
@@ -299,12 +271,24 @@ def best_matches(
         "transcript_embedding",
         *extra,
     ).filter(F.col("transcript_embedding").isNotNull())
-    size = asked.agg(F.count("*").alias("rows"), F.sum(F.size("query_vector")).alias("numbers")).first()
-    if (size["numbers"] or 0) * 8 <= max_query_bytes:
-        block = _Queries.read(asked.toArrow())
-        found = scanned.mapInArrow(_with_queries(block, ranking), RESULT_SCHEMA)
+    spark = queries.sparkSession
+    size = asked.agg(
+        F.count("*").alias("rows"), F.sum(F.size("query_vector")).alias("numbers"), F.max(F.size("query_vector")).alias("dim")
+    ).first()
+    vector = F.col("transcript_embedding")
+    fits = (F.size(vector) == (size["dim"] or 0)) & F.forall(vector, lambda x: x.isNotNull())
+    scanned = scanned.filter(fits)
+    blocks = max(1, -(-(size["numbers"] or 0) * 8 // max(max_query_bytes, 1)))
+    if blocks == 1:
+        found = _scored(spark, _Queries.read(asked.toArrow()), scanned, ranking)
     else:
-        found = _tiled(asked, scanned, ranking, query_tile, chunk_tile)
+        # One block in the driver at a time; what a block found is written down.
+        asked = fixed(asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))))
+        parts = [
+            fixed(_scored(spark, _Queries.read(asked.filter(F.col("_block") == n).drop("_block").toArrow()), scanned, ranking))
+            for n in range(blocks)
+        ]
+        found = reduce(DataFrame.unionByName, parts)
     return Hits(_final(found, ranking), size["rows"] * ranking.k <= SMALL_HITS)
 
 

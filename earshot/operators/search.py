@@ -110,21 +110,14 @@ def similar_episodes(
     return _episode_hits(hits, episodes, podcasts)
 
 
-def train_cells(
-    embeddings: DataFrame, n_cells: int = 100, seed: int = 7, rows_per_cell: int = 256
-) -> np.ndarray:
-    """Centres of ``n_cells`` groups of unit vectors, learned from a sample of bounded size.
-
-    Only the centres come from the sample; every row is assigned to a cell.
-    """
+def train_cells(embeddings: DataFrame, n_cells: int = 100, seed: int = 7) -> np.ndarray:
+    """Centres of ``n_cells`` groups of unit vectors, fitted on all rows."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import Normalizer
     from pyspark.ml.functions import array_to_vector
 
     present = embeddings.filter(F.col("transcript_embedding").isNotNull())
-    fraction = min(1.0, n_cells * rows_per_cell / max(present.count(), 1))
-    rows = present.sample(fraction=fraction, seed=seed) if fraction < 1.0 else present
-    vectors = rows.select(array_to_vector(F.col("transcript_embedding").cast("array<double>")).alias("raw"))
+    vectors = present.select(array_to_vector(F.col("transcript_embedding").cast("array<double>")).alias("raw"))
     unit = Normalizer(inputCol="raw", outputCol="features").transform(vectors)
     model = KMeans(k=n_cells, seed=seed, maxIter=10).fit(unit)
     return np.array(model.clusterCenters())
@@ -147,13 +140,20 @@ def _nearest_cells(centers: np.ndarray, column: str, n: int, names: list[str], s
 
 
 def assign_cells(embeddings: DataFrame, centers: np.ndarray) -> DataFrame:
-    """Corpus rows with the cell of the nearest centre; meant to be written ``partitionBy("cell")``."""
+    """Corpus rows with the cell of the nearest centre."""
     names = ["episode_id", "chunk_index", "transcript_embedding"]
     present = embeddings.select(*names).filter(F.col("transcript_embedding").isNotNull())
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in present.schema) + ", cell bigint"
     return _nearest_cells(centers, "transcript_embedding", 1, names, schema)(present)
 
 
+def store_cells(embeddings: DataFrame, centers: np.ndarray, path: str) -> DataFrame:
+    """The corpus by cell, a folder each, read back: a search opens the folders it probes."""
+    cells = assign_cells(embeddings, centers)
+    cells.repartition("cell", F.pmod(F.xxhash64("episode_id", "chunk_index"), F.lit(8))).write.partitionBy("cell").parquet(path)
+    return embeddings.sparkSession.read.schema(cells.schema).parquet(path)
+
+
 def ann_search(
     queries: DataFrame, cells: DataFrame, centers: np.ndarray, k: int = 5, n_probe: int = 10, **options
 ) -> DataFrame:

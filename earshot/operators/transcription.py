@@ -63,16 +63,14 @@ def stitch_segments(slices: DataFrame, segments: DataFrame) -> DataFrame:
     ``episode_id, slice_index, pos, speaker, start_time, end_time, text``.
     Sorted by episode and start; equal starts keep slice and position order.
     """
-    totals = running_total(
+    offsets = running_total(
         slices.select("episode_id", "slice_index", "duration_s"),
         ["episode_id"],
         [F.col("slice_index")],
         F.col("duration_s"),
-        "until_s",
-    )
-    offsets = totals.select(
-        "episode_id", "slice_index", (F.col("until_s") - F.col("duration_s")).alias("offset_s")
-    )
+        "offset_s",
+        inclusive=False,
+    ).drop("duration_s")
     return (
         segments.join(offsets, ["episode_id", "slice_index"])
         .select(

@@ -174,10 +174,17 @@ class Domain:
             .agg(F.min_by("embedding", "vec_id").alias("query_vector"))
         )
 
+    @cached_property
+    def chats(self) -> DataFrame:
+        """The episode each conversation is about, and the vector of what it asks."""
+        about = self.raw("conversations").selectExpr("conv_id AS query_id", "conv_id % 100 AS episode_id").distinct()
+        asked = self.questions.withColumnRenamed("query_id", "_label")
+        return about.join(asked, F.col("query_id") % 10 == F.col("_label")).drop("_label")
+
     @cached_property
     def messages(self) -> DataFrame:
         return self.raw("conversations").selectExpr(
-            "conv_id", "turn", "conv_id % 10 AS query_id",
+            "conv_id", "turn", "conv_id AS query_id",
             "CASE WHEN role = 'system' THEN concat('Please RECOMMEND ', text)"
             " WHEN turn = 2 THEN concat('Similar ones? ', text) ELSE text END AS message",
         )
@@ -251,6 +258,29 @@ class Domain:
             .withColumn("published_parsed", F.col("published_parsed").cast("timestamp_ntz"))
         )
 
+    @cached_property
+    def mixed_documents(self) -> DataFrame:
+        """RSS documents of users with odd numbers, Atom documents of the others."""
+        entries = self.raw("events").filter("user_id % 2 = 0").selectExpr(
+            "user_id",
+            "event_id",
+            """concat('<entry><title type="text">', event_type, ' &amp; ', event_id, '</title>',
+                CASE WHEN event_type = 'view' THEN concat('<link href="https://page.example/', event_id, '"/>') ELSE '' END,
+                CASE WHEN event_type <> 'error' THEN
+                  concat('<link rel="enclosure" type="audio/mpeg" href="https://cdn.example/', event_id, '.mp3"/>') ELSE '' END,
+                CASE WHEN event_id % 3 = 0 THEN '<published>' ELSE '<updated>' END,
+                date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), CASE WHEN event_id % 5 = 0 THEN '.250Z' ELSE '+00:00' END,
+                CASE WHEN event_id % 3 = 0 THEN '</published>' ELSE '</updated>' END, '</entry>') AS entry""",
+        )
+        joined = ordered_concat(entries, ["user_id"], "event_id", "entry", "", "entries")
+        atom = joined.selectExpr(
+            "concat('https://feeds.example/', user_id, '.rss') AS url",
+            """concat('<?xml version="1.0"?><feed xmlns="http://atom.example" xml:lang="en"><title>Feed ', user_id,
+               '</title><link rel="self" type="application/atom+xml" href="https://self.example/"/>', entries, '</feed>') AS body""",
+        )
+        odd = F.regexp_extract("url", r"(\d+)\.rss$", 1).cast("long") % 2 == 1
+        return self.feed_documents.filter(odd).unionByName(atom)
+
     @cached_property
     def loaded(self) -> DataFrame:
         """Episodes loaded earlier: the events that stand for a paid sign-up."""

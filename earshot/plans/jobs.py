@@ -13,7 +13,7 @@ from earshot.functions.keys import require_distinct_ids
 from earshot.operators import analysis, embedding, ingest, transcription
 from earshot.session import fixed, tune
 from earshot.sources import feeds, lake
-from earshot.sources.tables import publish_next, read_snapshot
+from earshot.sources.tables import current_version, publish, read_snapshot
 
 
 def add_podcasts(spark: SparkSession, root: str, documents: DataFrame, loaded_at: Column) -> DataFrame:
@@ -27,13 +27,17 @@ def add_podcasts(spark: SparkSession, root: str, documents: DataFrame, loaded_at
     readable = gated.filter(F.col("reject_reason").isNull()).select("url", "body")
     accepted, rejected = ingest.validate_feeds(feeds.parse_feed_headers(readable))
     accepted = fixed(accepted)
-    podcasts, languages, status = ingest.upsert_podcasts(
-        accepted, read_snapshot(spark, root, "podcast"), read_snapshot(spark, root, "language"), "url", loaded_at
-    )
+    now = current_version(spark, root)
+    known, spoken = (read_snapshot(spark, root, name, now) for name in ("podcast", "language"))
+    podcasts, languages, status = ingest.upsert_podcasts(accepted, known, spoken, "url", loaded_at)
     status = fixed(status.select("url", "status"))
     require_distinct_ids(podcasts, "podcast_id", F.col("podcast_url"))
     require_distinct_ids(languages, "language_id", F.col("language_name"))
-    publish_next(spark, root, {"language": languages, "podcast": podcasts})
+    new = lambda df, old, key: df.join(old.select(key), key, "left_anti")
+    publish(
+        spark, root,
+        appended={"language": new(languages, spoken, "language_id"), "podcast": new(podcasts, known, "podcast_id")},
+    )
     return status.unionByName(refused).unionByName(
         rejected.select("url", F.col("reject_reason").alias("status"))
     )
@@ -44,15 +48,20 @@ def load_new_episodes(
 ) -> DataFrame:
     """Load what is new in the landed feeds of known podcasts; gives the load statistics."""
     tune(spark)
-    podcasts = read_snapshot(spark, root, "podcast")
-    episodes = read_snapshot(spark, root, "episode")
-    landed = documents.withColumn("fetched_at", fetched_at.cast("timestamp_ntz"))
+    now = current_version(spark, root)
+    podcasts = read_snapshot(spark, root, "podcast", now)
+    episodes = read_snapshot(spark, root, "episode", now)
+    # All documents of a call are one poll; a feed that landed twice is read once.
+    once = documents.groupBy("url").agg(F.max("body").alias("body"))
+    landed = once.withColumn("fetched_at", fetched_at.cast("timestamp_ntz"))
     entries = ingest.landed_entries(landed, podcasts)
     fresh = ingest.select_new_episodes(entries, ingest.ingest_cutoffs(episodes), first_n)
     accepted = fixed(ingest.validate_episodes(fresh)[0])
     inserted, outcomes = ingest.load_episodes(accepted, episodes, podcasts)
     stats = fixed(ingest.load_stats(outcomes))
-    publish_next(spark, root, {"episode": ingest.append_episodes(episodes, inserted)})
+    inserted = fixed(inserted)
+    ingest.require_new_ids(episodes, inserted)
+    publish(spark, root, appended={"episode": inserted})
     return stats
 
 
@@ -66,8 +75,13 @@ def store_transcripts(
     """
     tune(spark)
     episodes = read_snapshot(spark, root, "episode")
+    # Slices of an unknown episode are a failed item of the report and stop nothing.
+    known = episodes.select("episode_id", "podcast_id", F.lit(True).alias("_known"))
     results = fixed(
-        transcription.assemble_text(slices).join(episodes.select("episode_id", "podcast_id"), "episode_id")
+        transcription.assemble_text(slices)
+        .join(known, "episode_id", "left")
+        .withColumn("status", F.when(F.col("_known"), F.col("status")).otherwise("failed"))
+        .drop("_known")
     )
     done = results.filter("status = 'success'")
     keys = [F.col(k).cast("string").alias(k) for k in lake.KEYS]
@@ -76,7 +90,7 @@ def store_transcripts(
     lake.add_missing(
         stitched.select(*keys, "start_time", "end_time", "speaker", "text"), f"{lake_root}/segments", "start_time"
     )
-    publish_next(spark, root, {"episode": transcription.apply_transcribed(episodes, done)})
+    publish(spark, root, replaced={"episode": transcription.apply_transcribed(episodes, done)})
     return transcription.route_outcomes(results.select("episode_id", "podcast_id", "status"))
 
 
@@ -86,14 +100,16 @@ def store_analyses(spark: SparkSession, root: str, responses: DataFrame, lake_ro
     Topics and speakers go to the tables, summaries to the lake.
     """
     tune(spark)
-    episodes = read_snapshot(spark, root, "episode")
+    now = current_version(spark, root)
+    episodes = read_snapshot(spark, root, "episode", now)
     parsed = fixed(analysis.parse_analysis(responses))
     answers = parsed.filter("status = 'parsed'")
-    tables = {name: read_snapshot(spark, root, name) for name in
+    tables = {name: read_snapshot(spark, root, name, now) for name in
               ("topics", "speakers", "episode_topics", "episode_speakers")}
-    stored = analysis.store_analysis(answers, episodes, tables)
-    analysis.check_analysis_ids(stored)
-    publish_next(spark, root, stored)
+    new = {name: fixed(df) for name, df in analysis.analysis_additions(answers, episodes, tables).items()}
+    names = ("topics", "speakers")
+    analysis.check_analysis_ids({n: tables[n].select(*new[n].columns).unionByName(new[n]) for n in names})
+    publish(spark, root, appended=new)
     status = analysis.analysis_status(answers, episodes).select("episode_id", "status")
     summaries = answers.join(episodes.select("episode_id", "podcast_id"), "episode_id")
     lake.write_summaries(summaries, f"{lake_root}/summaries")
@@ -120,13 +136,15 @@ def store_embeddings(
     chunks, _ = embedding.chunk_transcripts(usable, size, overlap)
     embedded, failed = embedding.embed_chunks(chunks, embedder)
     verdict = embedding.validate_embeddings(embedded, dim)
-    table, unknown = embedding.replace_embeddings(
-        embedding.keep_valid(embedded, verdict).withColumn("chunk_index", F.col("chunk_index").cast("bigint")),
-        read_snapshot(spark, root, "episode_embedding"),
-        read_snapshot(spark, root, "episode"),
-    )
-    unknown = fixed(unknown)
-    publish_next(spark, root, {"episode_embedding": table})
+    now = current_version(spark, root)
+    current, episodes = (read_snapshot(spark, root, name, now) for name in ("episode_embedding", "episode"))
+    valid = embedding.keep_valid(embedded, verdict).withColumn("chunk_index", F.col("chunk_index").cast("bigint"))
+    new, unknown = (fixed(df) for df in embedding.storable_embeddings(valid, episodes))
+    if current.join(new.select("episode_id"), "episode_id", "left_semi").isEmpty():
+        publish(spark, root, appended={"episode_embedding": new})
+    else:
+        table, _ = embedding.replace_embeddings(new, current, episodes)
+        publish(spark, root, replaced={"episode_embedding": table})
     number = F.col("episode_id").cast("bigint").alias("episode_id")
     report = lambda df, label: df.select(number, F.lit(label).alias("status"))
     refused = gated.filter(F.col("reject_reason").isNotNull())

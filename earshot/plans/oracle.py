@@ -26,12 +26,12 @@ def sentence_start(expr: str) -> str:
 
 def cosine(a: str, b: str) -> str:
     double = lambda v: f"list_transform({v}, lambda x: x::DOUBLE)"
-    return f"round(list_cosine_similarity({double(a)}, {double(b)}), 9)"
+    return f"list_cosine_similarity({double(a)}, {double(b)})"
 
 
 def distance(a: str, b: str) -> str:
     double = lambda v: f"list_transform({v}, lambda x: x::DOUBLE)"
-    return f"round(list_distance({double(a)}, {double(b)}), 9)"
+    return f"list_distance({double(a)}, {double(b)})"
 
 
 CTES = {
@@ -156,17 +156,22 @@ CTES = {
         {sentence_start('chunk_text')} AS chunk_text, round(score, 6) AS similarity
         FROM hits h JOIN episode e ON e.episode_id = h.episode_id JOIN podcast p USING (podcast_id)""",
     "anchors": """SELECT DISTINCT e.episode_id, e.vec AS qvec FROM embedding e
-        WHERE chunk_index = 0 AND episode_id IN (SELECT min(vec_id // 5) FROM embeddings GROUP BY label)""",
+        WHERE chunk_index = 0""",
     "neighbours": f"""SELECT a.episode_id AS query_id, e.episode_id, max({cosine('a.qvec', 'e.vec')}) AS score
         FROM anchors a JOIN embedding e ON e.episode_id <> a.episode_id GROUP BY 1, 2""",
     "similar_hits": """SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, episode_id)::INT AS rank
         FROM neighbours QUALIFY rank <= 5""",
+    "chats": """SELECT DISTINCT conv_id AS query_id, conv_id % 100 AS episode_id, qvec
+        FROM conversations JOIN questions ON questions.query_id = conv_id % 10""",
+    "told": f"""SELECT query_id, chunk_index, chunk_text, row_number() OVER (PARTITION BY query_id
+          ORDER BY {cosine('qvec', 'vec')} DESC, chunk_index) AS rank
+        FROM chats JOIN embedding USING (episode_id) QUALIFY rank <= 5""",
     "context": """SELECT q.query_id, coalesce(string_agg('[Chunk ' || chunk_index || ']: ' || chunk_text,
           chr(10) || chr(10) ORDER BY rank), '') AS context
-        FROM questions q LEFT JOIN found f ON f.query_id = q.query_id GROUP BY 1""",
+        FROM chats q LEFT JOIN told f ON f.query_id = q.query_id GROUP BY 1""",
     "recommended": """SELECT a.query_id, coalesce(chr(10) || chr(10) || '**Similar Episodes Available:**' || chr(10)
           || string_agg('- ' || episode_title || ' (' || podcast_name || ') - Similarity: '
-               || printf('%.1f', round_even(score * 100, 1)) || '%' || chr(10), '' ORDER BY rank), '') AS similar_episodes
+               || printf('%.1f', score * 100) || '%' || chr(10), '' ORDER BY rank), '') AS similar_episodes
         FROM (SELECT DISTINCT vec_id // 5 AS query_id FROM embeddings) a
         LEFT JOIN similar_hits s ON s.query_id = a.query_id
         LEFT JOIN episode e ON e.episode_id = s.episode_id LEFT JOIN podcast p USING (podcast_id) GROUP BY 1""",
@@ -199,7 +204,9 @@ NEEDS = {
     "anchors": ["embedding"],
     "neighbours": ["anchors", "embedding"],
     "similar_hits": ["neighbours"],
-    "context": ["questions", "found"],
+    "chats": ["questions"],
+    "told": ["chats", "embedding"],
+    "context": ["chats", "told"],
     "recommended": ["similar_hits", "episode", "podcast"],
 }
 
@@ -299,6 +306,13 @@ ORACLE: dict[str, str] = {
         strftime(ts, '%a, %d %b %Y %H:%M:%S +0000') AS published,
         CASE WHEN event_type <> 'error' THEN 'https://cdn.example/' || event_id || '.mp3' END AS audio_href
         FROM events""",
+    "parse_mixed_feeds": """SELECT 'https://feeds.example/' || user_id || '.rss' AS url,
+        row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS feed_pos,
+        event_type || ' & ' || event_id AS title,
+        CASE WHEN event_type = 'view' THEN 'https://page.example/' || event_id END AS link,
+        date_trunc('second', ts) AS published_at,
+        CASE WHEN event_type <> 'error' THEN 'https://cdn.example/' || event_id || '.mp3' END AS audio_url
+        FROM events""",
     "gate_feed_urls": _sql(
         """SELECT *, CASE WHEN url IS NULL OR url = '' THEN 'empty url'
              WHEN NOT (suffix(url, '.rss') OR suffix(url, '.xml')) THEN 'not a feed url' END AS reject_reason
@@ -353,6 +367,17 @@ ORACLE: dict[str, str] = {
              count(*) FILTER (outcome = 'inserted'), count(*) FILTER (outcome = 'skipped') FROM outcomes""",
         "outcomes",
     ),
+    "incremental_publish": _sql(
+        """, steps AS (SELECT CASE WHEN transcribed THEN 1 WHEN NOT transcribed THEN 2 ELSE 3 END AS step, episode_id FROM episode)
+           SELECT v::INT AS version, count(*) FILTER (step = v) AS written, count(*) AS episodes,
+             sum(episode_id)::BIGINT AS key_sum, (SELECT count(*) FROM customer) AS podcasts
+           FROM steps, range(1, 4) t(v) WHERE step <= v GROUP BY v""",
+        "episode",
+    ),
+    "load_repeated_documents": """SELECT 'https://feeds.example/' || user_id || '.rss' AS podcast_name,
+          count(*) AS total_episodes, count(*) AS inserted_episodes, 0::BIGINT AS skipped_episodes, count(*) AS stored
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS pos FROM events)
+        WHERE pos <= 5 AND event_type <> 'error' GROUP BY user_id""",
     "ingest_stream": _sql(
         f"""{_LOADED_ROW} first_poll f JOIN (
               SELECT audio_url, min((podcast_id, feed_pos)) AS row_key FROM first_poll
@@ -403,12 +428,12 @@ ORACLE: dict[str, str] = {
                 slice_index * 120000 AS start_ms FROM documents)""",
     "stitch_segments": """WITH slices AS (
           SELECT conv_id, turn, role, string_split(text, chr(10)) AS lines,
-            coalesce(sum(length(text) * 0.25::DOUBLE) OVER (PARTITION BY conv_id ORDER BY turn
+            coalesce(sum(length(text) * 0.213::DOUBLE) OVER (PARTITION BY conv_id ORDER BY turn
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS offset_s FROM conversations),
         cut AS (SELECT conv_id, turn, role, offset_s, unnest(range(0, len(lines))) AS pos,
           unnest(lines) AS text FROM slices)
-        SELECT conv_id AS episode_id, offset_s + pos * 1.5::DOUBLE AS start_time,
-          offset_s + pos * 1.5::DOUBLE + 1 AS end_time, role AS speaker, text,
+        SELECT conv_id AS episode_id, round(offset_s + pos * 1.5::DOUBLE, 6) AS start_time,
+          round(offset_s + pos * 1.5::DOUBLE + 1, 6) AS end_time, role AS speaker, text,
           turn AS slice_index, pos::INT AS pos FROM cut""",
     "assemble_text": f"""SELECT conv_id AS episode_id,
         CASE WHEN bool_or(role = 'system') THEN 'failed' ELSE 'success' END AS status,
@@ -523,9 +548,12 @@ ORACLE: dict[str, str] = {
     "replace_embeddings": _sql(
         """, fresh AS (SELECT * FROM embedding WHERE label < 3
              AND episode_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O')))
-           SELECT episode_id, chunk_index, chunk_text, round(vec[1]::DOUBLE, 6) AS first_number FROM embedding
+           SELECT episode_id, chunk_index, chunk_text, len(vec)::INT AS numbers,
+             round(list_sum(list_transform(vec, lambda x: x::DOUBLE)), 5) AS total,
+             round(vec[1]::DOUBLE, 6) AS first_number FROM embedding
            WHERE episode_id NOT IN (SELECT episode_id FROM fresh)
-           UNION ALL SELECT episode_id, chunk_index, 'new ' || label, round(vec[1]::DOUBLE, 6) FROM fresh""",
+           UNION ALL SELECT episode_id, chunk_index, 'new ' || label, len(vec)::INT,
+             round(list_sum(list_transform(vec, lambda x: x::DOUBLE)), 5), round(vec[1]::DOUBLE, 6) FROM fresh""",
         "embedding",
     ),
     "search_chunks": _sql("SELECT * FROM found", "found"),
@@ -554,6 +582,16 @@ ORACLE: dict[str, str] = {
            FROM similar_hits JOIN episode USING (episode_id) JOIN podcast USING (podcast_id)""",
         "similar_hits", "episode", "podcast",
     ),
+    "search_every_chunk": _sql(
+        f""", pairs AS (SELECT q.episode_id * 5 + q.chunk_index AS query_id, e.episode_id, e.chunk_index,
+             {cosine('q.vec', 'e.vec')} AS score FROM embedding q, embedding e)
+           , placed AS (SELECT *, row_number() OVER (PARTITION BY query_id
+             ORDER BY score DESC, episode_id, chunk_index)::INT AS rank FROM pairs WHERE score > 0.2 QUALIFY rank <= 3)
+           SELECT query_id, rank, episode_id, chunk_index, round(score, 6) AS similarity
+           FROM placed WHERE episode_id IN (SELECT episode_id FROM episode)""",
+        "embedding", "episode",
+    ),
+    "ann_recall": """SELECT count(DISTINCT label) * 5 AS hits, true AS recall_reached FROM embeddings""",
     "ann_search_all_cells": _sql(
         "SELECT query_id, rank, episode_id, chunk_index, round(score, 6) AS similarity FROM exact_hits", "exact_hits"
     ),
@@ -572,16 +610,20 @@ ORACLE: dict[str, str] = {
     "chunk_context": _sql("SELECT * FROM context", "context"),
     "similar_context": _sql("SELECT * FROM recommended", "recommended"),
     "message_context": _sql(
-        """, wanted AS (SELECT conv_id, turn, conv_id % 10 AS query_id,
+        """, wanted AS (SELECT conv_id, turn, conv_id AS query_id,
              role = 'system' OR turn = 2 OR contains(lower(text), 'similar') OR contains(lower(text), 'like this')
              OR contains(lower(text), 'recommend') OR contains(lower(text), 'related episodes') AS wants_similar
            FROM conversations)
            SELECT conv_id, turn, w.query_id, wants_similar, coalesce(context, '') AS context,
              CASE WHEN wants_similar THEN coalesce(similar_episodes, '') ELSE '' END AS similar_episodes
            FROM wanted w LEFT JOIN context c ON c.query_id = w.query_id
-           LEFT JOIN recommended r ON r.query_id = w.query_id""",
+           LEFT JOIN recommended r ON r.query_id = w.query_id % 100""",
         "context", "recommended",
     ),
+    "chat_request": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS position, role, text
+        FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations)
+        WHERE back <= 3
+        UNION ALL SELECT DISTINCT conv_id, 4, 'user', 'And what about ' || conv_id || '?' FROM conversations""",
     "recent_turns": """SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT
           AS position
         FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations)
@@ -681,3 +723,6 @@ ORACLE: dict[str, str] = {
         "words",
     ),
 }
+
+# The same result however the files are cut into micro-batches.
+ORACLE["ingest_stream_by_files"] = ORACLE["ingest_stream"]

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from earshot.functions.dates import mail_date
 from earshot.functions.text import sentence_start
 from earshot.operators import analysis, analytics, context, embedding, ingest, search, transcription
+from earshot.plans import jobs
 from earshot.plans.binding import Domain
+from earshot.schemas import TABLES
 from earshot.session import fixed, scratch_path
 from earshot.sources import feeds, lake, lookups, tables
 from earshot.streaming import ingest_stream as streaming
@@ -206,6 +208,19 @@ def parse_feed_entries(d: Domain) -> DataFrame:
     )
 
 
+@query
+def parse_mixed_feeds(d: Domain) -> DataFrame:
+    """Entries of RSS and Atom documents with mail and ISO dates."""
+    known = d.mixed_documents.select(
+        F.lit(1).cast("long").alias("podcast_id"), F.lit("any").alias("podcast_name"), F.col("url").alias("podcast_url")
+    )
+    landed = d.mixed_documents.withColumn("fetched_at", F.lit("2025-01-01").cast("timestamp_ntz"))
+    return ingest.landed_entries(landed, known).select(
+        F.col("podcast_url").alias("url"), "feed_pos", "title", "link",
+        ingest.entry_date().alias("published_at"), ingest.audio_url().alias("audio_url"),
+    )
+
+
 @query
 def gate_feed_urls(d: Domain) -> DataFrame:
     return ingest.gate_feed_urls(d.raw("pages").select("page_id", "url")).unionByName(
@@ -329,14 +344,14 @@ def load_stats(d: Domain) -> DataFrame:
     )
 
 
-@query
-def ingest_stream(d: Domain) -> DataFrame:
+def _streamed(d: Domain, files_per_batch: int) -> DataFrame:
     """The load as a stream over landed files, started twice to show that nothing is loaded again."""
     root = scratch_path(d.spark, "stream")
-    d.entries.write.parquet(f"{root}/landing")
+    d.entries.repartition(6, "feed_pos").write.parquet(f"{root}/landing")
     for _ in range(2):
         running = streaming.ingest_stream(
-            d.spark, f"{root}/landing", f"{root}/episodes", f"{root}/progress", d.known_podcasts
+            d.spark, f"{root}/landing", f"{root}/episodes", f"{root}/progress", d.known_podcasts,
+            files_per_batch=files_per_batch,
         )
         running.awaitTermination()
     return streaming.read_target(d.spark, f"{root}/episodes").select(
@@ -344,6 +359,60 @@ def ingest_stream(d: Domain) -> DataFrame:
     )
 
 
+@query
+def ingest_stream(d: Domain) -> DataFrame:
+    return _streamed(d, 1000)
+
+
+@query
+def ingest_stream_by_files(d: Domain) -> DataFrame:
+    """The same polls cut over micro-batches of two files."""
+    return _streamed(d, 2)
+
+
+@query
+def load_repeated_documents(d: Domain) -> DataFrame:
+    """What the job reports and stores when every feed document landed twice."""
+    root = scratch_path(d.spark, "repeated")
+    landed = fixed(d.feed_documents.select("url", "body"))
+    known = {"podcast_id": F.xxhash64("url"), "podcast_name": F.col("url"), "podcast_url": F.col("url")}
+    blank = lambda f: F.lit(None).cast(f.dataType)
+    podcasts = landed.select(*[known.get(f.name, blank(f)).alias(f.name) for f in TABLES["podcast"].fields])
+    tables.publish(d.spark, root, replaced={"podcast": podcasts})
+    at = F.to_timestamp_ntz(F.lit("2025-01-01 00:00:00"))
+    report = jobs.load_new_episodes(d.spark, root, landed.unionByName(landed), at, first_n=5)
+    stored = tables.read_snapshot(d.spark, root, "episode").groupBy("podcast_id").agg(F.count("*").alias("stored"))
+    return (
+        report.filter("podcast_id IS NOT NULL")
+        .join(stored, "podcast_id", "left")
+        .select(
+            "podcast_name", "total_episodes", "inserted_episodes", "skipped_episodes",
+            F.coalesce("stored", F.lit(0)).cast("long").alias("stored"),
+        )
+    )
+
+
+@query
+def incremental_publish(d: Domain) -> DataFrame:
+    """Rows that each step of three loads writes, and what readers of each version see."""
+    root = scratch_path(d.spark, "increments")
+    parts = [d.episodes.filter("transcribed"), d.episodes.filter("NOT transcribed"), d.episodes.filter("transcribed IS NULL")]
+    tables.publish(d.spark, root, replaced={"episode": parts[0], "podcast": d.podcasts})
+    for part in parts[1:]:
+        tables.publish(d.spark, root, appended={"episode": part})
+    out = None
+    for version in (1, 2, 3):
+        folder = tables.table_folders(d.spark, root, version)["episode"][-1]
+        written = d.spark.read.parquet(f"{root}/{folder}").agg(F.count("*").alias("written"))
+        seen = tables.read_snapshot(d.spark, root, "episode", version).agg(
+            F.count("*").alias("episodes"), F.sum("episode_id").alias("key_sum")
+        )
+        podcasts = tables.read_snapshot(d.spark, root, "podcast", version).agg(F.count("*").alias("podcasts"))
+        row = written.crossJoin(seen).crossJoin(podcasts).withColumn("version", F.lit(version))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query
 def cascade_delete(d: Domain) -> DataFrame:
     """What is left per table after closing the furniture podcasts and dropping some languages."""
@@ -408,7 +477,7 @@ def plan_slices(d: Domain) -> DataFrame:
 
 def _slices(d: Domain) -> DataFrame:
     return d.turns.select(
-        "episode_id", F.col("pos").alias("slice_index"), (F.length("text") * 0.25).cast("double").alias("duration_s"),
+        "episode_id", F.col("pos").alias("slice_index"), (F.length("text") * F.lit(0.213)).cast("double").alias("duration_s"),
         "text", (F.col("speaker") != "system").alias("ok"),
     )
 
@@ -424,7 +493,9 @@ def stitch_segments(d: Domain) -> DataFrame:
         (F.col("pos") * 1.5).cast("double").alias("start_time"),
         (F.col("pos") * 1.5 + 1).cast("double").alias("end_time"),
     )
-    return transcription.stitch_segments(_slices(d), segments)
+    return transcription.stitch_segments(_slices(d), segments).withColumns(
+        {c: F.round(c, 6) for c in ("start_time", "end_time")}
+    )
 
 
 @query
@@ -607,6 +678,8 @@ def replace_embeddings(d: Domain) -> DataFrame:
     table, _ = embedding.replace_embeddings(chunk.filter("label < 3"), d.embeddings, existing)
     return table.select(
         "episode_id", "chunk_index", "chunk_text",
+        F.size("transcript_embedding").alias("numbers"),
+        F.round(F.aggregate("transcript_embedding", F.lit(0.0), lambda total, x: total + x.cast("double")), 5).alias("total"),
         F.round(F.get("transcript_embedding", F.lit(0)).cast("double"), 6).alias("first_number"),
     )
 
@@ -626,7 +699,7 @@ def search_chunks(d: Domain) -> DataFrame:
 @query
 def search_chunks_tiled(d: Domain) -> DataFrame:
     """The same search the way a query table too large to travel takes."""
-    found = _hits(d, threshold=0.2, max_query_bytes=0, query_tile=4, chunk_tile=100)
+    found = _hits(d, threshold=0.2, max_query_bytes=2048)
     return found.withColumn("similarity", _score("similarity", "similarity"))
 
 
@@ -646,21 +719,37 @@ def search_within(d: Domain) -> DataFrame:
     return found.withColumn("similarity_score", _score("similarity_score", "similarity_score"))
 
 
-def _similar(d: Domain) -> DataFrame:
-    ids = d.raw("embeddings").groupBy("label").agg(F.min(F.expr("vec_id div 5")).alias("episode_id"))
+@query
+def search_every_chunk(d: Domain) -> DataFrame:
+    """Every stored vector as a query."""
+    asked = d.embeddings.select(
+        (F.col("episode_id") * 5 + F.col("chunk_index")).alias("query_id"), F.col("transcript_embedding").alias("query_vector")
+    )
+    found = search.search_chunks(asked, d.embeddings, d.episodes, d.podcasts, limit=3, threshold=0.2)
+    return found.select("query_id", "rank", "episode_id", "chunk_index", _score("similarity", "similarity"))
+
+
+def _similar(d: Domain, ids: DataFrame) -> DataFrame:
     return search.similar_episodes(d.embeddings, d.episodes, d.podcasts, ids)
 
 
 @query
 def similar_episodes(d: Domain) -> DataFrame:
-    return _similar(d).withColumn("similarity_score", _score("similarity_score", "similarity_score"))
+    """Neighbours of every episode."""
+    found = _similar(d, d.embeddings)
+    return found.withColumn("similarity_score", _score("similarity_score", "similarity_score"))
+
+
+def _cells(d: Domain, n_probe: int) -> DataFrame:
+    """A search in stored cells."""
+    centers = search.train_cells(d.embeddings, n_cells=16)
+    cells = search.store_cells(d.embeddings, centers, scratch_path(d.spark, "cells"))
+    return search.ann_search(d.questions, cells, centers, n_probe=n_probe)
 
 
 @query
 def ann_search(d: Domain) -> DataFrame:
-    centers = search.train_cells(d.embeddings, n_cells=16)
-    cells = search.assign_cells(d.embeddings, centers)
-    return search.ann_search(d.questions, cells, centers, n_probe=8).select(
+    return _cells(d, 8).select(
         "query_id", "rank", "episode_id", "chunk_index", _score("similarity", "similarity")
     )
 
@@ -668,13 +757,22 @@ def ann_search(d: Domain) -> DataFrame:
 @query
 def ann_search_all_cells(d: Domain) -> DataFrame:
     """With every cell probed the answer is exact."""
-    centers = search.train_cells(d.embeddings, n_cells=16)
-    cells = search.assign_cells(d.embeddings, centers)
-    return search.ann_search(d.questions, cells, centers, n_probe=16).select(
+    return _cells(d, 16).select(
         "query_id", "rank", "episode_id", "chunk_index", _score("similarity", "similarity")
     )
 
 
+@query
+def ann_recall(d: Domain) -> DataFrame:
+    """Whether three quarters of the cells hold nine tenths of the exact hits."""
+    exact = search.best_matches(d.questions, d.embeddings, search.Ranking(5)).frame
+    key = ["query_id", "episode_id", "chunk_index"]
+    near = _cells(d, 12).select(*key, F.lit(1).alias("_found"))
+    return exact.join(near, key, "left").agg(
+        F.count("*").alias("hits"), (F.count("_found") >= 0.9 * F.count("*")).alias("recall_reached")
+    )
+
+
 @query
 def embedding_coverage(d: Domain) -> DataFrame:
     return search.embedding_coverage(d.episodes, d.embeddings)
@@ -695,7 +793,9 @@ def sentence_starts(d: Domain) -> DataFrame:
 
 
 def _contexts(d: Domain) -> DataFrame:
-    return context.chunk_context(_hits(d, threshold=0.2), d.questions)
+    """What the asked episode itself says, per conversation."""
+    found = search.search_within(d.chats, d.embeddings, top_k=5)
+    return context.chunk_context(found, d.chats)
 
 
 @query
@@ -703,23 +803,34 @@ def chunk_context(d: Domain) -> DataFrame:
     return _contexts(d)
 
 
-def _recommendations(d: Domain) -> DataFrame:
-    asked = d.raw("embeddings").select(F.expr("vec_id div 5").alias("query_id")).distinct()
-    return context.similar_context(_similar(d), asked)
-
-
 @query
 def similar_context(d: Domain) -> DataFrame:
-    return _recommendations(d)
+    """Recommendations for every episode."""
+    asked = d.embeddings.select(F.col("episode_id").alias("query_id")).distinct()
+    return context.similar_context(_similar(d, d.embeddings), asked)
 
 
 @query
 def message_context(d: Domain) -> DataFrame:
-    return context.with_context(d.messages, _contexts(d), _recommendations(d)).select(
+    """Message, episode it is about, chunks of that episode and, where asked for, episodes like it."""
+    wishes = d.messages.filter(context.asks_for_similar(F.col("message"))).select("query_id").distinct()
+    chats = d.chats.join(wishes, "query_id", "left_semi").select("query_id", "episode_id")
+    about = chats.select(F.col("episode_id").alias("query_id")).distinct()
+    lists = context.similar_context(_similar(d, about.select(F.col("query_id").alias("episode_id"))), about)
+    wanted = chats.join(lists.withColumnRenamed("query_id", "episode_id"), "episode_id")
+    return context.with_context(d.messages, _contexts(d), wanted).select(
         "conv_id", "turn", "query_id", "wants_similar", "context", "similar_episodes"
     )
 
 
+@query
+def chat_request(d: Domain) -> DataFrame:
+    current = d.raw("conversations").select("conv_id").distinct().withColumn(
+        "message", F.concat(F.lit("And what about "), F.col("conv_id"), F.lit("?"))
+    )
+    return context.chat_request(d.raw("conversations"), current, 3)
+
+
 @query
 def recent_turns(d: Domain) -> DataFrame:
     return context.recent_turns(d.raw("conversations"), 3).select("conv_id", "turn", "role", "text", "position")

@@ -9,8 +9,6 @@ from earshot.functions.grouping import mark_existing
 from earshot.functions.text import is_missing
 
 KEYS = ["podcast_id", "episode_id"]
-# Up to this many episodes are named in the scan; a larger key table is only joined.
-FEW_KEYS = 1000
 
 
 def transcript_coverage(episodes: DataFrame, transcripts: DataFrame) -> DataFrame:
@@ -25,11 +23,10 @@ def _lookup(keys: DataFrame, dataset: DataFrame, value: str) -> DataFrame:
     asked = keys.select(*as_text).distinct()
     others = [c for c in dataset.columns if c not in KEYS]
     stored = dataset.select(*as_text, *others, F.lit(True).alias("_stored"))
-    few = asked.select("episode_id").distinct().limit(FEW_KEYS + 1).collect()
-    if len(few) <= FEW_KEYS:
-        # Named in the scan, so folders and row groups without them are not read.
-        stored = stored.filter(F.col("episode_id").isin([r[0] for r in few if r[0] is not None]))
-    found = asked.join(stored, KEYS, "left")
+    # An always-true comparison marks the keys as a selection, so that a key table
+    # small enough to broadcast also prunes the folders that are scanned.
+    picked = asked.filter(F.coalesce("episode_id", F.lit("")) >= "")
+    found = asked.join(stored.join(picked, KEYS), KEYS, "left")
     status = (
         F.when(F.col("_stored").isNull(), "missing").when(is_missing(F.col(value)), "empty").otherwise("found")
     )

@@ -1,68 +1,128 @@
-"""Continuous ingestion: the same rules as the batch load, per micro-batch of landed entries."""
+"""Continuous ingestion: the same rules as the batch load, whatever files a micro-batch takes.
+
+A micro-batch may hold a part of a poll, or many polls. What it brings is
+stored as *claims*: entries newer than what polls before theirs had loaded, and
+for podcasts without such a load all entries of the poll. Reading the target
+settles the claims: the first entries of an opening poll, and of equal urls the
+earliest. So the result does not depend on how the files of a poll are cut into
+batches. Polls themselves are taken in the order in which they land.
+"""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from earshot.functions.grouping import first_per_group, top_n
+from earshot.functions.keys import hash_id
 from earshot.operators.ingest import (
+    FEED_SUFFIXES,
     audio_url,
+    checked_episodes,
     ingest_cutoffs,
     landed_entries,
-    load_episodes,
-    select_new_episodes,
-    validate_episodes,
+    require_new_ids,
 )
 from earshot.schemas import FEED_DOCUMENT, FEED_ENTRY, TABLES
-from earshot.session import tune
+from earshot.session import fixed, tune
 
+_EPISODE = TABLES["episode"].fieldNames()
+_CLAIM = [f"{n} {TABLES['episode'][n].dataType.simpleString()}" for n in _EPISODE] + [
+    "feed_pos bigint", "first_n int", "valid boolean",
+]
+CLAIMS = ", ".join([*_CLAIM, "batch_id bigint", "poll bigint"])
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """Episodes loaded so far with the ``batch_id`` that brought them."""
-    schema = TABLES["episode"].fieldNames()
-    columns = ", ".join(f"{n} {TABLES['episode'][n].dataType.simpleString()}" for n in schema)
+
+def _read_claims(spark: SparkSession, target: str) -> DataFrame:
     try:
-        return spark.read.schema(f"{columns}, batch_id bigint").parquet(target)
+        return spark.read.schema(CLAIMS).parquet(target)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"{columns}, batch_id bigint")
+        return spark.createDataFrame([], CLAIMS)
 
 
-def new_in_batch(entries: DataFrame, cutoffs: DataFrame, first_n: int) -> DataFrame:
-    """Entries of one micro-batch to load, when it may hold several polls of a podcast.
+def settle(claims: DataFrame) -> DataFrame:
+    """Episodes that come out of the claims, with the ``batch_id`` that brought them."""
+    row = ["podcast_id", "uploaded_at", "feed_pos"]
+    first = Window.partitionBy(*row, "audio_url").orderBy("batch_id", "poll")
+    once = claims.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
+    opening = once.filter("first_n IS NOT NULL")
+    most = opening.agg(F.max("first_n")).head()[0] or 1
+    taken = top_n(
+        opening, ["podcast_id", "uploaded_at"], [F.col("feed_pos")], most, salt_by=["feed_pos"], rank="_position"
+    ).filter("_position <= first_n")
+    valid = once.filter("first_n IS NULL").unionByName(taken.drop("_position")).filter("valid")
+    carry = [c for c in [*_EPISODE, "batch_id"] if c != "audio_url"]
+    return first_per_group(valid, ["audio_url"], ["uploaded_at", "podcast_id", "feed_pos"], carry)
 
-    The earliest poll follows the batch rule. A later poll of a podcast that was
-    empty before counts against that first poll, as if it had been loaded already.
+
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """Episodes loaded so far with the ``batch_id`` that brought them."""
+    return settle(_read_claims(spark, target)).select(*_EPISODE, "batch_id")
+
+
+def _rivals(claims: DataFrame, podcasts: DataFrame) -> DataFrame:
+    """Claims of the given podcasts, and of all that claim one of their urls."""
+    urls = claims.join(podcasts, "podcast_id", "left_semi").filter("valid").select("audio_url").distinct()
+    wider = claims.join(urls, "audio_url", "left_semi").select("podcast_id").unionByName(podcasts).distinct()
+    return claims.join(wider, "podcast_id", "left_semi")
+
+
+def claims_of(entries: DataFrame, claims: DataFrame, podcasts: DataFrame, first_n: int) -> DataFrame:
+    """What the entries of at most one poll per podcast claim.
+
+    A podcast's cutoff comes from loads of earlier polls only, never from other
+    parts of the poll itself.
     """
-    polls = entries.groupBy("podcast_id").agg(F.min("fetched_at").alias("_opened"))
-    timed = entries.join(polls, "podcast_id")
-    opening = timed.filter(F.col("fetched_at") == F.col("_opened")).drop("_opened")
-    later = timed.filter(F.col("fetched_at") > F.col("_opened")).drop("_opened")
-    running = polls.join(cutoffs, "podcast_id", "left").select(
-        "podcast_id", F.coalesce("cutoff", "_opened").alias("cutoff")
+    first, second = FEED_SUFFIXES
+    url = F.col("podcast_url")
+    gated = entries.filter(F.coalesce(url.endswith(first) | url.endswith(second), F.lit(False))).join(
+        podcasts.select("podcast_id").distinct(), "podcast_id", "left_semi"
     )
-    return select_new_episodes(opening, cutoffs, first_n).unionByName(
-        select_new_episodes(later, running, first_n)
+    polls = gated.select("podcast_id", "fetched_at").distinct()
+    loaded = settle(_rivals(claims, polls.select("podcast_id")))
+    before = loaded.join(polls, "podcast_id").filter(F.col("uploaded_at") < F.col("fetched_at"))
+    known = gated.join(ingest_cutoffs(before), "podcast_id", "left")
+    checked = checked_episodes(known)
+    newer = F.col("cutoff").isNull() | (F.coalesce("published_parsed", "published_at") > F.col("cutoff"))
+    own = checked.filter(newer).select(
+        hash_id(F.col("audio_url")).alias("episode_id"),
+        "podcast_id",
+        F.col("fetched_at").alias("uploaded_at"),
+        "audio_url",
+        F.lit(False).alias("transcribed"),
+        "published_at",
+        "episode_title",
+        "feed_pos",
+        F.when(F.col("cutoff").isNull(), F.lit(first_n)).cast("int").alias("first_n"),
+        F.col("reject_reason").isNull().alias("valid"),
     )
+    return own.filter("valid OR first_n IS NOT NULL")
 
 
 def load_batch(
     batch: DataFrame, batch_id: int, podcasts: DataFrame, target: str, first_n: int = 20
 ) -> None:
-    """Load one micro-batch into its own folder.
+    """Store the claims of one micro-batch in its own folder, poll by poll.
 
-    A batch that is run again overwrites its folder and does not look at what
+    A batch that is run again overwrites its folders and does not look at what
     it wrote before, so every episode is stored once whatever fails.
     """
     spark = tune(batch.sparkSession)
-    loaded = read_target(spark, target).filter(F.col("batch_id") < batch_id).drop("batch_id")
-    fresh = new_in_batch(batch, ingest_cutoffs(loaded), first_n)
-    accepted, _ = validate_episodes(fresh)
-    inserted, _ = load_episodes(accepted, loaded, podcasts)
-    inserted.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+    entries = fixed(batch.select(*FEED_ENTRY.fieldNames()))
+    turn = Window.partitionBy("podcast_id").orderBy("fetched_at")
+    polls = entries.select("podcast_id", "fetched_at").distinct().withColumn("_poll", F.row_number().over(turn))
+    timed = fixed(entries.join(polls, ["podcast_id", "fetched_at"]))
+    for poll in range(1, (timed.agg(F.max("_poll")).head()[0] or 0) + 1):
+        earlier = _read_claims(spark, target).filter(
+            (F.col("batch_id") < batch_id) | ((F.col("batch_id") == batch_id) & (F.col("poll") < poll))
+        )
+        own = fixed(claims_of(timed.filter(F.col("_poll") == poll).drop("_poll"), earlier, podcasts, first_n))
+        require_new_ids(earlier.filter("valid"), own.filter("valid"))
+        own.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}/poll={poll}")
 
 
 def ingest_stream(
@@ -79,9 +139,9 @@ def ingest_stream(
     """Start loading the files below ``landing`` and stop when all are in.
 
     The files hold feed entries, or whole feed documents with ``documents``.
-    The anti-join against ``target`` keeps urls unique. ``drop_repeats_within``
-    also drops repeated polls early, at the price of losing entries that land
-    later than this behind the newest one; it is off unless asked for.
+    ``read_target`` keeps urls unique. ``drop_repeats_within`` also drops repeated
+    polls early, at the price of losing entries that land later than this behind
+    the newest one; it is off unless asked for.
     """
     schema = FEED_DOCUMENT if documents else FEED_ENTRY
     entries = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)

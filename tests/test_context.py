@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -15,6 +16,26 @@ def test_chunk_context(spark, rows):
     assert rows(c.chunk_context(hits, asked)) == [(1, "[Chunk 3]: first\n\n[Chunk 8]: second"), (2, "")]
 
 
+def test_keywords_without_an_automaton(monkeypatch):
+    import sys
+
+    import pyarrow as pa
+
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    batch = pa.RecordBatch.from_pydict({"episode_key": ["1", "2"], "text": ["xaab", ""], "in_title": [True, False]})
+    (found,) = c._keyword_scan({"a": [1], "aa": [2, 3], "ab": [4], "xaabx": [5]})(iter([batch]))
+    assert sorted(zip(found["episode_key"].to_pylist(), found["query_id"].to_pylist())) == [("1", i) for i in (1, 2, 3, 4)]
+
+
+def test_percent_is_rounded_by_the_binary_value(spark):
+    dice = random.Random(2)
+    scores = [0.1235, 0.0005, 0.8755, 0.125, 0.0625, 0.9995, 1.0, 0.0, -0.1235, -1.0, 0.99949999]
+    scores += [dice.randrange(20001) / 20000 for _ in range(1500)] + [dice.uniform(-1, 1) for _ in range(500)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "i int, s double")
+    got = [r[0] for r in df.orderBy("i").select(c._percent(F.col("s"))).collect()]
+    assert [g for g in got] == [f"{s:.1%}"[:-1].replace("-0.0", "0.0") for s in scores]
+
+
 def similar(spark):
     return spark.createDataFrame(
         [(1, 2, "B", "Pod", 0.5), (1, 1, "A", "Pod", 0.8734), (1, 3, "C", "Pod", 1.0)],
@@ -34,10 +55,10 @@ def test_similar_context(spark, rows):
 @pytest.mark.parametrize(
     "message, expected",
     [
-        ("Can you recommend similar episodes?", True), ("I want to hear something like this.", True),
-        ("Are there related episodes?", True), ("RECOMMEND me one", True), ("SIMILAR please", True),
-        ("What is the episode about?", False), ("Tell me more about the host.", False),
-        ("How long is this episode?", False), ("", False), (None, False),
+        ("which ones would you recommend next", True), ("anything else like this out there", True),
+        ("list the related episodes", True), ("ReCoMmEnD!", True), ("not SIMILAR at all", True),
+        ("who is speaking here", False), ("when did they meet", False),
+        ("summarise the second half", False), ("", False), (None, False),
     ],
 )
 def test_intent(spark, message, expected):
@@ -57,31 +78,30 @@ def test_list_only_where_asked_for(spark, rows):
 
 def test_recent_turns(spark):
     talk = spark.createDataFrame(
-        [(1, i, "user", f"Message {i}") for i in range(15)] + [(2, 0, "user", "only")],
+        [(1, i, "user", f"turn no {i}") for i in range(15)] + [(2, 0, "user", "only")],
         "conv_id bigint, turn bigint, role string, text string",
     )
     got = c.recent_turns(talk).filter("conv_id = 1").orderBy("position").collect()
-    assert [r["text"] for r in got] == [f"Message {i}" for i in range(5, 15)]
+    assert [r["text"] for r in got] == [f"turn no {i}" for i in range(5, 15)]
     asked = spark.createDataFrame([(1, "now")], "conv_id bigint, message string")
     request = [r["text"] for r in c.chat_request(talk, asked, 2).collect()]
-    assert request == ["Message 13", "Message 14", "now", "only"]
+    assert request == ["turn no 13", "turn no 14", "now", "only"]
 
 
-@pytest.mark.parametrize("per_pass, few", [(1000, 100), (2, 100), (1000, 0), (2, 0)])
-def test_keyword_search(spark, rows, per_pass, few, monkeypatch):
-    monkeypatch.setattr(c, "FEW_KEYWORDS", few)
+@pytest.mark.parametrize("max_bytes", [1 << 20, 40])
+def test_keyword_search(spark, rows, max_bytes):
     episodes = spark.createDataFrame([(1, "All about AI"), (2, "100% pure"), (3, "x")], "episode_id bigint, episode_title string")
     texts = spark.createDataFrame([(1, "nothing"), (2, "hair_style"), (3, "HAIR and ÉTÉ")], "episode_id bigint, transcript_text string")
     words = spark.createDataFrame(
         [(1, "ai"), (2, "0% P"), (3, "_"), (4, "été"), (5, ""), (6, None), (7, "%"), (8, "AI")],
         "query_id bigint, keyword string",
     )
-    got = c.keyword_search(words, episodes, texts, per_pass)
+    got = c.keyword_search(words, episodes, texts, max_bytes)
     assert rows(got, "query_id", "episode_id", "in_title", "in_transcript") == [
         (1, 1, True, False), (1, 2, False, True), (1, 3, False, True), (2, 2, True, False), (3, 2, False, True),
         (4, 3, False, True), (7, 2, True, False), (8, 1, True, False), (8, 2, False, True), (8, 3, False, True),
     ]
-    assert c.keyword_search(words.limit(0), episodes, texts, per_pass).count() == 0
+    assert c.keyword_search(words.limit(0), episodes, texts, max_bytes).count() == 0
 
 
 def test_facets(spark, rows):

@@ -11,11 +11,11 @@ FEED = (
     "row_id bigint, title string, published string, language string, link string, new_feed_url string, "
     "links array<struct<rel:string,type:string,href:string>>"
 )
-GOOD_DATE = "Mon, 01 Jan 2024 12:00:00 +0000"
+GOOD_DATE = "Tue, 05 Jul 2022 08:30:00 +0000"
 RSS = "application/rss+xml"
 
 
-def feed(row_id, title="My Podcast", published=GOOD_DATE, language="en-us", link="https://e.com/f", moved=None, links=()):
+def feed(row_id, title="Night Trains", published=GOOD_DATE, language="pt-br", link="https://e.com/f", moved=None, links=()):
     return (row_id, title, published, language, link, moved, list(links))
 
 
@@ -70,6 +70,30 @@ def test_guid_stands_in_for_the_link(spark):
     assert [r["url"] for r in unreadable_feeds(raw).collect()] == ["broken"]
 
 
+def test_atom_documents(spark):
+    entries_ = (
+        '<entry><title type="html">One &amp; only</title><link href="https://e.com/p"/>'
+        '<link rel="enclosure" href="https://e.com/a.mp3"/><updated>2022-07-05T08:30:00+02:00</updated></entry>'
+        "<entry><title>Two</title><published>2022-07-04</published></entry>"
+    )
+    body = f'<feed xml:lang="fi"><title>F</title><link rel="self" href="https://e.com/s"/>{entries_}</feed>'
+    raw = spark.createDataFrame(
+        [("https://e.com/1.xml", body, datetime(2024, 1, 1)), ("bad", "<feed>", datetime(2024, 1, 1))],
+        "url string, body string, fetched_at timestamp_ntz",
+    )
+    feeds, _ = parse_feeds(raw)
+    assert tuple(feeds.filter("title = 'F'").select("language", "link", "links").first()) == (
+        "fi", None, [("self", None, "https://e.com/s")]
+    )
+    known = spark.createDataFrame([(1, "P", "https://e.com/1.xml")], "podcast_id bigint, podcast_name string, podcast_url string")
+    got = ingest.landed_entries(raw, known).orderBy("feed_pos").collect()
+    assert [(r["title"], r["link"], r["published_parsed"]) for r in got] == [
+        ("One & only", "https://e.com/p", datetime(2022, 7, 5, 6, 30)), ("Two", None, datetime(2022, 7, 4)),
+    ]
+    assert ingest.validate_episodes(ingest.landed_entries(raw, known))[0].first()["audio_url"] == "https://e.com/a.mp3"
+    assert [r["url"] for r in unreadable_feeds(raw).collect()] == ["bad"]
+
+
 def test_gate_feed_urls(spark):
     urls = ["a.rss", "a.xml", "a.json", "", None, "a.RSS"]
     got = ingest.gate_feed_urls(spark.createDataFrame([(u,) for u in urls], "url string"))
@@ -81,18 +105,18 @@ def test_gate_feed_urls(spark):
 
 def test_validate_feeds(spark):
     given = [
-        feed(0), feed(1, title="  My Podcast  ", language="  EN-US  "), feed(2, title=None), feed(3, title=""),
-        feed(4, published=None), feed(5, published="2024-01-01"), feed(6, language=None), feed(7, language=" "),
-        feed(8, link=None), feed(9, title="Podcast & Show #1", language="zh-CN"),
-        feed(10, published="Mon, 01 Jan 2024 12:00:00 -0500"),
+        feed(0), feed(1, title="\tNight Trains ", language=" PT-BR  "), feed(2, title=None), feed(3, title=""),
+        feed(4, published=None), feed(5, published="2022-07-05"), feed(6, language=None), feed(7, language=" "),
+        feed(8, link=None), feed(9, title="Tea & Toast %2", language="nl-BE"),
+        feed(10, published="Tue, 05 Jul 2022 08:30:00 -0700"),
     ]
     accepted, rejected = ingest.validate_feeds(spark.createDataFrame(given, FEED))
     assert accepted.columns == ["row_id", "podcast_name", "publish_date", "language_name", "podcast_url"]
     good = {r["row_id"]: tuple(r)[1:] for r in accepted.collect()}
-    noon = datetime(2024, 1, 1, 12)
-    assert good[0] == ("My Podcast", noon, "en-us", "https://e.com/f.rss") == good[1]
-    assert good[9][0] == "Podcast & Show #1" and good[9][2] == "zh-cn"
-    assert good[10][1] == datetime(2024, 1, 1, 17)
+    morning = datetime(2022, 7, 5, 8, 30)
+    assert good[0] == ("Night Trains", morning, "pt-br", "https://e.com/f.rss") == good[1]
+    assert good[9][0] == "Tea & Toast %2" and good[9][2] == "nl-be"
+    assert good[10][1] == datetime(2022, 7, 5, 15, 30)
     assert {r["row_id"]: r["reject_reason"] for r in rejected.collect()} == {
         2: "title", 3: "title", 4: "published", 5: "published", 6: "language", 7: "language", 8: "link",
     }
@@ -155,7 +179,7 @@ def test_entries_after_the_cutoff_only(spark, rows):
 
 
 def test_first_entries_of_a_new_podcast(spark, rows):
-    given = entries(spark, *[entry(i, parsed=None, published=f"2024-01-{30 - i:02d}") for i in range(30)])
+    given = entries(spark, *[entry(i, parsed=None, published=f"day {i}") for i in range(30)])
     got = ingest.select_new_episodes(given, cutoffs(spark))
     assert sorted(r["feed_pos"] for r in got.collect()) == list(range(20))
     empty = cutoffs(spark, (1, None))
@@ -210,15 +234,15 @@ def test_audio_url(spark, links, link, href, expected):
 def test_validate_episodes_keeps_the_good_ones(spark, rows):
     given = entries(
         spark, entry(0, title=" One "), entry(1, title=None), entry(2, title="  "), entry(3, links=[]),
-        entry(4, parsed=None), entry(5, parsed=None, published="invalid-date"),
-        entry(6, parsed=None, published="Sun, 16 Nov 2025 23:55:00 -0100"),
-        entry(7, parsed=datetime(2024, 1, 1), published="Sun, 16 Nov 2025 23:55:00 +0000"),
+        entry(4, parsed=None), entry(5, parsed=None, published="sometime"),
+        entry(6, parsed=None, published="Sat, 11 May 2019 22:40:00 -0200"),
+        entry(7, parsed=datetime(2024, 1, 1), published="Sat, 11 May 2019 22:40:00 +0000"),
         entry(8, podcast=None), entry(9, podcast=2, name=None), entry(10, podcast=3, title=""),
     )
     accepted, rejected = ingest.validate_episodes(given)
     assert rows(accepted, "feed_pos", "episode_title", "published_at", "transcribed") == [
         (0, "One", datetime(2024, 1, 15, 10, 30), False),
-        (6, "Episode", datetime(2025, 11, 17, 0, 55), False),
+        (6, "Episode", datetime(2019, 5, 12, 0, 40), False),
         (7, "Episode", datetime(2024, 1, 1), False),
     ]
     assert dict(rows(rejected, "feed_pos", "reject_reason")) == {
@@ -263,6 +287,9 @@ def test_append_checks_ids(spark):
     assert table.count() == 2 and table.first()["uploaded_at"] == datetime(2024, 2, 2)
     with pytest.raises(ValueError):
         ingest.append_episodes(inserted.limit(0), inserted.withColumn("episode_id", F.lit(1)))
+    # A row given twice is one row, in the table and in the report.
+    twice, outcomes = ingest.load_episodes(accepted.unionByName(accepted), none, podcasts)
+    assert twice.count() == outcomes.filter("outcome = 'inserted'").count() == outcomes.count() == 2
     with pytest.raises(ValueError, match="is taken"):
         ingest.append_episodes(inserted.withColumn("audio_url", F.lit("other")), inserted)
 

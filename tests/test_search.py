@@ -1,6 +1,9 @@
 """Search against brute force, ties and hot episodes included."""
 
+import tempfile
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,7 +73,7 @@ def brute(queries, chunks, k, threshold=None, per_episode=False, own=None, withi
     return out
 
 
-WAYS = [{}, {"max_query_bytes": 0, "query_tile": 3, "chunk_tile": 50}]
+WAYS = [{}, {"max_query_bytes": 200}]
 
 
 def picked(hits, chunk=True):
@@ -107,12 +110,12 @@ def test_similar_episodes_leave_themselves_out(spark, corpus, tables, options):
 
 
 def test_many_queries_few_chunks(spark, corpus):
-    """More queries than chunks: the tiles are bounded by the queries as well."""
+    """More queries than chunks, in blocks."""
     few = corpus[0].filter("chunk_index < 60")
     rng = np.random.default_rng(8)
     rows = [(i, i % 31, rng.normal(size=DIM).tolist()) for i in range(500)]
     asked = spark.createDataFrame(rows, "query_id bigint, episode_id bigint, query_vector array<double>")
-    got = search.search_within(asked, few, 2, max_query_bytes=0, query_tile=20, chunk_tile=1000)
+    got = search.search_within(asked, few, 2, max_query_bytes=4000)
     chunks = [r for r in corpus[1] if r[1] < 60]
     assert picked(got) == brute([(i, q) for i, _, q in rows], chunks, 2, within={i: e for i, e, _ in rows})
 
@@ -139,7 +142,7 @@ def test_distance_ranking(corpus, queries, tables):
 def test_approximate_search(corpus, queries):
     df = corpus[0]
     centers = search.train_cells(df, n_cells=8)
-    cells = search.assign_cells(df, centers)
+    cells = search.store_cells(df, centers, f"{tempfile.mkdtemp(prefix='earshot-cells-')}/cells")
     assert cells.count() == 601
     exact = brute(queries[1], corpus[1], 5)
     # The vector without direction sits in some cell but never matches.
@@ -149,10 +152,47 @@ def test_approximate_search(corpus, queries):
     assert len(chunk(near) & chunk(exact)) >= 0.7 * len(exact)
 
 
-def test_wrong_dimension_fails(spark, corpus):
-    wrong = spark.createDataFrame([(1, [1.0, 2.0])], "query_id bigint, query_vector array<double>")
-    with pytest.raises(Exception, match="dimensions"):
-        best_matches(wrong, corpus[0], Ranking(3)).frame.collect()
+def test_vectors_of_another_size_match_nothing(spark, corpus):
+    asked = spark.createDataFrame([(1, [1.0, 2.0])], "query_id bigint, query_vector array<double>")
+    assert best_matches(asked, corpus[0], Ranking(3)).frame.count() == 0
+    chunks = spark.createDataFrame(
+        [(1, 0, [1.0, 2.0]), (1, 1, [1.0, 2.0, 3.0]), (1, 2, [4.0]), (1, 3, [None, 2.0]), (1, 4, [2.0, 4.0])],
+        "episode_id bigint, chunk_index bigint, transcript_embedding array<float>",
+    )
+    got = best_matches(asked, chunks, Ranking(9)).frame.orderBy("rank").collect()
+    assert [(r["chunk_index"], r["score"]) for r in got] == [(0, pytest.approx(1.0)), (4, pytest.approx(1.0))]
+    mixed = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0])], "query_id bigint, query_vector array<double>")
+    with pytest.raises(ValueError, match="one dimension"):
+        best_matches(mixed, chunks, Ranking(3))
+
+
+def test_threshold_is_compared_unrounded(spark):
+    """Scores just over and just under the threshold, closer than nine decimals."""
+    over, under = 0.5 + 2e-11, 0.5 - 2e-11
+    vectors = [[s, float(np.sqrt(1 - s * s))] for s in (over, under)]
+    chunks = spark.createDataFrame(
+        [(1, i, v) for i, v in enumerate(vectors)], "episode_id bigint, chunk_index bigint, transcript_embedding array<double>"
+    )
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], "query_id bigint, query_vector array<double>")
+    assert [r["chunk_index"] for r in best_matches(asked, chunks, Ranking(5, threshold=0.5)).frame.collect()] == [0]
+    ranked = best_matches(asked, chunks, Ranking(5)).frame.orderBy("rank").collect()
+    assert [r["chunk_index"] for r in ranked] == [0, 1]
+
+
+def test_many_queries_in_one_task():
+    import time
+
+    from earshot.operators import scoring
+
+    dice = np.random.default_rng(3)
+    queries = scoring._Queries(np.arange(20_000), dice.normal(size=(20_000, 64)), np.zeros(20_000), None)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(320)), pa.array(np.arange(320)), pa.array(list(dice.normal(size=(320, 64))))],
+        ["episode_id", "chunk_index", "transcript_embedding"],
+    )
+    started = time.perf_counter()
+    best = scoring._scan(queries, Ranking(5), iter([batch]))
+    assert len(best["query"]) == 100_000 and time.perf_counter() - started < 5
 
 
 def test_no_queries_no_hits(spark, corpus):

@@ -1,6 +1,11 @@
+import tempfile
 from datetime import datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from earshot.schemas import FEED_DOCUMENT, FEED_ENTRY
+from earshot.streaming import ingest_stream as ingest_stream_module
 from earshot.streaming.ingest_stream import ingest_stream, load_batch, read_target
 
 POLLS = {1: datetime(2024, 2, 1), 2: datetime(2024, 2, 2), 3: datetime(2024, 2, 3)}
@@ -76,6 +81,27 @@ def test_repeats_may_be_dropped_early(spark, folder):
     assert run(spark, folder, drop_repeats_within="7 days").count() == 2
 
 
+def test_files_may_be_cut_into_batches_anyhow(spark, rows):
+    """One opening poll and one later poll over eight files each."""
+    opening = [entry(p, i, f"https://e.com/{p}-{i % 40}.mp3", JAN, 1) for p in (1, 2) for i in range(60)]
+    later = [entry(p, i, f"https://e.com/late-{i}.mp3", FEB2, 2) for p in (1, 2) for i in range(30)]
+    results = []
+    for files in (1, 3, 1000):
+        folder = tempfile.mkdtemp(prefix="earshot-test-")
+        for poll in (opening, later):
+            frame(spark, *poll).repartition(8, "feed_pos").write.mode("append").parquet(f"{folder}/landing")
+            got = run(spark, folder, files_per_batch=files)
+        results.append(rows(got, "podcast_id", "audio_url", "uploaded_at"))
+    assert len(results[0]) == 20 + 20 + 30 and results[0] == results[1] == results[2]
+
+
+def test_ids_of_the_stream_are_checked(spark, folder, monkeypatch):
+    monkeypatch.setattr(ingest_stream_module, "hash_id", lambda col: F.when(col.isNotNull(), F.lit(5)).cast("long"))
+    batch = frame(spark, entry(1, 0, "https://e.com/a.mp3", JAN, 1), entry(1, 1, "https://e.com/b.mp3", JAN, 1))
+    with pytest.raises(ValueError, match="stands for two keys"):
+        load_batch(batch, 0, podcasts(spark), f"{folder}/episodes")
+
+
 def test_documents_land_as_they_are(spark, folder, rows):
     item = "<item><title>T{0}</title><pubDate>Mon, 01 Jan 2024 12:00:00 +0000</pubDate><enclosure url='https://e.com/{0}.mp3'/></item>"
     body = "<rss><channel>" + "".join(item.format(i) for i in range(4)) + "</channel></rss>"

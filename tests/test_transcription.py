@@ -65,6 +65,17 @@ def test_stitch_uses_the_durations_before(spark):
     ]
 
 
+def test_stitch_adds_up_what_came_before(spark):
+    slices = spark.createDataFrame(
+        [(1, 0, 120.0), (1, 1, 120.0), (1, 2, 37.213)], "episode_id bigint, slice_index int, duration_s double"
+    )
+    segments = spark.createDataFrame(
+        [(1, i, 0, "A", 0.0, 1.0, "x") for i in range(3)],
+        "episode_id bigint, slice_index int, pos int, speaker string, start_time double, end_time double, text string",
+    )
+    assert [r["start_time"] for r in t.stitch_segments(slices, segments).collect()] == [0.0, 120.0, 240.0]
+
+
 def test_assemble_text_fails_with_any_slice(spark, rows):
     df = spark.createDataFrame(
         [(1, 1, True, " two "), (1, 0, True, "one"), (2, 0, True, "x"), (2, 1, False, None), (3, 0, None, "y")],
