@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from earshot.llm.blocks import BLOCKS, block_number, by_bucket, pack40, read_ipc, records, to_ipc, unpack40
 from earshot.llm.common import Words, as_bytes, mix, numbered, quoted, settled
 from earshot.llm.components import components
-from earshot.session import fixed
+from earshot.session import fixed, scratch_path
 
 WORDS, PERCENT = 5, 80
 # Text hashed at a time.
@@ -276,6 +278,20 @@ def _rows_of(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(spread, "id long, n long, tokens binary, parts binary")
 
 
+@contextmanager
+def _stored_rows(sets: DataFrame) -> Iterator[DataFrame]:
+    """The sets by id as a table in buckets: joins with pairs move the pairs only."""
+    spark = sets.sparkSession
+    name = f"earshot_sets_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = _rows_of(sets).repartition(buckets, "id")
+    spread.write.bucketBy(buckets, "id").option("path", scratch_path(spark, "sets")).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def _possible(n: str, m: str, i: str, j: str, percent: int) -> str:
     """Length and positional filter as a condition: sizes that can link, and enough tokens from the places on."""
     return (
@@ -304,7 +320,7 @@ def _suffix_filter(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs that link, by their whole sets. ``a`` is joined first, so its copies travel once."""
+    """Pairs that link, by their whole sets."""
     side = lambda name: rows.select(F.col("id").alias(name), F.col("tokens").alias(f"t_{name}"))
     joined = _suffix_filter(pairs, rows, percent).join(side("a"), "a").join(side("b"), "b")
 
@@ -333,10 +349,23 @@ def similar_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     Links inside a component that is known already are not looked for: they
     change nothing.
     """
-    entries = fixed(_prefix_entries(sets, percent))
-    rows = _rows_of(sets)
-    labels = None
-    links = None
+    with _stored_rows(sets) as rows:
+        return components(_links(fixed(_prefix_entries(sets, percent)), rows, percent))
+
+
+def _links(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Enough links to connect whatever links connect, written down."""
+    labels = links = tested = None
+
+    def verified(pairs: DataFrame) -> None:
+        """Look at the pairs that were not looked at before."""
+        nonlocal links, tested
+        new = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        new = fixed(new)
+        found = fixed(_verified(new, rows, percent))
+        tested = new if tested is None else tested.unionByName(new)
+        links = found if links is None else links.unionByName(found)
+
     for turn in range(PIVOT_ROUNDS):
         own = _labelled(entries, labels)
         first = F.min(F.struct("pos", "id", "n", "label")) if turn == 0 else F.max(F.struct("pos", "id", "n", "label"))
@@ -346,23 +375,20 @@ def similar_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         )
         met = own.join(pivots, "token").filter("label <> p_label")
         met = met.filter(_possible("n", "p_n", "pos", "p_pos", percent))
-        pairs = met.select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct()
-        found = fixed(_verified(pairs, rows, percent))
-        links = found if links is None else links.unionByName(found)
+        verified(met.select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct())
         labels = fixed(components(links))
     own = _labelled(entries, labels)
     mixed = own.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
     rest = fixed(own.join(mixed.select("token"), "token"))
     other = rest.select("token", *[F.col(c).alias(f"o_{c}") for c in ("id", "n", "pos", "label")])
-    pairs = (
+    verified(
         rest.join(other, "token")
         .filter("id < o_id AND label <> o_label")
         .filter(_possible("n", "o_n", "pos", "o_pos", percent))
         .select(F.col("id").alias("a"), F.col("o_id").alias("b"))
         .distinct()
     )
-    found = fixed(_verified(pairs, rows, percent))
-    return components(links.unionByName(found))
+    return links
 
 
 def _labelled(entries: DataFrame, labels: DataFrame | None) -> DataFrame:

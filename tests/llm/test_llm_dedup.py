@@ -153,7 +153,9 @@ def test_one_per_class(spark, folder):
     assert kept.count() == alone + len(linked)
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("block", [500_000, 9])
+def test_components_of_chains_and_stars(spark, monkeypatch, block):
+    monkeypatch.setattr(components, "BLOCK_LINKS", block)
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(200, 260)] + [(255, 3)]
     got = components.components(spark.createDataFrame(chain + star + [(9, 9)], "a long, b long")).collect()
