@@ -13,6 +13,7 @@ segments are neighbours, and segments with a common anchor stand together.
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -282,7 +283,7 @@ def merged(runs: list[Run]) -> Iterator[tuple[bytes, int, tuple[int, int, int]]]
 
 
 _RUNS = "part int, strings binary, sizes binary, ranks binary"
-_COVERS = "bucket int, covers binary, window binary, doc long, row long, start long"
+_COVERS = "bucket int, covers binary, windows binary, ranks binary"
 
 
 def _suffixes(batch: pa.RecordBatch, length: int) -> Iterator[tuple[list[bytes], list[tuple[int, int, int]]]]:
@@ -306,12 +307,12 @@ def _covers(rows: list[tuple[int, int, int]], buckets: int) -> pa.RecordBatch:
     own = np.array(rows, COVER)
     groups = list(by_bucket(own["row"].astype(np.uint64), buckets))
     blank = [None] * len(groups)
-    return _cover_batch([b for b, _ in groups], [own[at].tobytes() for _, at in groups], blank, blank, blank, blank)
+    return _cover_batch([b for b, _ in groups], [own[at].tobytes() for _, at in groups], blank, blank)
 
 
 def _cover_batch(*columns) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-    names = ["bucket", "covers", "window", "doc", "row", "start"]
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    names = ["bucket", "covers", "windows", "ranks"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
@@ -343,10 +344,11 @@ def _size(suffix: bytes) -> int:
     return len(suffix) - 1
 
 
-def _repeats_in(group: list[tuple[bytes, tuple[int, int, int]]], length: int) -> Iterator[tuple[int, int, int]]:
-    """Bytes covered by strings that an earlier segment of the group holds."""
-    seen: set[bytes] = set()
-    for suffix, (_, row, start) in sorted(group, key=lambda x: x[1]):
+def _repeats_in(
+    group: list[tuple[bytes, tuple[int, int, int]]], length: int, seen: dict[bytes, tuple[int, int, int]]
+) -> Iterator[tuple[int, int, int]]:
+    """Bytes covered by strings that an earlier segment of the group holds; ``seen`` gets the first of each string."""
+    for suffix, (doc, row, start) in sorted(group, key=lambda x: x[1]):
         text = segment_of(suffix)
         begin = end = -1
         for at in range(len(text) - length + 1):
@@ -358,13 +360,51 @@ def _repeats_in(group: list[tuple[bytes, tuple[int, int, int]]], length: int) ->
                     begin = start + at
                 end = start + at + length
             else:
-                seen.add(string)
+                seen[string] = doc, row, start + at
         if begin >= 0:
             yield row, begin, end
 
 
+def _packed_windows(seen: dict[bytes, tuple[int, int, int]], buckets: int) -> pa.RecordBatch:
+    """Strings and ranks, a row per bucket of the strings."""
+    own = list(seen)
+    bucket = np.array([zlib.crc32(w) for w in own], np.uint64)
+    ranks = np.array([seen[w] for w in own], RANK)
+    groups = list(by_bucket(bucket, buckets))
+    return _cover_batch(
+        [b for b, _ in groups],
+        [None] * len(groups),
+        [b"".join([own[i] for i in at.tolist()]) for _, at in groups],
+        [ranks[at].tobytes() for _, at in groups],
+    )
+
+
+def _settle_windows(packed: DataFrame, buckets: int, length: int) -> DataFrame:
+    """Covers of the strings that several parts hold: all but the earliest."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[bytes, tuple[int, int, int]] = {}
+        covers = []
+        for batch in batches:
+            for windows, ranks in zip(batch.column("windows").to_pylist(), batch.column("ranks").to_pylist()):
+                for i, rank in enumerate(np.frombuffer(ranks, RANK).tolist()):
+                    window = windows[i * length : (i + 1) * length]
+                    known = first.get(window)
+                    if known is None or rank < known:
+                        first[window], rank = rank, known
+                    if rank is not None:
+                        covers.append((rank[1], rank[2], rank[2] + length))
+        if covers:
+            yield _covers(covers, buckets)
+
+    return packed.repartition(buckets, "bucket").mapInArrow(settle, _COVERS)
+
+
 def _merge_parts(found: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
-    """Covered bytes of the runs of each part, and the strings of groups that may go on in the next part."""
+    """Covered bytes of the runs of each part, and the strings of groups that may go on in the next part.
+
+    Of those strings the first in the part travels on, packed by bucket.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list[Run]] = {}
@@ -383,7 +423,7 @@ def _merge_parts(found: DataFrame, buckets: int, length: int, gram: int) -> Data
                 if at_edge:
                     edges.extend(group)
                 elif len(group) > 1:
-                    covers.extend(_repeats_in(group, length))
+                    covers.extend(_repeats_in(group, length, {}))
 
             before = b""
             for suffix, shared, rank in merged(runs):
@@ -401,17 +441,12 @@ def _merge_parts(found: DataFrame, buckets: int, length: int, gram: int) -> Data
                     covers = []
             if group:
                 close(True)
+            seen: dict[bytes, tuple[int, int, int]] = {}
+            covers.extend(_repeats_in(edges, length, seen))
             if covers:
                 yield _covers(covers, buckets)
-            for first in range(0, len(edges), 1000):
-                windows = [
-                    (text[at : at + length], rank[0], rank[1], rank[2] + at)
-                    for suffix, rank in edges[first : first + 1000]
-                    for text in [segment_of(suffix)]
-                    for at in range(len(text) - length + 1)
-                ]
-                blank = [None] * len(windows)
-                yield _cover_batch(blank, blank, *zip(*windows))
+            if seen:
+                yield _packed_windows(seen, buckets)
 
     return found.repartitionById(buckets, F.col("part")).mapInArrow(merge, _COVERS)
 
@@ -487,14 +522,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                 )
 
     merged_parts = _stored(_merge_parts(found.mapInArrow(runs, _RUNS), buckets, length, gram), "covers")
-    windows = merged_parts.filter("window IS NOT NULL").select("window", "doc", "row", "start")
-    rank = F.struct("doc", "row", "start")
-    earliest = windows.groupBy("window").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    again = (
-        windows.join(earliest.drop("n"), "window")
-        .filter((F.col("row") != F.col("first.row")) | (F.col("start") != F.col("first.start")))
-        .select(F.col("row"), F.col("start"), (F.col("start") + length).alias("end"))
-    )
+    edge_covers = _settle_windows(merged_parts.filter("windows IS NOT NULL"), buckets, length)
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Covers of a bucket, one row per document and part."""
@@ -522,14 +550,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     whole = merged_parts.filter("covers IS NOT NULL").select("bucket", "covers")
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield _covers(list(zip(*[c.to_pylist() for c in batch.columns])), buckets)
-
-    edge_covers = again.mapInArrow(pack, _COVERS).select("bucket", "covers")
     by_row = (
-        whole.unionByName(edge_covers)
+        whole.unionByName(edge_covers.select("bucket", "covers"))
         .repartition(buckets, "bucket")
         .select("covers")
         .mapInArrow(gather, "_row long, covers binary")
