@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.llm.common import SPACE, quoted
+from earshot.llm.common import SPACE, quoted, settled
 from earshot.session import fixed
 
 # Size of the summary of frequent items, and how many of them are split off.
@@ -30,6 +30,13 @@ def frequent(rows: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> Dat
 
 def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = HEAVY, tracked: int = TRACKED
+) -> DataFrame:
+    """Every row with the row of equal text that stays: ``grouped_rows`` without the row number."""
+    return grouped_rows(docs, id_col, text_col, heavy, tracked).drop("_row")
+
+
+def grouped_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = HEAVY, tracked: int = TRACKED
 ) -> DataFrame:
     """Every row with the row of equal text that stays.
 
@@ -39,7 +46,7 @@ def exact_groups(
     stays. Frequent digests are found by a Misra-Gries summary, their winners
     are counted exactly and, being ``heavy`` at most, broadcast: their copies are
     settled where they are read. All other digests meet in one shuffle of slim
-    rows. Columns: ``doc_id, keep_id, group_size, kept, text_sha256``; other
+    rows. Columns: ``doc_id, keep_id, group_size, kept, text_sha256, _row``; other
     columns of the input, whatever their names, play no part. An empty table
     gives an empty result.
     """
@@ -69,19 +76,14 @@ def exact_groups(
         F.col("group_size"),
         (F.col("_keep._row") == F.col("_row")).alias("kept"),
         F.lower(F.hex("_digest")).alias("text_sha256"),
+        F.col("_row"),
     ]
     return common.select(*columns).unionByName(rest.select(*columns))
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns.
-
-    They are found again by id and digest; of rows equal in both one is kept.
-    """
-    kept = exact_groups(docs).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("_exact_id"), F.unhex("text_sha256").alias("_exact_key"))
-    own = docs.withColumn("_exact_digest", _digest(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_exact_id")) & (F.col("_exact_digest") == F.col("_exact_key"))
-    one = Window.partitionBy("doc_id", "_exact_digest").orderBy("_exact_digest")
-    first = own.join(kept, same).withColumn("_exact_nth", F.row_number().over(one)).filter("_exact_nth = 1")
-    return first.select(*[quoted(c) for c in docs.columns])
+    """The rows that stay, with all their columns; texts are moved once."""
+    docs = settled(docs)
+    kept = grouped_rows(docs).filter("kept").select(F.col("_row").alias("_exact_row"))
+    rows = docs.withColumn("_exact_row", F.monotonically_increasing_id())
+    return rows.join(kept, "_exact_row", "left_semi").select(*[quoted(c) for c in docs.columns])
