@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import heapq
+import json
 import math
+import os
+import re
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -19,7 +22,35 @@ END_ID = 2
 # Pieces that are spread over windows together; the blocks are independent.
 BLOCK_PIECES = 1000
 # Chunks a task remembers the ids of, and the longest one it does.
-MEMORY, LONGEST = 400_000, 64
+MEMORY, LONGEST = 600_000, 64
+# Steps of a tokenizer under which a word's ids do not depend on the stops behind it.
+WORD_STEPS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+# Latin letters as UTF-8 (A-Z, a-z and the letters of Latin-1, all composed), then stops.
+_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+# Characters that byte-level vocabularies write in place of unprintable bytes.
+_UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTABLE)}
 
 
 class ChunkTokenizer:
@@ -27,36 +58,63 @@ class ChunkTokenizer:
 
     The tokenizer drops white space and never joins across it, so a text's ids
     are those of its chunks between ASCII white space, one after the other. A
-    chunk met before is looked up.
+    chunk met before is looked up. A new one that is a word of Latin letters and
+    stops behind it is put together from both, if the tokenizer's steps are the
+    ones that makes right (lower case, words apart from stops, byte-level pairs);
+    any other is handed to the tokenizer.
     """
 
     def __init__(self, path: str, end_id: int):
+        # One thread per task: Spark runs as many tasks as there are cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = array("I", [end_id]).tobytes()
         self.known: dict[bytes, bytes] = {}
-
-    def batch(self, raw: list[bytes]) -> list[bytes]:
+        self.words: dict[bytes, bytes] = {}
+        with open(path, "rb") as file:
+            steps = json.loads(file.read())
+        self.by_word = {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
+
+    def _word(self, word: bytes) -> bytes:
+        letters = word.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+        ids = self.words[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        return ids
+
+    def _add(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new chunks; those of long ones are returned and not kept."""
+        known, words, passing, rest = self.known, self.words, {}, []
+        for chunk in chunks:
+            parts = _WORD.fullmatch(chunk) if self.by_word and len(chunk) <= LONGEST else None
+            if parts is None:
+                rest.append(chunk)
+                continue
+            word, stops = parts.groups()
+            ids = words.get(word) or self._word(word)
+            known[chunk] = ids + (words.get(stops) or self._stops(stops)) if stops else ids
+        if rest:
+            coded = self.tokenizer.encode_batch_fast([c.decode() for c in rest], add_special_tokens=False)
+            for chunk, code in zip(rest, coded):
+                (known if len(chunk) <= LONGEST else passing)[chunk] = array("I", code.ids).tobytes()
+        return passing
+
+    def _stops(self, stops: bytes) -> bytes:
+        ids = self.tokenizer.encode(stops.decode(), add_special_tokens=False).ids
+        self.words[stops] = array("I", ids).tobytes()
+        return self.words[stops]
+
+    def batch(self, raw: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        known = self.known
-        out = []
-        for text in raw:
-            chunks = text.split()
-            new = list({c for c in chunks if c not in known})
-            passing = {}
-            if new:
-                coded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-                for chunk, code in zip(new, coded):
-                    (known if len(chunk) <= LONGEST else passing)[chunk] = array("I", code.ids).tobytes()
-            if passing:
-                ids = b"".join([known[c] if c in known else passing[c] for c in chunks])
-            else:
-                ids = b"".join([known[c] for c in chunks])
-            out.append(ids + self.end)
-        return out
+        for first in range(0, len(raw), 256):
+            if len(self.known) > MEMORY:
+                self.known.clear()
+                self.words.clear()
+            split = [text.split() for text in raw[first : first + 256]]
+            passing = self._add(set().union(*split) - self.known.keys())
+            known = {**passing, **self.known} if passing else self.known
+            for chunks in split:
+                yield b"".join(map(known.__getitem__, chunks)) + self.end
 
 
 def differencing(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, int]:
@@ -67,7 +125,7 @@ def differencing(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, int]:
     the emptiest of the other, until one is left.
     """
     count = len(sizes)
-    left, right = np.full(2 * count * 1, -1, np.int64), np.full(2 * count, -1, np.int64)
+    left, right = np.full(2 * count, -1, np.int64), np.full(2 * count, -1, np.int64)
     fresh = count
     heap = [(-int(s), i) for i, s in enumerate(sizes)]
     heapq.heapify(heap)
@@ -118,8 +176,7 @@ def spread_over_windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
         window, largest = differencing(sizes, windows)
         if largest <= capacity:
             return window
-        # Half of the excess at a time, so that the count does not shoot over.
-        windows += max(1, int(windows * (largest - capacity) / capacity / 2))
+        windows += max(1, int(windows * (largest - capacity) / capacity))
 
 
 def pack(
