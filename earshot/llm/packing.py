@@ -21,8 +21,8 @@ CAPACITY = 4096
 END_ID = 2
 # Pieces that are spread over windows together; the blocks are independent.
 BLOCK_PIECES = 1000
-# Chunks a task remembers the ids of, and the longest one it does.
-MEMORY, LONGEST = 600_000, 64
+# Chunks, and words, whose ids a worker remembers, and the longest one it does.
+MEMORY, LONGEST = 800_000, 64
 # Steps of a tokenizer under which a word's ids do not depend on the stops behind it.
 WORD_STEPS = {
     "normalizer": {
@@ -71,33 +71,26 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = array("I", [end_id]).tobytes()
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Chunks(self._chunk)
         self.words: dict[bytes, bytes] = {}
         with open(path, "rb") as file:
             steps = json.loads(file.read())
         self.by_word = {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
 
     def _word(self, word: bytes) -> bytes:
-        letters = word.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+        letters = word.lower().decode("latin-1")
+        if not word.isascii():
+            letters = word.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
         ids = self.words[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
         return ids
 
-    def _add(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of new chunks; those of long ones are returned and not kept."""
-        known, words, passing, rest = self.known, self.words, {}, []
-        for chunk in chunks:
-            parts = _WORD.fullmatch(chunk) if self.by_word and len(chunk) <= LONGEST else None
-            if parts is None:
-                rest.append(chunk)
-                continue
-            word, stops = parts.groups()
-            ids = words.get(word) or self._word(word)
-            known[chunk] = ids + (words.get(stops) or self._stops(stops)) if stops else ids
-        if rest:
-            coded = self.tokenizer.encode_batch_fast([c.decode() for c in rest], add_special_tokens=False)
-            for chunk, code in zip(rest, coded):
-                (known if len(chunk) <= LONGEST else passing)[chunk] = array("I", code.ids).tobytes()
-        return passing
+    def _chunk(self, chunk: bytes) -> bytes:
+        parts = _WORD.fullmatch(chunk) if self.by_word and len(chunk) <= LONGEST else None
+        if parts is None:
+            return array("I", self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
+        word, stops = parts.groups()
+        ids = self.words.get(word) or self._word(word)
+        return ids + (self.words.get(stops) or self._stops(stops)) if stops else ids
 
     def _stops(self, stops: bytes) -> bytes:
         ids = self.tokenizer.encode(stops.decode(), add_special_tokens=False).ids
@@ -106,15 +99,37 @@ class ChunkTokenizer:
 
     def batch(self, raw: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""
-        for first in range(0, len(raw), 256):
-            if len(self.known) > MEMORY:
-                self.known.clear()
+        known = self.known
+        for text in raw:
+            if len(known) > MEMORY:
+                known.clear()
+            if len(self.words) > MEMORY:
                 self.words.clear()
-            split = [text.split() for text in raw[first : first + 256]]
-            passing = self._add(set().union(*split) - self.known.keys())
-            known = {**passing, **self.known} if passing else self.known
-            for chunks in split:
-                yield b"".join(map(known.__getitem__, chunks)) + self.end
+            yield b"".join(map(known.__getitem__, text.split())) + self.end
+
+
+class _Chunks(dict):
+    """Ids by chunk; one that is not known is made, and kept if it is short."""
+
+    def __init__(self, make: Callable[[bytes], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.make(chunk)
+        if len(chunk) <= LONGEST:
+            self[chunk] = ids
+        return ids
+
+
+def worker_tokenizer(path: str, end_id: int) -> ChunkTokenizer:
+    """The worker process's tokenizer: Spark runs task after task in it, and what one looked up serves the next."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_earshot_kept", {})
+    if (path, end_id) not in kept:
+        kept[path, end_id] = ChunkTokenizer(path, end_id)
+    return kept[path, end_id]
 
 
 def differencing(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, int]:
@@ -201,7 +216,7 @@ def pack(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ChunkTokenizer(tokenizer_path, end_id)
+        tokenizer = worker_tokenizer(tokenizer_path, end_id)
         for batch in batches:
             ids, starts, lengths, payloads, totals = [], [], [], [], []
             for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), tokenizer.batch(as_bytes(batch.column("text")))):
