@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import math
 import uuid
@@ -65,11 +66,13 @@ def encode_record(page_id, url, payload: bytes, record_type: str, refers_to) ->
         if refers_to is not None:
             head.append(f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{refers_to} {digest}')}>")
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
-    return "\r\n".join(head).encode() + block + b"\r\n\r\n"
+    # A compressed member of its own, so that it can be read without the others.
+    return gzip.compress("\r\n".join(head).encode() + block + b"\r\n\r\n", compresslevel=1, mtime=0)
 
 
 def decode_record(data: bytes) -> Record:
     """A record's fields; a damaged record is an error."""
+    data = gzip.decompress(data)
     head, _, rest = data.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     if lines[0] != "WARC/1.1":
@@ -136,7 +139,7 @@ def with_roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
-    """Write one record per page below ``path`` and return the stored index.
+    """Write one compressed record per page below ``path`` and return the stored index.
 
     Every task writes an archive of its own name and reports offset, length,
     URL and digest of each record; the index holds the reports of the tasks that
@@ -148,7 +151,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = _opened(path)
         system.create_dir(folder, recursive=True)
-        name, sink, at = f"{uuid.uuid4().hex}.warc", None, 0
+        name, sink, at = f"{uuid.uuid4().hex}.warc.gz", None, 0
         try:
             for batch in batches:
                 rows = batch.to_pylist()
@@ -156,7 +159,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame
                 for row in rows:
                     payload = row["html"].encode()
                     record = encode_record(row["page_id"], row["url"], payload, row["record_type"], row["refers_to"])
-                    sink = sink or system.open_output_stream(f"{folder}/{name}")
+                    sink = sink or system.open_output_stream(f"{folder}/{name}", compression=None)
                     sink.write(record)
                     digest = digest_of(payload)
                     index.append(

@@ -1,6 +1,7 @@
 """Archives, packing, sharding and the pipeline."""
 
 import glob
+import gzip
 import hashlib
 import math
 import zlib
@@ -63,7 +64,7 @@ def test_index_names_the_bytes_of_each_record(spark, folder):
         data = open(f"{folder}/warc/{row.file}", "rb").read()
         record = warc.decode_record(data[row.offset : row.offset + row.length])
         assert (record.page_id, record.url, record.record_type) == (row.page_id, row.url, row.record_type)
-    size = sum(len(open(f, "rb").read()) for f in glob.glob(f"{folder}/warc/*.warc"))
+    size = sum(len(open(f, "rb").read()) for f in glob.glob(f"{folder}/warc/*.warc.gz"))
     assert size == sum(r.length for r in index)
 
 
@@ -86,9 +87,12 @@ def test_neighbouring_ranges_are_one_read():
 
 def test_damaged_record_is_an_error():
     record = warc.encode_record(1, "u", b"payload", "response", None)
+    plain = gzip.decompress(record)
     with pytest.raises(ValueError):
-        warc.decode_record(record.replace(b"payload", b"pAyload"))
+        warc.decode_record(gzip.compress(plain.replace(b"payload", b"pAyload")))
     with pytest.raises(ValueError):
+        warc.decode_record(gzip.compress(plain[:-1]))
+    with pytest.raises((EOFError, gzip.BadGzipFile)):
         warc.decode_record(record[:-1])
 
 
