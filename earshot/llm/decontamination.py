@@ -65,6 +65,39 @@ def myers(item_masks: dict[int, int], size: int, text: bytes) -> tuple[int, int]
     return best, at
 
 
+def _sibling_checks(piece: bytes, sibling: bytes, after: bool) -> list[tuple[int, bytes]]:
+    """Places of which one must hold: halves of the sibling that one edit leaves untouched.
+
+    Of an item within its budget some piece is untouched whose sibling (the other
+    piece of its pair) has one edit at most: were it otherwise for every pair, the
+    edits would be as many as the pieces. An edit in the far half leaves the near
+    one in place; an edit in the near half moves the far one by one byte at most.
+    """
+    if not sibling:
+        return []
+    half = len(sibling) // 2
+    if after:
+        near, far, at, beyond = sibling[:half], sibling[half:], len(piece), len(piece) + half
+    else:
+        near, far, at, beyond = sibling[half:], sibling[:half], half - len(sibling), -len(sibling)
+    return [(at, near[:8]), *[(beyond + shift, far[:8]) for shift in (-1, 0, 1)]]
+
+
+class _Places:
+    """For each piece, bytes that must stand at an offset from it."""
+
+    def __init__(self, wanted: list[tuple[int, bytes] | None]):
+        self.offset = np.array([w[0] if w else 0 for w in wanted], np.int64)
+        self.value = np.array([int.from_bytes(w[1], "little") if w else 0 for w in wanted], np.uint64)
+        self.mask = np.array([(1 << 8 * len(w[1])) - 1 if w else 0 for w in wanted], np.uint64)
+        self.valid = np.array([w is not None for w in wanted])
+
+    def hold(self, wide: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        at = place + self.offset[piece]
+        inside = self.valid[piece] & (at >= 0) & (at < len(wide))
+        return inside & ((wide[np.where(inside, at, 0)] & self.mask[piece]) == self.value[piece])
+
+
 class Items:
     """A block of benchmark items with the index of their pieces."""
 
@@ -74,38 +107,58 @@ class Items:
         self.edits = [budget(len(t), rate) for t in self.texts]
         self.masks: list[dict[int, int]] = []
         self.bytes = np.stack([np.bincount(np.frombuffer(t, np.uint8), minlength=256) for t in self.texts])
-        # By width of the leading bytes that are looked up: those bytes, and all pieces that begin so.
-        self.pieces: dict[int, dict[int, list[tuple[int, int, bytes]]]] = {}
+        self.pieces: list[tuple[int, int, bytes]] = []
+        checks: list[list[tuple[int, bytes]]] = []
         for number, (text, edits) in enumerate(zip(self.texts, self.edits)):
             masks: dict[int, int] = {}
             for bit, byte in enumerate(text):
                 masks[byte] = masks.get(byte, 0) | 1 << bit
             self.masks.append(masks)
-            for offset, piece in pieces_of(text, edits):
-                width = min(8, len(piece))
-                key = int.from_bytes(piece[:width], "little")
-                self.pieces.setdefault(width, {}).setdefault(key, []).append((number, offset, piece))
-        self.tables = {}
-        for width, keys in self.pieces.items():
-            values = np.array(sorted(keys), np.uint64)
+            own = list(pieces_of(text, edits))
+            for i, (offset, piece) in enumerate(own):
+                self.pieces.append((number, offset, piece))
+                sibling = own[i ^ 1][1] if i ^ 1 < len(own) else b""
+                checks.append(_sibling_checks(piece, sibling, after=i % 2 == 0))
+        self.margin = 3 * max(len(p) for _, _, p in self.pieces) + 16
+        self.checks = [_Places([c[k] if k < len(c) else None for c in checks]) for k in range(4)]
+        self.has_sibling = np.array([bool(c) for c in checks])
+        tails = _Places([(max(0, len(p) - 8), p[-8:]) for _, _, p in self.pieces])
+        self.tails = tails
+        # By width of the leading bytes that are looked up: their values and the pieces that begin so.
+        self.tables = []
+        widths = np.array([min(8, len(p)) for _, _, p in self.pieces])
+        heads = np.array([int.from_bytes(p[:8], "little") for _, _, p in self.pieces], np.uint64)
+        for width in np.unique(widths).tolist():
+            own = np.flatnonzero(widths == width)
+            own = own[np.argsort(heads[own], kind="stable")]
+            values, starts = np.unique(heads[own], return_index=True)
             table = np.zeros(1 << BITS, bool)
             table[(values * _SPREAD) >> np.uint64(64 - BITS)] = True
-            self.tables[width] = values, table
+            self.tables.append((width, values, np.append(starts, len(own)), own, table))
 
-    def hits(self, buffer: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Places in the buffer where a piece's leading bytes stand, with those bytes' key and width."""
+    def hits(self, buffer: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+        """Places where a piece stands and its sibling may, with one edit at most."""
         wide = buffer.astype(np.uint64)
         wide[:-1] |= wide[1:] << np.uint64(8)
         wide[:-2] |= wide[2:] << np.uint64(16)
         wide[:-4] |= wide[4:] << np.uint64(32)
-        for width, (values, table) in self.tables.items():
+        for width, values, starts, own, table in self.tables:
             keys = wide if width == 8 else wide & np.uint64((1 << 8 * width) - 1)
-            maybe = np.nonzero(table[(keys * _SPREAD) >> np.uint64(64 - BITS)])[0]
-            found = keys[maybe]
-            known = values[np.minimum(np.searchsorted(values, found), len(values) - 1)] == found
-            for place, key in zip(maybe[known].tolist(), found[known].tolist()):
-                for number, offset, piece in self.pieces[width][key]:
-                    yield place, number, offset, piece
+            maybe = np.flatnonzero(table[(keys * _SPREAD) >> np.uint64(64 - BITS)])
+            found = np.minimum(np.searchsorted(values, keys[maybe]), len(values) - 1)
+            known = values[found] == keys[maybe]
+            maybe, found = maybe[known], found[known]
+            counts = starts[found + 1] - starts[found]
+            place = np.repeat(maybe, counts)
+            first = np.repeat(starts[found] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
+            piece = own[first + np.arange(len(place))]
+            stands = self.tails.hold(wide, place, piece)
+            place, piece = place[stands], piece[stands]
+            beside = ~self.has_sibling[piece]
+            for check in self.checks:
+                beside |= check.hold(wide, place, piece)
+            for at, i in zip(place[beside].tolist(), piece[beside].tolist()):
+                yield at, *self.pieces[i]
 
     def regions(self, text: bytes, spots: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
         """Item and span of text where it may stand; overlapping spans of an item are one."""
@@ -140,11 +193,13 @@ class Items:
         joined = np.frombuffer(b"\n".join(texts) + b"\n" + b"\n" * 8, np.uint8)
         spots: dict[int, set[tuple[int, int]]] = {}
         for base in range(0, int(starts[-1]), SCAN_BYTES):
-            for place, number, offset, piece in self.hits(joined[base : base + SCAN_BYTES + 8]):
-                if place >= SCAN_BYTES:
+            begin = max(0, base - self.margin)
+            for place, number, offset, piece in self.hits(joined[begin : base + SCAN_BYTES + self.margin]):
+                place += begin
+                if not base <= place < base + SCAN_BYTES:
                     continue
-                own = int(np.searchsorted(starts, base + place, "right")) - 1
-                place += base - int(starts[own])
+                own = int(np.searchsorted(starts, place, "right")) - 1
+                place -= int(starts[own])
                 if texts[own].startswith(piece, place):
                     spots.setdefault(own, set()).add((number, place - offset))
         for own, places in spots.items():
@@ -181,8 +236,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
     ``rate`` edits per byte of it (fewer for items of under 16 bytes, none under
     that of 8); ``end`` is where its best occurrence ends in the compared form.
     Each item is cut into one piece more than it has edits, so any occurrence
-    holds a piece untouched; the places where pieces stand are verified by Myers'
-    distance. Items travel to the tasks in blocks of ``block_bytes``, every block
+    holds a piece untouched, beside a piece with one edit at most; the places
+    where that may be are verified by Myers' distance. Items travel to the tasks in blocks of ``block_bytes``, every block
     over all whole texts. Null and empty texts hold nothing, null and blank items
     are nowhere; repeated rows are searched each, equal items all reported.
     """
