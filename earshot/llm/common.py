@@ -61,6 +61,18 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(kind).to_pylist()
 
 
+def slices(raw: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Number of the first text and texts of up to ``most`` bytes together (a longer one alone)."""
+    first, held = 0, 0
+    for i, text in enumerate(raw):
+        if i > first and held + len(text) > most:
+            yield first, raw[first:i]
+            first, held = i, 0
+        held += len(text)
+    if first < len(raw):
+        yield first, raw[first:]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of a 64-bit hash, in place."""
     x ^= x >> np.uint64(32)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Words, as_bytes, mix, numbered, quoted, settled
+from earshot.llm.common import Words, as_bytes, mix, numbered, quoted, settled, slices
 from earshot.session import fixed
 
 # Common English insults, a start where labels show little.
@@ -23,6 +23,8 @@ BEGINNINGS = (4, 5, 6)
 # Bounds of what is fitted: labelled rows that voters are mined from, rows the
 # classifier is trained on, features of the classifier, voters.
 SAMPLE_ROWS, VOCABULARY, VOTERS = 20_000, 512, 48
+# A feature is in this share of the toxic rows at least, and of the rows that have it so many are toxic.
+SUPPORT, PRECISION = 0.01, 0.9
 ROUNDS = 6
 FOLDS = 5
 
@@ -113,8 +115,8 @@ def _counts(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = Words(as_bytes(batch.column("text")), letters_only=True)
+        for _, raw in (part for batch in batches for part in slices(as_bytes(batch.column("text")))):
+            words = Words(raw, letters_only=True)
             number, hashes = features(words)
             if shared.value is not None:
                 size = len(shared.value)
@@ -153,7 +155,8 @@ def mine_vocabulary(docs: DataFrame, sample: DataFrame) -> Vocabulary:
     The bound on the statistic rises with the number of features tried, so that
     few pass it by chance. The sample's bound also bounds the counts that are collected.
     """
-    own = numbered(docs).join(F.broadcast(sample), "doc_id")
+    # Copies of a text count once, so that its words do not look like a rule.
+    own = numbered(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["text", "toxic"])
     sizes = dict(sample.groupBy("toxic").count().collect())
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     kept, voter = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -169,8 +172,9 @@ def mine_vocabulary(docs: DataFrame, sample: DataFrame) -> Vocabulary:
             there = _counts(own.filter("toxic = 0"), hashes).toArrow()
             clean[np.searchsorted(hashes, there["feature"].to_numpy().view(np.uint64))] = there["n"].to_numpy()
             score = _associated(toxic, clean, n_toxic, n_clean)
+            score[(toxic < SUPPORT * n_toxic) | (toxic < PRECISION * (toxic + clean))] = 0
             best = np.lexsort((hashes, -score))[:VOCABULARY]
-            best = best[score[best] > 1.5 * np.log(len(hashes) + 1)]
+            best = best[score[best] > 2 * np.log(len(hashes) + 1)]
             kept, voter = hashes[best], np.arange(len(best))
     rank = dict(zip(kept.tolist(), voter.tolist()))
     hashes = np.unique(np.concatenate([kept, seeds]))
@@ -241,10 +245,10 @@ def _fired(votes: np.ndarray) -> np.ndarray:
     return (votes[:, None] >> bits & 1).astype(np.int64)
 
 
-def _moments(patterns: DataFrame, model: LabelModel | None) -> tuple[np.ndarray, np.ndarray]:
-    """Expected co-firing counts by class over all rows; known labels stand for themselves.
+def _moments(patterns: DataFrame, model: LabelModel | None, known: float) -> tuple[np.ndarray, np.ndarray]:
+    """Expected co-firing counts by class over all rows; known labels stand for themselves and weigh ``known``.
 
-    Without a model, rows without a label are left out unless a seed decides.
+    Without a model, rows without a label hardly weigh anything and a seed decides.
     """
     voters = VOTERS + len(PATTERNS)
     cells = voters * voters + 1
@@ -260,6 +264,7 @@ def _moments(patterns: DataFrame, model: LabelModel | None) -> tuple[np.ndarray,
             else:
                 toxic = np.where(fired[:, VOTERS] == 1, 0.9, 0.1)
                 weight = np.where(label < 0, weight * 1e-3, weight)
+            weight = np.where(label < 0, weight, weight * known)
             toxic = np.where(label < 0, toxic, label)
             for c, p in ((0, 1 - toxic), (1, toxic)):
                 w = weight * p
@@ -283,15 +288,19 @@ def fit_label_model(described: DataFrame, sample: DataFrame, rounds: int = ROUND
     """Expectation maximisation over the vote patterns of all documents.
 
     Only labels of the sample are known; every other document takes part by its
-    votes. What a round gathers has one number per pair of voters and class.
+    votes. Known labels together weigh as much as all other rows, so that the
+    classes stay what the labels mean. What a round gathers has one number per
+    pair of voters and class.
     """
     known = described.join(F.broadcast(sample), "doc_id", "left")
     patterns = fixed(
         known.groupBy("votes", F.coalesce("toxic", F.lit(-1)).cast("long").alias("label")).agg(F.count("*").alias("n"))
     )
+    rows = patterns.agg(F.sum("n"), F.sum(F.when(F.col("label") >= 0, F.col("n")))).head()
+    weight = max(1.0, ((rows[0] or 0) - (rows[1] or 0)) / max(rows[1] or 0, 1))
     model = None
     for _ in range(rounds):
-        moments, totals = _moments(patterns, model)
+        moments, totals = _moments(patterns, model, weight)
         if not totals.sum():
             moments, totals = moments + 1e-6, totals + 1e-3
         model = fit_tree(moments, totals)
@@ -306,21 +315,28 @@ def _matrix(codes: list[bytes], size: int) -> np.ndarray:
     return out
 
 
-def fit_classifier(described: DataFrame, model: LabelModel, size: int, rows: int) -> np.ndarray:
-    """Weights of a ridge logistic regression on posterior labels of at most ``rows`` documents by hash order."""
+def fit_classifier(
+    described: DataFrame, sample: DataFrame, model: LabelModel, size: int, rows: int
+) -> np.ndarray:
+    """Weights of a ridge logistic regression on posterior labels of at most ``rows`` documents by hash order.
+
+    The posterior of a row of the sample is its label.
+    """
+    free = described.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     picked = (
-        described.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        free.join(F.broadcast(sample), "doc_id", "left")
         .orderBy(F.xxhash64("doc_id"), "_row")
         .limit(rows)
-        .select("votes", "codes")
+        .select("votes", "codes", F.coalesce("toxic", F.lit(-1)).alias("label"))
         .toArrow()
     )
     weights = np.zeros(size + 1)
     if not picked.num_rows:
         return weights
     x = _matrix(picked["codes"].to_pylist(), size).astype(np.float64)
-    y = model.posterior(_fired(picked["votes"].to_numpy()))
-    ridge = np.full(size + 1, 0.05)
+    label = picked["label"].to_numpy()
+    y = np.where(label < 0, model.posterior(_fired(picked["votes"].to_numpy())), label)
+    ridge = np.full(size + 1, 0.1)
     ridge[size] = 1e-6
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
@@ -355,7 +371,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
         own = Vocabulary(*shared.value)
         for batch in batches:
             if batch.num_rows:
-                bits, codes = describe(as_bytes(batch.column("text")), own)
+                parts = [describe(raw, own) for _, raw in slices(as_bytes(batch.column("text")))]
+                bits = np.concatenate([b for b, _ in parts])
+                codes = [c for _, own_codes in parts for c in own_codes]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), batch.column("_row"), pa.array(bits), pa.array(codes, pa.binary())],
                     ["doc_id", "_row", "votes", "codes"],
@@ -363,7 +381,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 
     described = fixed(numbered(docs).mapInArrow(votes, "doc_id long, _row long, votes long, codes binary"))
     model = fit_label_model(described, sample)
-    weights = fit_classifier(described, model, size, sample_rows)
+    weights = fit_classifier(described, sample, model, size, sample_rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
