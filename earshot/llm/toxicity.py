@@ -157,7 +157,7 @@ def mine_vocabulary(docs: DataFrame, sample: DataFrame) -> Vocabulary:
     """
     # Copies of a text count once, so that its words do not look like a rule.
     own = numbered(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["text", "toxic"])
-    sizes = dict(sample.groupBy("toxic").count().collect())
+    sizes = dict(own.groupBy("toxic").count().collect())
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     kept, voter = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     seeds = np.array(sorted({word_hash(w) for w in SEEDS}), np.uint64)

@@ -54,6 +54,19 @@ def test_toxicity_of_odd_rows(spark, folder):
     assert toxicity.score_documents(docs.limit(0), labels).count() == 0
 
 
+def test_copies_of_a_toxic_text_leave_the_features_alone(spark):
+    """Features are measured against distinct texts, however often one of them was labelled."""
+    toxic = [f"slur{i // 5} " + words(8, 40 + i) for i in range(30)]
+    texts = toxic + [words(9, 100 + i) for i in range(100)] + ["copied " + words(8, 7)] * 1000
+    label = [1] * 30 + [0] * 100 + [1] * 1000
+    docs = plain_docs(spark, texts)
+    sample = spark.createDataFrame(list(enumerate(label)), "doc_id long, toxic int")
+    voters = lambda rows: set((v := toxicity.mine_vocabulary(docs, sample.filter(f"doc_id < {rows}"))).hashes[v.voter >= 0].tolist())
+    once, often = voters(131), voters(1130)
+    assert {toxicity.word_hash(f"slur{i}") for i in range(6)} <= once
+    assert often == once
+
+
 def test_label_model_knows_copies_of_a_voter():
     """Rates come back, and three copies of one voter move the posterior little more than one."""
     dice = np.random.default_rng(4)
