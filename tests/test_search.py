@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from earshot.operators import search
 from earshot.operators.scoring import Ranking, best_matches
+from earshot.plans import queries as registered
+from earshot.plans.binding import Domain
 
 DIM = 8
 
@@ -152,6 +154,16 @@ def test_approximate_search(corpus, queries):
     assert len(chunk(near) & chunk(exact)) >= 0.7 * len(exact)
 
 
+def test_registered_search_reaches_its_recall(spark):
+    folder = "/root/testdata/sf0.001"
+    hits = lambda name: {(r.query_id, r.episode_id, r.chunk_index) for r in registered.REGISTRY[name](spark, folder).collect()}
+    exact = hits("ann_search_all_cells")
+    assert len(exact) == 50 and len(hits("ann_search") & exact) >= 0.9 * len(exact)
+    measured = {r.sampled: (r.hits, r.found) for r in registered._recall(Domain(spark, folder)).collect()}
+    assert measured[False] == (50, len(hits("ann_search") & exact))
+    assert measured[True][0] == 125 and measured[True][1] >= 0.9 * 125
+
+
 def test_vectors_of_another_size_match_nothing(spark, corpus):
     asked = spark.createDataFrame([(1, [1.0, 2.0])], "query_id bigint, query_vector array<double>")
     assert best_matches(asked, corpus[0], Ranking(3)).frame.count() == 0
