@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions.dates import feed_date, iso_date, mail_date
@@ -135,12 +137,37 @@ def upsert_podcasts(
     return table, all_languages, status
 
 
-def landed_entries(documents: DataFrame, podcasts: DataFrame) -> DataFrame:
-    """Entries of the landed documents (``url, body, fetched_at``) of known podcasts."""
+def landed_entries(documents: DataFrame, podcasts: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Entries of the landed documents (``url, body, fetched_at``) of known podcasts; ``extra`` columns travel along."""
     named = podcasts.select("podcast_id", "podcast_name", "podcast_url")
     parsed = parse_feed_entries(documents).join(named, F.col("url") == F.col("podcast_url"))
     derived = {"href": F.lit(None).cast("string"), "published_parsed": iso_date(F.col("published"))}
-    return parsed.withColumns(derived).select(*FEED_ENTRY.fieldNames())
+    return parsed.withColumns(derived).select(*FEED_ENTRY.fieldNames(), *extra)
+
+
+def merge_versions(entries: DataFrame, document: str) -> DataFrame:
+    """Entries of all documents of a podcast, those that several documents have once.
+
+    Entries are the same when their audio address is (without one, when they say
+    the same); a document that repeats an entry keeps its repeats. Of the same
+    entries a valid one stays, of these the one with the latest date, so that a
+    version that is refused or before the cutoff hides no other.
+    """
+    said = F.when(F.col("audio_url").isNull(), F.struct("title", "link", "published", "links"))
+    same = ["podcast_id", "audio_url", "_said", "_nth"]
+    checked = checked_episodes(entries).withColumn("_said", said)
+    in_document = Window.partitionBy("podcast_id", document, "audio_url", "_said").orderBy("feed_pos")
+    counted = checked.withColumns(
+        {
+            "_nth": F.row_number().over(in_document),
+            "_refused": F.col("reject_reason").isNotNull(),
+            "_age": -F.unix_micros(F.col("published_at").cast("timestamp")),
+        }
+    )
+    columns = [c for c in entries.columns if c != document]
+    order = ["_refused", "_age", "feed_pos"]
+    carry = [c for c in columns if c not in same]
+    return first_per_group(counted, same, order, carry).select(*columns)
 
 
 def ingest_cutoffs(
@@ -176,7 +203,10 @@ def select_new_episodes(entries: DataFrame, cutoffs: DataFrame, first_n: int = 2
     newer = dated.filter(F.col("published_parsed") > F.col("cutoff"))
     first = top_n(
         known.filter(F.col("cutoff").isNull()),
-        ["podcast_id"], [F.col("feed_pos")], first_n, salt_by=["feed_pos"], rank="_position",
+        ["podcast_id"],
+        # Versions of a feed have entries at the same place.
+        [F.col(c) for c in ("feed_pos", "published", "title", "link", "links")],
+        first_n, salt_by=["feed_pos"], rank="_position",
     ).drop("_position")
     return newer.unionByName(first).select(*entries.columns)
 

@@ -51,10 +51,10 @@ def load_new_episodes(
     now = current_version(spark, root)
     podcasts = read_snapshot(spark, root, "podcast", now)
     episodes = read_snapshot(spark, root, "episode", now)
-    # All documents of a call are one poll; a feed that landed twice is read once.
-    once = documents.groupBy("url").agg(F.max("body").alias("body"))
+    # All documents of a call are one poll; equal ones are read once, every version of a feed is read.
+    once = documents.select("url", "body").distinct().withColumn("_document", F.sha2("body", 256))
     landed = once.withColumn("fetched_at", fetched_at.cast("timestamp_ntz"))
-    entries = ingest.landed_entries(landed, podcasts)
+    entries = ingest.merge_versions(ingest.landed_entries(landed, podcasts, ["_document"]), "_document")
     fresh = ingest.select_new_episodes(entries, ingest.ingest_cutoffs(episodes), first_n)
     accepted = fixed(ingest.validate_episodes(fresh)[0])
     inserted, outcomes = ingest.load_episodes(accepted, episodes, podcasts)

@@ -85,3 +85,29 @@ def test_from_feed_to_tables(spark, folder, rows):
     assert stored.count() == 7 and stored.select("episode_id").distinct().count() == 1
     jobs.store_embeddings(spark, root, texts, hashing_embedder(64), dim=64, size=61, overlap=0)
     assert read_snapshot(spark, root, "episode_embedding").count() == 1
+
+
+def test_versions_of_a_feed_are_all_loaded(spark, folder, rows):
+    """An earlier and a later fetch and a further page of one feed land in one call."""
+    one = "https://e.com/1.rss"
+    item = lambda i, title=None: (title or f"Ep {i}", f"https://e.com/{i}.mp3", f"Mon, {i:02d} Jan 2024 12:00:00 +0000")
+    land = lambda *bodies: spark.createDataFrame([(one, b) for b in bodies], "url string, body string")
+    for number, order in enumerate((1, -1)):
+        root = f"{folder}/tables{number}"
+        jobs.add_podcasts(spark, root, land(rss(one)), at(2024, 1, 1))
+        # A repeat inside a document is a skipped entry, once; one version lacks a title.
+        bodies = [
+            rss(one, items=[item(i) for i in (3, 2, 2, 1)]),
+            rss(one, items=[item(4), item(3), item(2, " "), item(2)]),
+            rss(one, "Pod, page 2", items=[item(6), item(5)]),
+        ][::order]
+        stats = jobs.load_new_episodes(spark, root, land(*bodies, bodies[0]), at(2024, 1, 7), first_n=7)
+        assert [tuple(r)[2:] for r in stats.filter("podcast_id is null").collect()] == [(1, 7, 6, 1)]
+        stored = read_snapshot(spark, root, "episode")
+        assert rows(stored, "episode_title") == [(f"Ep {i}",) for i in range(1, 7)]
+        # Later versions: an entry dated before the cutoff in one of them, after it in the other.
+        late = ("Ep 8", "https://e.com/8.mp3", "Sat, 06 Jan 2024 12:00:00 +0000")
+        again = land(rss(one, items=[late, item(9)]), rss(one, items=[item(3), item(10), item(8)]))
+        stats = jobs.load_new_episodes(spark, root, again, at(2024, 1, 11))
+        assert [tuple(r)[2:] for r in stats.filter("podcast_id is null").collect()] == [(1, 3, 3, 0)]
+        assert read_snapshot(spark, root, "episode").count() == 9
