@@ -30,10 +30,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
-@query
-def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines removed from every document, with their places."""
-    kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
+def _lines_removed(kept: DataFrame) -> DataFrame:
     spans = F.transform("removed", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
     return kept.select(
         "doc_id",
@@ -44,6 +41,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated lines of five words and more removed from every document, with their places."""
+    return _lines_removed(substring_dedup.remove_repeats(documents(spark, sf_dir)))
+
+
+@query
+def op1_substring_dedup_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for all lines that are not blank, however short."""
+    return _lines_removed(substring_dedup.remove_repeats(documents(spark, sf_dir), min_words=1))
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _NORMAL = _LOWER.format(r"trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))")
 ORACLE["op1_substring_dedup"] = rf"""
@@ -69,6 +78,10 @@ SELECT doc_id,
 FROM ranked GROUP BY doc_id
 """
 
+ORACLE["op1_substring_dedup_every_line"] = ORACLE["op1_substring_dedup"].replace(
+    "AND len(string_split(unit, ' ')) >= 5", ""
+)
+
 
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from earshot.llm import components, exact_dedup, jaccard_join, substring_dedup, suffix_dedup
+from earshot.llm import components, exact_dedup, jaccard_join, queries, substring_dedup, suffix_dedup
 from llm_cases import classes, frame, normal, odd_rows, plain_docs, repeats, stored, words
 
 by_text = lambda rows: sorted(rows, key=repr)
@@ -74,6 +74,16 @@ def test_repeated_lines(spark):
     assert found == by_text(removed_lines(cases))
 
 
+def test_short_lines_and_lines_without_spaces(spark, folder):
+    spaceless = "字" * 60
+    texts = [f"dans pas.\n{spaceless}\n\nown {i}" for i in range(3)]
+    plain_docs(spark, texts).write.parquet(f"{folder}/documents.parquet")
+    got = queries.REGISTRY["op1_substring_dedup_every_line"](spark, folder).collect()
+    spans = "0-10,10-71"
+    assert sorted((r.doc_id, r.n_removed, r.removed_spans) for r in got) == [(0, 0, ""), (1, 2, spans), (2, 2, spans)]
+    assert queries.ORACLE["op1_substring_dedup_every_line"] != queries.ORACLE["op1_substring_dedup"]
+
+
 def test_paragraphs_are_units_of_another_separator(spark):
     block = "first line of a paragraph\nsecond line of it"
     got = substring_dedup.remove_repeats(plain_docs(spark, [block + "\n\nown words here", "x\n\n" + block]), "\n\n").collect()
