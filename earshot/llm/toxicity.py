@@ -315,27 +315,18 @@ def _matrix(codes: list[bytes], size: int) -> np.ndarray:
     return out
 
 
-def fit_classifier(
-    described: DataFrame, sample: DataFrame, model: LabelModel, size: int, rows: int
-) -> np.ndarray:
+def fit_classifier(described: DataFrame, model: LabelModel, size: int, rows: int) -> np.ndarray:
     """Weights of a ridge logistic regression on posterior labels of at most ``rows`` documents by hash order.
 
-    The posterior of a row of the sample is its label.
+    Known labels act through the label model alone.
     """
     free = described.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    picked = (
-        free.join(F.broadcast(sample), "doc_id", "left")
-        .orderBy(F.xxhash64("doc_id"), "_row")
-        .limit(rows)
-        .select("votes", "codes", F.coalesce("toxic", F.lit(-1)).alias("label"))
-        .toArrow()
-    )
+    picked = free.orderBy(F.xxhash64("doc_id"), "_row").limit(rows).select("votes", "codes").toArrow()
     weights = np.zeros(size + 1)
     if not picked.num_rows:
         return weights
     x = _matrix(picked["codes"].to_pylist(), size).astype(np.float64)
-    label = picked["label"].to_numpy()
-    y = np.where(label < 0, model.posterior(_fired(picked["votes"].to_numpy())), label)
+    y = model.posterior(_fired(picked["votes"].to_numpy()))
     ridge = np.full(size + 1, 0.1)
     ridge[size] = 1e-6
     for _ in range(25):
@@ -381,7 +372,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 
     described = fixed(numbered(docs).mapInArrow(votes, "doc_id long, _row long, votes long, codes binary"))
     model = fit_label_model(described, sample)
-    weights = fit_classifier(described, sample, model, size, sample_rows)
+    weights = fit_classifier(described, model, size, sample_rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

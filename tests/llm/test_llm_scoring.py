@@ -41,6 +41,16 @@ def test_held_out_labels_are_not_learned(spark):
     assert scores(labels) == scores(turned)
 
 
+def test_classifier_is_trained_on_posteriors(spark, monkeypatch):
+    """A label model that calls nothing toxic leaves nothing toxic, whatever the labels of the trained rows say."""
+    voters = toxicity.VOTERS + len(toxicity.PATTERNS)
+    nothing = toxicity.LabelModel(1e-6, np.full(voters, -1), np.full((2, voters, 2), 0.5))
+    monkeypatch.setattr(toxicity, "fit_label_model", lambda *_: nothing)
+    docs = plain_docs(spark, [f"{'slur ' if i % 2 else ''}{words(6, i)}" for i in range(200)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    assert max(r.score for r in toxicity.score_documents(docs, labels).collect()) < 0.1
+
+
 def test_toxicity_of_odd_rows(spark, folder):
     docs = stored(spark, folder)
     labels = spark.createDataFrame([(8, None), (None, 1), (9, 0), (9, 1), (12, 0)], "doc_id long, toxic int")
