@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from earshot.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     jaccard_join,
+    line_dedup,
     packing,
     sharding,
+    spelling,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -215,3 +218,99 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest document that links of similar shingle sets reach."""
     return jaccard_join.similarity_classes(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two public tokenizers, aligned."""
+    import public_tokenizers
+
+    aligned = alignment.align(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return aligned.drop("pairs", "times")
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with the more frequent word one edit away that it is a variant of."""
+    return spelling.spelling_variants(documents(spark, sf_dir), slips=97)
+
+
+# The checksum of a word is taken byte by byte over its hexadecimal form; words one edit
+# apart are equal without one letter, or one is the other without a letter.
+ORACLE["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(value ORDER BY n) AS t FROM (
+    SELECT n, list_reduce(list_prepend(n::UBIGINT, [0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[]),
+             lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::UBIGINT, c >> 1) ELSE c >> 1 END) AS value
+    FROM range(256) AS numbers(n))
+), runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  GROUP BY ALL
+), summed AS (
+  SELECT run, times, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(
+           range(1, length(code), 2), lambda i: ('0x' || substr(code, i, 2))::UBIGINT)),
+           lambda c, b: xor(t[(xor(c, b) & 255)::BIGINT + 1], c >> 8))) AS h
+  FROM (SELECT run, times, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS code FROM runs), crc_table
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM (
+    SELECT times, CASE WHEN h % 97 = 0
+      THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word
+    FROM summed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT cuts.word, words.word FROM cuts JOIN words ON cuts.rest = words.word
+  UNION SELECT words.word, cuts.word FROM cuts JOIN words ON cuts.rest = words.word
+), best AS (
+  SELECT near.word, count(*) AS n_near, first(other ORDER BY w.n DESC, other) AS other, max(w.n) AS other_n
+  FROM near JOIN words w ON near.other = w.word GROUP BY near.word
+), judged AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN other_n >= 2 * words.n THEN other END AS form, CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS place, 0 AS steps FROM judged
+  UNION ALL
+  SELECT chain.word, judged.form, steps + 1 FROM chain JOIN judged ON place = judged.word WHERE judged.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(place, steps) AS root FROM chain GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN roots USING (word)
+"""
+
+
+@query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that at least four others hold, too, but for the last of them."""
+    kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_line_dedup"] = r"""
+WITH whole AS (
+  SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS text FROM documents
+), lines AS (
+  SELECT place, doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+  FROM (SELECT place, doc_id, string_split(text, chr(10)) AS parts FROM whole)
+), keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), frequent AS (
+  SELECT key, max(doc_id) AS keep_doc FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT keyed.*, coalesce(doc_id <> keep_doc, false) AS gone FROM keyed LEFT JOIN frequent USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY place, doc_id
+"""
