@@ -85,6 +85,8 @@ def iso_date(col: Column) -> Column:
     text = strip(col)
     zoned = F.regexp_replace(text, r"([+-]\d{2})(\d{2})\z", "$1:$2")
     whole = F.regexp_replace(F.when(text.rlike(r"T|\s"), zoned).otherwise(text), r"\.\d+", "")
+    # A time without seconds gets them before its zone.
+    whole = F.regexp_replace(whole, r"([T ]\d{2}:\d{2})(?=Z|[+-]|\z)", "$1:00")
     utc = F.when(whole.rlike(r"[T ].*(?:Z|[+-]\d{2}:\d{2})\z"), whole).otherwise(
         F.when(F.length(whole) > 10, F.concat(whole, F.lit("Z"))).otherwise(F.concat(whole, F.lit("T00:00:00Z")))
     )

@@ -11,11 +11,31 @@ from pyspark.sql import functions as F
 
 from earshot.functions.keys import require_distinct_ids
 from earshot.operators import analysis, embedding, ingest, transcription
+from earshot.schemas import TABLES
 from earshot.session import fixed, tune
-from earshot.sources import feeds, lake
+from earshot.sources import feeds, keyed, lake
 from earshot.sources.tables import current_version, publish, read_snapshot
 
 
+# Datasets of single rows that change, in key buckets: which episodes are transcribed, and their vectors.
+FLAGS, VECTORS = "episode_transcribed", "episode_embedding"
+
+
+def read_episodes(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The episode table with the flags of what was transcribed since its rows were loaded."""
+    episodes = read_snapshot(spark, root, "episode", version)
+    if keyed.bucket_count(spark, f"{root}/{FLAGS}") is None:
+        return episodes
+    return transcription.apply_transcribed(episodes, keyed.read(spark, f"{root}/{FLAGS}"))
+
+
+def read_embeddings(spark: SparkSession, root: str) -> DataFrame:
+    """The stored chunks with their vectors."""
+    if keyed.bucket_count(spark, f"{root}/{VECTORS}") is None:
+        return spark.createDataFrame([], TABLES[VECTORS])
+    return keyed.read(spark, f"{root}/{VECTORS}")
+
+
 def add_podcasts(spark: SparkSession, root: str, documents: DataFrame, loaded_at: Column) -> DataFrame:
     """Register the podcasts behind landed feed documents (``url``, ``body``).
 
@@ -85,12 +105,13 @@ def store_transcripts(
     )
     done = results.filter("status = 'success'")
     keys = [F.col(k).cast("string").alias(k) for k in lake.KEYS]
-    lake.add_missing(done.select(*keys, "transcript_text"), f"{lake_root}/transcripts")
+    lake.replace_episodes(done.select(*keys, "transcript_text"), f"{lake_root}/transcripts")
     stitched = transcription.stitch_segments(slices, segments).join(done.select("episode_id", "podcast_id"), "episode_id")
-    lake.add_missing(
+    lake.replace_episodes(
         stitched.select(*keys, "start_time", "end_time", "speaker", "text"), f"{lake_root}/segments", "start_time"
     )
-    publish(spark, root, replaced={"episode": transcription.apply_transcribed(episodes, done)})
+    # The flags are the last to be written, and only in the buckets of these episodes.
+    keyed.replace(done.select("episode_id"), f"{root}/{FLAGS}", ["episode_id"])
     return transcription.route_outcomes(results.select("episode_id", "podcast_id", "status"))
 
 
@@ -136,15 +157,10 @@ def store_embeddings(
     chunks, _ = embedding.chunk_transcripts(usable, size, overlap)
     embedded, failed = embedding.embed_chunks(chunks, embedder)
     verdict = embedding.validate_embeddings(embedded, dim)
-    now = current_version(spark, root)
-    current, episodes = (read_snapshot(spark, root, name, now) for name in ("episode_embedding", "episode"))
+    episodes = read_snapshot(spark, root, "episode")
     valid = embedding.keep_valid(embedded, verdict).withColumn("chunk_index", F.col("chunk_index").cast("bigint"))
     new, unknown = (fixed(df) for df in embedding.storable_embeddings(valid, episodes))
-    if current.join(new.select("episode_id"), "episode_id", "left_semi").isEmpty():
-        publish(spark, root, appended={"episode_embedding": new})
-    else:
-        table, _ = embedding.replace_embeddings(new, current, episodes)
-        publish(spark, root, replaced={"episode_embedding": table})
+    keyed.replace(new, f"{root}/{VECTORS}", ["episode_id"], "chunk_index")
     number = F.col("episode_id").cast("bigint").alias("episode_id")
     report = lambda df, label: df.select(number, F.lit(label).alias("status"))
     refused = gated.filter(F.col("reject_reason").isNotNull())

@@ -351,6 +351,9 @@ ORACLE: dict[str, str] = {
         "SELECT podcast_id, feed_pos, reject_reason FROM entries WHERE reject_reason IS NOT NULL", "entries"
     ),
     "mail_dates": _sql("SELECT feed_pos, text_date AS published_at FROM entries", "entries"),
+    "iso_dates": """SELECT event_id, CASE event_type WHEN 'click' THEN date_trunc('minute', ts) + INTERVAL 90 MINUTE
+          WHEN 'view' THEN date_trunc('minute', ts) WHEN 'purchase' THEN date_trunc('second', ts)
+          WHEN 'signup' THEN date_trunc('minute', ts) END AS published_at FROM events""",
     "podcasts_with_episodes": _sql(
         """SELECT podcast_id, podcast_name, count(*) AS entries,
              count(*) FILTER (reject_reason IS NULL) AS valid_episodes
@@ -444,6 +447,16 @@ ORACLE: dict[str, str] = {
              ELSE transcribed::VARCHAR END AS transcribed FROM episode""",
         "episode",
     ),
+    "transcribed_in_buckets": """SELECT o_orderkey AS episode_id, CASE WHEN o_orderkey IN
+          (SELECT doc_id FROM labels WHERE toxic = 1) OR o_orderstatus = 'F' THEN 'true'
+          WHEN o_orderstatus = 'O' THEN 'false' END AS transcribed, true AS as_reported FROM orders""",
+    "embeddings_in_buckets": _sql(
+        """SELECT episode_id, chunk_index, chunk_text, 64 AS numbers, true AS as_reported FROM embedding
+             WHERE episode_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+           UNION ALL SELECT DISTINCT episode_id, 0, 'new', 1, true FROM embedding
+             WHERE episode_id IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+        "embedding",
+    ),
     "route_outcomes": """SELECT CASE WHEN toxic = 1 THEN 'failed' WHEN quality = 1 THEN 'process'
         ELSE 'skipped' END AS route, count(*) AS episodes FROM labels GROUP BY 1""",
     "speaker_samples": _sql(

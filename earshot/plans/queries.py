@@ -12,14 +12,15 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.functions.dates import mail_date
+from earshot.functions.dates import iso_date, mail_date
+from earshot.functions.grouping import ordered_concat
 from earshot.functions.text import sentence_start
 from earshot.operators import analysis, analytics, context, embedding, ingest, search, transcription
 from earshot.plans import jobs
 from earshot.plans.binding import Domain
 from earshot.schemas import TABLES
 from earshot.session import fixed, scratch_path
-from earshot.sources import feeds, lake, lookups, tables
+from earshot.sources import feeds, keyed, lake, lookups, tables
 from earshot.streaming import ingest_stream as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,16 +64,10 @@ def _json_lines(text: str) -> Column:
     return F.array_join(records, "\n")
 
 
-def _land(d: Domain, name: str, bodies: DataFrame) -> str:
-    """Write one file per episode, as a feed of the lake would."""
+def _land(d: Domain, name: str, bodies: DataFrame, file_name: str = "data.jsonl") -> str:
+    """Files of the lake, packed; their loose form would be a folder per episode."""
     path = scratch_path(d.spark, name)
-    writers = int(d.spark.conf.get("spark.sql.shuffle.partitions"))
-    (
-        bodies.select("podcast_id", "episode_id", "body")
-        .repartition(writers, "podcast_id", "episode_id")
-        .write.partitionBy("podcast_id", "episode_id")
-        .text(path)
-    )
+    lake.store_files(bodies.select("podcast_id", "episode_id", F.lit(file_name).alias("file_name"), "body"), path)
     return path
 
 
@@ -91,12 +86,14 @@ def transcripts_keep_empty(d: Domain) -> DataFrame:
 @query
 def transcripts_any_format(d: Domain) -> DataFrame:
     """Plain-text files next to JSON-lines files."""
-    plain = d.transcripts.withColumn("body", F.col("transcript_text"))
-    path = _land(d, "any", plain)
-    lined = d.transcripts.withColumn("podcast_id", F.concat("podcast_id", F.lit("-lines")))
-    lake.write_partitioned(lined, f"{path}-json", "jsonl")
-    both = [lake.read_transcripts(d.spark, p, format="auto") for p in (path, f"{path}-json")]
-    return both[0].unionByName(both[1])
+    plain = d.transcripts.withColumn("body", F.concat("transcript_text", F.lit("\n")))
+    lined = d.transcripts.select(
+        F.concat("podcast_id", F.lit("-lines")).alias("podcast_id"), "episode_id",
+        F.to_json(F.struct("transcript_text")).alias("body"),
+    )
+    both = [_land(d, "any", plain, "transcript.txt"), _land(d, "any-json", lined)]
+    parts = [lake.read_transcripts(d.spark, p, format="auto") for p in both]
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -109,16 +106,20 @@ def assemble_transcripts(d: Domain) -> DataFrame:
 def segments_tolerant(d: Domain) -> DataFrame:
     record = F.to_json(F.struct("start_time", "end_time", "speaker", "text"))
     body = F.when(F.col("speaker") == "system", F.concat(F.lit('{"broken'), record)).otherwise(record)
-    rows = d.turns.select(F.lit("show").alias("podcast_id"), "episode_id", body.alias("body"))
-    return lake.read_segments(d.spark, _land(d, "segments", rows)).select(
+    rows = d.turns.select(F.lit("show").alias("podcast_id"), F.col("episode_id").cast("string").alias("episode_id"), "pos", body.alias("line"))
+    files = ordered_concat(rows, lake.KEYS, "pos", "line", "\n", "body")
+    return lake.read_segments(d.spark, _land(d, "segments", files)).select(
         F.col("episode_id").cast("bigint").alias("episode_id"), "start_time", "end_time", "speaker", "text"
     )
 
 
 @query
 def stored_transcripts(d: Domain) -> DataFrame:
+    """Stored twice: the second time half of the episodes come again and take the place of the first ones."""
     path = scratch_path(d.spark, "transcripts")
-    lake.write_partitioned(d.transcripts, path)
+    first = F.when(F.col("episode_id").cast("bigint") % 2 == 1, "older").otherwise(F.col("transcript_text"))
+    lake.write_partitioned(d.transcripts.withColumn("transcript_text", first), path)
+    lake.replace_episodes(d.transcripts.filter("CAST(episode_id AS BIGINT) % 2 = 1"), path)
     return lake.read_partitioned(d.spark, path)
 
 
@@ -138,27 +139,30 @@ def transcript_coverage(d: Domain) -> DataFrame:
 
 @query
 def registered_datasets(d: Domain) -> DataFrame:
-    """Rows and text sizes of the three datasets, read as catalog tables."""
+    """Rows and text sizes of the three datasets, read as catalog tables that follow their writers' reports."""
     root = scratch_path(d.spark, "lake")
-    keyed = d.turns.withColumn("podcast_id", F.lit("show"))
-    lake.write_partitioned(
-        keyed.select("podcast_id", "episode_id", "pos", "start_time", "end_time", "speaker", "text"),
-        f"{root}/segments", "jsonl", order="pos",
-    )
-    lines = lake.assemble_transcripts(keyed.select("podcast_id", "episode_id", "pos", "text"))
-    lake.write_partitioned(lines, f"{root}/transcripts", "jsonl")
+    prefix = "lake_" + root.rsplit("-", 1)[1] + "_"
+    turns = d.turns.withColumn("podcast_id", F.lit("show")).withColumn("episode_id", F.col("episode_id").cast("string"))
+    segments = turns.select("podcast_id", "episode_id", "pos", "start_time", "end_time", "speaker", "text")
+    lines = fixed(lake.assemble_transcripts(turns.select("podcast_id", "episode_id", "pos", "text")))
     summary = lines.select(
         "podcast_id", "episode_id", F.col("transcript_text").alias("summary"),
         F.array(F.lit("talk")).alias("topics"), F.lit(None).cast("array<string>").alias("speakers"),
     )
-    lake.write_summaries(summary, f"{root}/summaries")
-    prefix = "lake_" + root.rsplit("-", 1)[1] + "_"
-    names = lake.register_datasets(d.spark, root, prefix)
+    # The first report declares a table without the text, the second one adds it.
+    early = lake.write_partitioned(lines.filter("CAST(episode_id AS BIGINT) % 2 = 0").drop("transcript_text"), f"{root}/transcripts")
+    lake.register(d.spark, f"{prefix}transcripts", early)
+    written = [
+        ("transcripts", "transcript_text", lake.replace_episodes(lines, f"{root}/transcripts")),
+        ("segments", "text", lake.write_partitioned(segments, f"{root}/segments", order="pos")),
+        ("summaries", "summary", lake.write_summaries(summary, f"{root}/summaries")),
+    ]
     parts = []
-    for name, text in zip(names, ["transcript_text", "text", "summary"]):
+    for name, text, report in written:
+        table = lake.register(d.spark, f"{prefix}{name}", report)
         parts.append(
-            d.spark.table(name).groupBy("podcast_id").agg(
-                F.lit(name.removeprefix(prefix)).alias("dataset"),
+            d.spark.table(table).groupBy("podcast_id").agg(
+                F.lit(name).alias("dataset"),
                 F.count("*").alias("rows"),
                 F.count_distinct("episode_id").alias("episodes"),
                 F.sum(F.length(text)).alias("characters"),
@@ -178,12 +182,16 @@ def _asked_keys(d: Domain) -> DataFrame:
 def lookup_transcripts(d: Domain) -> DataFrame:
     short = F.length("transcript_text") < 500
     stored = d.transcripts.withColumn("transcript_text", F.when(short, "").otherwise(F.col("transcript_text")))
-    return lookups.lookup_transcripts(_asked_keys(d), stored)
+    path = lake.write_partitioned(stored, scratch_path(d.spark, "transcripts")).folder.rsplit("/", 1)[0]
+    asked = _asked_keys(d)
+    return lookups.lookup_transcripts(asked, lake.read_episodes(asked, path))
 
 
 @query
 def lookup_summaries(d: Domain) -> DataFrame:
-    return lookups.lookup_summaries(_asked_keys(d), d.summaries).select(
+    path = lake.write_partitioned(d.summaries, scratch_path(d.spark, "summaries")).folder.rsplit("/", 1)[0]
+    asked = _asked_keys(d)
+    return lookups.lookup_summaries(asked, lake.read_episodes(asked, path)).select(
         "podcast_id", "episode_id", "summary", _list("topics"), _list("speakers"), "status"
     )
 
@@ -310,6 +318,20 @@ def mail_dates(d: Domain) -> DataFrame:
     return d.entries.select("feed_pos", mail_date(F.col("published")).alias("published_at"))
 
 
+@query
+def iso_dates(d: Domain) -> DataFrame:
+    """Times of events as ISO texts in several forms, some without seconds, some that are no dates."""
+    minute, second = (F.date_format("ts", f"yyyy-MM-dd'T'HH:mm{rest}") for rest in ("", ":ss"))
+    text = (
+        F.when(F.col("event_type") == "click", F.concat(minute, F.lit("-0130")))
+        .when(F.col("event_type") == "view", F.concat(F.lit(" "), F.translate(minute, "T", " ")))
+        .when(F.col("event_type") == "purchase", F.concat(second, F.lit(".250Z")))
+        .when(F.col("event_type") == "signup", F.concat(minute, F.lit("Z")))
+        .otherwise(F.substring(second, 6, 20))
+    )
+    return d.raw("events").select("event_id", iso_date(text).alias("published_at"))
+
+
 @query
 def podcasts_with_episodes(d: Domain) -> DataFrame:
     return ingest.podcasts_with_episodes(ingest.validate_episodes(d.entries)[0], d.entries)
@@ -509,6 +531,51 @@ def apply_transcribed(d: Domain) -> DataFrame:
     return _flag(transcription.apply_transcribed(d.episodes, done).select("episode_id", "transcribed"))
 
 
+def _bucket_files(d: Domain, path: str, keys: list[str]) -> DataFrame:
+    """The files each bucket of a stored dataset consists of."""
+    buckets = keyed.bucket_count(d.spark, path)
+    stored = d.spark.read.parquet(f"{path}/buckets={buckets}")
+    return stored.groupBy("bucket").agg(F.array_sort(F.collect_set("_metadata.file_path")).alias("files"))
+
+
+def _replaced(d: Domain, path: str, keys: list[str], new: DataFrame, order: str | None = None) -> DataFrame:
+    """The dataset after a replacement; ``as_reported`` tells whether a row's bucket was written exactly if the report says so."""
+    before = fixed(_bucket_files(d, path, keys))
+    report = keyed.replace(new, path, keys, order)
+    after = _bucket_files(d, path, keys).join(before.withColumnRenamed("files", "old_files"), "bucket", "left")
+    reported = F.array_contains(F.array(*[F.lit(b) for b in report.written]), F.col("bucket"))
+    checked = after.select("bucket", (~F.col("files").eqNullSafe(F.col("old_files")) == reported).alias("as_reported"))
+    stored = keyed.read(d.spark, path)
+    return stored.withColumn("bucket", keyed.bucket_of(keys, F.lit(report.buckets))).join(checked, "bucket").drop("bucket")
+
+
+@query
+def transcribed_in_buckets(d: Domain) -> DataFrame:
+    """The flags of the toxic documents' episodes set in a stored table: other buckets are not written."""
+    path = scratch_path(d.spark, "episodes")
+    keyed.store(d.episodes, path, ["episode_id"], buckets=64)
+    done = d.raw("labels").filter("toxic = 1").selectExpr("doc_id AS episode_id")
+    asked = keyed.read_buckets_of(done, path, ["episode_id"]).join(done, "episode_id", "left_semi")
+    new = transcription.apply_transcribed(asked, done)
+    return _flag(_replaced(d, path, ["episode_id"], new).select("episode_id", "transcribed", "as_reported"))
+
+
+@query
+def embeddings_in_buckets(d: Domain) -> DataFrame:
+    """The vectors of the episodes with a toxic document replaced by one chunk each, in place."""
+    path = scratch_path(d.spark, "embeddings")
+    keyed.store(d.embeddings, path, ["episode_id"], "chunk_index", buckets=64)
+    touched = d.raw("labels").filter("toxic = 1").selectExpr("doc_id AS episode_id").join(
+        d.embeddings.select("episode_id").distinct(), "episode_id", "left_semi"
+    )
+    new = touched.select(
+        "episode_id", F.lit(0).cast("bigint").alias("chunk_index"), F.lit("new").alias("chunk_text"),
+        F.array(F.lit(1.0).cast("float")).alias("transcript_embedding"),
+    )
+    stored = _replaced(d, path, ["episode_id"], new, "chunk_index")
+    return stored.select("episode_id", "chunk_index", "chunk_text", F.size("transcript_embedding").alias("numbers"), "as_reported")
+
+
 @query
 def route_outcomes(d: Domain) -> DataFrame:
     results = d.raw("labels").selectExpr(

@@ -1,8 +1,9 @@
 """The transcript lake: scans and sinks of transcripts, segments and summaries.
 
 Files are JSON lines below ``podcast_id=…/episode_id=…`` folders, the ids only in
-the folder names. One folder per episode does not scale, so our own default
-layout is Parquet in a fixed number of key buckets.
+the folder names. One folder per episode does not scale: folders others fill are listed
+without looking for partitions, ``pack_files`` turns them into few large files once, and our
+own datasets are Parquet in key buckets (``keyed``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from earshot.functions.grouping import ordered_concat
 from earshot.functions.once import let
 from earshot.functions.text import SPACE, is_missing, strip
 from earshot.schemas import PARTITION_KEYS, SEGMENT_RECORD, SUMMARY_RECORD, TRANSCRIPT_RECORD
+from earshot.sources import keyed
 from earshot.sources.tables import path_exists
 
 KEYS = ["podcast_id", "episode_id"]
@@ -24,10 +26,38 @@ def _with_keys(record: T.StructType) -> T.StructType:
     return T.StructType([*record.fields, *PARTITION_KEYS.fields])
 
 
+def _folder_key(name: str) -> Column:
+    """Value of ``name=…`` in a file's path, as text.
+
+    The path is encoded once as an address and once as a folder name; a plus sign stands for itself.
+    """
+    decode = lambda text: F.url_decode(F.regexp_replace(text, r"\+", "%2B"))
+    value = decode(decode(F.regexp_extract(F.col("_metadata.file_path"), rf"/{name}=([^/]*)/", 1)))
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", value).alias(name)
+
+
+def _loose(reader, path: str, *columns: Column) -> DataFrame:
+    """Files below ``path`` with their keys: one listing, no partition per episode."""
+    found = reader.option("recursiveFileLookup", "true").load(path)
+    return found.select(*[_folder_key(k) for k in KEYS], *columns)
+
+
 def _whole_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file; the ids stay strings and prune folders."""
-    schema = _with_keys(T.StructType([T.StructField("body", T.StringType())]))
-    return spark.read.schema(schema).text(path, wholetext=True)
+    """One row per file, loose or packed: keys, ``file_name``, ``body``."""
+    if keyed.bucket_count(spark, path) is not None:
+        return keyed.read(spark, path)
+    reader = spark.read.format("text").schema("body string").option("wholetext", "true")
+    return _loose(reader, path, F.col("_metadata.file_name").alias("file_name"), F.col("body"))
+
+
+def store_files(files: DataFrame, path: str) -> keyed.Written:
+    """Store whole files (keys, ``file_name``, ``body``) many to a Parquet file; episodes met again are replaced."""
+    return keyed.replace(files.select(*KEYS, "file_name", "body"), path, KEYS, "file_name")
+
+
+def pack_files(spark: SparkSession, path: str, packed: str) -> keyed.Written:
+    """Bring a folder with a file per episode into few large files, which every reader here takes instead."""
+    return store_files(_whole_files(spark, path), packed)
 
 
 def _records(line: Column, record: T.StructType, mode: str) -> Column:
@@ -86,7 +116,7 @@ def read_transcripts(
     """
     files = _whole_files(spark, path)
     if format == "auto":
-        is_lines = F.col("_metadata.file_name").rlike(r"\.jsonl?(\.[a-z0-9]+)?$")
+        is_lines = F.col("file_name").rlike(r"\.jsonl?(\.[a-z0-9]+)?$")
         joined = F.array_join(_line_texts(F.col("body"), "keep_empty"), " ")
         text = F.when(is_lines, joined).otherwise(F.col("body"))
         return files.select(*KEYS, text.alias("transcript_text"))
@@ -107,7 +137,10 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], _with_keys(SEGMENT_RECORD))
-    lines = spark.read.schema(_with_keys(T.StructType([T.StructField("line", T.StringType())]))).text(path)
+    if keyed.bucket_count(spark, path) is not None:
+        lines = keyed.read(spark, path).select(*KEYS, F.explode(F.split("body", "\r\n|\r|\n")).alias("line"))
+    else:
+        lines = _loose(spark.read.format("text").schema("line string"), path, F.col("line"))
     found = lines.select(*KEYS, _records(F.col("line"), SEGMENT_RECORD, "PERMISSIVE").alias("found"))
     record = F.get("found", F.lit(0))
     return found.filter((F.size("found") == 1) & record.isNotNull()).select(
@@ -117,60 +150,48 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
 
 def read_summaries(spark: SparkSession, path: str) -> DataFrame:
     """Summary records with their string keys."""
-    return spark.read.schema(_with_keys(SUMMARY_RECORD)).json(path)
+    columns = [*SUMMARY_RECORD.fieldNames(), *KEYS]
+    if keyed.bucket_count(spark, path) is not None:
+        return keyed.read(spark, path).select(*columns)
+    fields = [F.col(name) for name in SUMMARY_RECORD.fieldNames()]
+    return _loose(spark.read.format("json").schema(SUMMARY_RECORD), path, *fields).select(*columns)
 
 
 def write_partitioned(
-    df: DataFrame,
-    path: str,
-    layout: str = "parquet",
-    order: str | None = None,
-    buckets: int = 64,
-    mode: str = "overwrite",
-) -> None:
-    """Store transcripts or segments.
-
-    ``parquet`` writes a fixed number of key buckets, sorted so that row-group
-    statistics prune lookups; ``mode`` is overwrite or append. ``jsonl`` is the exchange layout: ids only in the
+    df: DataFrame, path: str, layout: str = "parquet", order: str | None = None, buckets: int | None = None
+) -> keyed.Written | None:
+    """Store transcripts or segments in place of all that stood there.
+
+    ``parquet`` deals them over key buckets, as many as their size asks for unless told, sorted so that
+    row-group statistics prune lookups. ``jsonl`` is the exchange layout: ids only in the
     folder names, one writer per episode, records in ``order`` inside the file;
     it replaces the episodes written and no others.
     """
     if layout == "parquet":
-        sorting = ["bucket", *KEYS, *([order] if order else [])]
-        (
-            df.withColumn("bucket", F.pmod(F.xxhash64(*KEYS), F.lit(buckets)).cast("int"))
-            .repartitionByRange(*sorting)
-            .sortWithinPartitions(*sorting)
-            .write.partitionBy("bucket")
-            .mode(mode)
-            .parquet(path)
-        )
-    elif layout == "jsonl":
-        _write_json(df, path, order)
-    else:
+        return keyed.store(df, path, KEYS, order, buckets)
+    if layout != "jsonl":
         raise ValueError(f"unknown layout {layout!r}")
+    return _write_json(df, path, order)
+
+
+def replace_episodes(df: DataFrame, path: str, order: str | None = None) -> keyed.Written:
+    """Store episodes in the Parquet layout; one that is stored already is replaced, as when it is transcribed again."""
+    return keyed.replace(df, path, KEYS, order)
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the Parquet layout, without the bucket."""
-    return spark.read.parquet(path).drop("bucket")
+    return keyed.read(spark, path)
 
 
-def add_missing(df: DataFrame, path: str, order: str | None = None) -> None:
-    """Append the episodes that the Parquet layout does not have yet.
-
-    A run repeated after a failure adds nothing twice.
-    """
-    spark = df.sparkSession
-    if path_exists(spark, path):
-        stored = spark.read.parquet(path).select(*KEYS).distinct()
-        df = df.join(stored, KEYS, "left_anti")
-    write_partitioned(df, path, order=order, mode="append")
+def read_episodes(asked: DataFrame, path: str) -> DataFrame:
+    """Rows of the Parquet layout from the buckets in which the asked episodes lie."""
+    return keyed.read_buckets_of(asked, path, KEYS)
 
 
-def bucket_filter(podcast_id: str, episode_id: str, buckets: int = 64) -> Column:
-    """Predicate for one key that lets a lookup open one bucket only."""
-    key = F.pmod(F.xxhash64(F.lit(podcast_id), F.lit(episode_id)), F.lit(buckets)).cast("int")
+def bucket_filter(podcast_id: str, episode_id: str) -> Column:
+    """Predicate for one key that lets a scan of the Parquet layout open one bucket only."""
+    key = F.pmod(F.xxhash64(F.lit(podcast_id), F.lit(episode_id)), F.col("buckets")).cast("int")
     return (
         (F.col("bucket") == key)
         & (F.col("podcast_id") == podcast_id)
@@ -197,16 +218,16 @@ def _write_json(df: DataFrame, path: str, order: str | None = None) -> None:
     )
 
 
-def write_summaries(analysis: DataFrame, path: str) -> None:
+def write_summaries(analysis: DataFrame, path: str, layout: str = "parquet") -> keyed.Written | None:
     """Store summaries with their defaults; only the written episodes are replaced."""
     nothing = F.array().cast("array<string>")
     records = analysis.select(
-        *KEYS,
+        *[F.col(k).cast("string").alias(k) for k in KEYS],
         F.coalesce("summary", F.lit("")).alias("summary"),
         F.coalesce("topics", nothing).alias("topics"),
         F.coalesce("speakers", nothing).alias("speakers"),
     )
-    _write_json(records, path)
+    return replace_episodes(records, path) if layout == "parquet" else _write_json(records, path)
 
 
 DATASETS = {
@@ -216,26 +237,49 @@ DATASETS = {
 }
 
 
-def register_datasets(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
-    """Make the JSON datasets below ``root`` queryable as external tables.
+def register(spark: SparkSession, table: str, written: keyed.Written) -> str:
+    """Bring a catalog table up to what a writer reports: its columns, and the buckets it wrote.
 
-    A table whose columns changed is declared again, and partitions are added
-    as they appear; files are never touched and vanished folders stay listed.
-    A dataset without a folder is passed over until it has one.
+    The table is declared once. Columns it lacks are added, the written buckets become its
+    partitions; no folder is listed and no file touched. A dataset that was dealt over more
+    buckets lies in another folder, so its table is declared anew.
     """
-    names = []
-    shape = lambda schema: [(f.name, f.dataType) for f in schema.fields]
-    for name, record in DATASETS.items():
-        table, columns = f"{prefix}{name}", _with_keys(record)
-        if not path_exists(spark, f"{root}/{name}"):
-            continue
-        if spark.catalog.tableExists(table) and shape(spark.table(table).schema) != shape(columns):
+    known = spark.catalog.tableExists(table)
+    if known:
+        details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").head()
+        if details is None or details["data_type"].rstrip("/").rsplit("/", 2)[-2:] != written.folder.rsplit("/", 2)[-2:]:
             spark.sql(f"DROP TABLE {table}")
-        ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns.fields)
+            known = False
+    named = lambda fields: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    if not known:
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING json "
-            f"PARTITIONED BY (podcast_id, episode_id) LOCATION '{root}/{name}'"
+            f"CREATE TABLE {table} ({named(written.columns.fields)}, bucket INT) USING parquet "
+            f"PARTITIONED BY (bucket) LOCATION '{written.folder}'"
         )
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-        names.append(table)
+    else:
+        held = set(spark.table(table).columns)
+        added = [f for f in written.columns.fields if f.name not in held]
+        if added:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({named(added)})")
+    for first in range(0, len(written.written), 1000):
+        parts = " ".join(f"PARTITION (bucket = {b})" for b in written.written[first : first + 1000])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(table)
+    return table
+
+
+def register_datasets(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Make the datasets below ``root`` queryable as external tables, as they stand now.
+
+    For datasets that others wrote; a job that writes passes its report to ``register``. A dataset without a folder
+    is passed over until it has one.
+    """
+    names = []
+    for name in DATASETS:
+        path = f"{root}/{name}"
+        buckets = keyed.bucket_count(spark, path)
+        if buckets is not None:
+            columns = keyed.read(spark, path).schema
+            report = keyed.Written(f"{path}/buckets={buckets}", buckets, list(range(buckets)), columns)
+            names.append(register(spark, f"{prefix}{name}", report))
     return names

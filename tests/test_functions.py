@@ -90,7 +90,8 @@ def test_iso_dates(spark):
         "2003-03-07": datetime(2003, 3, 7), "2003-03-07T04:15:09Z": datetime(2003, 3, 7, 4, 15, 9),
         "2003-03-07T04:15:09.75+02:00": datetime(2003, 3, 7, 2, 15, 9), "2003-03-07 04:15": datetime(2003, 3, 7, 4, 15),
         " 2003-03-07T04:15:09-0130 ": datetime(2003, 3, 7, 5, 45, 9), "2003-13-07": None, "2003-02-30T00:00:00Z": None,
-        "2003": None, "Fri, 07 Mar 2003 04:15:09 +0000": None, "": None,
+        "2003": None, "Fri, 07 Mar 2003 04:15:09 +0000": None, "": None, "2003-03-07T04:15Z": datetime(2003, 3, 7, 4, 15),
+        "2003-03-07T04:15+02:00": datetime(2003, 3, 7, 2, 15), "2003-03-07 04:15-0130": datetime(2003, 3, 7, 5, 45),
     }
     assert column(spark, list(given), dates.iso_date) == list(given.values())
 

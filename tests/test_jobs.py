@@ -59,15 +59,21 @@ def test_from_feed_to_tables(spark, folder, rows):
     )
     routed = jobs.store_transcripts(spark, root, slices, segments, lake_root)
     assert dict(rows(routed, "episode_id", "route")) == {a: "process", b: "failed"}
-    flags = dict(rows(read_snapshot(spark, root, "episode"), "episode_id", "transcribed"))
+    flags = dict(rows(jobs.read_episodes(spark, root), "episode_id", "transcribed"))
     assert flags[a] is True and flags[b] is False
-    # A repeated run and a run with another episode leave what is stored alone.
+    # A repeated run replaces what it stored; one with another episode leaves the rest alone.
     jobs.store_transcripts(spark, root, slices, segments, lake_root)
     other = slices.filter(F.col("episode_id") == b).withColumns({"ok": F.lit(True), "text": F.lit("now it worked")})
     jobs.store_transcripts(spark, root, other, segments.limit(0), lake_root)
     assert rows(lake.read_partitioned(spark, f"{lake_root}/segments"), "start_time", "text") == [(0.0, "hello"), (121.0, "world")]
     assert rows(lake.read_partitioned(spark, f"{lake_root}/transcripts"), "episode_id") == sorted([(str(a),), (str(b),)], key=repr)
 
+    again = slices.filter(F.col("episode_id") == b).withColumns({"ok": F.lit(True), "text": F.lit("transcribed anew")})
+    jobs.store_transcripts(spark, root, again, segments.limit(0), lake_root)
+    texts = dict(rows(lake.read_partitioned(spark, f"{lake_root}/transcripts"), "episode_id", "transcript_text"))
+    assert texts[str(b)] == "transcribed anew" and texts[str(a)].endswith("hello world")
+    assert rows(jobs.read_episodes(spark, root).filter("transcribed"), "episode_id") == sorted([(a,), (b,)], key=repr)
+
     responses = spark.createDataFrame(
         [(a, '{"topics": ["AI"], "summary": "S", "speakers": [{"name": "Ann"}]}'), (b, "oops"), (gone, '{"topics": []}')],
         "episode_id bigint, response string",
@@ -81,10 +87,10 @@ def test_from_feed_to_tables(spark, folder, rows):
     extra = spark.createDataFrame([(str(gone), "x " * 200)], texts.schema)
     report = jobs.store_embeddings(spark, root, texts.unionByName(extra), hashing_embedder(64), dim=64, size=20, overlap=10)
     assert dict(rows(report)) == {a: "stored", gone: "episode missing", b: "too short"}
-    stored = read_snapshot(spark, root, "episode_embedding")
+    stored = jobs.read_embeddings(spark, root)
     assert stored.count() == 7 and stored.select("episode_id").distinct().count() == 1
     jobs.store_embeddings(spark, root, texts, hashing_embedder(64), dim=64, size=61, overlap=0)
-    assert read_snapshot(spark, root, "episode_embedding").count() == 1
+    assert jobs.read_embeddings(spark, root).count() == 1
 
 
 def test_versions_of_a_feed_are_all_loaded(spark, folder, rows):

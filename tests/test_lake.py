@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.sources import lake, lookups, tables
+from earshot.sources import keyed, lake, lookups, tables
 
 
 def put(folder, podcast, episode, content, name="data.jsonl"):
@@ -116,36 +116,118 @@ def test_summaries_have_defaults_and_replace_only_their_episodes(spark, folder,
     lake.write_summaries(frame(("1", "2", "new", [], None)), f"{folder}/s")
     got = rows(lake.read_summaries(spark, f"{folder}/s"), "episode_id", "summary", "topics", "speakers")
     assert got == [("1", "S", ["AI"], ["Ann"]), ("2", "new", [], [])]
+    for data in ((("1", "1", "S", ["AI"], ["Ann"]), ("1", "2", None, None, None)), (("1", "2", "new", [], None),)):
+        lake.write_summaries(frame(*data), f"{folder}/j", "jsonl")
+    assert rows(lake.read_summaries(spark, f"{folder}/j"), "episode_id", "summary", "topics", "speakers") == got
 
 
-def test_registered_tables_follow_the_files(spark, folder, rows):
+def test_registered_tables_follow_the_writers(spark, folder, rows):
     frame = lambda *data: spark.createDataFrame(list(data), "podcast_id string, episode_id string, transcript_text string")
-    lake.write_partitioned(frame(("1", "01", "a")), f"{folder}/transcripts", "jsonl")
+    lake.write_partitioned(frame(("1", "01", "a"), ("1", "03", "c")), f"{folder}/transcripts", buckets=64)
     lake.write_summaries(
         frame(("1", "01", "a")).selectExpr("podcast_id", "episode_id", "transcript_text AS summary",
                                            "array('AI') AS topics", "array('Ann') AS speakers"),
         f"{folder}/summaries",
     )
-    # Declared with other columns earlier, without moving its files.
+    # Declared over other files earlier, without moving them.
     spark.sql(f"CREATE TABLE reg_summaries (old STRING) USING json LOCATION '{folder}/summaries'")
     names = lake.register_datasets(spark, folder, "reg_")
     assert names == ["reg_transcripts", "reg_summaries"]
     assert rows(spark.table("reg_summaries"), "topics") == [(["AI"],)]
-    assert rows(spark.table("reg_transcripts")) == [("a", "1", "01")]
-    lake.write_partitioned(frame(("1", "02", "b")), f"{folder}/transcripts", "jsonl")
-    lake.register_datasets(spark, folder, "reg_")
-    assert rows(spark.table("reg_transcripts").filter("episode_id = '02'"), "transcript_text") == [("b",)]
+    assert rows(spark.table("reg_transcripts"), "transcript_text", "podcast_id", "episode_id") == [("a", "1", "01"), ("c", "1", "03")]
+    wider = frame(("1", "02", "b"), ("1", "03", "d")).withColumn("seconds", F.lit(7))
+    report = lake.replace_episodes(wider, f"{folder}/transcripts")
+    assert len(report.written) <= 2 and report.buckets == 64
+    lake.register(spark, "reg_transcripts", report)
+    got = rows(spark.table("reg_transcripts"), "episode_id", "transcript_text", "seconds")
+    assert got == [("01", "a", None), ("02", "b", 7), ("03", "d", 7)]
     for name in names:
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_registered_table_follows_a_dataset_dealt_anew(spark, folder, rows):
+    frame = spark.range(50).selectExpr("'p' AS podcast_id", "CAST(id AS STRING) AS episode_id", "'t' AS transcript_text")
+    for buckets in (2, 8):
+        report = lake.write_partitioned(frame, f"{folder}/t", buckets=buckets)
+        lake.register(spark, "reg_dealt", report)
+        assert spark.table("reg_dealt").count() == 50 and os.listdir(f"{folder}/t") == [f"buckets={buckets}"]
+    spark.sql("DROP TABLE reg_dealt")
+
+
+def test_replaced_keys_and_touched_buckets(spark, folder, rows):
+    frame = lambda ids, text: spark.createDataFrame([(i, n, text) for i in ids for n in range(2)], "id bigint, n int, text string")
+    files = lambda: {f"{d}/{f}" for d, _, names in os.walk(folder) for f in names if f.startswith("part-") and "_columns" not in d}
+    first = keyed.replace(frame(range(100), "old"), f"{folder}/k", ["id"], "n")
+    assert (first.buckets, first.written) == (1, [0])
+    keyed.store(frame(range(100), "old"), f"{folder}/k", ["id"], buckets=16)
+    before = files()
+    report = keyed.replace(frame([3, 500], "new"), f"{folder}/k", ["id"], "n")
+    changed = {int(f.split("/bucket=")[1].split("/")[0]) for f in before ^ files()}
+    assert changed == set(report.written) and len(report.written) <= 2
+    want = sorted([(i, n, "new" if i in (3, 500) else "old") for i in [*range(100), 500] for n in range(2)], key=repr)
+    for _ in range(2):
+        assert rows(keyed.read(spark, f"{folder}/k")) == want
+        keyed.replace(frame([3, 500], "new"), f"{folder}/k", ["id"], "n")
+    assert keyed.replace(frame([], "new"), f"{folder}/k", ["id"], "n").written == []
+    assert rows(keyed.read(spark, f"{folder}/k")) == want
+
+
+def test_buckets_grow_with_the_data(spark, folder, rows, monkeypatch):
+    frame = lambda ids: spark.range(ids).selectExpr("id", "concat(sha2(string(id), 256), sha2(string(-id), 256)) AS text")
+    monkeypatch.setattr(keyed, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(keyed, "GROWTH", 2)
+    counts = []
+    for size in (20, 300, 3000):
+        counts.append(keyed.replace(frame(size), f"{folder}/k", ["id"]).buckets)
+        assert rows(keyed.read(spark, f"{folder}/k"), "id") == sorted([(i,) for i in range(size)], key=repr)
+    assert counts[-1] > counts[0] and os.listdir(f"{folder}/k") == [f"buckets={counts[-1]}"]
+
+
+def test_lookup_opens_the_asked_buckets_only(spark, folder, rows):
+    df = spark.range(200).selectExpr("'p' AS podcast_id", "CAST(id AS STRING) AS episode_id", "concat('t', id) AS transcript_text")
+    lake.write_partitioned(df, f"{folder}/t", buckets=32)
+    asked = spark.createDataFrame([("p", 7), ("p", 999)], "podcast_id string, episode_id int")
+    stored = lake.read_episodes(asked, f"{folder}/t")
+    assert rows(lookups.lookup_transcripts(asked, stored)) == [("p", "7", "t7", "found"), ("p", "999", None, "missing")]
+    assert len(stored.inputFiles()) <= 2 or stored.count() < 40
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    one = spark.read.parquet(f"{folder}/t").filter(lake.bucket_filter("p", "7"))
+    assert one.first()["transcript_text"] == "t7" and one.count() == 1
+
+
+def test_packed_files_read_like_loose_ones(spark, transcripts, rows):
+    put(transcripts, "a:b +%20é", "x=y", line("odd"))
+    put(transcripts, 5, "1", line("one") + "\r\n" + line("two"), "data.json")
+    put(transcripts, 5, "2", "plain\n", "transcript.txt")
+    assert lake.pack_files(spark, transcripts, f"{transcripts}-packed").buckets == 1
+    for policy in ("keep_empty", "auto"):
+        options = {"format": "auto"} if policy == "auto" else {"policy": policy}
+        good = "episode_id <> '2'" if policy == "keep_empty" else "true"
+        loose, packed = (rows(lake.read_transcripts(spark, p, **options).filter(good)) for p in (transcripts, f"{transcripts}-packed"))
+        assert loose == packed and ("a:b + é", "x=y", "odd") in loose and ("4", "007", "one") in loose
+    # A folder packed again replaces its episodes.
+    lake.pack_files(spark, transcripts, f"{transcripts}-packed")
+    assert keyed.read(spark, f"{transcripts}-packed").count() == 5
+
+
+def test_packed_segments(spark, folder, rows):
+    good = json.dumps({"start_time": 0, "end_time": 10, "speaker": "A", "text": "Hello"})
+    put(f"{folder}/s", 1, 2, good + "\n{nope\n\n  \nnull\n[]\r\n" + good + " x\n" + good + "\n")
+    lake.pack_files(spark, f"{folder}/s", f"{folder}/p")
+    assert rows(lake.read_segments(spark, f"{folder}/p")) == rows(lake.read_segments(spark, f"{folder}/s")) != []
+
+
 def test_lookup_reads_the_asked_folders_only(spark, folder, rows):
     df = spark.range(20).selectExpr("'p' AS podcast_id", "CAST(id AS STRING) AS episode_id", "concat('t', id) AS transcript_text")
     lake.write_partitioned(df, f"{folder}/t", "jsonl")
     stored = spark.read.schema("transcript_text string, podcast_id string, episode_id string").json(f"{folder}/t")
     got = lookups.lookup_transcripts(spark.createDataFrame([("p", 7), ("p", 99)], "podcast_id string, episode_id int"), stored)
     assert rows(got) == [("p", "7", "t7", "found"), ("p", "99", None, "missing")]
-    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Plans are cut at this width, and expression numbers take part of it.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = got.select("*")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "dynamicprun" in plan.split("PartitionFilters: [")[1].split("\n")[0]
 
 
