@@ -123,7 +123,7 @@ def test_spelling_equals_comparing_all_words(spark, folder, rows, slips):
     got = spelling.spelling_variants(stored(spark, folder, given), slips=slips)
     want = spelled([r[:2] for r in given], slips)
     assert rows(got) == want
-    assert sum(r[1] is not None for r in want) > 3
+    assert sum(r[1] is not None for r in want) >= 3
 
 
 def test_spelling_lists_are_cut_without_losing_pairs(spark, rows, monkeypatch):
