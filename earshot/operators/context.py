@@ -1,11 +1,10 @@
-"""Chat context, keyword search and facet filters."""
+"""Chat context and facet filters."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,93 +115,6 @@ def chat_request(conversations: DataFrame, messages: DataFrame, n: int = 10) ->
     return history.unionByName(current).orderBy("conv_id", "position")
 
 
-def keyword_search(
-    keywords: DataFrame, episodes: DataFrame, transcripts: DataFrame, max_bytes: int = 32 << 20
-) -> DataFrame:
-    """Episodes whose title or transcript contains a keyword, in any case.
-
-    ``keywords`` has ``query_id, keyword``; every character of a keyword is
-    literal. Keywords travel with the scan of the texts, so nothing is joined
-    and only matches become rows. Keywords of up to ``max_bytes`` together take one
-    pass over the texts; a larger table is cut by hash into parts that do.
-    """
-    asked = keywords.filter(F.col("keyword").isNotNull() & (F.col("keyword") != "")).select(
-        F.col("query_id").cast("bigint").alias("query_id"), F.lower("keyword").alias("word")
-    )
-    size = asked.agg(F.sum(F.octet_length("word") + 16)).head()[0] or 0
-    passes = max(1, -(-size // max_bytes))
-    part = F.pmod(F.xxhash64("query_id", "word"), F.lit(passes))
-    low = lambda df, column, title: df.select(
-        F.col("episode_id").cast("string").alias("episode_key"), F.lower(column).alias("text"), F.lit(title).alias("in_title")
-    )
-    texts = low(episodes, "episode_title", True).unionByName(low(transcripts, "transcript_text", False))
-    texts = texts.filter(F.col("text").isNotNull())
-    found = None
-    for number in range(passes):
-        queries: dict[str, list[int]] = {}
-        for query_id, word in asked.filter(part == number).toLocalIterator():
-            queries.setdefault(word, []).append(query_id)
-        pairs = texts.mapInArrow(_keyword_scan(queries), "episode_key string, in_title boolean, query_id bigint")
-        found = pairs if found is None else found.unionByName(pairs)
-    matched = found.groupBy("query_id", "episode_key").agg(
-        F.bool_or("in_title").alias("in_title"), F.bool_or(~F.col("in_title")).alias("in_transcript")
-    )
-    names = episodes.select("episode_id", "episode_title", F.col("episode_id").cast("string").alias("episode_key"))
-    return matched.join(names, "episode_key").select(
-        "query_id", "episode_id", "episode_title", "in_title", "in_transcript"
-    )
-
-
-def _keyword_scan(queries: dict[str, list[int]]):
-    """All keywords in one pass over each text.
-
-    Keywords of one length are one set that the text's substrings of that length
-    are looked up in; an automaton does the same faster where the workers have one.
-    """
-
-    def finder():
-        try:
-            import ahocorasick
-        except ImportError:
-            by_length: dict[int, set[str]] = {}
-            for word in queries:
-                by_length.setdefault(len(word), set()).add(word)
-
-            def find(text: str) -> set[str]:
-                return {
-                    part
-                    for size, words in by_length.items()
-                    for at in range(len(text) - size + 1)
-                    if (part := text[at : at + size]) in words
-                }
-
-            return find
-        automaton = ahocorasick.Automaton()
-        for word in queries:
-            automaton.add_word(word, word)
-        automaton.make_automaton()
-        return lambda text: {word for _, word in automaton.iter(text)}
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not queries:
-            return
-        find = finder()
-        for batch in batches:
-            rows: list[int] = []
-            ids: list[int] = []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                for word in find(text):
-                    rows += [row] * len(queries[word])
-                    ids += queries[word]
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("episode_key").take(at), batch.column("in_title").take(at), pa.array(ids, pa.int64())],
-                names=["episode_key", "in_title", "query_id"],
-            )
-
-    return scan
-
-
 def filter_episodes(
     tables: dict[str, DataFrame],
     topics: Sequence[str] | None = None,

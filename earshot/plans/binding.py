@@ -191,8 +191,9 @@ class Domain:
 
     @cached_property
     def keywords(self) -> DataFrame:
-        """Second word of every benchmark item."""
-        return self.raw("benchmark").selectExpr("item_id AS query_id", "split(text, ' ')[1] AS keyword")
+        """Every word of the benchmark texts, numbered by where it stands first."""
+        words = self.raw("benchmark").selectExpr("item_id", "posexplode(split(lower(text), ' ')) AS (pos, keyword)")
+        return words.filter("keyword <> ''").groupBy("keyword").agg(F.expr("min(item_id * 100000 + pos)").alias("query_id"))
 
     # -- feeds -------------------------------------------------------------
 

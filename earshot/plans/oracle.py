@@ -641,8 +641,9 @@ ORACLE: dict[str, str] = {
           AS position
         FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations)
         WHERE back <= 3""",
-    "keyword_search": """WITH k AS (SELECT item_id AS query_id, lower(string_split(text, ' ')[2]) AS word
-          FROM benchmark WHERE string_split(text, ' ')[2] <> ''),
+    "keyword_search": """WITH k AS (SELECT word, min(item_id * 100000 + pos - 1) AS query_id FROM (
+          SELECT item_id, generate_subscripts(words, 1) AS pos, unnest(words) AS word
+          FROM (SELECT item_id, string_split(lower(text), ' ') AS words FROM benchmark)) WHERE word <> '' GROUP BY word),
         t AS (SELECT doc_id AS episode_id, 'The ' || doc_id || ' and more' AS episode_title, text FROM documents)
         SELECT query_id, episode_id, episode_title, contains(lower(episode_title), word) AS in_title,
           contains(lower(text), word) AS in_transcript FROM k JOIN t

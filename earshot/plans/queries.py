@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from earshot.functions.dates import iso_date, mail_date
 from earshot.functions.grouping import ordered_concat
 from earshot.functions.text import sentence_start
-from earshot.operators import analysis, analytics, context, embedding, ingest, search, transcription
+from earshot.operators import analysis, analytics, context, embedding, ingest, keywords, search, transcription
 from earshot.plans import jobs
 from earshot.plans.binding import Domain
 from earshot.schemas import TABLES
@@ -924,7 +924,7 @@ def keyword_search(d: Domain) -> DataFrame:
     titled = transcripts.select(
         "episode_id", F.concat(F.lit("The "), F.col("episode_id"), F.lit(" and more")).alias("episode_title")
     )
-    return context.keyword_search(d.keywords, titled, transcripts)
+    return keywords.keyword_search(d.keywords, titled, transcripts)
 
 
 @query

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from earshot.operators import context as c
+from earshot.operators import keywords
 
 
 def test_chunk_context(spark, rows):
@@ -16,17 +17,6 @@ def test_chunk_context(spark, rows):
     assert rows(c.chunk_context(hits, asked)) == [(1, "[Chunk 3]: first\n\n[Chunk 8]: second"), (2, "")]
 
 
-def test_keywords_without_an_automaton(monkeypatch):
-    import sys
-
-    import pyarrow as pa
-
-    monkeypatch.setitem(sys.modules, "ahocorasick", None)
-    batch = pa.RecordBatch.from_pydict({"episode_key": ["1", "2"], "text": ["xaab", ""], "in_title": [True, False]})
-    (found,) = c._keyword_scan({"a": [1], "aa": [2, 3], "ab": [4], "xaabx": [5]})(iter([batch]))
-    assert sorted(zip(found["episode_key"].to_pylist(), found["query_id"].to_pylist())) == [("1", i) for i in (1, 2, 3, 4)]
-
-
 def test_percent_is_rounded_by_the_binary_value(spark):
     dice = random.Random(2)
     scores = [0.1235, 0.0005, 0.8755, 0.125, 0.0625, 0.9995, 1.0, 0.0, -0.1235, -1.0, 0.99949999]
@@ -88,20 +78,26 @@ def test_recent_turns(spark):
     assert request == ["turn no 13", "turn no 14", "now", "only"]
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 40])
-def test_keyword_search(spark, rows, max_bytes):
+@pytest.mark.parametrize("block", [1, 4096])
+def test_keyword_search(spark, folder, rows, monkeypatch, block):
+    monkeypatch.setattr(keywords, "BLOCK_TEXTS", block)
     episodes = spark.createDataFrame([(1, "All about AI"), (2, "100% pure"), (3, "x")], "episode_id bigint, episode_title string")
     texts = spark.createDataFrame([(1, "nothing"), (2, "hair_style"), (3, "HAIR and ÉTÉ")], "episode_id bigint, transcript_text string")
     words = spark.createDataFrame(
-        [(1, "ai"), (2, "0% P"), (3, "_"), (4, "été"), (5, ""), (6, None), (7, "%"), (8, "AI")],
+        [(1, "ai"), (2, "0% P"), (3, "_"), (4, "été"), (5, ""), (6, None), (7, "%"), (8, "AI"), (9, "air"), (10, "hair_xtyle"), (11, "nothing at all"), (12, "style")],
         "query_id bigint, keyword string",
     )
-    got = c.keyword_search(words, episodes, texts, max_bytes)
-    assert rows(got, "query_id", "episode_id", "in_title", "in_transcript") == [
+    got = keywords.keyword_search(words, episodes, texts)
+    assert sorted(rows(got, "query_id", "episode_id", "in_title", "in_transcript")) == [
         (1, 1, True, False), (1, 2, False, True), (1, 3, False, True), (2, 2, True, False), (3, 2, False, True),
         (4, 3, False, True), (7, 2, True, False), (8, 1, True, False), (8, 2, False, True), (8, 3, False, True),
+        (9, 2, False, True), (9, 3, False, True), (12, 2, False, True),
     ]
-    assert c.keyword_search(words.limit(0), episodes, texts, max_bytes).count() == 0
+    keywords.store_postings(keywords.searched_texts(episodes, texts), f"{folder}/p")
+    stored = keywords.keyword_search(words, episodes, texts, f"{folder}/p")
+    assert rows(stored) == rows(got)
+    assert keywords.keyword_search(words.limit(0), episodes, texts).count() == 0
+    assert keywords.keyword_search(words, episodes.limit(0), texts.limit(0)).count() == 0
 
 
 def test_facets(spark, rows):
