@@ -46,44 +46,61 @@ def _lines_removed(kept: DataFrame) -> DataFrame:
 
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated lines of five words and more removed from every document, with their places."""
+    """Runs of repeated sentences removed from every document, with their places."""
     return _lines_removed(substring_dedup.remove_repeats(documents(spark, sf_dir)))
 
 
+@query
+def op1_substring_dedup_every_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every repeated sentence, however short and alone."""
+    return _lines_removed(substring_dedup.remove_repeats(documents(spark, sf_dir), min_run=0))
+
+
 @query
 def op1_substring_dedup_every_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for all lines that are not blank, however short."""
-    return _lines_removed(substring_dedup.remove_repeats(documents(spark, sf_dir), min_words=1))
+    lines = substring_dedup.LINES
+    return _lines_removed(substring_dedup.remove_repeats(documents(spark, sf_dir), lines, min_run=0))
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_NORMAL = _LOWER.format(r"trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))")
-ORACLE["op1_substring_dedup"] = rf"""
-WITH lines AS (
-  SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line, len(parts) AS n
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+_NORMAL = _LOWER.format(r"trim(regexp_replace(piece, '[\x20\x09-\x0D]+', ' ', 'g'))")
+
+
+def _units_sql(pieces: str, gone: str) -> str:
+    return rf"""
+WITH pieces AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS piece
+  FROM (SELECT doc_id, {pieces} AS parts FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))
 ), placed AS (
-  SELECT *, line || CASE WHEN pos < n THEN chr(10) ELSE '' END AS piece, {_NORMAL} AS unit
-  FROM lines
+  SELECT *, {_NORMAL} AS unit,
+         coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM pieces
 ), ranked AS (
-  SELECT *, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY pos
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         unit <> '' AND len(string_split(unit, ' ')) >= 5
-           AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) > 1 AS gone
+  SELECT *, unit <> '' AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, pos) > 1 AS later,
+         greatest(len(string_split(unit, ' ')), length(unit) // 8) AS words,
+         count(*) FILTER (unit <> '') OVER (PARTITION BY doc_id ORDER BY pos) AS place
   FROM placed
+), islands AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id, later ORDER BY pos) AS island FROM ranked
+), judged AS (
+  SELECT *, later AND ({gone}) AS gone FROM islands
 )
-SELECT doc_id,
+SELECT documents.doc_id,
        count(*) FILTER (gone) AS n_removed,
        coalesce(sum(length(piece)) FILTER (gone), 0)::BIGINT AS removed_chars,
        coalesce(string_agg(start::BIGINT || '-' || (start + length(piece))::BIGINT, ',' ORDER BY pos) FILTER (gone), '')
          AS removed_spans,
        sha256(coalesce(string_agg(piece, '' ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
-FROM ranked GROUP BY doc_id
+FROM documents LEFT JOIN judged ON documents.doc_id = judged.doc_id GROUP BY documents.doc_id
 """
 
-ORACLE["op1_substring_dedup_every_line"] = ORACLE["op1_substring_dedup"].replace(
-    "AND len(string_split(unit, ' ')) >= 5", ""
-)
+
+_SENTENCES = r"regexp_extract_all(text, '[^\n.!?。！？]*(?:[.!?。！？]+|\n|\z)[\x20\x09-\x0D]*')"
+ORACLE["op1_substring_dedup"] = _units_sql(_SENTENCES, "sum(words) OVER (PARTITION BY doc_id, later, island) >= 20")
+ORACLE["op1_substring_dedup_every_sentence"] = _units_sql(_SENTENCES, "true")
+ORACLE["op1_substring_dedup_every_line"] = _units_sql(r"regexp_extract_all(text, '[^\n]*(?:\n|\z)')", "true")
 
 
 @query

@@ -1,77 +1,94 @@
-"""Line deduplication by digests of normalised units."""
+"""Deduplication of repeated passages by digests of normalised units."""
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.llm.common import numbered, settled
 from earshot.session import fixed
 
-UNIT_SCHEMA = "doc_id long, _row long, digest binary, start long, end long"
+# Units: every character of a text is in one of them, white space behind a unit belongs to it.
+SENTENCES = r"[^\n.!?。！？]*(?:[.!?。！？]+|\n|\Z)[\x20\x09-\x0D]*"
+LINES = r"[^\n]*(?:\n|\Z)"
+PARAGRAPHS = r"(?s:.*?)(?:\n[\x20\x09\x0B-\x0D]*\n\s*|\Z)"
+# Words a run of repeated units must have together; so many characters count for a word where words are not spaced.
+MIN_RUN, WORD_CHARS = 20, 8
+# A digest with more than one unit in HOT of all units is settled where it is read: HOT digests at most.
+HOT = 1_000
+UNIT_SCHEMA = "doc_id long, _row long, digest binary, start long, end long, pos long, words long"
 SPAN = "array<struct<start:long,end:long>>"
 
 
-def _units(text: str, separator: str, min_words: int) -> Iterator[tuple[bytes, int, int]]:
-    """Digest and span of each unit that is long enough; the span includes the separator behind it."""
-    start = 0
-    while start < len(text):
-        found = text.find(separator, start)
-        end = len(text) if found < 0 else found
-        words = text[start:end].encode().lower().split()
-        after = end if found < 0 else end + len(separator)
-        if len(words) >= min_words:
-            yield hashlib.blake2b(b" ".join(words), digest_size=16).digest(), start, after
-        start = after
+def _units(text: str, pattern: re.Pattern) -> Iterator[tuple[bytes, int, int, int]]:
+    """Digest, span and number of words of each unit that is not blank."""
+    for match in pattern.finditer(text):
+        words = match.group().encode().lower().split()
+        if words:
+            joined = b" ".join(words)
+            weight = max(len(words), len(joined.decode()) // WORD_CHARS)
+            yield hashlib.blake2b(joined, digest_size=16).digest(), match.start(), match.end(), weight
 
 
-def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = 5) -> DataFrame:
+def repeated_units(docs: DataFrame, units: str = SENTENCES, min_run: int = MIN_RUN) -> DataFrame:
     """Units that occur earlier: ``doc_id, _row, start, end`` in characters of the original text.
 
-    Units (lines, or paragraphs with another separator) are compared with
-    A-Z in lower case and white space collapsed; those of fewer than
-    ``min_words`` words are no evidence of copying and stay. The earliest by
-    (doc_id, row, start) stays, every other occurrence is returned. Winners come
-    out of a partial aggregate; the join that finds the others has one row per
-    digest on that side, so that a hot digest can be split.
+    Units are compared with A-Z in lower case and white space collapsed; blank ones are none, all
+    others are looked at, however short. Of equal ones the earliest by (doc_id, row, start) stays; others are
+    returned where they and the repeated units right beside them have ``min_run`` words together, as a single
+    short sentence is no evidence of copying (0: all of them). Winners come out of a partial aggregate. The
+    most frequent digests are found where units are read, their winners being broadcast; the others are joined.
     """
+    compiled = re.compile(units)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = ([], [], [], [], [])
+            rows = ([], [], [], [], [], [], [])
             ids, numbers = batch.column("doc_id").to_pylist(), batch.column("_row").to_pylist()
             for doc_id, number, text in zip(ids, numbers, batch.column("text").to_pylist()):
-                for digest, start, end in _units(text, separator, min_words):
-                    for column, value in zip(rows, (doc_id, number, digest, start, end)):
+                for pos, (digest, start, end, words) in enumerate(_units(text, compiled)):
+                    for column, value in zip(rows, (doc_id, number, digest, start, end, pos, words)):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+            kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 4]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, kinds)], ["doc_id", "_row", "digest", "start", "end"]
+                [pa.array(c, k) for c, k in zip(rows, kinds)], ["doc_id", "_row", "digest", "start", "end", "pos", "words"]
             )
 
-    units = fixed(numbered(docs).mapInArrow(run, UNIT_SCHEMA))
+    found = fixed(numbered(docs).mapInArrow(run, UNIT_SCHEMA))
+    n_units = found.count()
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "start")
-    winners = (
-        units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    winners = fixed(
+        found.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
     )
-    met = units.join(winners, "digest")
-    later = (F.col("_row") != F.col("first._row")) | (F.col("start") != F.col("first.start"))
-    return met.filter(later).select("doc_id", "_row", "start", "end")
-
-
-def remove_repeats(docs: DataFrame, separator: str = "\n", min_words: int = 5) -> DataFrame:
+    hot = F.broadcast(winners.filter(F.col("n") * HOT > n_units).select("digest", "first"))
+    cold = winners.filter(F.col("n") * HOT <= n_units).select("digest", "first")
+    rest = found.join(hot.select("digest"), "digest", "left_anti").join(cold, "digest")
+    met = found.join(hot, "digest").unionByName(rest)
+    later = met.filter((F.col("_row") != F.col("first._row")) | (F.col("start") != F.col("first.start")))
+    if min_run > 0:
+        # Units of one text that stand beside each other have equal distances from their rank.
+        place = F.row_number().over(Window.partitionBy("_row").orderBy("pos"))
+        beside = later.withColumn("_run", F.col("pos") - place)
+        together = F.sum("words").over(Window.partitionBy("_row", "_run"))
+        later = beside.withColumn("_words", together).filter(F.col("_words") >= min_run)
+    return later.select("doc_id", "_row", "start", "end")
+
+
+def remove_repeats(docs: DataFrame, units: str = SENTENCES, min_run: int = MIN_RUN) -> DataFrame:
     """Per row ``doc_id, text`` (what is left), ``removed`` (original spans in order) and ``n_chars``.
 
     Null and empty texts have nothing to remove; repeated rows are documents of
-    their own, the first of which keeps its units. Other columns play no part.
+    their own, the first of which keeps its units; ties in doc_id go to the row read first. A text of any length
+    is one row, its spans one list. Other columns play no part; an empty table gives an empty result.
     """
     docs = settled(docs)
-    spans = (
-        repeated_units(docs, separator, min_words)
+    spans = fixed(
+        repeated_units(docs, units, min_run)
         .groupBy("_row")
         .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
     )

@@ -47,31 +47,72 @@ def test_drop_copies_keeps_columns(spark, folder):
     assert len(texts) == len(set(texts)) == len({normal(r[1]) for r in odd_rows()})
 
 
-def removed_lines(cases, min_words=5):
-    """Per row the removed spans and the rest, line by line in rank order."""
+def removed_units(cases, cut, min_run):
+    """Per row the removed spans and the rest, unit by unit in rank order."""
     seen, out = set(), {}
     for i in sorted(range(len(cases)), key=lambda i: (cases[i][0] is None, cases[i][0] or 0)):
-        text, start, spans, kept = cases[i][1] or "", 0, [], []
-        lines = text.split("\n")
-        for line in [p + "\n" for p in lines[:-1]] + lines[-1:]:
-            own = line.encode().lower().split()
-            key = b" ".join(own)
-            if len(own) >= min_words and key in seen:
-                spans.append((start, start + len(line)))
-            else:
-                kept.append(line)
-                if len(own) >= min_words:
-                    seen.add(key)
-            start += len(line)
-        out[i] = (cases[i][0], spans, "".join(kept))
+        pieces, start = [], 0
+        for piece in cut(cases[i][1] or ""):
+            key = b" ".join(piece.encode().lower().split())
+            if key:
+                words = max(len(key.split()), len(key.decode()) // 8)
+                pieces.append([start, start + len(piece), words, key in seen])
+                seen.add(key)
+            start += len(piece)
+        spans, run = [], []
+        for piece in [*pieces, [0, 0, 0, False]]:
+            if piece[3]:
+                run.append(piece)
+                continue
+            if sum(p[2] for p in run) >= min_run:
+                spans += [(p[0], p[1]) for p in run]
+            run = []
+        text = cases[i][1] or ""
+        gone = {at for s, e in spans for at in range(s, e)}
+        out[i] = (cases[i][0], spans, "".join(c for at, c in enumerate(text) if at not in gone))
     return [out[i] for i in range(len(cases))]
 
 
+def lines_of(text):
+    parts = text.split("\n")
+    return [p + "\n" for p in parts[:-1]] + parts[-1:]
+
+
+def sentences_of(text):
+    out, piece, ended = [], "", False
+    for c in text:
+        if ended and not (c in " \t\n\x0b\f\r" or (c in ".!?。！？" and piece[-1] in ".!?。！？")):
+            out.append(piece)
+            piece, ended = "", False
+        piece += c
+        ended = ended or c in "\n.!?。！？"
+    return [*out, piece]
+
+
+SENTENCE_CASES = [
+    (0, "One two three four five six. Seven eight nine ten!  Eleven twelve thirteen fourteen fifteen.\n\nSixteen seventeen? Own end"),
+    (1, "Begin. one TWO three four five six. seven eight nine ten!\nEleven twelve thirteen fourteen fifteen. Sixteen seventeen? New end."),
+    (2, "One two three four five six. Another. Seven eight nine ten! Stop... Sixteen seventeen? 3.14 it is"),
+    (3, "字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字字。" * 2 + "词。" + "文" * 170 + "！尾"),
+    (4, "头。" + "文" * 170 + "！ 词。"), (5, "..!! \n ?"), (6, "..!! \n ?"), (7, None), (8, ""), (8, "Stop... Begin."), (None, "New end."),
+]
+
+
+@pytest.mark.parametrize("min_run", [0, 3, 20])
+def test_repeated_sentences(spark, folder, min_run):
+    cases = [(r[0], r[1]) for r in odd_rows()] + SENTENCE_CASES
+    docs = stored(spark, folder, [(*c, *odd_rows()[0][2:]) for c in cases])
+    got = substring_dedup.remove_repeats(docs, min_run=min_run).collect()
+    found = by_text((r.doc_id, [(s.start, s.end) for s in r.removed], r.text) for r in got)
+    assert found == by_text(removed_units(cases, sentences_of, min_run))
+
+
 def test_repeated_lines(spark):
     cases = [(r[0], r[1]) for r in odd_rows()]
-    got = substring_dedup.remove_repeats(frame(spark)).collect()
-    found = by_text((r.doc_id, [(s.start, s.end) for s in r.removed], r.text) for r in got)
-    assert found == by_text(removed_lines(cases))
+    for min_run in (0, 20):
+        got = substring_dedup.remove_repeats(frame(spark), substring_dedup.LINES, min_run).collect()
+        found = by_text((r.doc_id, [(s.start, s.end) for s in r.removed], r.text) for r in got)
+        assert found == by_text(removed_units(cases, lines_of, min_run))
 
 
 def test_short_lines_and_lines_without_spaces(spark, folder):
@@ -84,9 +125,16 @@ def test_short_lines_and_lines_without_spaces(spark, folder):
     assert queries.ORACLE["op1_substring_dedup_every_line"] != queries.ORACLE["op1_substring_dedup"]
 
 
-def test_paragraphs_are_units_of_another_separator(spark):
+def test_a_sentence_of_most_documents_is_settled_where_it_is_read(spark):
+    texts = [f"This sentence stands in all of the documents. Number {i} is its own. So does this one too." for i in range(300)]
+    got = substring_dedup.remove_repeats(plain_docs(spark, texts), min_run=8).collect()
+    assert {(r.doc_id == 0, len(r.removed)) for r in got} == {(True, 0), (False, 1)}
+
+
+def test_paragraphs_are_units_of_another_pattern(spark):
     block = "first line of a paragraph\nsecond line of it"
-    got = substring_dedup.remove_repeats(plain_docs(spark, [block + "\n\nown words here", "x\n\n" + block]), "\n\n").collect()
+    docs = plain_docs(spark, [block + "\n\nown words here", "x\n\n" + block])
+    got = substring_dedup.remove_repeats(docs, substring_dedup.PARAGRAPHS, 5).collect()
     assert {r.doc_id: r.text for r in got} == {0: block + "\n\nown words here", 1: "x\n\n"}
 
 
