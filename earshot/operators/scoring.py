@@ -2,26 +2,26 @@
 
 The corpus is scanned in Arrow batches; a batch is scored against a block of
 queries as one matrix product and only the best ``k`` rows per query leave the
-task. A query table larger than ``max_query_bytes`` is cut into blocks; every
-block travels to the corpus in turn, so vectors of the corpus are never moved.
-No pair of query and chunk is ever written out as a row.
+task. Queries stand in files of up to ``max_query_bytes`` below the shared folder, which
+the tasks that scan the corpus read themselves, so neither side is moved nor passes
+the driver. No pair of query and chunk is ever written out as a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.grouping import top_n
 from earshot.session import fixed
+from earshot.sources.shared import held, read_block, write_blocks
 
 # The matrix product only preselects: it may be off by so much (for distances
 # relative to the vectors' squared lengths), and what passes is scored again row
@@ -231,12 +231,15 @@ def _as_table(queries: _Queries, best: dict[str, np.ndarray]) -> pa.Table:
     )
 
 
-def _scored(spark: SparkSession, queries: _Queries, corpus: DataFrame, ranking: Ranking) -> DataFrame:
-    """The corpus against one block of queries."""
-    shared = spark.sparkContext.broadcast(queries)
+def _scored(files: list[str], corpus: DataFrame, ranking: Ranking) -> DataFrame:
+    """The corpus against the queries in these files."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _as_table(shared.value, _scan(shared.value, ranking, batches)).to_batches()
+        only = _Queries.read(read_block(files[0])) if len(files) == 1 else None
+        for part in held(batches):
+            for file in files:
+                queries = only or _Queries.read(read_block(file))
+                yield from _as_table(queries, _scan(queries, ranking, iter(part))).to_batches()
 
     return corpus.mapInArrow(score, RESULT_SCHEMA)
 
@@ -271,27 +274,59 @@ def best_matches(
         "transcript_embedding",
         *extra,
     ).filter(F.col("transcript_embedding").isNotNull())
-    spark = queries.sparkSession
+    asked = fixed(asked)
+    length = F.size("query_vector")
     size = asked.agg(
-        F.count("*").alias("rows"), F.sum(F.size("query_vector")).alias("numbers"), F.max(F.size("query_vector")).alias("dim")
+        F.count("*").alias("rows"), F.sum(length).alias("numbers"), F.max(length).alias("dim"), F.min(length).alias("least")
     ).first()
+    if size["least"] != size["dim"]:
+        raise ValueError("query vectors must be of one dimension")
     vector = F.col("transcript_embedding")
     fits = (F.size(vector) == (size["dim"] or 0)) & F.forall(vector, lambda x: x.isNotNull())
-    scanned = scanned.filter(fits)
     blocks = max(1, -(-(size["numbers"] or 0) * 8 // max(max_query_bytes, 1)))
-    if blocks == 1:
-        found = _scored(spark, _Queries.read(asked.toArrow()), scanned, ranking)
-    else:
-        # One block in the driver at a time; what a block found is written down.
-        asked = fixed(asked.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))))
-        parts = [
-            fixed(_scored(spark, _Queries.read(asked.filter(F.col("_block") == n).drop("_block").toArrow()), scanned, ranking))
-            for n in range(blocks)
-        ]
-        found = reduce(DataFrame.unionByName, parts)
+    found = _scored(write_blocks(asked, blocks, "query_id", "queries"), scanned.filter(fits), ranking)
     return Hits(_final(found, ranking), size["rows"] * ranking.k <= SMALL_HITS)
 
 
+def rescored(pairs: DataFrame) -> DataFrame:
+    """Cosine of ``query_vector`` and ``vector`` in each row (``query_id, episode_id, chunk_index``), where there is one."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("vector")).to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes):
+                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                scores = _scores(matrix(part.column("query_vector")), matrix(part.column("vector")), "cosine")
+                columns = [part.column(c) for c in ("query_id", "episode_id", "chunk_index")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], schema=_ARROW_SCHEMA)
+
+    columns = pairs.select("query_id", "episode_id", "chunk_index", "query_vector", "vector")
+    return columns.mapInArrow(score, RESULT_SCHEMA).filter(~F.isnan("score"))
+
+
+def best_in_episode(queries: DataFrame, embeddings: DataFrame, k: int) -> DataFrame:
+    """The chunks of its own episode most like each query (``query_id, episode_id, query_vector``), ranked.
+
+    Queries and chunks meet by episode, so no other episode's chunks are scored; a
+    chunk without a vector of the query's size, or with null numbers, matches nothing.
+    """
+    numbers = lambda v: F.forall(v, lambda x: x.isNotNull())
+    asked = queries.select(
+        F.col("query_id").cast("bigint").alias("query_id"), F.col("episode_id").cast("bigint").alias("episode_id"),
+        F.col("query_vector").cast("array<double>").alias("query_vector"),
+    )
+    chunks = embeddings.select(
+        F.col("episode_id").cast("bigint").alias("episode_id"), F.col("chunk_index").cast("bigint").alias("chunk_index"),
+        F.col("transcript_embedding").cast("array<double>").alias("vector"),
+    )
+    pairs = asked.join(chunks, "episode_id").filter(
+        (F.size("query_vector") == F.size("vector")) & numbers(F.col("query_vector")) & numbers(F.col("vector"))
+    )
+
+    scored = rescored(pairs)
+    return top_n(scored, ["query_id"], [F.col("score").desc(), F.col("chunk_index")], k, salt_by=["chunk_index"])
+
+
 def _final(found: DataFrame, ranking: Ranking) -> DataFrame:
     """Merge the tasks' best rows; each task sent at most ``k`` per query."""
     best = F.max if ranking.metric == "cosine" else F.min

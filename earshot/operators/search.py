@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.grouping import mark_existing
 from earshot.functions.text import sentence_start
-from earshot.operators.scoring import Hits, Ranking, best_matches, matrix, unit
+from earshot.operators.scoring import Hits, Ranking, best_in_episode, best_matches, matrix, unit
 
 
 def _with_episode(hits: Hits, episodes: DataFrame, podcasts: DataFrame) -> DataFrame:
@@ -73,13 +73,11 @@ def _episode_hits(hits: Hits, episodes: DataFrame, podcasts: DataFrame) -> DataF
     )
 
 
-def search_within(queries: DataFrame, embeddings: DataFrame, top_k: int = 5, **options) -> DataFrame:
+def search_within(queries: DataFrame, embeddings: DataFrame, top_k: int = 5) -> DataFrame:
     """Best chunks of the episode each query asks about (``query_id, episode_id, query_vector``)."""
-    corpus = embeddings.withColumn("_episode", F.col("episode_id"))
-    asked = queries.withColumn("_episode", F.col("episode_id"))
-    hits = best_matches(asked, corpus, Ranking(top_k), match="_episode", **options)
+    hits = best_in_episode(queries, embeddings, top_k)
     texts = embeddings.select("episode_id", "chunk_index", "chunk_text")
-    return texts.join(hits.hinted(), ["episode_id", "chunk_index"]).select(
+    return texts.join(hits, ["episode_id", "chunk_index"]).select(
         "query_id", "rank", "episode_id", "chunk_index", "chunk_text", F.col("score").alias("similarity_score")
     )
 

@@ -167,24 +167,32 @@ class Domain:
 
     @cached_property
     def questions(self) -> DataFrame:
-        """One query vector per label: the label's first vector."""
-        return (
-            self.raw("embeddings")
-            .groupBy(F.col("label").cast("bigint").alias("query_id"))
-            .agg(F.min_by("embedding", "vec_id").alias("query_vector"))
-        )
+        """Every twentieth stored vector."""
+        asked = self.raw("embeddings").filter("vec_id % 20 = 0")
+        return asked.selectExpr("CAST(vec_id AS BIGINT) AS query_id", "embedding AS query_vector")
 
     @cached_property
     def chats(self) -> DataFrame:
-        """The episode each conversation is about, and the vector of what it asks."""
-        about = self.raw("conversations").selectExpr("conv_id AS query_id", "conv_id % 100 AS episode_id").distinct()
-        asked = self.questions.withColumnRenamed("query_id", "_label")
-        return about.join(asked, F.col("query_id") % 10 == F.col("_label")).drop("_label")
+        """What conversations ask about episodes: every conversation and every stored episode takes part."""
+        vectors = self.raw("embeddings").selectExpr("CAST(vec_id AS BIGINT) AS vec_id", "embedding AS query_vector")
+        talks = self.raw("conversations").select("conv_id").distinct()
+        shows = vectors.selectExpr("vec_id div 5 AS episode_id").distinct()
+        n_talks, n_shows, n_vectors = talks.count(), shows.count(), vectors.count()
+        if not n_talks or not n_shows:
+            about = talks.join(shows, F.lit(False))
+        else:
+            by_talk = talks.join(shows, F.pmod("conv_id", F.lit(n_shows)) == F.col("episode_id"))
+            by_show = talks.join(shows, F.pmod("conv_id", F.lit(n_talks)) == F.pmod("episode_id", F.lit(n_talks)))
+            about = by_talk.unionByName(by_show).distinct()
+        asked = about.withColumn("vec_id", F.pmod(F.col("conv_id") * 7, F.lit(max(n_vectors, 1))))
+        return asked.join(vectors, "vec_id").select(
+            (F.col("conv_id") * n_shows + F.col("episode_id")).alias("query_id"), "conv_id", "episode_id", "query_vector"
+        )
 
     @cached_property
     def messages(self) -> DataFrame:
         return self.raw("conversations").selectExpr(
-            "conv_id", "turn", "conv_id AS query_id",
+            "conv_id", "turn",
             "CASE WHEN role = 'system' THEN concat('Please RECOMMEND ', text)"
             " WHEN turn = 2 THEN concat('Similar ones? ', text) ELSE text END AS message",
         )

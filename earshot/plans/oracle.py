@@ -71,8 +71,7 @@ CTES = {
     "embedding": """SELECT v.vec_id // 5 AS episode_id, v.vec_id % 5 AS chunk_index,
         coalesce(substr(d.text, 2), '') AS chunk_text, v.embedding AS vec, v.label, v.vec_id
         FROM embeddings v LEFT JOIN documents d ON d.doc_id = v.vec_id""",
-    "questions": """SELECT label::BIGINT AS query_id, arg_min(embedding, vec_id) AS qvec
-        FROM embeddings GROUP BY label""",
+    "questions": "SELECT vec_id::BIGINT AS query_id, embedding AS qvec FROM embeddings WHERE vec_id % 20 = 0",
     "feeds": """SELECT c_custkey AS row_id, c_name AS podcast_name,
         TIMESTAMP '2020-01-01' + to_days(c_nationkey) + to_minutes(c_custkey % 1440)
           - CASE WHEN c_mktsegment = 'BUILDING' THEN INTERVAL 330 MINUTE ELSE INTERVAL 0 MINUTE END AS publish_date,
@@ -161,8 +160,13 @@ CTES = {
         FROM anchors a JOIN embedding e ON e.episode_id <> a.episode_id GROUP BY 1, 2""",
     "similar_hits": """SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, episode_id)::INT AS rank
         FROM neighbours QUALIFY rank <= 5""",
-    "chats": """SELECT DISTINCT conv_id AS query_id, conv_id % 100 AS episode_id, qvec
-        FROM conversations JOIN questions ON questions.query_id = conv_id % 10""",
+    "sizes": """SELECT count(*) AS n_vectors, count(DISTINCT vec_id // 5) AS n_shows,
+        (SELECT count(DISTINCT conv_id) FROM conversations) AS n_talks FROM embeddings""",
+    "chats": """SELECT conv_id * n_shows + episode_id AS query_id, conv_id, episode_id, embedding AS qvec
+        FROM (SELECT DISTINCT conv_id FROM conversations) talks CROSS JOIN sizes
+        JOIN (SELECT DISTINCT vec_id // 5 AS episode_id FROM embeddings) shows
+          ON conv_id % n_shows = episode_id OR conv_id % n_talks = episode_id % n_talks
+        JOIN embeddings ON vec_id = (conv_id * 7) % n_vectors""",
     "told": f"""SELECT query_id, chunk_index, chunk_text, row_number() OVER (PARTITION BY query_id
           ORDER BY {cosine('qvec', 'vec')} DESC, chunk_index) AS rank
         FROM chats JOIN embedding USING (episode_id) QUALIFY rank <= 5""",
@@ -204,7 +208,7 @@ NEEDS = {
     "anchors": ["embedding"],
     "neighbours": ["anchors", "embedding"],
     "similar_hits": ["neighbours"],
-    "chats": ["questions"],
+    "chats": ["sizes"],
     "told": ["chats", "embedding"],
     "context": ["chats", "told"],
     "recommended": ["similar_hits", "episode", "podcast"],
@@ -604,7 +608,7 @@ ORACLE: dict[str, str] = {
            FROM placed WHERE episode_id IN (SELECT episode_id FROM episode)""",
         "embedding", "episode",
     ),
-    "ann_recall": """SELECT count(DISTINCT label) * 5 AS hits, true AS recall_reached FROM embeddings""",
+    "ann_recall": "SELECT count(*) * 5 AS hits, true AS recall_reached FROM embeddings WHERE vec_id % 20 = 0",
     "ann_search_all_cells": _sql(
         "SELECT query_id, rank, episode_id, chunk_index, round(score, 6) AS similarity FROM exact_hits", "exact_hits"
     ),
@@ -623,14 +627,14 @@ ORACLE: dict[str, str] = {
     "chunk_context": _sql("SELECT * FROM context", "context"),
     "similar_context": _sql("SELECT * FROM recommended", "recommended"),
     "message_context": _sql(
-        """, wanted AS (SELECT conv_id, turn, conv_id AS query_id,
+        """, wanted AS (SELECT conv_id, turn, query_id, episode_id,
              role = 'system' OR turn = 2 OR contains(lower(text), 'similar') OR contains(lower(text), 'like this')
              OR contains(lower(text), 'recommend') OR contains(lower(text), 'related episodes') AS wants_similar
-           FROM conversations)
+           FROM conversations JOIN chats USING (conv_id))
            SELECT conv_id, turn, w.query_id, wants_similar, coalesce(context, '') AS context,
              CASE WHEN wants_similar THEN coalesce(similar_episodes, '') ELSE '' END AS similar_episodes
            FROM wanted w LEFT JOIN context c ON c.query_id = w.query_id
-           LEFT JOIN recommended r ON r.query_id = w.query_id % 100""",
+           LEFT JOIN recommended r ON r.query_id = w.episode_id""",
         "context", "recommended",
     ),
     "chat_request": """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn)::INT AS position, role, text

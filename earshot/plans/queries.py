@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from earshot.functions.dates import iso_date, mail_date
 from earshot.functions.grouping import ordered_concat
 from earshot.functions.text import sentence_start
-from earshot.operators import analysis, analytics, context, embedding, ingest, keywords, search, transcription
+from earshot.operators import analysis, analytics, context, embedding, ingest, keywords, quantised, search, transcription
 from earshot.plans import jobs
 from earshot.plans.binding import Domain
 from earshot.schemas import TABLES
@@ -807,52 +807,41 @@ def similar_episodes(d: Domain) -> DataFrame:
     return found.withColumn("similarity_score", _score("similarity_score", "similarity_score"))
 
 
-#: Cells, and how many of them the registered search probes: what ann_recall measures.
-CELLS, PROBES = 16, 12
-
-
-def _cells(d: Domain, asked: DataFrame, n_probe: int) -> DataFrame:
-    """A search in stored cells."""
-    centers = search.train_cells(d.embeddings, n_cells=CELLS)
-    cells = search.store_cells(d.embeddings, centers, scratch_path(d.spark, "cells"))
-    return search.ann_search(asked, cells, centers, n_probe=n_probe)
-
-
 @query
 def ann_search(d: Domain) -> DataFrame:
-    return _cells(d, d.questions, PROBES).select(
-        "query_id", "rank", "episode_id", "chunk_index", _score("similarity", "similarity")
-    )
+    """Every twentieth vector against quantised lists, a quarter of the cells opened."""
+    return _quantised(d).select("query_id", "rank", "episode_id", "chunk_index", _score("similarity", "similarity"))
+
+
+def _quantised(d: Domain) -> DataFrame:
+    quantiser = quantised.train(d.embeddings)
+    path = scratch_path(d.spark, "lists")
+    quantised.build_index(d.embeddings, path, quantiser)
+    return quantised.quantised_search(d.questions, d.embeddings, path, quantiser)
 
 
 @query
 def ann_search_all_cells(d: Domain) -> DataFrame:
     """With every cell probed the answer is exact."""
-    return _cells(d, d.questions, CELLS).select(
+    centers = search.train_cells(d.embeddings, n_cells=16)
+    cells = search.store_cells(d.embeddings, centers, scratch_path(d.spark, "cells"))
+    return search.ann_search(d.questions, cells, centers, n_probe=16).select(
         "query_id", "rank", "episode_id", "chunk_index", _score("similarity", "similarity")
     )
 
 
 def _recall(d: Domain) -> DataFrame:
-    """Exact hits and those ``ann_search`` finds, for its questions and for every twentieth stored vector."""
-    every = d.raw("embeddings").filter("vec_id % 20 = 0")
-    # Numbered below zero, apart from the questions.
-    sample = every.selectExpr("-1 - CAST(vec_id AS BIGINT) AS query_id", "embedding AS query_vector")
-    asked = d.questions.unionByName(sample)
-    exact = search.best_matches(asked, d.embeddings, search.Ranking(5)).frame
+    """Exact hits and how many of them ``ann_search`` finds."""
+    exact = search.best_matches(d.questions, d.embeddings, search.Ranking(5)).frame
     key = ["query_id", "episode_id", "chunk_index"]
-    near = _cells(d, asked, PROBES).select(*key, F.lit(1).alias("_found"))
-    sampled = (F.col("query_id") < 0).alias("sampled")
-    return exact.join(near, key, "left").groupBy(sampled).agg(F.count("*").alias("hits"), F.count("_found").alias("found"))
+    near = _quantised(d).select(*key, F.lit(1).alias("_found"))
+    return exact.join(near, key, "left").agg(F.count("*").alias("hits"), F.count("_found").alias("found"))
 
 
 @query
 def ann_recall(d: Domain) -> DataFrame:
-    """Whether the search of ``ann_search`` finds nine tenths of the exact hits, of its questions' and of the sample's."""
-    return _recall(d).agg(
-        F.sum(F.when(~F.col("sampled"), F.col("hits"))).alias("hits"),
-        F.min(F.col("found") >= 0.9 * F.col("hits")).alias("recall_reached"),
-    )
+    """Whether the search of ``ann_search`` finds nine tenths of the exact hits."""
+    return _recall(d).select("hits", (F.col("found") >= 0.9 * F.col("hits")).alias("recall_reached"))
 
 
 @query
@@ -874,15 +863,15 @@ def sentence_starts(d: Domain) -> DataFrame:
     return half.select("episode_id", sentence_start(F.col("text")).alias("chunk_text"))
 
 
-def _contexts(d: Domain) -> DataFrame:
-    """What the asked episode itself says, per conversation."""
-    found = search.search_within(d.chats, d.embeddings, top_k=5)
-    return context.chunk_context(found, d.chats)
+def _contexts(d: Domain, chats: DataFrame) -> DataFrame:
+    """What the asked episode itself says, per conversation and episode."""
+    found = search.search_within(chats, d.embeddings, top_k=5)
+    return context.chunk_context(found, chats)
 
 
 @query
 def chunk_context(d: Domain) -> DataFrame:
-    return _contexts(d)
+    return _contexts(d, fixed(d.chats))
 
 
 @query
@@ -895,12 +884,14 @@ def similar_context(d: Domain) -> DataFrame:
 @query
 def message_context(d: Domain) -> DataFrame:
     """Message, episode it is about, chunks of that episode and, where asked for, episodes like it."""
-    wishes = d.messages.filter(context.asks_for_similar(F.col("message"))).select("query_id").distinct()
-    chats = d.chats.join(wishes, "query_id", "left_semi").select("query_id", "episode_id")
-    about = chats.select(F.col("episode_id").alias("query_id")).distinct()
+    chats = fixed(d.chats)
+    wishes = d.messages.filter(context.asks_for_similar(F.col("message"))).select("conv_id").distinct()
+    wishing = chats.join(wishes, "conv_id", "left_semi").select("query_id", "episode_id")
+    about = wishing.select(F.col("episode_id").alias("query_id")).distinct()
     lists = context.similar_context(_similar(d, about.select(F.col("query_id").alias("episode_id"))), about)
-    wanted = chats.join(lists.withColumnRenamed("query_id", "episode_id"), "episode_id")
-    return context.with_context(d.messages, _contexts(d), wanted).select(
+    wanted = wishing.join(lists.withColumnRenamed("query_id", "episode_id"), "episode_id")
+    messages = d.messages.join(chats.select("conv_id", "query_id"), "conv_id")
+    return context.with_context(messages, _contexts(d, chats), wanted).select(
         "conv_id", "turn", "query_id", "wants_similar", "context", "similar_episodes"
     )
 

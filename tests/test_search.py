@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.operators import search
+from earshot.operators import quantised, search
 from earshot.operators.scoring import Ranking, best_matches
 from earshot.plans import queries as registered
 from earshot.plans.binding import Domain
@@ -95,11 +95,10 @@ def test_best_episodes(corpus, queries, tables, options):
     assert picked(got, chunk=False) == brute(queries[1], corpus[1], 4, per_episode=True)
 
 
-@pytest.mark.parametrize("options", WAYS)
-def test_within_one_episode(spark, corpus, queries, options):
+def test_within_one_episode(spark, corpus, queries):
     asked = {qid: (0 if qid < 5 else qid) for qid, _ in queries[1]}
     pairs = spark.createDataFrame(list(asked.items()), "query_id bigint, episode_id bigint")
-    got = search.search_within(queries[0].join(pairs, "query_id"), corpus[0], 3, **options)
+    got = search.search_within(queries[0].join(pairs, "query_id"), corpus[0], 3)
     assert picked(got) == brute(queries[1], corpus[1], 3, within=asked)
 
 
@@ -112,12 +111,12 @@ def test_similar_episodes_leave_themselves_out(spark, corpus, tables, options):
 
 
 def test_many_queries_few_chunks(spark, corpus):
-    """More queries than chunks, in blocks."""
+    """More queries than chunks."""
     few = corpus[0].filter("chunk_index < 60")
     rng = np.random.default_rng(8)
     rows = [(i, i % 31, rng.normal(size=DIM).tolist()) for i in range(500)]
     asked = spark.createDataFrame(rows, "query_id bigint, episode_id bigint, query_vector array<double>")
-    got = search.search_within(asked, few, 2, max_query_bytes=4000)
+    got = search.search_within(asked, few, 2)
     chunks = [r for r in corpus[1] if r[1] < 60]
     assert picked(got) == brute([(i, q) for i, _, q in rows], chunks, 2, within={i: e for i, e, _ in rows})
 
@@ -154,14 +153,51 @@ def test_approximate_search(corpus, queries):
     assert len(chunk(near) & chunk(exact)) >= 0.7 * len(exact)
 
 
-def test_registered_search_reaches_its_recall(spark):
-    folder = "/root/testdata/sf0.001"
+def test_quantised_lists(spark, corpus, queries, folder, monkeypatch):
+    df = corpus[0]
+    quantiser = quantised.train(df, cells=8, parts=4)
+    quantised.build_index(df, f"{folder}/lists", quantiser)
+    lists = spark.read.parquet(f"{folder}/lists")
+    # Every vector with a direction is listed in as many cells as it should be.
+    assert lists.count() == 3 * 600 and lists.select("cell").distinct().count() == 8
+    found = lambda **options: picked(quantised.quantised_search(queries[0], df, f"{folder}/lists", quantiser, **options))
+    exact = brute(queries[1], corpus[1], 5)
+    assert found(probed=1.0, shortlist=700) == exact
+    monkeypatch.setattr(quantised, "LIST_TILE", 7)
+    monkeypatch.setattr(quantised, "QUERY_TILE", 2)
+    assert found(probed=1.0, shortlist=700) == exact
+    chunk = lambda hits: {(q, e, c) for q, _, e, c in hits}
+    assert len(chunk(found(probed=0.5)) & chunk(exact)) >= 0.8 * len(exact)
+    none = df.limit(0)
+    assert quantised.quantised_search(queries[0], none, f"{folder}/lists", quantised.train(none)).count() == 0
+    assert quantised.quantised_search(queries[0].limit(0), df, f"{folder}/lists", quantiser).count() == 0
+
+
+def test_codes_are_the_nearest_entries():
+    dice = np.random.default_rng(1)
+    books = [dice.normal(size=(9, 3)), dice.normal(size=(9, 2))]
+    q, rest = quantised.Quantiser(np.zeros((1, 5)), books), dice.normal(size=(40, 5))
+    want = [[int(np.argmin(((r[:3] - books[0]) ** 2).sum(1))), int(np.argmin(((r[3:] - books[1]) ** 2).sum(1)))] for r in rest]
+    assert q.encode(rest).tolist() == want
+    tables = q.tables(rest)
+    assert np.allclose(tables[1][7], books[1] @ rest[7, 3:])
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_registered_search_reaches_its_recall(spark, folder):
+    folder = f"/root/testdata/{folder}"
     hits = lambda name: {(r.query_id, r.episode_id, r.chunk_index) for r in registered.REGISTRY[name](spark, folder).collect()}
     exact = hits("ann_search_all_cells")
-    assert len(exact) == 50 and len(hits("ann_search") & exact) >= 0.9 * len(exact)
-    measured = {r.sampled: (r.hits, r.found) for r in registered._recall(Domain(spark, folder)).collect()}
-    assert measured[False] == (50, len(hits("ann_search") & exact))
-    assert measured[True][0] == 125 and measured[True][1] >= 0.9 * 125
+    found = len(hits("ann_search") & exact)
+    assert len(exact) == 125 and found >= 0.9 * len(exact)
+    assert tuple(registered._recall(Domain(spark, folder)).first()) == (125, found)
+
+
+def test_queries_stand_in_files_of_their_blocks(spark, corpus):
+    from earshot.sources.shared import read_block, write_blocks
+
+    files = write_blocks(corpus[0].select("episode_id", "chunk_index"), 3, "chunk_index", "test")
+    assert 2 <= len(files) <= 3 and sum(read_block(f).num_rows for f in files) == corpus[0].count()
 
 
 def test_vectors_of_another_size_match_nothing(spark, corpus):
