@@ -21,8 +21,8 @@ CAPACITY = 4096
 END_ID = 2
 # Pieces that are spread over windows together; the blocks are independent.
 BLOCK_PIECES = 1000
-# Chunks, and words, whose ids a worker remembers, and the longest one it does.
-MEMORY, LONGEST = 800_000, 64
+# Chunks, and words, whose ids a task remembers until it ends (some 60 MB each), and the longest one it does.
+MEMORY, LONGEST = 400_000, 64
 # Steps of a tokenizer under which a word's ids do not depend on the stops behind it.
 WORD_STEPS = {
     "normalizer": {
@@ -122,16 +122,6 @@ class _Chunks(dict):
         return ids
 
 
-def worker_tokenizer(path: str, end_id: int) -> ChunkTokenizer:
-    """The worker process's tokenizer: Spark runs task after task in it, and what one looked up serves the next."""
-    import tokenizers
-
-    kept = tokenizers.__dict__.setdefault("_earshot_kept", {})
-    if (path, end_id) not in kept:
-        kept[path, end_id] = ChunkTokenizer(path, end_id)
-    return kept[path, end_id]
-
-
 def differencing(sizes: np.ndarray, windows: int) -> tuple[np.ndarray, int]:
     """Window of each item and the largest sum, by Karmarkar-Karp differencing.
 
@@ -216,7 +206,7 @@ def pack(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = worker_tokenizer(tokenizer_path, end_id)
+        tokenizer = ChunkTokenizer(tokenizer_path, end_id)
         for batch in batches:
             ids, starts, lengths, payloads, totals = [], [], [], [], []
             for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), tokenizer.batch(as_bytes(batch.column("text")))):
