@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from earshot.functions.grouping import mark_existing
 from earshot.functions.once import compute_once
@@ -78,6 +80,48 @@ def hashing_embedder(dim: int = 1536) -> Embedder:
     return embed
 
 
+def batch_embedder(
+    make_model: Callable[[], Callable[[np.ndarray], np.ndarray]], batch_size: int = 64
+) -> Embedder:
+    """Embedder around a model that takes an array of texts and gives a row of numbers for each.
+
+    ``make_model`` is called once in every Python worker. A batch that raises, as with a request that is
+    refused, is taken text by text; what raises alone has no vector.
+    """
+
+    def make_predict():
+        model = make_model()
+
+        def rows(texts: np.ndarray) -> np.ndarray:
+            return np.asarray(model(texts), np.float32).reshape(len(texts), -1)
+
+        def one(text: np.ndarray) -> np.ndarray | None:
+            try:
+                return rows(text)[0]
+            except Exception:
+                return None
+
+        def predict(texts: np.ndarray) -> np.ndarray:
+            try:
+                return rows(texts)
+            except Exception:
+                single = [one(texts[i : i + 1]) for i in range(len(texts))]
+                dim = next((len(v) for v in single if v is not None), 1)
+                return np.stack([np.full(dim, np.nan, np.float32) if v is None else v for v in single])
+
+        return predict
+
+    def embed(chunks: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import predict_batch_udf
+
+        vector = predict_batch_udf(make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+        found = chunks.withColumn("_vector", vector(F.col("chunk_text")))
+        whole = ~F.exists("_vector", lambda x: F.isnan(x))
+        return found.select(*chunks.columns, F.when(whole, F.col("_vector")).alias("transcript_embedding"))
+
+    return embed
+
+
 def embed_chunks(chunks: DataFrame, embedder: Embedder) -> tuple[DataFrame, DataFrame]:
     """One vector per chunk; a chunk that gets none takes its whole episode out.
 

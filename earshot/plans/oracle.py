@@ -552,6 +552,19 @@ ORACLE: dict[str, str] = {
              1536 AS dimensions, 1.0::DOUBLE AS length FROM tokenised""",
         "tokenised",
     ),
+    "embed_batches": _sql(
+        """, pieces AS (SELECT episode_id, i AS chunk_index, array_to_string(tokens[i * 256 + 1 : i * 256 + 512], ' ') AS piece
+             FROM (SELECT episode_id, tokens, unnest(range(0, ceil(len(tokens) / 256)::BIGINT)) AS i FROM tokenised)),
+           counted AS (SELECT episode_id, chunk_index, contains(piece, 'zz') AS refused, list_transform(range(0, 26),
+             lambda k: length(piece) - length(replace(piece, chr((97 + k)::INT), ''))) AS letters FROM pieces),
+           bad AS (SELECT episode_id, count(*) AS failed_chunks FROM counted WHERE refused GROUP BY 1)
+           SELECT episode_id, chunk_index, 26 AS dimensions,
+             list_sum(list_transform(letters, lambda x, i: x * i))::BIGINT AS weighed,
+             list_sum(list_transform(letters, lambda x: x * x))::BIGINT AS squares, NULL::BIGINT AS failed_chunks
+           FROM counted WHERE episode_id NOT IN (SELECT episode_id FROM bad)
+           UNION ALL SELECT episode_id, NULL, NULL, NULL, NULL, failed_chunks FROM bad""",
+        "tokenised",
+    ),
     "validate_embeddings": _sql(
         """SELECT doc_id AS episode_id, count(d.fits) AS chunks, coalesce(bool_and(d.fits), false) AS is_valid
            FROM documents LEFT JOIN defective d ON d.episode_id = doc_id GROUP BY 1""",

@@ -709,6 +709,37 @@ def embed_chunks(d: Domain) -> DataFrame:
     )
 
 
+def _letter_counts():
+    """A model that counts the letters of a text, and refuses requests in which a text holds a double z."""
+    import numpy as np
+
+    def model(texts):
+        if any("zz" in text for text in texts):
+            raise ValueError("request refused")
+        return np.array([[text.count(chr(97 + i)) for i in range(26)] for text in texts], np.float32)
+
+    return model
+
+
+@query
+def embed_batches(d: Domain) -> DataFrame:
+    """Chunks through a model that takes batches: products of their vectors, without the episodes it refused."""
+    chunks, _ = embedding.chunk_transcripts(_tokens(d))
+    embedded, failed = embedding.embed_chunks(chunks, embedding.batch_embedder(_letter_counts, 32))
+    numbers = F.transform("transcript_embedding", lambda x: x.cast("bigint"))
+    total = lambda weigh: F.aggregate(
+        F.transform(numbers, weigh), F.lit(0).cast("bigint"), lambda sum_, x: sum_ + x
+    )
+    return embedded.select(
+        "episode_id", F.col("chunk_index").cast("bigint").alias("chunk_index"), F.size("transcript_embedding").alias("dimensions"),
+        total(lambda x, i: x * (i + 1)).alias("weighed"), total(lambda x: x * x).alias("squares"),
+        F.lit(None).cast("bigint").alias("failed_chunks"),
+    ).unionByName(failed.select(
+        "episode_id", *[F.lit(None).cast(t).alias(c) for c, t in (("chunk_index", "bigint"), ("dimensions", "int"), ("weighed", "bigint"), ("squares", "bigint"))],
+        "failed_chunks",
+    ))
+
+
 def _defective(d: Domain) -> DataFrame:
     """Embeddings where one label's last chunks lost half their vector and another's have none."""
     vector = F.col("transcript_embedding")

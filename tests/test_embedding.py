@@ -73,6 +73,23 @@ def test_hashing_embedder_gives_unit_vectors(spark):
         assert sum(x * x for x in row["transcript_embedding"]) == pytest.approx(1.0, abs=1e-5)
 
 
+def test_a_failing_batch_costs_only_the_texts_that_fail(spark, rows):
+    chunks = chunk_frame(spark, [(i, n, "bad" if (i, n) == (3, 1) else "ab" * (i + n)) for i in range(1, 9) for n in range(2)])
+
+    def make_model():
+        def model(texts):
+            if "bad" in list(texts):
+                raise RuntimeError("refused")
+            return [[float(len(t)), float(t.count("a"))] for t in texts]
+
+        return model
+
+    embedded, failed = e.embed_chunks(chunks, e.batch_embedder(make_model, 4))
+    want = [(i, n, [2.0 * (i + n), 1.0 * (i + n)]) for i in range(1, 9) for n in range(2) if i != 3]
+    assert rows(embedded, "episode_id", "chunk_index", "transcript_embedding") == sorted(want, key=repr)
+    assert rows(failed) == [(3, 1)]
+
+
 def vectors(spark, *data):
     return spark.createDataFrame(
         [(ep, i, f"t{ep}-{i}", None if n is None else [0.5] * n) for ep, i, n in data],
