@@ -1,128 +1,150 @@
 """Continuous ingestion: the same rules as the batch load, whatever files a micro-batch takes.
 
-A micro-batch may hold a part of a poll, or many polls. What it brings is
-stored as *claims*: entries newer than what polls before theirs had loaded, and
-for podcasts without such a load all entries of the poll. Reading the target
-settles the claims: the first entries of an opening poll, and of equal urls the
-earliest. So the result does not depend on how the files of a poll are cut into
-batches. Polls themselves are taken in the order in which they land.
+A micro-batch may hold a part of a poll, or many polls. Per podcast, Spark keeps as state which
+polls loaded something and the first entries of its opening poll; with that every
+entry is judged when it arrives, and what may be loaded is appended to the
+target as *claims*: entries newer than the polls before theirs, and for podcasts
+without such a poll all entries of theirs. Reading the target settles the claims: the
+first entries of an opening poll, and of equal urls the earliest. So the result
+does not depend on how the files of a poll are cut into batches. Polls themselves
+are taken in the order in which they land; one of whose entries other podcasts own all urls
+counts as loaded.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from earshot.functions.grouping import first_per_group, top_n
-from earshot.functions.keys import hash_id
-from earshot.operators.ingest import (
-    FEED_SUFFIXES,
-    audio_url,
-    checked_episodes,
-    ingest_cutoffs,
-    landed_entries,
-    require_new_ids,
-)
+from earshot.functions.keys import hash_id, require_distinct_ids
+from earshot.operators.ingest import FEED_SUFFIXES, audio_url, checked_episodes, landed_entries
 from earshot.schemas import FEED_DOCUMENT, FEED_ENTRY, TABLES
-from earshot.session import fixed, tune
+from earshot.session import tune
 
 _EPISODE = TABLES["episode"].fieldNames()
-_CLAIM = [f"{n} {TABLES['episode'][n].dataType.simpleString()}" for n in _EPISODE] + [
-    "feed_pos bigint", "first_n int", "valid boolean",
-]
-CLAIMS = ", ".join([*_CLAIM, "batch_id bigint", "poll bigint"])
+CLAIMS = ", ".join(
+    [f"{n} {TABLES['episode'][n].dataType.simpleString()}" for n in _EPISODE]
+    + ["feed_pos bigint", "first_n int", "valid boolean"]
+)
+# What a podcast's entries are judged by; times are microseconds, and no time is one before all others.
+_JUDGED = (
+    "podcast_id bigint, fetched bigint, feed_pos bigint, audio_url string, dated bigint, valid boolean, "
+    "published bigint, episode_title string"
+)
+_STATE = "loaded array<bigint>, polls array<bigint>, places array<bigint>, urls array<string>, valid array<boolean>"
+_NEVER = -(1 << 62)
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _read_claims(spark: SparkSession, target: str) -> DataFrame:
-    try:
-        return spark.read.schema(CLAIMS).parquet(target)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], CLAIMS)
+class Polls(StatefulProcessor):
+    """Judges a podcast's entries by what its polls before loaded."""
 
+    def __init__(self, first_n: int):
+        self.first_n = first_n
 
-def settle(claims: DataFrame) -> DataFrame:
-    """Episodes that come out of the claims, with the ``batch_id`` that brought them."""
-    row = ["podcast_id", "uploaded_at", "feed_pos"]
-    first = Window.partitionBy(*row, "audio_url").orderBy("batch_id", "poll")
-    once = claims.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
-    opening = once.filter("first_n IS NOT NULL")
-    most = opening.agg(F.max("first_n")).head()[0] or 1
-    taken = top_n(
-        opening, ["podcast_id", "uploaded_at"], [F.col("feed_pos")], most, salt_by=["feed_pos"], rank="_position"
-    ).filter("_position <= first_n")
-    valid = once.filter("first_n IS NULL").unionByName(taken.drop("_position")).filter("valid")
-    carry = [c for c in [*_EPISODE, "batch_id"] if c != "audio_url"]
-    return first_per_group(valid, ["audio_url"], ["uploaded_at", "podcast_id", "feed_pos"], carry)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("polls", _STATE)
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator:
+        import pandas as pd
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """Episodes loaded so far with the ``batch_id`` that brought them."""
-    return settle(_read_claims(spark, target)).select(*_EPISODE, "batch_id")
+        held = self.state.get() or ((), (), (), (), ())
+        loaded = set(held[0] or ())
+        opening: dict[int, dict[tuple[int, str], bool]] = {}
+        for poll, place, url, valid in zip(*[part or () for part in held[1:]]):
+            opening.setdefault(poll, {})[place, url] = valid
+        for poll, entries in pd.concat(list(rows)).groupby("fetched", sort=True):
+            before = [t for t in loaded if t < poll]
+            before += [t for t, first in opening.items() if t < poll and any(first.values())]
+            if before:
+                entries = entries[entries["valid"] & (entries["dated"] > max(before))]
+                if len(entries):
+                    loaded.add(int(poll))
+            else:
+                urls = [url if isinstance(url, str) else "" for url in entries["audio_url"]]
+                seen = opening.setdefault(int(poll), {})
+                seen.update(zip(zip(entries["feed_pos"].tolist(), urls), entries["valid"].tolist()))
+                opening[int(poll)] = dict(sorted(seen.items())[: self.first_n])
+            if len(entries):
+                yield entries.assign(first_n=0 if before else self.first_n)
+        flat = [(poll, place, url, valid) for poll, first in opening.items() for (place, url), valid in first.items()]
+        self.state.update((sorted(loaded), *[list(part) for part in (zip(*flat) if flat else ([], [], [], []))]))
 
+    def close(self) -> None:
+        pass
 
-def _rivals(claims: DataFrame, podcasts: DataFrame) -> DataFrame:
-    """Claims of the given podcasts, and of all that claim one of their urls."""
-    urls = claims.join(podcasts, "podcast_id", "left_semi").filter("valid").select("audio_url").distinct()
-    wider = claims.join(urls, "audio_url", "left_semi").select("podcast_id").unionByName(podcasts).distinct()
-    return claims.join(wider, "podcast_id", "left_semi")
 
+def _micros(time: Column) -> Column:
+    return F.coalesce(F.unix_micros(time.cast("timestamp")), F.lit(_NEVER))
 
-def claims_of(entries: DataFrame, claims: DataFrame, podcasts: DataFrame, first_n: int) -> DataFrame:
-    """What the entries of at most one poll per podcast claim.
 
-    A podcast's cutoff comes from loads of earlier polls only, never from other
-    parts of the poll itself.
-    """
+def _time(micros: str) -> Column:
+    return F.when(F.col(micros) != _NEVER, F.timestamp_micros(micros).cast("timestamp_ntz"))
+
+
+def claims_of(entries: DataFrame, podcasts: DataFrame, first_n: int) -> DataFrame:
+    """What the entries of a stream claim."""
     first, second = FEED_SUFFIXES
     url = F.col("podcast_url")
     gated = entries.filter(F.coalesce(url.endswith(first) | url.endswith(second), F.lit(False))).join(
         podcasts.select("podcast_id").distinct(), "podcast_id", "left_semi"
     )
-    polls = gated.select("podcast_id", "fetched_at").distinct()
-    loaded = settle(_rivals(claims, polls.select("podcast_id")))
-    before = loaded.join(polls, "podcast_id").filter(F.col("uploaded_at") < F.col("fetched_at"))
-    known = gated.join(ingest_cutoffs(before), "podcast_id", "left")
-    checked = checked_episodes(known)
-    newer = F.col("cutoff").isNull() | (F.coalesce("published_parsed", "published_at") > F.col("cutoff"))
-    own = checked.filter(newer).select(
+    judged = checked_episodes(gated).select(
+        "podcast_id",
+        _micros(F.col("fetched_at")).alias("fetched"),
+        "feed_pos",
+        "audio_url",
+        _micros(F.coalesce("published_parsed", "published_at")).alias("dated"),
+        F.col("reject_reason").isNull().alias("valid"),
+        _micros(F.col("published_at")).alias("published"),
+        "episode_title",
+    )
+    claimed = judged.groupBy("podcast_id").transformWithStateInPandas(
+        Polls(first_n), f"{_JUDGED}, first_n int", "append", "none"
+    )
+    return claimed.select(
         hash_id(F.col("audio_url")).alias("episode_id"),
         "podcast_id",
-        F.col("fetched_at").alias("uploaded_at"),
+        _time("fetched").alias("uploaded_at"),
         "audio_url",
         F.lit(False).alias("transcribed"),
-        "published_at",
+        _time("published").alias("published_at"),
         "episode_title",
         "feed_pos",
-        F.when(F.col("cutoff").isNull(), F.lit(first_n)).cast("int").alias("first_n"),
-        F.col("reject_reason").isNull().alias("valid"),
+        F.when(F.col("first_n") > 0, F.col("first_n")).alias("first_n"),
+        "valid",
     )
-    return own.filter("valid OR first_n IS NOT NULL")
 
 
-def load_batch(
-    batch: DataFrame, batch_id: int, podcasts: DataFrame, target: str, first_n: int = 20
-) -> None:
-    """Store the claims of one micro-batch in its own folder, poll by poll.
+def settle(claims: DataFrame) -> DataFrame:
+    """Episodes that come out of the claims."""
+    once = claims.dropDuplicates(["podcast_id", "uploaded_at", "feed_pos", "audio_url"])
+    opening = once.filter("first_n IS NOT NULL")
+    most = opening.agg(F.max("first_n")).head()[0] or 1
+    taken = top_n(
+        opening, ["podcast_id", "uploaded_at"], [F.col("feed_pos"), F.coalesce("audio_url", F.lit(""))], most,
+        salt_by=["feed_pos"], rank="_position",
+    ).filter("_position <= first_n")
+    valid = once.filter("first_n IS NULL").unionByName(taken.drop("_position")).filter("valid")
+    carry = [c for c in _EPISODE if c != "audio_url"]
+    return first_per_group(valid, ["audio_url"], ["uploaded_at", "podcast_id", "feed_pos"], carry)
 
-    A batch that is run again overwrites its folders and does not look at what
-    it wrote before, so every episode is stored once whatever fails.
-    """
-    spark = tune(batch.sparkSession)
-    entries = fixed(batch.select(*FEED_ENTRY.fieldNames()))
-    turn = Window.partitionBy("podcast_id").orderBy("fetched_at")
-    polls = entries.select("podcast_id", "fetched_at").distinct().withColumn("_poll", F.row_number().over(turn))
-    timed = fixed(entries.join(polls, ["podcast_id", "fetched_at"]))
-    for poll in range(1, (timed.agg(F.max("_poll")).head()[0] or 0) + 1):
-        earlier = _read_claims(spark, target).filter(
-            (F.col("batch_id") < batch_id) | ((F.col("batch_id") == batch_id) & (F.col("poll") < poll))
-        )
-        own = fixed(claims_of(timed.filter(F.col("_poll") == poll).drop("_poll"), earlier, podcasts, first_n))
-        require_new_ids(earlier.filter("valid"), own.filter("valid"))
-        own.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}/poll={poll}")
+
+def read_target(spark: SparkSession, target: str) -> DataFrame:
+    """Episodes loaded so far; fails if an id stands for two urls."""
+    try:
+        claims = spark.read.schema(CLAIMS).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        claims = spark.createDataFrame([], CLAIMS)
+    return require_distinct_ids(settle(claims).select(*_EPISODE), "episode_id", F.col("audio_url"))
 
 
 def ingest_stream(
@@ -141,8 +163,10 @@ def ingest_stream(
     The files hold feed entries, or whole feed documents with ``documents``.
     ``read_target`` keeps urls unique. ``drop_repeats_within`` also drops repeated
     polls early, at the price of losing entries that land later than this behind
-    the newest one; it is off unless asked for.
+    the newest one; it is off unless asked for. A micro-batch is written once
+    whatever fails: the target's log and the state belong to the same checkpoint.
     """
+    tune(spark).conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     schema = FEED_DOCUMENT if documents else FEED_ENTRY
     entries = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landing)
     if documents:
@@ -156,10 +180,11 @@ def ingest_stream(
             .drop("_entry", "_seen")
         )
     return (
-        entries.writeStream.foreachBatch(
-            lambda batch, batch_id: load_batch(batch, batch_id, podcasts, target, first_n)
-        )
+        claims_of(entries, podcasts, first_n)
+        .writeStream.format("parquet")
+        .option("path", target)
         .option("checkpointLocation", checkpoint)
+        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

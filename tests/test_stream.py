@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from earshot.schemas import FEED_DOCUMENT, FEED_ENTRY
 from earshot.streaming import ingest_stream as ingest_stream_module
-from earshot.streaming.ingest_stream import ingest_stream, load_batch, read_target
+from earshot.streaming.ingest_stream import ingest_stream, read_target
 
 POLLS = {1: datetime(2024, 2, 1), 2: datetime(2024, 2, 2), 3: datetime(2024, 2, 3)}
 
@@ -65,14 +65,27 @@ def test_two_polls_in_one_batch(spark, folder, rows):
     ]
 
 
-def test_a_batch_run_again_stores_nothing_twice(spark, folder, rows):
-    batch = frame(spark, entry(1, 0, "https://e.com/a.mp3", JAN, 1), entry(1, 1, "https://e.com/b.mp3", JAN, 1))
-    for _ in range(2):
-        load_batch(batch, 0, podcasts(spark), f"{folder}/episodes")
-    load_batch(batch, 1, podcasts(spark), f"{folder}/episodes")
-    assert rows(read_target(spark, f"{folder}/episodes"), "audio_url", "batch_id") == [
-        ("https://e.com/a.mp3", 0), ("https://e.com/b.mp3", 0)
-    ]
+def test_files_that_land_again_store_nothing_twice(spark, folder, rows):
+    given = [entry(1, 0, "https://e.com/a.mp3", JAN, 1), entry(1, 1, "https://e.com/b.mp3", JAN, 1)]
+    for _ in range(3):
+        land(spark, folder, *given)
+        got = run(spark, folder)
+        assert rows(got, "audio_url") == [("https://e.com/a.mp3",), ("https://e.com/b.mp3",)]
+    # A run that lost its progress takes all files again and starts from no state.
+    ingest_stream(spark, f"{folder}/landing", f"{folder}/other", f"{folder}/fresh", podcasts(spark)).awaitTermination()
+    assert rows(read_target(spark, f"{folder}/other")) == rows(got)
+
+
+def test_polls_without_a_usable_entry_leave_a_podcast_open(spark, folder, rows):
+    nothing = ("P1", "https://e.com/1.rss")
+    bad = [(1, *nothing, i, " ", [], None, None, JAN, None, POLLS[1]) for i in range(3)]
+    land(spark, folder, *bad)
+    assert run(spark, folder, first_n=2).count() == 0
+    # The second poll is the opening one; a late part of the first changes nothing, the third is held against the second.
+    land(spark, folder, *[entry(1, i, f"https://e.com/{i}.mp3", JAN, 2) for i in range(3)])
+    assert run(spark, folder, first_n=2).count() == 2
+    land(spark, folder, *[entry(1, i, f"https://e.com/{i}.mp3", JAN, 3) for i in range(5)], entry(1, 9, "https://e.com/9.mp3", POLLS[3], 3))
+    assert rows(run(spark, folder, first_n=2), "audio_url") == [(f"https://e.com/{i}.mp3",) for i in (0, 1, 9)]
 
 
 def test_repeats_may_be_dropped_early(spark, folder):
@@ -86,20 +99,20 @@ def test_files_may_be_cut_into_batches_anyhow(spark, rows):
     opening = [entry(p, i, f"https://e.com/{p}-{i % 40}.mp3", JAN, 1) for p in (1, 2) for i in range(60)]
     later = [entry(p, i, f"https://e.com/late-{i}.mp3", FEB2, 2) for p in (1, 2) for i in range(30)]
     results = []
-    for files in (1, 3, 1000):
+    for files in (1, 2, 3, 1000):
         folder = tempfile.mkdtemp(prefix="earshot-test-")
         for poll in (opening, later):
             frame(spark, *poll).repartition(8, "feed_pos").write.mode("append").parquet(f"{folder}/landing")
             got = run(spark, folder, files_per_batch=files)
         results.append(rows(got, "podcast_id", "audio_url", "uploaded_at"))
-    assert len(results[0]) == 20 + 20 + 30 and results[0] == results[1] == results[2]
+    assert len(results[0]) == 20 + 20 + 30 and all(r == results[0] for r in results)
 
 
 def test_ids_of_the_stream_are_checked(spark, folder, monkeypatch):
     monkeypatch.setattr(ingest_stream_module, "hash_id", lambda col: F.when(col.isNotNull(), F.lit(5)).cast("long"))
-    batch = frame(spark, entry(1, 0, "https://e.com/a.mp3", JAN, 1), entry(1, 1, "https://e.com/b.mp3", JAN, 1))
+    land(spark, folder, entry(1, 0, "https://e.com/a.mp3", JAN, 1), entry(1, 1, "https://e.com/b.mp3", JAN, 1))
     with pytest.raises(ValueError, match="stands for two keys"):
-        load_batch(batch, 0, podcasts(spark), f"{folder}/episodes")
+        run(spark, folder)
 
 
 def test_documents_land_as_they_are(spark, folder, rows):
