@@ -7,10 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.session import fixed
+from earshot.session import fixed, scratch_path
+from earshot.sources.shared import opened
 
 # ASCII white space, as the contracts spell it.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -20,8 +24,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# Bytes of rows that a Python worker is handed at a time (a longer text alone).
+BATCH_BYTES = 4 << 20
+
+
 def texts(docs: DataFrame, *extra: Column) -> DataFrame:
-    """``doc_id`` and whole ``text`` (null: empty), and nothing else that could clash."""
+    """``doc_id`` and whole ``text`` (null: empty), and nothing else that could clash.
+
+    Texts go to Python in batches bounded by their bytes, not by their number alone.
+    """
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
@@ -35,9 +47,11 @@ def settled(docs: DataFrame) -> DataFrame:
     A frame that is a file scan with projections and filters stays as it is;
     any other (shuffled, joined, made by a function) is written down first.
     """
-    plan = docs._jdf.queryExecution().analyzed().toString()
-    nodes = {re.sub(r"[^A-Za-z].*", "", line.lstrip(" :+-'")) for line in plan.splitlines()}
-    return docs if nodes <= {"Project", "Filter", "Relation", "SubqueryAlias", "View", ""} else fixed(docs)
+    plan = docs._jdf.queryExecution().analyzed().toString().splitlines()
+    nodes = {re.sub(r"[^A-Za-z].*", "", line.lstrip(" :+-'")) for line in plan}
+    # Files give their rows in order; other sources (a database) need not.
+    files = all(re.search(r"\] (parquet|orc|avro|json|csv|text)$", line) for line in plan if "Relation " in line.split("[")[0])
+    return docs if files and nodes <= {"Project", "Filter", "Relation", "SubqueryAlias", "View", ""} else fixed(docs)
 
 
 def numbered(docs: DataFrame, *extra: Column) -> DataFrame:
@@ -45,6 +59,104 @@ def numbered(docs: DataFrame, *extra: Column) -> DataFrame:
     return texts(docs, *extra, F.monotonically_increasing_id().alias("_row"))
 
 
+# Splits of a scan whose row lists share a folder, and text that one part of a shuffle of keys stands for.
+LISTED_SPLITS, PART_BYTES = 32, 64 << 20
+
+
+def key_parts(docs: DataFrame) -> int:
+    """Parts for shuffles of what tasks hold in memory: as many as the texts' bytes ask for, the session's number at least."""
+    size = texts(docs).agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def row_lists(rows: DataFrame) -> str:
+    """Store rows by number (``_row``, any other columns) and split of the scan they come from, for ``ListedRows`` to find.
+
+    The high bits of a row number are its split, so tasks that scan the rows again
+    read what is listed for their own split and no text is moved to join it.
+    """
+    path = scratch_path(rows.sparkSession, "row-lists")
+    group = F.shiftright("_row", 33 + LISTED_SPLITS.bit_length() - 1)
+    rows.withColumn("group", group).repartition("group").sortWithinPartitions("group", "_row").write.partitionBy("group").parquet(path)
+    return path
+
+
+class ListedRows:
+    """What is listed for the split a task scans."""
+
+    def __init__(self, path: str):
+        self.path, self.split = path, -1
+        self.rows, self.table = np.zeros(0, np.int64), None
+
+    def _places(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the list of each row of a batch (of one split), and whether it is there."""
+        split = int(rows[0]) >> 33
+        if split != self.split:
+            self.split = split
+            self.table = self._read(split)
+            self.rows = self.table["_row"].to_numpy() if self.table else np.zeros(0, np.int64)
+        if not len(self.rows):
+            return np.zeros(len(rows), np.int64), np.zeros(len(rows), bool)
+        place = np.minimum(np.searchsorted(self.rows, rows), len(self.rows) - 1)
+        return place, self.rows[place] == rows
+
+    def among(self, rows: np.ndarray) -> np.ndarray:
+        """Which rows are listed."""
+        return self._places(rows)[1]
+
+    def values(self, rows: np.ndarray, column: str) -> list:
+        """The listed value of each row, nothing for rows that are not listed."""
+        place, known = self._places(rows)
+        if not known.any():
+            return [None] * len(rows)
+        return self.table[column].take(pa.array(place, mask=~known)).to_pylist()
+
+    def _read(self, split: int) -> pa.Table | None:
+        system, folder = opened(f"{self.path}/group={split // LISTED_SPLITS}")
+        files = [f.path for f in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)) if f.path.endswith(".parquet")]
+        if not files:
+            return None
+        own = (pc.field("_row") >= split << 33) & (pc.field("_row") < (split + 1) << 33)
+        found = [pq.read_table(f, filesystem=system, filters=own, partitioning=None) for f in files]
+        return pa.concat_tables(found).sort_by("_row")
+
+
+def listed_rows(docs: DataFrame, path: str, keep: bool = True) -> DataFrame:
+    """The settled rows whose numbers are listed (or are not), with all their columns; nothing is moved."""
+    # Plain names, as a function's columns are looked up by them.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    rows = plain.withColumn("_row", F.monotonically_increasing_id())
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = ListedRows(path)
+        for batch in batches:
+            if batch.num_rows:
+                found = listed.among(batch.column(batch.num_columns - 1).to_numpy())
+                yield batch.filter(pa.array(found == keep))
+
+    return rows.mapInArrow(pick, rows.schema).drop("_row").toDF(*docs.columns)
+
+
+def with_listed(rows: DataFrame, path: str, column: str, kind: str) -> DataFrame:
+    """The numbered rows that are listed, with a listed column of this type; nothing is moved."""
+    columns = rows.columns
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = ListedRows(path)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            numbers = batch.column("_row").to_numpy()
+            known = listed.among(numbers)
+            if known.any():
+                values = pa.array([v for v, k in zip(listed.values(numbers, column), known.tolist()) if k])
+                own = batch.filter(pa.array(known))
+                yield pa.RecordBatch.from_arrays([*own.columns, values], [*columns, column])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(pick, f"{schema}, {column} {kind}")
+
+
 def without(docs: DataFrame, *names: str) -> list[str]:
     """The input's columns but for those a result column of the same name takes the place of."""
     taken = {n.lower() for n in names}
@@ -61,7 +173,7 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return column.cast(kind).to_pylist()
 
 
-def slices(raw: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, list[bytes]]]:
+def slices(raw: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Number of the first text and texts of up to ``most`` bytes together (a longer one alone)."""
     first, held = 0, 0
     for i, text in enumerate(raw):

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.blocks import BLOCKS, block_number, by_bucket, pack40, read_ipc, records, to_ipc, unpack40
-from earshot.llm.common import Words, as_bytes, mix, numbered, quoted, settled
+from earshot.llm.common import ListedRows, Words, as_bytes, key_parts, listed_rows, mix, numbered, row_lists, settled
 from earshot.llm.components import components
 from earshot.session import fixed, scratch_path
 
 WORDS, PERCENT = 5, 80
 # Text hashed at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # Parts the tokens of a set are counted in for the suffix filter.
 PARTS = 64
 # Documents of a posting list that are held against its pivots before pairs are listed.
@@ -76,7 +76,7 @@ def _slice_sets(raw: list[bytes], words_per: int) -> Iterator[np.ndarray]:
 
 
 
-def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT, buckets: int | None = None) -> DataFrame:
     """Per row ``doc_id, _row, n, sig, alive``: set size, digest of the set, and whether it can have a link.
 
     A set's prefix in hash order holds enough tokens that two linked sets share
@@ -86,7 +86,7 @@ def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT) -
     once for all of them. Buckets see 40 bits of a token beside its bucket; a
     chance meeting only keeps a document that later steps drop.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or key_parts(docs)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in enumerate(batches):
@@ -169,10 +169,14 @@ _SETS = "block long, ids binary, sizes binary, tokens binary"
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words_per: int) -> DataFrame:
-    """Token sets of the wanted rows, a row per block of documents."""
+    """Token sets of the wanted rows, a row per block of documents; the scan picks the rows itself."""
+    path = row_lists(wanted)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = ListedRows(path)
         for number, batch in enumerate(batches):
+            if batch.num_rows:
+                batch = batch.filter(pa.array(listed.among(batch.column("_row").to_numpy())))
             if batch.num_rows:
                 sets = list(shingle_sets(as_bytes(batch.column("text")), words_per))
                 arrays = [
@@ -183,10 +187,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words_per: int) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, ["block", "ids", "sizes", "tokens"])
 
-    return numbered(docs).join(wanted, "_row", "left_semi").mapInArrow(collect, _SETS)
+    return numbered(docs).mapInArrow(collect, _SETS)
 
 
-def _prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
+def _prefix_entries(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
     """``token, id, n, pos`` of the prefix tokens that more than one set holds, rarest tokens first.
 
     Tokens are counted over all sets, in buckets, and the counts return to the
@@ -194,7 +198,6 @@ def _prefix_entries(sets: DataFrame, percent: int) -> DataFrame:
     one set only come first and are left out of the result, since they meet
     nobody. ``pos`` is the token's place in that order.
     """
-    buckets = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,11 +282,10 @@ def _rows_of(sets: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def _stored_rows(sets: DataFrame) -> Iterator[DataFrame]:
+def _stored_rows(sets: DataFrame, buckets: int) -> Iterator[DataFrame]:
     """The sets by id as a table in buckets: joins with pairs move the pairs only."""
     spark = sets.sparkSession
     name = f"earshot_sets_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = _rows_of(sets).repartition(buckets, "id")
     spread.write.bucketBy(buckets, "id").option("path", scratch_path(spark, "sets")).saveAsTable(name)
     try:
@@ -338,7 +340,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(keep, "a long, b long")
 
 
-def similar_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_sets(sets: DataFrame, percent: int = PERCENT, buckets: int = 8) -> DataFrame:
     """``id, label`` of the sets that have links; the label is the least id reachable.
 
     Sets that share a prefix token are held against the list's pivots first
@@ -349,8 +351,8 @@ def similar_sets(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     Links inside a component that is known already are not looked for: they
     change nothing.
     """
-    with _stored_rows(sets) as rows:
-        return components(_links(fixed(_prefix_entries(sets, percent)), rows, percent))
+    with _stored_rows(sets, buckets) as rows:
+        return components(_links(fixed(_prefix_entries(sets, percent, buckets)), rows, percent))
 
 
 def _links(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -407,11 +409,12 @@ def similarity_classes(docs: DataFrame, words_per: int = WORDS, percent: int = P
     ``percent`` / 100; ``component_id`` is the smallest doc_id that links reach. Null,
     empty and blank texts have no shingles and no links. Equal sets are one
     class and searched once; repeated rows are equal sets. Rows whose doc_id is null
-    take part, and are named by null unless linked with others. Other columns
-    play no part; an empty table gives an empty result.
+    take part, and are named by null unless linked with others. A very long text is one large set. Other
+    columns play no part; an empty table gives an empty result.
     """
     docs = settled(docs)
-    base = fixed(described(docs, words_per, percent))
+    buckets = key_parts(docs)
+    base = fixed(described(docs, words_per, percent, buckets))
     filled = base.filter("n > 0")
     classes = fixed(
         filled.groupBy("sig").agg(
@@ -420,11 +423,12 @@ def similarity_classes(docs: DataFrame, words_per: int = WORDS, percent: int = P
     )
     wanted = classes.filter("alive").select(F.col("rep").alias("_row"))
     sets = fixed(_sets_of(docs, wanted, words_per))
-    labels = fixed(similar_sets(sets, percent))
+    labels = fixed(similar_sets(sets, percent, buckets))
     known = classes.join(labels.withColumnRenamed("id", "rep"), "rep")
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
     named = known.join(least, "label").select("sig", F.col("component_id").alias("wider"))
-    every = classes.join(named, "sig", "left").select("sig", F.coalesce("wider", "least").alias("component_id"))
+    # Written down, so that the rows of a class that most rows are in can be split in the join below.
+    every = fixed(classes.join(named, "sig", "left").select("sig", F.coalesce("wider", "least").alias("component_id")))
     shown = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "_row"]
     with_class = filled.join(every, "sig").select(*shown)
     empty = base.filter("n = 0").withColumn("component_id", F.col("doc_id")).select(*shown)
@@ -439,6 +443,4 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     same = classes.groupBy("component_id", alone.alias("alone")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
     )
-    kept = same.select(F.col("first._row").alias("_jaccard_row"))
-    rows = docs.withColumn("_jaccard_row", F.monotonically_increasing_id())
-    return rows.join(kept, "_jaccard_row", "left_semi").select(*[quoted(c) for c in docs.columns])
+    return listed_rows(docs, row_lists(same.select("first._row")))

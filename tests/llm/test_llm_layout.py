@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from earshot.llm import packing, sharding, warc
+from earshot.llm.common import listed_rows, numbered, row_lists, settled, with_listed
 from llm_cases import classes, frame, normal, odd_rows, stored, words
 
 PAGES = [
@@ -215,3 +216,30 @@ def test_pipeline_without_documents(spark, folder):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_rows_are_picked_where_they_are_scanned(spark, folder):
+    docs = stored(spark, folder)
+    every = numbered(docs).collect()
+    some = [r._row for r in every if r._row % 2 == 0 or r.doc_id == 17]
+    assert len({r >> 33 for r in some}) > 1
+    path = row_lists(spark.createDataFrame([(r, f"v{r}") for r in some], "_row long, note string"))
+    key = lambda rows: sorted((repr(tuple(r)) for r in rows))
+    whole = key(docs.collect())
+    kept, left = (key(listed_rows(docs, path, keep).collect()) for keep in (True, False))
+    assert sorted(kept + left) == whole and len(kept) == len(some)
+    assert listed_rows(docs, path).schema == docs.schema
+    noted = with_listed(numbered(docs), path, "note", "string").collect()
+    assert sorted((r._row, r.note) for r in noted) == sorted((r, f"v{r}") for r in some)
+    none = row_lists(spark.createDataFrame([], "_row long"))
+    assert listed_rows(docs, none).count() == 0 and listed_rows(docs, none, False).count() == len(whole)
+    plan = listed_rows(docs, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_only_files_keep_their_rows_in_place(spark, folder):
+    docs = stored(spark, folder)
+    assert settled(docs) is docs
+    picked = docs.filter("doc_id > 3").select("doc_id")
+    assert settled(picked) is picked
+    assert settled(docs.distinct()) is not docs and settled(spark.range(3)).count() == 3
