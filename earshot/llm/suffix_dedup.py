@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.blocks import BLOCKS, block_number, by_bucket, pack40, read_ipc, records, to_ipc, unpack40
-from earshot.llm.common import as_bytes, numbered, settled
+from earshot.llm.common import as_bytes, key_parts, numbered, row_lists, settled, with_listed
 from earshot.session import scratch_path
 
 LENGTH, GRAM = 100, 40
@@ -112,7 +112,7 @@ def segments(raw: list[bytes], length: int = LENGTH, gram: int = GRAM) -> tuple[
     return np.concatenate(found), np.concatenate(keys)
 
 
-def candidates(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def candidates(docs: DataFrame, length: int = LENGTH, buckets: int | None = None) -> DataFrame:
     """``doc_id, _row, segments``: what each row has around anchors that occur more than once.
 
     Anchors meet in buckets of their hash: a block of documents sends those that
@@ -120,7 +120,7 @@ def candidates(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     that are known elsewhere. 40 bits and the bucket stand for an anchor; a
     chance meeting only adds a segment to the sort.
     """
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or key_parts(docs)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in enumerate(batches):
@@ -491,16 +491,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     it also starts earlier: in a row of smaller doc_id (null comes last; of equal
     doc_ids the row read first), or earlier in the same text. Strings never cross
     texts and are judged on the input. Texts shorter than ``length``, empty and null
-    ones lose nothing and do not appear. Other columns play no part.
+    ones lose nothing and do not appear; nor does anything of an empty table. A very long text is
+    sorted in slices. Other columns play no part. Scans look up what is listed for their split, so
+    texts are moved only as suffixes to be sorted.
     """
     if not 32 <= gram <= 64 or not gram < length <= 156 + gram:
         raise ValueError("anchors are 32 to 64 bytes and strings at most 156 bytes longer")
-    spark, docs = docs.sparkSession, settled(docs)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    around = candidates(docs, length)
-    found = _stored(
-        numbered(docs).select("_row", "text").join(around, "_row").select("doc_id", "_row", "text", "segments"), "segments"
-    )
+    docs = settled(docs)
+    buckets = key_parts(docs)
+    around = row_lists(candidates(docs, length, buckets).select("_row", "segments"))
+    found = _stored(with_listed(numbered(docs), around, "segments", "binary"), "segments")
     splitters = _splitters(found, found.count(), buckets, length)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -574,4 +574,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             )
 
     schema = "doc_id long, _row long, spans array<struct<start:long,end:long>>, kept binary"
-    return found.select("doc_id", "_row", "text").join(by_row, "_row").mapInArrow(cut, schema)
+    covered = with_listed(numbered(docs), row_lists(by_row), "covers", "binary")
+    return covered.mapInArrow(cut, schema)
