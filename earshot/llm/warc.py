@@ -12,16 +12,18 @@ from typing import NamedTuple
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm.common import settled
-from earshot.session import scratch_path
+from earshot.llm.common import ListedRows, row_lists, settled
+from earshot.session import fixed, scratch_path
 
 # Ranges closer than GAP are fetched by one read of READ bytes at most (a longer record alone is one read).
 GAP, READ = 64 << 10, 8 << 20
 # Bytes of selected records that one task reads.
 TASK_BYTES = 64 << 20
+# A payload with more than one page in HOT of all pages is settled where it is read: HOT payloads at most.
+HOT = 1_000
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = (
@@ -104,38 +106,38 @@ def _opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def with_roles(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Pages with ``record_type`` and ``refers_to``.
+def _payload() -> Column:
+    return F.coalesce(F.col("html"), F.lit(""))
+
+
+def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """``_row, refers_to`` of the settled pages that repeat another one's payload.
 
     Of equal payloads of at least ``min_bytes`` the one with the largest page id
     is the response (of repeated rows the last one read) and the others revisit
-    it; smaller payloads are all responses. Winners come out of a partial
-    aggregate over slim rows; only groups of two and more take part in the join.
+    it; smaller payloads are all responses. Only digests are moved. Winners come out of a partial
+    aggregate; those of the most frequent payloads, ``HOT`` at most, are broadcast to
+    their copies, the others are joined.
     """
-    html = F.coalesce(F.col("html"), F.lit(""))
-    own = settled(pages).select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        html.alias("html"),
-        F.unhex(F.sha1(html)).alias("_digest"),
-        F.octet_length(html).alias("_bytes"),
-        F.monotonically_increasing_id().alias("_row"),
+    slim = fixed(
+        pages.select(
+            F.col("page_id").cast("long").alias("page_id"),
+            F.unhex(F.sha1(_payload())).alias("_digest"),
+            F.octet_length(_payload()).alias("_bytes"),
+            F.monotonically_increasing_id().alias("_row"),
+        ).filter(F.col("_bytes") >= min_bytes)
     )
-    groups = (
-        own.filter(F.col("_bytes") >= min_bytes)
-        .groupBy("_digest", "_bytes")
+    same = ["_digest", "_bytes"]
+    groups = fixed(
+        slim.groupBy(*same)
         .agg(F.max(F.struct("page_id", "_row")).alias("_last"), F.count("*").alias("_n"))
         .filter("_n > 1")
-        .drop("_n")
-    )
-    revisit = F.col("_last").isNotNull() & (F.col("_last._row") != F.col("_row"))
-    return own.join(groups, ["_digest", "_bytes"], "left").select(
-        "page_id",
-        "url",
-        "html",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("_last.page_id")).alias("refers_to"),
     )
+    many = F.col("_n") * HOT > slim.count()
+    hot = F.broadcast(groups.filter(many))
+    rest = slim.join(hot.select(*same), same, "left_anti").join(groups.filter(~many), same)
+    met = slim.join(hot, same).unionByName(rest)
+    return met.filter("_last._row <> _row").select("_row", F.col("_last.page_id").alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
@@ -145,25 +147,39 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame
     URL and digest of each record; the index holds the reports of the tasks that
     succeeded, so an archive left by a lost one is never read. Null html is an
     empty payload, a null url leaves the header out, columns other than
-    ``page_id, url, html`` play no part, and no pages give an empty index.
+    ``page_id, url, html`` play no part, and no pages give an empty index. A very long payload is one
+    record. Which pages revisit others is listed by split of the scan, so payloads are never moved.
     """
+    pages = settled(pages)
+    path_of_lists = row_lists(revisits(pages, min_bytes))
+    numbered_pages = pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        _payload().alias("html"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = _opened(path)
         system.create_dir(folder, recursive=True)
         name, sink, at = f"{uuid.uuid4().hex}.warc.gz", None, 0
+        listed = ListedRows(path_of_lists)
         try:
             for batch in batches:
-                rows = batch.to_pylist()
+                if not batch.num_rows:
+                    continue
+                numbers = batch.column("_row").to_numpy()
                 index = []
-                for row in rows:
-                    payload = row["html"].encode()
-                    record = encode_record(row["page_id"], row["url"], payload, row["record_type"], row["refers_to"])
+                for row, again, refers_to in zip(
+                    batch.to_pylist(), listed.among(numbers).tolist(), listed.values(numbers, "refers_to")
+                ):
+                    payload, kind = row["html"].encode(), "revisit" if again else "response"
+                    record = encode_record(row["page_id"], row["url"], payload, kind, refers_to)
                     sink = sink or system.open_output_stream(f"{folder}/{name}", compression=None)
                     sink.write(record)
                     digest = digest_of(payload)
                     index.append(
-                        (row["page_id"], row["url"], row["record_type"], row["refers_to"], len(payload), digest, name, at, len(record))
+                        (row["page_id"], row["url"], kind, refers_to, len(payload), digest, name, at, len(record))
                     )
                     at += len(record)
                 if index:
@@ -176,7 +192,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame
             if sink is not None:
                 sink.close()
 
-    with_roles(pages, min_bytes).mapInArrow(write, INDEX).write.parquet(f"{path}/index")
+    numbered_pages.mapInArrow(write, INDEX).write.parquet(f"{path}/index")
     return read_index(pages.sparkSession, path)
 
 
@@ -202,7 +218,7 @@ def _coalesced(ranges: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, i
 def read_records(selected: DataFrame, path: str) -> DataFrame:
     """Records of the selected index rows, read back from the archives.
 
-    The rows are sorted by archive and offset and dealt in ranges of about
+    No rows give no records. The rows are sorted by archive and offset and dealt in ranges of about
     ``TASK_BYTES``; neighbours are fetched by one read. A revisit has no payload
     of its own (null): its response's is named by ``refers_to`` and digest.
     """
