@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, numbered, quoted, settled
+from earshot.llm.common import as_bytes, listed_rows, numbered, row_lists, settled
+from earshot.session import fixed
+from earshot.sources.shared import held, read_block, write_blocks
 
 # Edits allowed per byte of an item.
 RATE = 0.1
-# Bytes of items that travel to the tasks at a time, and bytes of text scanned at a time.
-BLOCK_BYTES, SCAN_BYTES = 4 << 20, 1 << 20
+# Bytes of items in one file, of texts a task holds while the files pass by, and of text scanned at a time.
+BLOCK_BYTES, HELD_BYTES, SCAN_BYTES = 4 << 20, 16 << 20, 1 << 20
 BITS = 18
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -212,20 +214,20 @@ class Items:
                 yield own, self.ids[number], distance, end
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, bytes]]]:
-    """Normalised items in blocks of bounded size; null and blank ones cannot occur anywhere."""
-    block, held = [], 0
-    rows = benchmark.select(F.col("item_id").cast("long"), F.col("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")
-    for item_id, text in rows.distinct().toLocalIterator():
-        item = normalised(text.encode())
-        if item:
-            block.append((item_id, item))
-            held += len(item)
-            if held >= block_bytes:
-                yield block
-                block, held = [], 0
-    if block:
-        yield block
+def item_files(benchmark: DataFrame, block_bytes: int) -> list[str]:
+    """Items with an id and a text in files of about ``block_bytes`` that tasks read themselves."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).distinct()
+    rows = fixed(rows.filter("item_id IS NOT NULL AND text IS NOT NULL"))
+    size = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    return write_blocks(rows, max(1, -(-size // block_bytes)), "item_id", "items")
+
+
+def _items_of(file: str, rate: float) -> Items | None:
+    """The items of one file; blank ones cannot occur anywhere."""
+    table = read_block(file)
+    own = [(i, normalised(t.encode())) for i, t in zip(table["item_id"].to_pylist(), table["text"].to_pylist())]
+    own = [(i, t) for i, t in own if t]
+    return Items(own, rate) if own else None
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -237,32 +239,32 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
     that of 8); ``end`` is where its best occurrence ends in the compared form.
     Each item is cut into one piece more than it has edits, so any occurrence
     holds a piece untouched, beside a piece with one edit at most; the places
-    where that may be are verified by Myers' distance. Items travel to the tasks in blocks of ``block_bytes``, every block
-    over all whole texts. Null and empty texts hold nothing, null and blank items
-    are nowhere; repeated rows are searched each, equal items all reported.
+    where that may be are verified by Myers' distance. Items stand in files of ``block_bytes``; a task holds a
+    stretch of whole texts while the files pass by, so documents are scanned once. Null and empty texts
+    hold nothing, null and blank items are nowhere, an empty table of either kind gives an empty result; repeated rows are
+    searched each, equal items all reported. A very long text is searched in stretches.
     """
-    spark = docs.sparkSession
+    files = item_files(benchmark, block_bytes)
     schema = "doc_id long, _row long, item_id long, n_edits long, end long"
-    found = spark.createDataFrame([], schema)
-    for block in item_blocks(benchmark, block_bytes):
-        shared = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items = Items(shared.value, rate)
-            for batch in batches:
-                raw = [normalised(t) for t in as_bytes(batch.column("text"))]
-                rows = list(items.find(raw))
-                if rows:
-                    own, ids, edits, ends = zip(*rows)
-                    pick = pa.array(own, pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pick), batch.column("_row").take(pick)]
-                        + [pa.array(c, pa.int64()) for c in (ids, edits, ends)],
-                        ["doc_id", "_row", "item_id", "n_edits", "end"],
-                    )
-
-        found = found.unionByName(numbered(docs).mapInArrow(search, schema))
-    return found
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only = _items_of(files[0], rate) if len(files) == 1 else None
+        for part in held(batches, HELD_BYTES):
+            normal = [[normalised(t) for t in as_bytes(batch.column("text"))] for batch in part]
+            for file in files:
+                items = only if len(files) == 1 else _items_of(file, rate)
+                for batch, raw in zip(part, normal):
+                    rows = list(items.find(raw)) if items else []
+                    if rows:
+                        own, ids, edits, ends = zip(*rows)
+                        pick = pa.array(own, pa.int64())
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column("doc_id").take(pick), batch.column("_row").take(pick)]
+                            + [pa.array(c, pa.int64()) for c in (ids, edits, ends)],
+                            ["doc_id", "_row", "item_id", "n_edits", "end"],
+                        )
+
+    return numbered(docs).mapInArrow(search, schema)
 
 
 def mark_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
@@ -284,8 +286,6 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
-    """The rows in which no item stands, with all their columns."""
+    """The rows in which no item stands, with all their columns; null and empty texts hold none."""
     docs = settled(docs)
-    rows = docs.withColumn("_decon_row", F.monotonically_increasing_id())
-    hit = find_items(docs, benchmark, rate).select(F.col("_row").alias("_decon_row")).distinct()
-    return rows.join(hit, "_decon_row", "left_anti").select(*[quoted(c) for c in docs.columns])
+    return listed_rows(docs, row_lists(find_items(docs, benchmark, rate).select("_row").distinct()), keep=False)
