@@ -422,17 +422,22 @@ def incremental_publish(d: Domain) -> DataFrame:
     tables.publish(d.spark, root, replaced={"episode": parts[0], "podcast": d.podcasts})
     for part in parts[1:]:
         tables.publish(d.spark, root, appended={"episode": part})
-    out = None
+    parts = None
     for version in (1, 2, 3):
         folder = tables.table_folders(d.spark, root, version)["episode"][-1]
-        written = d.spark.read.parquet(f"{root}/{folder}").agg(F.count("*").alias("written"))
-        seen = tables.read_snapshot(d.spark, root, "episode", version).agg(
-            F.count("*").alias("episodes"), F.sum("episode_id").alias("key_sum")
-        )
-        podcasts = tables.read_snapshot(d.spark, root, "podcast", version).agg(F.count("*").alias("podcasts"))
-        row = written.crossJoin(seen).crossJoin(podcasts).withColumn("version", F.lit(version))
-        out = row if out is None else out.unionByName(row)
-    return out
+        rows = {
+            "written": d.spark.read.parquet(f"{root}/{folder}"),
+            "episodes": tables.read_snapshot(d.spark, root, "episode", version),
+            "podcasts": tables.read_snapshot(d.spark, root, "podcast", version),
+        }
+        for name, df in rows.items():
+            key = F.col("episode_id") if name == "episodes" else F.lit(None).cast("bigint")
+            part = df.select(F.lit(version).alias("version"), F.lit(name).alias("what"), key.alias("key"))
+            parts = part if parts is None else parts.unionByName(part)
+    return parts.groupBy("version").agg(
+        *[F.count_if(F.col("what") == name).alias(name) for name in ("written", "episodes", "podcasts")],
+        F.sum("key").alias("key_sum"),
+    )
 
 
 @query

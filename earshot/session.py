@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,9 +69,34 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+# Lists of the paths that open ``scratch_removed`` blocks have seen made.
+_SEEN: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return os.path.join(shared_dir(spark), "earshot", f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), "earshot", f"{label}-{uuid.uuid4().hex}")
+    for paths in _SEEN:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written to scratch paths inside, once the block is through.
+
+    For steps whose result is written elsewhere before the block ends; frames made inside
+    cannot be read after it. A block that fails leaves its files.
+    """
+    paths: list[str] = []
+    _SEEN.append(paths)
+    try:
+        yield
+    finally:
+        _SEEN[:] = [seen for seen in _SEEN if seen is not paths]
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def fixed(df: DataFrame) -> DataFrame:

@@ -1,10 +1,13 @@
+import os
 import random
 from datetime import datetime
 from email.utils import parsedate_to_datetime
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
 
+from earshot import session
 from earshot.functions import dates, keys, text, vectors
 from earshot.functions.grouping import first_per_group, mark_existing, ordered_concat, running_total, top_n
 
@@ -216,3 +219,19 @@ def test_id_collisions_stop_the_load(spark):
     assert keys.require_distinct_ids(df, "id", F.col("name")) is df
     with pytest.raises(ValueError, match="stands for two keys"):
         keys.require_distinct_ids(df.withColumn("id", F.lit(1)), "id", F.col("name"))
+
+
+def test_scratch_is_removed_behind_a_step(spark, folder):
+    kept = session.scratch_path(spark, "kept")
+    with session.scratch_removed(spark):
+        rows = session.fixed(spark.range(5).toDF("id"))
+        inner = rows.inputFiles()
+        assert inner and all(os.path.exists(unquote(f.removeprefix("file://"))) for f in inner)
+        rows.write.parquet(kept)
+    assert not any(os.path.exists(unquote(f.removeprefix("file://"))) for f in inner)
+    assert spark.read.parquet(kept).count() == 5
+    after = session.fixed(spark.range(2).toDF("id"))
+    with pytest.raises(RuntimeError), session.scratch_removed(spark):
+        failing = session.fixed(spark.range(3).toDF("id"))
+        raise RuntimeError("stopped")
+    assert failing.count() == 3 and after.count() == 2
