@@ -71,7 +71,7 @@ def test_from_feed_to_tables(spark, folder, rows):
     again = slices.filter(F.col("episode_id") == b).withColumns({"ok": F.lit(True), "text": F.lit("transcribed anew")})
     jobs.store_transcripts(spark, root, again, segments.limit(0), lake_root)
     texts = dict(rows(lake.read_partitioned(spark, f"{lake_root}/transcripts"), "episode_id", "transcript_text"))
-    assert texts[str(b)] == "transcribed anew" and texts[str(a)].endswith("hello world")
+    assert texts[str(b)] == "transcribed anew" and texts[str(a)].split()[-2:] == ["hello", "world"]
     assert rows(jobs.read_episodes(spark, root).filter("transcribed"), "episode_id") == sorted([(a,), (b,)], key=repr)
 
     responses = spark.createDataFrame(
