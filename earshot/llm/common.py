@@ -60,7 +60,7 @@ def numbered(docs: DataFrame, *extra: Column) -> DataFrame:
 
 
 # Splits of a scan whose row lists share a folder, and text that one part of a shuffle of keys stands for.
-LISTED_SPLITS, PART_BYTES = 32, 64 << 20
+LISTED_SPLITS, PART_BYTES = 8, 64 << 20
 
 
 def key_parts(docs: DataFrame) -> int:

@@ -16,7 +16,7 @@ from earshot.sources.shared import held, read_block, write_blocks
 # Edits allowed per byte of an item.
 RATE = 0.1
 # Bytes of items in one file, of texts a task holds while the files pass by, and of text scanned at a time.
-BLOCK_BYTES, HELD_BYTES, SCAN_BYTES = 4 << 20, 16 << 20, 1 << 20
+BLOCK_BYTES, HELD_BYTES, SCAN_BYTES = 4 << 20, 8 << 20, 1 << 20
 BITS = 18
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 

@@ -47,8 +47,8 @@ def grouped_rows(
     are counted exactly and, being ``heavy`` at most, broadcast: their copies are
     settled where they are read. All other digests meet in one shuffle of slim
     rows. Columns: ``doc_id, keep_id, group_size, kept, text_sha256, _row``; other
-    columns of the input, whatever their names, play no part. An empty table
-    gives an empty result.
+    columns of the input, whatever their names, play no part. A text of any length is
+    digested whole. An empty table gives an empty result.
     """
     slim = fixed(
         docs.select(
@@ -82,8 +82,8 @@ def grouped_rows(
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; texts are moved once."""
+    """The rows that stay, with all their columns; texts are moved once. Nulls, ties and empty tables as above."""
     docs = settled(docs)
-    kept = grouped_rows(docs).filter("kept").select(F.col("_row").alias("_exact_row"))
+    dropped = grouped_rows(docs).filter("NOT kept").select(F.col("_row").alias("_exact_row"))
     rows = docs.withColumn("_exact_row", F.monotonically_increasing_id())
-    return rows.join(kept, "_exact_row", "left_semi").select(*[quoted(c) for c in docs.columns])
+    return rows.join(dropped, "_exact_row", "left_anti").select(*[quoted(c) for c in docs.columns])

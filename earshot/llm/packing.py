@@ -21,8 +21,8 @@ CAPACITY = 4096
 END_ID = 2
 # Pieces that are spread over windows together; the blocks are independent.
 BLOCK_PIECES = 1000
-# Chunks, and words, whose ids a task remembers until it ends (some 60 MB each), and the longest one it does.
-MEMORY, LONGEST = 400_000, 64
+# Chunks, and words, of one generation whose ids a task remembers until it ends (some 35 MB), and the longest one it does.
+MEMORY, LONGEST = 260_000, 64
 # Steps of a tokenizer under which a word's ids do not depend on the stops behind it.
 WORD_STEPS = {
     "normalizer": {
@@ -48,6 +48,7 @@ WORD_STEPS = {
 }
 # Latin letters as UTF-8 (A-Z, a-z and the letters of Latin-1, all composed), then stops.
 _WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
+_STOPS = b".,;:!?"
 # Characters that byte-level vocabularies write in place of unprintable bytes.
 _UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTABLE)}
@@ -71,8 +72,7 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = array("I", [end_id]).tobytes()
-        self.known = _Chunks(self._chunk)
-        self.words: dict[bytes, bytes] = {}
+        self.known, self.words, self.stops = _Known(self._chunk), _Known(self._word), _Known(self._stops)
         with open(path, "rb") as file:
             steps = json.loads(file.read())
         self.by_word = {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
@@ -81,44 +81,52 @@ class ChunkTokenizer:
         letters = word.lower().decode("latin-1")
         if not word.isascii():
             letters = word.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
-        ids = self.words[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
-        return ids
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
+    def _stops(self, stops: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(stops.decode(), add_special_tokens=False).ids).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
-        parts = _WORD.fullmatch(chunk) if self.by_word and len(chunk) <= LONGEST else None
+        if not self.by_word or len(chunk) > LONGEST:
+            return self._stops(chunk)
+        word = chunk.rstrip(_STOPS)
+        if word.isalpha():
+            # ASCII letters: case makes no difference to their ids.
+            ids = self.words[word.lower()]
+            return ids + self.stops[chunk[len(word) :]] if len(word) < len(chunk) else ids
+        parts = _WORD.fullmatch(chunk)
         if parts is None:
-            return array("I", self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids).tobytes()
+            return self._stops(chunk)
         word, stops = parts.groups()
-        ids = self.words.get(word) or self._word(word)
-        return ids + (self.words.get(stops) or self._stops(stops)) if stops else ids
-
-    def _stops(self, stops: bytes) -> bytes:
-        ids = self.tokenizer.encode(stops.decode(), add_special_tokens=False).ids
-        self.words[stops] = array("I", ids).tobytes()
-        return self.words[stops]
+        return self.words[word] + (self.stops[stops] if stops else b"")
 
     def batch(self, raw: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""
         known = self.known
         for text in raw:
-            if len(known) > MEMORY:
-                known.clear()
-            if len(self.words) > MEMORY:
-                self.words.clear()
             yield b"".join(map(known.__getitem__, text.split())) + self.end
 
 
-class _Chunks(dict):
-    """Ids by chunk; one that is not known is made, and kept if it is short."""
+class _Known(dict):
+    """Ids of short parts of texts, made when they are asked for first.
+
+    When a generation is full it becomes the one before, so that what is asked for often stays.
+    """
 
     def __init__(self, make: Callable[[bytes], bytes]):
         super().__init__()
         self.make = make
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.make(chunk)
-        if len(chunk) <= LONGEST:
-            self[chunk] = ids
+        self.before: dict[bytes, bytes] = {}
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = self.before.get(part)
+        if ids is None:
+            ids = self.make(part)
+        if len(part) <= LONGEST:
+            if len(self) >= MEMORY:
+                self.before = dict(self)
+                self.clear()
+            self[part] = ids
         return ids
 
 
@@ -201,7 +209,8 @@ def pack(
     themselves unless told otherwise.
 
     Columns: ``doc_id, start, length, payload, doc_tokens, sequence_id, offset``.
-    A null or empty text is its end id. Repeated rows are packed each. Columns
+    A null or empty text is its end id. Repeated rows are packed each. A very long text is
+    so many full pieces and a rest. Pieces of equal length are taken in the order of doc_id and start. Columns
     other than ``doc_id`` and ``text`` play no part; no rows give no pieces.
     """
 

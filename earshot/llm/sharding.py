@@ -35,7 +35,8 @@ def shard_documents(
     Result: the input's columns, ``size`` (UTF-8 bytes of the text, null: none,
     plus 8), ``shard`` and ``slot`` (place in the shard). Input columns named like
     these, or with a leading ``_shard``, are left out. Rows with a null id or text
-    are rows like others; an empty table gives an empty result.
+    are rows like others, a very long text is one row; an empty table gives an empty result. Rows that agree in
+    id and text stand in one bucket, which such a group alone can make larger.
     """
     spark = docs.sparkSession
     size = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long") + F.lit(8)

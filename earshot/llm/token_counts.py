@@ -128,7 +128,8 @@ def count_pieces(docs: DataFrame, automaton: Automaton) -> DataFrame:
     A word is a run without ASCII white space, matched with one blank before
     it. A word that cannot be split counts as one unknown piece. Null and empty
     texts have no words; repeated rows are counted one by one; other columns
-    play no part. The automaton is bounded by the vocabulary.
+    play no part; an empty table gives an empty result. A text of any length is one
+    pass over its words. The automaton is bounded by the vocabulary.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(automaton))
 

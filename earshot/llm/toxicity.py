@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Words, as_bytes, mix, numbered, quoted, settled, slices
+from earshot.llm.common import Words, as_bytes, listed_rows, mix, numbered, row_lists, settled, slices
 from earshot.session import fixed
 
 # Common English insults, a start where labels show little.
@@ -348,8 +348,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     patterns of characters. All documents' votes go into the label model; its
     posteriors train a linear classifier on at most ``sample_rows`` documents; every
     whole text is scored. Null and empty texts get the score of a text without
-    any feature; repeated rows are scored alike; without usable labels the list
-    of insults alone decides; an empty table gives an empty result. Language,
+    any feature; a very long text is described in slices; repeated rows are scored alike; without
+    usable labels the list of insults alone decides; an empty table gives an empty result. Language,
     source and id are no inputs.
     """
     docs = settled(docs)
@@ -397,8 +397,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows that are not predicted toxic, with all their columns."""
+    """The rows that are not predicted toxic, with all their columns; null and empty texts stay."""
     docs = settled(docs)
-    rows = docs.withColumn("_toxic_row", F.monotonically_increasing_id())
-    toxic = score_documents(docs, labels).filter("predicted = 1").select(F.col("_row").alias("_toxic_row"))
-    return rows.join(toxic, "_toxic_row", "left_anti").select(*[quoted(c) for c in docs.columns])
+    toxic = score_documents(docs, labels).filter("predicted = 1").select("_row")
+    return listed_rows(docs, row_lists(toxic), keep=False)
