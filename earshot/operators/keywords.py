@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.once import let
-from earshot.session import fixed, scratch_path
+from earshot.session import fixed, scratch_path, scratch_removed
 from earshot.sources import keyed
+from earshot.sources.shared import read_block, write_blocks
 
-# Characters of a gram, and texts of a block: a posting list is cut by blocks, so the longest one is a short row.
-GRAM, BLOCK_TEXTS = 3, 4096
+# Characters of a gram, and texts and characters of a block: a posting list is cut by blocks, so the longest one is a
+# short row, and names a text by its place in the block, a small number.
+GRAM, BLOCK_TEXTS, BLOCK_CHARS = 3, 4096, 4 << 20
+# Words that are looked for in a block at a time, and lists that are turned into bits at a time.
+WORDS_TOGETHER, ROWS_TOGETHER = 2048, 1024
+# Bits of a character in the number of a gram; characters count from one, so a shorter gram ends in zeros.
+_BITS = 21
+_BLOCKS = "gram string, block bigint, texts array<smallint>, ids array<bigint>"
 
 
 def _grams(text: Column, sizes: range) -> Column:
@@ -38,41 +49,140 @@ def searched_texts(episodes: DataFrame, transcripts: DataFrame) -> DataFrame:
     return both.filter("text <> ''").withColumn("text_id", F.xxhash64("episode_key", "in_title"))
 
 
+def _block_lists(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The grams of some texts; where the list of each begins, and an end; and the lists, one after the other."""
+    numbers, places = [], []
+    for place, text in enumerate(texts):
+        chars = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64) + 1
+        found, sizes = chars << (GRAM - 1) * _BITS, [chars << (GRAM - 1) * _BITS]
+        for n in range(1, min(GRAM, len(chars))):
+            found = found[:-1] | (chars[n:] << (GRAM - 1 - n) * _BITS)
+            sizes.append(found)
+        numbers.append(np.unique(np.concatenate(sizes)))
+        places.append(np.full(len(numbers[-1]), place, np.int16))
+    number, place = np.concatenate(numbers), np.concatenate(places)
+    order = np.argsort(number, kind="stable")
+    number, place = number[order], place[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(number) != 0])
+    shifts = np.arange(GRAM - 1, -1, -1) * _BITS
+    chars = (number[starts][:, None] >> shifts) & ((1 << _BITS) - 1)
+    words = np.ascontiguousarray(np.maximum(chars - 1, 0).astype("<u4")).view(f"<U{GRAM}").ravel().tolist()
+    grams = [word.ljust(n, "\0") for word, n in zip(words, (chars > 0).sum(axis=1).tolist())]
+    return grams, np.append(starts, len(place)), place
+
+
+def _in_blocks(texts: DataFrame) -> DataFrame:
+    """The lists of blocks of texts as they are scanned, and which texts (``ids``) a block is made of."""
+    most_texts, most_chars = BLOCK_TEXTS, BLOCK_CHARS
+    names = [piece.split()[0] for piece in _BLOCKS.split(", ")]
+    types = [pa.string(), pa.int64(), pa.list_(pa.int16()), pa.list_(pa.int64())]
+
+    def rows(*columns: pa.Array | None) -> pa.RecordBatch:
+        size = next(len(c) for c in columns if c is not None)
+        filled = [pa.nulls(size, t) if c is None else c for c, t in zip(columns, types)]
+        return pa.RecordBatch.from_arrays(filled, names)
+
+    def block_of(number: int, ids: list[int], texts: list[str]) -> Iterator[pa.RecordBatch]:
+        grams, starts, places = _block_lists(texts)
+        yield rows(None, pa.array([number], pa.int64()), None, pa.array([ids], types[3]))
+        lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(places, pa.int16()))
+        blocks = pa.array(np.full(len(grams), number), pa.int64())
+        yield rows(pa.array(grams, pa.string()), blocks, lists, None)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, ids, held, chars = TaskContext.get().partitionId() << 32, [], [], 0
+        for batch in batches:
+            for text_id, text in zip(batch.column("text_id"), batch.column("text")):
+                text = text.as_py()
+                if held and (len(held) >= most_texts or chars + len(text) > most_chars):
+                    yield from block_of(number, ids, held)
+                    number, ids, held, chars = number + 1, [], [], 0
+                ids.append(text_id.as_py())
+                held.append(text)
+                chars += len(text)
+        if held:
+            yield from block_of(number, ids, held)
+
+    return texts.select("text_id", "text").mapInArrow(cut, _BLOCKS)
+
+
 def store_postings(texts: DataFrame, path: str) -> keyed.Written:
-    """Store which texts hold each gram of one to three characters: ``gram, block, texts, listed``.
+    """Store which texts hold each gram of one to three characters: ``gram, block, texts``.
 
-    ``listed`` is the number of texts in the whole list. A list is one row per block of texts, so a gram that every
-    text has is as many rows as there are blocks.
+    A list is one row per block of texts, so a gram that every text has is as many rows as there are blocks; ``texts`` are
+    places in the block. The ids of a block's texts stand beside the lists, once.
     """
-    blocks = max(1, math.ceil(texts.count() / BLOCK_TEXTS))
-    found = texts.select(
-        "text_id",
-        F.pmod("text_id", F.lit(blocks)).cast("int").alias("block"),
-        F.explode(_grams(F.col("text"), range(1, GRAM + 1))).alias("gram"),
-    )
-    lists = fixed(found.groupBy("gram", "block").agg(F.collect_set("text_id").alias("texts")))
-    sizes = lists.groupBy("gram").agg(F.sum(F.size("texts")).alias("listed"))
-    return keyed.store(lists.join(sizes, "gram"), path, ["gram"], "block")
-
-
-def _candidates(words: DataFrame, path: str) -> DataFrame:
-    """``word, text_id`` of the texts that hold a word's two rarest grams; a gram that no text has ends the search."""
-    of_word = F.when(F.length("word") < GRAM, F.array("word")).otherwise(_grams(F.col("word"), range(GRAM, GRAM + 1)))
-    asked = fixed(words.select("word", F.size(of_word).alias("grams"), F.explode(of_word).alias("gram")))
-    stored = keyed.read_buckets_of(asked, path, ["gram"])
-    sizes = stored.select("gram", "listed").distinct()
-    rare = (
-        asked.join(sizes, "gram")
-        .groupBy("word", "grams")
-        .agg(F.count("*").alias("known"), F.sort_array(F.collect_list(F.struct("listed", "gram"))).alias("by_size"))
-        .filter("known = grams")
-        .select("word", F.col("by_size")[0]["gram"].alias("gram"), F.get("by_size", F.lit(1))["gram"].alias("second"))
+    with scratch_removed(texts.sparkSession):
+        found = fixed(_in_blocks(texts))
+        found.filter("ids IS NOT NULL").select("block", "ids").write.mode("overwrite").parquet(f"{path}/blocks")
+        lists = found.filter("ids IS NULL").select("gram", "block", "texts")
+        return keyed.store(lists, path, ["gram"], "block")
+
+
+def _in_texts(lists: pa.Table, texts: int, grams: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of texts that hold all grams of a word, and the word's number, by place."""
+    where = pc.index_in(grams.flatten(), lists["gram"].combine_chunks())
+    sizes, rows = grams.value_lengths().to_numpy(), where.fill_null(-1).to_numpy()
+    starts = np.append(0, np.cumsum(sizes)[:-1])
+    known = np.flatnonzero(np.minimum.reduceat(rows, starts) >= 0)
+    rows = rows[np.repeat(np.isin(np.arange(len(sizes)), known), sizes)]
+    if not len(rows):
+        return np.zeros(0, np.int64), known
+    used, row = np.unique(rows, return_inverse=True)
+    holders = lists["texts"].combine_chunks().take(pa.array(used))
+    held = np.zeros((len(used), -(-texts // 8)), np.uint8)
+    for first in range(0, len(used), ROWS_TOGETHER):
+        part = holders.slice(first, ROWS_TOGETHER)
+        flags = np.zeros((len(part), texts), bool)
+        flags[np.repeat(np.arange(len(part)), part.value_lengths().to_numpy()), part.flatten().to_numpy()] = True
+        held[first : first + len(part)] = np.packbits(flags, axis=1)
+    all_of = np.bitwise_and.reduceat(held[row], np.append(0, np.cumsum(sizes[known])[:-1]), axis=0)
+    place, word = np.nonzero(np.unpackbits(all_of, axis=1, count=texts).T)
+    return place, known[word]
+
+
+def _parts(words: DataFrame) -> DataFrame:
+    """The distinct words in parts that are searched together: ``part, words``; a word's number is its place in its part."""
+    distinct = fixed(words.select("word").distinct())
+    parts = -(-distinct.count() // WORDS_TOGETHER) or 1
+    part = F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int").alias("part")
+    return fixed(distinct.groupBy(part).agg(F.collect_list("word").alias("words")))
+
+
+def _candidates(parts: DataFrame, path: str) -> DataFrame:
+    """``text_id, part, numbers`` of the words that a text may contain, since it holds all grams of theirs.
+
+    Lists meet by block, in bits a text; the words stand in files that the tasks read, so a gram's list is moved once
+    however many words ask for it.
+    """
+    spark = parts.sparkSession
+    of_word = lambda word: F.when(F.length(word) < GRAM, F.array(word)).otherwise(_grams(word, range(GRAM, GRAM + 1)))
+    asked = fixed(parts.select("part", F.posexplode("words").alias("number", "word"))).select(
+        "part", "number", of_word(F.col("word")).alias("grams")
     )
-    first = stored.select("gram", "block", "texts").join(rare, "gram")
-    alone = first.filter("second IS NULL").select("word", "texts")
-    other = stored.select(F.col("gram").alias("second"), "block", F.col("texts").alias("others"))
-    both = first.join(other, ["second", "block"]).select("word", F.array_intersect("texts", "others").alias("texts"))
-    return alone.unionByName(both).select("word", F.explode("texts").alias("text_id"))
+    grams = fixed(asked.select(F.explode("grams").alias("gram")).distinct())
+    lists = keyed.read_buckets_of(grams, path, ["gram"]).join(grams, "gram", "left_semi")
+    files = write_blocks(asked, parts.count() or 1, "part", "words")
+    texts = spark.read.schema("block bigint, ids array<bigint>").parquet(f"{path}/blocks")
+    schema = pa.schema([("text_id", pa.int64()), ("part", pa.int32()), ("numbers", pa.list_(pa.int16()))])
+
+    def in_block(lists: pa.Table, texts: pa.Table) -> pa.Table:
+        found = [schema.empty_table()]
+        ids = texts["ids"].combine_chunks().flatten()
+        for file in files if len(lists) else ():
+            asked = read_block(file)
+            for part in asked["part"].unique():
+                words = asked.filter(pc.equal(asked["part"], part))
+                place, word = _in_texts(lists, len(ids), words["grams"].combine_chunks())
+                own, starts = np.unique(place, return_index=True)
+                numbers = words["number"].to_numpy()[word].astype(np.int16)
+                held = pa.ListArray.from_arrays(pa.array(np.append(starts, len(place)), pa.int32()), pa.array(numbers))
+                same = pa.array(np.full(len(own), part.as_py()), pa.int32())
+                found.append(pa.Table.from_arrays([ids.take(pa.array(own)), same, held], schema=schema))
+        return pa.concat_tables(found)
+
+    columns = "text_id bigint, part int, numbers array<smallint>"
+    return lists.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(in_block, columns)
 
 
 def keyword_search(
@@ -81,8 +191,8 @@ def keyword_search(
     """Episodes whose title or transcript contains a keyword, in any case.
 
     ``keywords`` has ``query_id, keyword``; every character of a keyword is literal, and null or
-    empty ones find nothing. The lists of a keyword's rarest grams are intersected, and what is in all
-    of them is verified on the text. ``postings`` is what ``store_postings`` wrote of the same texts; without it they
+    empty ones find nothing. The lists of a keyword's grams are intersected, and what is in all
+    of them is verified on the text, all words of a text at once. ``postings`` is what ``store_postings`` wrote of the same texts; without it they
     are indexed first.
     """
     spark = keywords.sparkSession
@@ -90,15 +200,34 @@ def keyword_search(
     if postings is None:
         postings = scratch_path(spark, "postings")
         store_postings(texts, postings)
-    asked = keywords.filter("keyword <> ''").select(
-        F.col("query_id").cast("bigint").alias("query_id"), F.lower("keyword").alias("word")
+    asked = fixed(
+        keywords.filter("keyword <> ''").select(
+            F.col("query_id").cast("bigint").alias("query_id"), F.lower("keyword").alias("word")
+        )
     )
-    found = _candidates(asked.select("word").distinct(), postings).join(texts, "text_id")
-    pairs = found.filter(F.contains("text", "word")).select("word", "episode_key", "in_title")
-    matched = pairs.groupBy("word", "episode_key").agg(
-        F.bool_or("in_title").alias("in_title"), F.bool_or(~F.col("in_title")).alias("in_transcript")
+    parts = _parts(asked)
+    found = _candidates(parts, postings).join(texts, "text_id").join(parts, "part")
+    # Words stay numbers, together in one row per text and then per episode, until the names are there.
+    in_text = lambda number: F.contains("text", F.get("words", number.cast("int")))
+    held = found.select("episode_key", "in_title", "part", F.filter("numbers", in_text).alias("numbers"))
+    numbers_of = lambda rows: F.flatten(F.collect_list(F.when(rows, F.col("numbers"))))
+    matched = (
+        held.filter(F.size("numbers") > 0)
+        .groupBy("episode_key", "part")
+        .agg(numbers_of(F.col("in_title")).alias("title"), numbers_of(~F.col("in_title")).alias("transcript"))
     )
     names = episodes.select("episode_id", "episode_title", F.col("episode_id").cast("string").alias("episode_key"))
-    return asked.join(matched, "word").join(names, "episode_key").select(
+    marked = lambda numbers, title, transcript: F.transform(
+        numbers, lambda n: F.struct(n.alias("number"), F.lit(title).alias("in_title"), F.lit(transcript).alias("in_transcript"))
+    )
+    each = F.concat(
+        marked(F.array_intersect("title", "transcript"), True, True),
+        marked(F.array_except("title", "transcript"), True, False),
+        marked(F.array_except("transcript", "title"), False, True),
+    )
+    hits = matched.join(names, "episode_key").select("part", "episode_id", "episode_title", F.inline(each))
+    numbered = parts.select("part", F.posexplode("words").alias("number", "word")).join(asked, "word")
+    queries = fixed(numbered.select("part", F.col("number").cast("smallint").alias("number"), "query_id"))
+    return hits.join(queries, ["part", "number"]).select(
         "query_id", "episode_id", "episode_title", "in_title", "in_transcript"
     )

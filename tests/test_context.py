@@ -1,5 +1,6 @@
 import random
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,32 @@ def test_keyword_search(spark, folder, rows, monkeypatch, block):
     assert keywords.keyword_search(words, episodes.limit(0), texts.limit(0)).count() == 0
 
 
+def test_posting_lists_are_smaller_than_the_texts(spark, folder, monkeypatch):
+    monkeypatch.setattr(keywords, "WORDS_TOGETHER", 2)
+    dice = random.Random(5)
+    said = [" ".join(dice.choices(("alpha", "béta", "gamma", "delta", "ﬁ😀", "omega"), k=dice.randrange(1, 60))) for _ in range(400)]
+    texts = spark.createDataFrame(list(enumerate(said)), "episode_id bigint, transcript_text string")
+    episodes = spark.createDataFrame([(i, f"No {i}") for i in range(400)], "episode_id bigint, episode_title string")
+    keywords.store_postings(keywords.searched_texts(episodes, texts).coalesce(1), f"{folder}/p")
+    stored = sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+    assert stored < sum(len(text) for text in said)
+    words = ["alpha gamma", "a o", "i😀 de", "éta", "a\0", "o 39", "zeta", "ega delta b"]
+    asked = spark.createDataFrame(list(enumerate(words)), "query_id bigint, keyword string")
+    got = keywords.keyword_search(asked, episodes, texts, f"{folder}/p").collect()
+    assert sorted((r["query_id"], r["episode_id"], r["in_title"], r["in_transcript"]) for r in got) == sorted(
+        (q, i, word in f"no {i}", word in text)
+        for q, word in enumerate(words) for i, text in enumerate(said) if word in f"no {i}" or word in text
+    )
+
+
+def test_grams_of_a_block():
+    texts = ["abcab", "b", "\0b\0", "é😀é"]
+    grams, starts, places = keywords._block_lists(texts)
+    lists = {g: places[a:b].tolist() for g, a, b in zip(grams, starts, starts[1:])}
+    pieces = [{t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)} for t in texts]
+    assert lists == {g: [i for i, p in enumerate(pieces) if g in p] for g in set().union(*pieces)}
+
+
 def test_facets(spark, rows):
     frame = lambda data, schema: spark.createDataFrame(data, schema)
     tables = {
