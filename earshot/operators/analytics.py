@@ -68,14 +68,16 @@ def _episodes_per_name(
 ) -> DataFrame:
     """Distinct episodes per podcast name and linked name.
 
-    An episode has one podcast, so distinct episodes per podcast id add up.
+    An episode has one podcast, so distinct episodes per podcast id add up. Rows that repeat
+    stand in one part with their episode, so they are dropped there and plain counts leave it.
     """
+    linked = bridge.select("episode_id", key).join(names, key).select("episode_id", name)
+    shows = episodes.select("episode_id", "podcast_id")
     per_id = (
-        bridge.select("episode_id", key)
-        .join(names, key)
-        .join(episodes.select("episode_id", "podcast_id"), "episode_id")
+        linked.repartition("episode_id").distinct()
+        .join(shows.repartition("episode_id").distinct(), "episode_id")
         .groupBy("podcast_id", name)
-        .agg(F.count_distinct("episode_id").alias("_episodes"))
+        .agg(F.count("*").alias("_episodes"))
     )
     return (
         per_id.join(podcasts.select("podcast_id", "podcast_name"), "podcast_id")

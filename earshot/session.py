@@ -18,6 +18,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffles are cut finely and joined to parts of this size, so what a task holds does not grow with the input.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "600",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     # Rank filters cut each task's rows before the shuffle, for larger n as well.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
 }

@@ -103,3 +103,22 @@ def test_words(spark, d, rows):
     series = a.transcript_length_series(d["episodes"], texts).collect()
     assert [(r["episode_id"], r["word_count"]) for r in series] == [(10, 2), (11, 3), (30, 1)]
     assert rows(a.word_count_summary(texts)) == [("1", 4, 1, 3, 2), ("2", 0, None, None, None)]
+
+
+def test_shuffles_are_cut_by_size(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        parts = spark.range(12_000_000).selectExpr("xxhash64(id) AS key").repartition("key").rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts > 4
+
+
+def test_repeated_rows_count_once(spark, rows):
+    episodes = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (3, 8), (None, 8)], "episode_id bigint, podcast_id bigint")
+    podcasts = spark.createDataFrame([(7, "A"), (8, "A")], "podcast_id bigint, podcast_name string")
+    speakers = spark.createDataFrame([(1, "Ann"), (2, "Ann"), (3, None)], "speaker_id bigint, speaker_name string")
+    said = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 2), (3, 1), (3, 3), (None, 1)], "episode_id bigint, speaker_id bigint")
+    got = a.speaker_frequency(episodes, podcasts, speakers, said)
+    assert rows(got, "podcast_name", "speaker_name", "episode_count") == [("A", "Ann", 3), ("A", None, 1)]
