@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -38,10 +38,16 @@ _JUDGED = (
     "published bigint, episode_title string"
 )
 _STATE = "loaded array<bigint>, polls array<bigint>, places array<bigint>, urls array<string>, valid array<boolean>"
+_CLAIM = Row(*[piece.split()[0] for piece in _JUDGED.split(", ")], "first_n")
 _NEVER = -(1 << 62)
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _by_place(entry: tuple[tuple[int | None, str], bool]) -> tuple:
+    (place, url), valid = entry
+    return place is not None, place or 0, url, valid
+
+
 class Polls(StatefulProcessor):
     """Judges a podcast's entries by what its polls before loaded."""
 
@@ -51,28 +57,29 @@ class Polls(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("polls", _STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
-
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         held = self.state.get() or ((), (), (), (), ())
         loaded = set(held[0] or ())
         opening: dict[int, dict[tuple[int, str], bool]] = {}
         for poll, place, url, valid in zip(*[part or () for part in held[1:]]):
             opening.setdefault(poll, {})[place, url] = valid
-        for poll, entries in pd.concat(list(rows)).groupby("fetched", sort=True):
+        polls: dict[int, list[Row]] = {}
+        for row in rows:
+            polls.setdefault(row["fetched"], []).append(row)
+        for poll, entries in sorted(polls.items()):
             before = [t for t in loaded if t < poll]
             before += [t for t, first in opening.items() if t < poll and any(first.values())]
             if before:
-                entries = entries[entries["valid"] & (entries["dated"] > max(before))]
-                if len(entries):
-                    loaded.add(int(poll))
+                newest = max(before)
+                entries = [e for e in entries if e["valid"] and e["dated"] > newest]
+                if entries:
+                    loaded.add(poll)
             else:
-                urls = [url if isinstance(url, str) else "" for url in entries["audio_url"]]
-                seen = opening.setdefault(int(poll), {})
-                seen.update(zip(zip(entries["feed_pos"].tolist(), urls), entries["valid"].tolist()))
-                opening[int(poll)] = dict(sorted(seen.items())[: self.first_n])
-            if len(entries):
-                yield entries.assign(first_n=0 if before else self.first_n)
+                seen = opening.setdefault(poll, {})
+                seen.update(((e["feed_pos"], e["audio_url"] or ""), e["valid"]) for e in entries)
+                opening[poll] = dict(sorted(seen.items(), key=_by_place)[: self.first_n])
+            for entry in entries:
+                yield _CLAIM(*entry, 0 if before else self.first_n)
         flat = [(poll, place, url, valid) for poll, first in opening.items() for (place, url), valid in first.items()]
         self.state.update((sorted(loaded), *[list(part) for part in (zip(*flat) if flat else ([], [], [], []))]))
 
@@ -105,7 +112,7 @@ def claims_of(entries: DataFrame, podcasts: DataFrame, first_n: int) -> DataFram
         _micros(F.col("published_at")).alias("published"),
         "episode_title",
     )
-    claimed = judged.groupBy("podcast_id").transformWithStateInPandas(
+    claimed = judged.groupBy("podcast_id").transformWithState(
         Polls(first_n), f"{_JUDGED}, first_n int", "append", "none"
     )
     return claimed.select(

@@ -2,6 +2,7 @@ import tempfile
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from earshot.schemas import FEED_DOCUMENT, FEED_ENTRY
@@ -128,3 +129,30 @@ def test_documents_land_as_they_are(spark, folder, rows):
             spark, f"{folder}/landing", f"{folder}/episodes", f"{folder}/progress", known, first_n=3, documents=True
         ).awaitTermination()
     assert rows(read_target(spark, f"{folder}/episodes"), "audio_url") == [(f"https://e.com/{i}.mp3",) for i in range(3)]
+
+
+def test_polls_are_judged_row_by_row():
+    """A podcast's few entries cost no frame of their own, one per poll or otherwise."""
+
+    class Handle:
+        kept = None
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            return self.kept
+
+        def update(self, value):
+            self.kept = value
+
+    entry = Row("podcast_id", "fetched", "feed_pos", "audio_url", "dated", "valid", "published", "episode_title")
+    polls = ingest_stream_module.Polls(2)
+    polls.init(handle := Handle())
+    judge = lambda *entries: [tuple(r) for r in polls.handleInputRows((1,), iter(entries), None)]
+    first = [entry(1, 10, None, None, 5, False, 5, "x"), entry(1, 10, 3, "c", 5, True, 5, "c"), entry(1, 10, 1, "a", 5, False, 5, "a")]
+    assert judge(*first) == [(*e, 2) for e in first]
+    assert judge(entry(1, 20, 2, "b", 11, True, 11, "b")) == [(1, 20, 2, "b", 11, True, 11, "b", 2)]
+    late = [entry(1, 30, 1, "d", 25, True, 25, "d"), entry(1, 30, 2, "e", 19, True, 19, "e"), entry(1, 30, 3, "f", 25, False, 25, "f")]
+    assert judge(*late) == [(*late[0], 0)]
+    assert handle.kept[0] == [30]
