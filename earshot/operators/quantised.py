@@ -32,8 +32,17 @@ SPILL, PARTS, ENTRIES = 3, 16, 256
 PROBED, SHORTLIST = 0.25, 100
 # Rows of a list in one file, on average; a long list is several files.
 FILE_ROWS = 500_000
-# Queries and list rows that are scored together.
-QUERY_TILE, LIST_TILE = 512, 4096
+# Queries and list rows that are scored together, and rows that meet all cells at a time.
+QUERY_TILE, LIST_TILE, ROW_TILE = 512, 4096, 256
+# Candidates a task gathers before it keeps the best, and how many of these it still holds back.
+MAX_FOUND, MAX_KEPT = 1_000_000, 750_000
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Short batches, as what is worked out per row is as wide as there are cells."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, ROW_TILE):
+            yield batch.slice(first, ROW_TILE)
 
 
 class Quantiser(NamedTuple):
@@ -110,9 +119,7 @@ def build_index(embeddings: DataFrame, path: str, quantiser: Quantiser, spill: i
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _tiles(batches):
             vectors = unit(matrix(batch.column("transcript_embedding")))
             cells = quantiser.nearest(vectors, spill)
             take = np.repeat(np.arange(len(vectors)), cells.shape[1])
@@ -133,9 +140,7 @@ def _probes(queries: DataFrame, quantiser: Quantiser, n: int) -> DataFrame:
     """Every query with each of its ``n`` nearest cells; a query without direction asks none."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _tiles(batches):
             cells = quantiser.nearest(unit(matrix(batch.column("query_vector"))), n)
             take = pa.array(np.repeat(np.arange(batch.num_rows), cells.shape[1]))
             columns = [batch.column(c).take(take) for c in ("query_id", "query_vector")]
@@ -175,11 +180,14 @@ def _scan_lists(lists: DataFrame, probes: str, quantiser: Quantiser, keep: int)
                 for batch in pq.ParquetFile(system.open_input_file(file.path)).iter_batches(QUERY_TILE):
                     yield batch.column("query_id").to_numpy(), unit(matrix(batch.column("query_vector")))
 
+    def batch_of(best: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in best], ["query_id", "episode_id", "chunk_index", "score"])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in held(batches):
             table = pa.Table.from_batches(part)
             cells = table["cell"].to_numpy()
-            found = []
+            found, size = [], 0
             for cell in np.unique(cells):
                 rows = table.take(pa.array(np.flatnonzero(cells == cell)))
                 codes = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(rows), -1)
@@ -195,11 +203,16 @@ def _scan_lists(lists: DataFrame, probes: str, quantiser: Quantiser, keep: int)
                         best = np.argpartition(-scores, n - 1, axis=1)[:, :n]
                         own = first + best.ravel()
                         found.append((np.repeat(ids, n), episodes[own], chunks[own], np.take_along_axis(scores, best, 1).ravel()))
-                    if sum(len(f[0]) for f in found) > 2_000_000:
-                        found = [_best(found, keep)]
+                        size += len(own)
+                        if size > MAX_FOUND:
+                            found = [_best(found, keep)]
+                            size = len(found[0][0])
+                        # Those of very many queries go on as they are; they are merged after the tasks in any case.
+                        if size > MAX_KEPT and len(found) == 1:
+                            yield batch_of(found[0])
+                            found, size = [], 0
             if found:
-                columns = [pa.array(c) for c in _best(found, keep)]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "episode_id", "chunk_index", "score"])
+                yield batch_of(_best(found, keep))
 
     return lists.mapInArrow(scan, RESULT_SCHEMA)
 

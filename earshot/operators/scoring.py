@@ -28,8 +28,10 @@ from earshot.sources.shared import held, read_block, write_blocks
 # by row, so that equal vectors have equal scores wherever they are scored.
 MARGIN = 1e-9
 # Scores a task computes at a time, and rows it gathers before it keeps the best.
-MAX_SCORES, MAX_PENDING = 4_000_000, 1_000_000
+MAX_SCORES, MAX_PENDING = 1_000_000, 250_000
 CORPUS_TILE = 2048
+# Bytes of queries in one file; four tasks of an executor hold one each.
+MAX_QUERY_BYTES = 16 << 20
 # Hit tables of at most this many rows are small enough to send to every task.
 SMALL_HITS = 100_000
 RESULT_SCHEMA = "query_id bigint, episode_id bigint, chunk_index bigint, score double"
@@ -249,7 +251,7 @@ def best_matches(
     corpus: DataFrame,
     ranking: Ranking,
     match: str | None = None,
-    max_query_bytes: int = 64 << 20,
+    max_query_bytes: int = MAX_QUERY_BYTES,
 ) -> Hits:
     """Best chunks or episodes of a corpus for every query.
 

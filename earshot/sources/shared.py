@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from earshot.session import scratch_path
 from earshot.sources.tables import file_system
 
-HELD_BYTES = 64 << 20
+HELD_BYTES = 16 << 20
 
 
 def write_blocks(df: DataFrame, blocks: int, by: str, label: str) -> list[str]:

@@ -1,13 +1,14 @@
 """Search against brute force, ties and hot episodes included."""
 
 import tempfile
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.operators import quantised, search
+from earshot.operators import quantised, scoring, search
 from earshot.operators.scoring import Ranking, best_matches
 from earshot.plans import queries as registered
 from earshot.plans.binding import Domain
@@ -259,3 +260,32 @@ def test_parameters_are_checked():
         Ranking(0)
     with pytest.raises(ValueError):
         Ranking(3, "dot")
+
+
+def test_candidates_pass_on_when_they_are_many(spark, rows, folder, monkeypatch):
+    dice = np.random.default_rng(3)
+    data = [(i // 4, i % 4, dice.normal(size=8).tolist()) for i in range(400)]
+    df = spark.createDataFrame(data, "episode_id bigint, chunk_index bigint, transcript_embedding array<double>")
+    asked = spark.createDataFrame([(i, data[i][2]) for i in range(60)], "query_id bigint, query_vector array<double>")
+    quantiser = quantised.train(df, cells=6, parts=4)
+    quantised.build_index(df, f"{folder}/lists", quantiser)
+    search_all = lambda: rows(quantised.quantised_search(asked, df, f"{folder}/lists", quantiser, probed=1.0))
+    whole = search_all()
+    monkeypatch.setattr(quantised, "MAX_FOUND", 50)
+    monkeypatch.setattr(quantised, "MAX_KEPT", 20)
+    assert search_all() == whole and len(whole) == 300
+
+
+def test_memory_of_a_scan():
+    dice = np.random.default_rng(4)
+    vectors = lambda n: pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * 8, pa.int32()), pa.array(dice.normal(size=n * 8)))
+    ids = np.arange(8000)
+    asked = scoring._Queries(ids, scoring.matrix(vectors(8000)), np.full(8000, None), None)
+    names = ["episode_id", "chunk_index", "transcript_embedding"]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids // 5), pa.array(ids % 5), vectors(8000)], names)
+    tracemalloc.start()
+    try:
+        scoring._scan(asked, scoring.Ranking(5, per_episode=True), iter([batch]))
+        assert tracemalloc.get_traced_memory()[1] < 120e6
+    finally:
+        tracemalloc.stop()
