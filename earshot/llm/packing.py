@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, texts
+from earshot.llm.common import as_bytes, slices, texts
 
 CAPACITY = 4096
 END_ID = 2
@@ -23,6 +23,8 @@ END_ID = 2
 BLOCK_PIECES = 1000
 # Chunks, and words, of one generation whose ids a task remembers until it ends (some 35 MB), and the longest one it does.
 MEMORY, LONGEST = 260_000, 64
+# Places in which is marked what was met once. Two parts at one place only make the second be remembered at once.
+MARKS = 1 << 22
 # Steps of a tokenizer under which a word's ids do not depend on the stops behind it.
 WORD_STEPS = {
     "normalizer": {
@@ -72,7 +74,8 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = array("I", [end_id]).tobytes()
-        self.known, self.words, self.stops = _Known(self._chunk), _Known(self._word), _Known(self._stops)
+        # Most chunks never come again; their words may, behind other stops or in other case.
+        self.known, self.words, self.stops = _Known(self._chunk, repeated=True), _Known(self._word), _Known(self._stops)
         with open(path, "rb") as file:
             steps = json.loads(file.read())
         self.by_word = {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
@@ -91,8 +94,9 @@ class ChunkTokenizer:
             return self._stops(chunk)
         word = chunk.rstrip(_STOPS)
         if word.isalpha():
-            # ASCII letters: case makes no difference to their ids.
-            ids = self.words[word.lower()]
+            # ASCII letters: case makes no difference to their ids. One object is the key of both tables if it can be.
+            small = word.lower()
+            ids = self.words[chunk if small == chunk else small]
             return ids + self.stops[chunk[len(word) :]] if len(word) < len(chunk) else ids
         parts = _WORD.fullmatch(chunk)
         if parts is None:
@@ -111,21 +115,32 @@ class _Known(dict):
     """Ids of short parts of texts, made when they are asked for first.
 
     When a generation is full it becomes the one before, so that what is asked for often stays.
+    With ``repeated`` a part is kept when it is made for the second time.
     """
 
-    def __init__(self, make: Callable[[bytes], bytes]):
+    def __init__(self, make: Callable[[bytes], bytes], repeated: bool = False):
         super().__init__()
         self.make = make
         self.before: dict[bytes, bytes] = {}
+        self.met = bytearray(MARKS) if repeated else None
 
     def __missing__(self, part: bytes) -> bytes:
         ids = self.before.get(part)
         if ids is None:
             ids = self.make(part)
+            if self.met is not None:
+                place = hash(part) % MARKS
+                if not self.met[place]:
+                    self.met[place] = 1
+                    return ids
         if len(part) <= LONGEST:
             if len(self) >= MEMORY:
-                self.before = dict(self)
+                # The oldest go before the copy is made, so that there are never three generations.
+                self.before.clear()
+                self.before.update(self)
                 self.clear()
+                if self.met is not None:
+                    self.met = bytearray(MARKS)
             self[part] = ids
         return ids
 
@@ -192,6 +207,30 @@ def spread_over_windows(sizes: np.ndarray, capacity: int) -> np.ndarray:
         windows += max(1, int(windows * (largest - capacity) / capacity))
 
 
+def _pieces(
+    batch: pa.RecordBatch, tokenizer: ChunkTokenizer, capacity: int, payload: Callable[[bytes], bytes]
+) -> Iterator[pa.RecordBatch]:
+    """Pieces of the documents of a batch, those of some 1 MB of text at a time."""
+    doc_ids = batch.column("doc_id").to_pylist()
+    for first, raw in slices(as_bytes(batch.column("text"))):
+        ids, starts, lengths, payloads, totals = [], [], [], [], []
+        for doc_id, tokens in zip(doc_ids[first:], tokenizer.batch(raw)):
+            total = len(tokens) // 4
+            for start in range(0, total, capacity):
+                piece = tokens[4 * start : 4 * (start + capacity)]
+                ids.append(doc_id)
+                starts.append(start)
+                lengths.append(len(piece) // 4)
+                payloads.append(payload(piece))
+                totals.append(total)
+        long = pa.int64()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, long), pa.array(starts, long), pa.array(lengths, long)]
+            + [pa.array(payloads, pa.binary()), pa.array(totals, long)],
+            ["doc_id", "start", "length", "payload", "doc_tokens"],
+        )
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -217,22 +256,7 @@ def pack(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = ChunkTokenizer(tokenizer_path, end_id)
         for batch in batches:
-            ids, starts, lengths, payloads, totals = [], [], [], [], []
-            for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), tokenizer.batch(as_bytes(batch.column("text")))):
-                total = len(tokens) // 4
-                for start in range(0, total, capacity):
-                    piece = tokens[4 * start : 4 * (start + capacity)]
-                    ids.append(doc_id)
-                    starts.append(start)
-                    lengths.append(len(piece) // 4)
-                    payloads.append(payload(piece))
-                    totals.append(total)
-            long = pa.int64()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, long), pa.array(starts, long), pa.array(lengths, long)]
-                + [pa.array(payloads, pa.binary()), pa.array(totals, long)],
-                ["doc_id", "start", "length", "payload", "doc_tokens"],
-            )
+            yield from _pieces(batch, tokenizer, capacity, payload)
 
     columns = "doc_id long, start long, length long, payload binary, doc_tokens long"
     blocks = max(1, math.ceil(docs.count() / BLOCK_PIECES))

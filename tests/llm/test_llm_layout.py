@@ -243,3 +243,35 @@ def test_only_files_keep_their_rows_in_place(spark, folder):
     picked = docs.filter("doc_id > 3").select("doc_id")
     assert settled(picked) is picked
     assert settled(docs.distinct()) is not docs and settled(spark.range(3)).count() == 3
+
+
+def test_packing_remembers_chunks_that_come_again():
+    tokenizer = packing.ChunkTokenizer(tokenizer_path(), 2)
+    once = " ".join(f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyz'[i // 100]}" for i in range(600)).encode()
+    first = list(tokenizer.batch([once]))
+    # Some marks may stand at one place, so a few are kept at once.
+    assert len(tokenizer.known) < 10
+    assert list(tokenizer.batch([once])) == first and len(tokenizer.known) == 600
+    assert list(tokenizer.batch([once, once])) == first * 2
+
+
+def test_packing_forgets_the_oldest_generation(monkeypatch):
+    monkeypatch.setattr(packing, "MEMORY", 5)
+    known = packing._Known(lambda part: part * 2)
+    for i in range(100):
+        assert known[b"%d" % (i % 13)] == b"%d" % (i % 13) * 2
+        assert len(known) <= 5 and len(known.before) <= 5
+
+
+def test_packing_sends_short_batches():
+    import pyarrow as pa
+
+    texts = [f"some text number {i} ".encode() * 5000 for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array([t.decode() for t in texts])], ["doc_id", "text"])
+    tokenizer = packing.ChunkTokenizer(tokenizer_path(), 2)
+    sent = list(packing._pieces(batch, tokenizer, 4096, bytes))
+    assert len(sent) > 3 and max(b.nbytes for b in sent) < 3 << 20
+    got = pa.Table.from_batches(sent)
+    ids = b"".join(got["payload"].to_pylist())
+    assert ids == b"".join(packing.ChunkTokenizer(tokenizer_path(), 2).batch(texts))
+    assert sorted(set(got["doc_id"].to_pylist())) == list(range(40)) and sum(got["length"].to_pylist()) == len(ids) // 4
