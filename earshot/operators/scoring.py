@@ -28,7 +28,7 @@ from earshot.sources.shared import held, read_block, write_blocks
 # by row, so that equal vectors have equal scores wherever they are scored.
 MARGIN = 1e-9
 # Scores a task computes at a time, and rows it gathers before it keeps the best.
-MAX_SCORES, MAX_PENDING = 1_000_000, 250_000
+MAX_SCORES, MAX_PENDING = 250_000, 250_000
 CORPUS_TILE = 2048
 # Bytes of queries in one file; four tasks of an executor hold one each.
 MAX_QUERY_BYTES = 16 << 20

@@ -289,3 +289,19 @@ def test_memory_of_a_scan():
         assert tracemalloc.get_traced_memory()[1] < 120e6
     finally:
         tracemalloc.stop()
+
+
+def test_scan_works_on_small_blocks_of_scores():
+    dice = np.random.default_rng(9)
+    vectors = lambda n: pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * 64, pa.int32()), pa.array(dice.normal(size=n * 64)))
+    ids = np.arange(4000)
+    asked = scoring._Queries(ids, scoring.matrix(vectors(4000)), np.full(4000, None), None)
+    names = ["episode_id", "chunk_index", "transcript_embedding"]
+    batch = pa.RecordBatch.from_arrays([pa.array(ids // 5), pa.array(ids % 5), vectors(4000)], names)
+    for ranking in (Ranking(5, per_episode=True), Ranking(5, "l2")):
+        tracemalloc.start()
+        try:
+            scoring._scan(asked, ranking, iter([batch]))
+            assert tracemalloc.get_traced_memory()[1] < 35e6
+        finally:
+            tracemalloc.stop()
