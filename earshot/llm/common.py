@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 BATCH_BYTES = 4 << 20
 
 
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def give_back() -> None:
+    """Return to the system what this process has freed; the C library and Arrow keep it for later otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(task: Task) -> Task:
+    """A task after which its worker keeps nothing that it no longer uses.
+
+    Spark keeps workers and lets them take turns, several for each core where functions
+    follow each other in a task, so what idle ones keep counts beside the busy ones.
+    """
+
+    @wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def texts(docs: DataFrame, *extra: Column) -> DataFrame:
     """``doc_id`` and whole ``text`` (null: empty), and nothing else that could clash.
 
@@ -127,6 +157,7 @@ def listed_rows(docs: DataFrame, path: str, keep: bool = True) -> DataFrame:
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     rows = plain.withColumn("_row", F.monotonically_increasing_id())
 
+    @tidy
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = ListedRows(path)
         for batch in batches:
@@ -141,6 +172,7 @@ def with_listed(rows: DataFrame, path: str, column: str, kind: str) -> DataFrame
     """The numbered rows that are listed, with a listed column of this type; nothing is moved."""
     columns = rows.columns
 
+    @tidy
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = ListedRows(path)
         for batch in batches:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from earshot.llm.common import tidy
 from earshot.session import fixed
 
 # Links that one task contracts in its memory.
@@ -38,6 +39,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.filter("a <> b").distinct()
 
 
+@tidy
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of a block as stars around the least ids that the block itself connects."""
     parent: dict[int, int] = {}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, listed_rows, numbered, row_lists, settled
+from earshot.llm.common import as_bytes, listed_rows, numbered, row_lists, settled, tidy
 from earshot.session import fixed
 from earshot.sources.shared import held, read_block, write_blocks
 
@@ -247,6 +247,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
     files = item_files(benchmark, block_bytes)
     schema = "doc_id long, _row long, item_id long, n_edits long, end long"
 
+    @tidy
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = _items_of(files[0], rate) if len(files) == 1 else None
         for part in held(batches, HELD_BYTES):

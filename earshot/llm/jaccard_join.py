@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from earshot.llm.blocks import BLOCKS, block_number, by_bucket, pack40, read_ipc, records, to_ipc, unpack40
-from earshot.llm.common import ListedRows, Words, as_bytes, key_parts, listed_rows, mix, numbered, row_lists, settled
+from earshot.llm.common import ListedRows, Words, as_bytes, key_parts, listed_rows, mix, numbered, row_lists, settled, tidy
 from earshot.llm.components import components
 from earshot.session import fixed, scratch_path
 
@@ -88,6 +88,7 @@ def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT, b
     """
     buckets = buckets or key_parts(docs)
 
+    @tidy
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in enumerate(batches):
             if not batch.num_rows:
@@ -127,6 +128,7 @@ def described(docs: DataFrame, words_per: int = WORDS, percent: int = PERCENT, b
             rows.append((block % buckets, block, True, to_ipc(head), b"", b""))
             yield records(rows)
 
+    @tidy
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
@@ -172,6 +174,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words_per: int) -> DataFrame:
     """Token sets of the wanted rows, a row per block of documents; the scan picks the rows itself."""
     path = row_lists(wanted)
 
+    @tidy
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = ListedRows(path)
         for number, batch in enumerate(batches):
@@ -199,6 +202,7 @@ def _prefix_entries(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
     nobody. ``pos`` is the token's place in that order.
     """
 
+    @tidy
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("tokens").to_pylist()):
@@ -209,6 +213,7 @@ def _prefix_entries(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
                 if rows:
                     yield records(rows)
 
+    @tidy
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
@@ -265,6 +270,7 @@ def _prefix_entries(sets: DataFrame, percent: int, buckets: int) -> DataFrame:
 def _rows_of(sets: DataFrame) -> DataFrame:
     """One row per set: ``id, n, tokens`` and the counts of its tokens by part."""
 
+    @tidy
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, data in zip(*[batch.column(c).to_pylist() for c in ("ids", "sizes", "tokens")]):
@@ -307,6 +313,7 @@ def _suffix_filter(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame
     side = lambda name: rows.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("parts").alias(f"p_{name}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
 
+    @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -326,6 +333,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     side = lambda name: rows.select(F.col("id").alias(name), F.col("tokens").alias(f"t_{name}"))
     joined = _suffix_filter(pairs, rows, percent).join(side("a"), "a").join(side("b"), "b")
 
+    @tidy
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:

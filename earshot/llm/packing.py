@@ -9,13 +9,18 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from functools import partial
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import as_bytes, slices, texts
+from earshot.llm.common import as_bytes, give_back, slices, texts, tidy
+
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
 
 CAPACITY = 4096
 END_ID = 2
@@ -56,6 +61,33 @@ _UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTABLE)}
 
 
+def _word_ids(tokenizer: Tokenizer, word: bytes) -> bytes:
+    letters = word.lower().decode("latin-1")
+    if not word.isascii():
+        letters = word.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
+    return array("I", [t.id for t in tokenizer.model.tokenize(letters)]).tobytes()
+
+
+def _plain_ids(tokenizer: Tokenizer, part: bytes) -> bytes:
+    return array("I", tokenizer.encode(part.decode(), add_special_tokens=False).ids).tobytes()
+
+
+def _chunk_ids(tokenizer: Tokenizer, by_word: bool, words: _Known, stops: _Known, chunk: bytes) -> bytes:
+    if not by_word or len(chunk) > LONGEST:
+        return _plain_ids(tokenizer, chunk)
+    word = chunk.rstrip(_STOPS)
+    if word.isalpha():
+        # ASCII letters: case makes no difference to their ids. One object is the key of both tables if it can be.
+        small = word.lower()
+        ids = words[chunk if small == chunk else small]
+        return ids + stops[chunk[len(word) :]] if len(word) < len(chunk) else ids
+    parts = _WORD.fullmatch(chunk)
+    if parts is None:
+        return _plain_ids(tokenizer, chunk)
+    word, behind = parts.groups()
+    return words[word] + (stops[behind] if behind else b"")
+
+
 class ChunkTokenizer:
     """Token ids of whole texts, put together from those of their chunks.
 
@@ -72,37 +104,18 @@ class ChunkTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(path)
         self.end = array("I", [end_id]).tobytes()
-        # Most chunks never come again; their words may, behind other stops or in other case.
-        self.known, self.words, self.stops = _Known(self._chunk, repeated=True), _Known(self._word), _Known(self._stops)
         with open(path, "rb") as file:
             steps = json.loads(file.read())
-        self.by_word = {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
-
-    def _word(self, word: bytes) -> bytes:
-        letters = word.lower().decode("latin-1")
-        if not word.isascii():
-            letters = word.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
-
-    def _stops(self, stops: bytes) -> bytes:
-        return array("I", self.tokenizer.encode(stops.decode(), add_special_tokens=False).ids).tobytes()
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        if not self.by_word or len(chunk) > LONGEST:
-            return self._stops(chunk)
-        word = chunk.rstrip(_STOPS)
-        if word.isalpha():
-            # ASCII letters: case makes no difference to their ids. One object is the key of both tables if it can be.
-            small = word.lower()
-            ids = self.words[chunk if small == chunk else small]
-            return ids + self.stops[chunk[len(word) :]] if len(word) < len(chunk) else ids
-        parts = _WORD.fullmatch(chunk)
-        if parts is None:
-            return self._stops(chunk)
-        word, stops = parts.groups()
-        return self.words[word] + (self.stops[stops] if stops else b"")
+        by_word = {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
+        # Most chunks never come again; their words may, behind other stops or in other case.
+        # Nothing here refers back to its owner, so all of it goes with the last one who uses it.
+        self.words, self.stops = _Known(partial(_word_ids, tokenizer)), _Known(partial(_plain_ids, tokenizer))
+        self.known = _Known(partial(_chunk_ids, tokenizer, by_word, self.words, self.stops), repeated=True)
+        del steps
+        # Reading the vocabulary takes much more than keeping it.
+        give_back()
 
     def batch(self, raw: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""
@@ -253,6 +266,7 @@ def pack(
     other than ``doc_id`` and ``text`` play no part; no rows give no pieces.
     """
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = ChunkTokenizer(tokenizer_path, end_id)
         for batch in batches:
@@ -264,6 +278,8 @@ def pack(
     dealt = pieces.withColumn("_block", F.pmod(F.xxhash64("doc_id", "start", "payload"), F.lit(blocks)).cast("long"))
 
     def place(table: pa.Table) -> pa.Table:
+        # What the block before took.
+        give_back()
         length = table["length"].to_numpy()
         doc_id = table["doc_id"].to_numpy()
         order = np.lexsort((table["start"].to_numpy(), doc_id))

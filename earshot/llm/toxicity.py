@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.llm.common import Words, as_bytes, listed_rows, mix, numbered, row_lists, settled, slices
+from earshot.llm.common import Words, as_bytes, listed_rows, mix, numbered, row_lists, settled, slices, tidy
 from earshot.session import fixed
 
 # Common English insults, a start where labels show little.
@@ -114,6 +114,7 @@ def _counts(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
     """Documents per feature; only wanted ones if given."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, raw in (part for batch in batches for part in slices(as_bytes(batch.column("text")))):
             words = Words(raw, letters_only=True)
@@ -253,6 +254,7 @@ def _moments(patterns: DataFrame, model: LabelModel | None, known: float) -> tup
     voters = VOTERS + len(PATTERNS)
     cells = voters * voters + 1
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, cells))
         for batch in batches:
@@ -358,6 +360,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     size = len(vocabulary.hashes)
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vocabulary))
 
+    @tidy
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Vocabulary(*shared.value)
         for batch in batches:
@@ -374,6 +377,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     model = fit_label_model(described, sample)
     weights = fit_classifier(described, model, size, sample_rows)
 
+    @tidy
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from earshot.llm import packing, sharding, warc
+from earshot.llm import jaccard_join, packing, sharding, toxicity, warc
 from earshot.llm.common import listed_rows, numbered, row_lists, settled, with_listed
 from llm_cases import classes, frame, normal, odd_rows, stored, words
 
@@ -275,3 +275,53 @@ def test_packing_sends_short_batches():
     ids = b"".join(got["payload"].to_pylist())
     assert ids == b"".join(packing.ChunkTokenizer(tokenizer_path(), 2).batch(texts))
     assert sorted(set(got["doc_id"].to_pylist())) == list(range(40)) and sum(got["length"].to_pylist()) == len(ids) // 4
+
+
+def test_workers_keep_nothing_of_a_pipeline_task(spark, folder, monkeypatch):
+    """What a task freed goes back to the system, as its worker waits beside the busy ones."""
+    import ctypes
+    import gc
+    import re
+
+    import pyarrow as pa
+
+    import public_tokenizers
+
+    libc = ctypes.CDLL(None)
+    if not hasattr(libc, "malloc_trim"):
+        pytest.skip("no GNU C library")
+
+    def held():
+        with open("/proc/self/smaps_rollup") as file:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", file.read())[1]) / 1024
+
+    tasks, made = [], type(spark.range(1)).mapInArrow
+
+    def noted(df, task, schema, *args, **kwargs):
+        tasks.append((df.columns, task))
+        return made(df, task, schema, *args, **kwargs)
+
+    docs = stored(spark, folder)
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    jaccard_join.described(docs, buckets=4)
+    toxicity._counts(docs.select("text"), None)
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    texts = [" ".join("".join(rng.choice(letters, 7)) for _ in range(400)) for _ in range(400)]
+    columns = {"doc_id": range(400), "text": texts, "_row": range(400)}
+    monkeypatch.setattr(jaccard_join, "block_number", lambda number: number)
+    ran = 0
+    for names, task in tasks:
+        if "text" in names:
+            batch = pa.RecordBatch.from_pydict({n: pa.array(columns[n]) for n in names})
+            for _ in task(iter([batch] * 2)):
+                pass
+            # What nobody refers to any more is gone without the collector of cycles.
+            kept = held()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            libc.malloc_trim(0)
+            assert kept - held() < 4, task
+            ran += 1
+    assert ran == 3
