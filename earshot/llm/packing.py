@@ -105,6 +105,10 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
+        # Its own memory of words outlives it, some 4 MB for every task; words are remembered here.
+        resize = getattr(tokenizer.model, "_resize_cache", None)
+        if resize is not None:
+            resize(0)
         self.end = array("I", [end_id]).tobytes()
         with open(path, "rb") as file:
             steps = json.loads(file.read())

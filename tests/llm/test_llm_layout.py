@@ -325,3 +325,27 @@ def test_workers_keep_nothing_of_a_pipeline_task(spark, folder, monkeypatch):
             assert kept - held() < 4, task
             ran += 1
     assert ran == 3
+
+
+def test_tokenizers_of_earlier_tasks_leave_nothing():
+    import ctypes
+
+    libc = ctypes.CDLL(None)
+    if not hasattr(libc, "mallinfo2"):
+        pytest.skip("no GNU C library")
+    fields = "arena ordblks smblks hblks hblkhd usmblks fsmblks uordblks fordblks keepcost".split()
+    libc.mallinfo2.restype = type("Mallinfo", (ctypes.Structure,), {"_fields_": [(f, ctypes.c_size_t) for f in fields]})
+
+    def used():
+        info = libc.mallinfo2()
+        return (info.uordblks + info.hblkhd) / (1 << 20)
+
+    rng = np.random.default_rng(8)
+    letters = np.array(list("etaoinshrdlu"))
+    text = " ".join("".join(rng.choice(letters, 7)) for _ in range(20_000)).encode()
+    after = []
+    for _ in range(4):
+        for _ in packing.ChunkTokenizer(tokenizer_path(), 2).batch([text]):
+            pass
+        after.append(used())
+    assert after[-1] - after[0] < 4, after
