@@ -6,14 +6,16 @@ import heapq
 import json
 import math
 import os
-import re
 from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 from functools import partial
+from itertools import pairwise
 from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ CAPACITY = 4096
 END_ID = 2
 # Pieces that are spread over windows together; the blocks are independent.
 BLOCK_PIECES = 1000
-# Chunks, and words, of one generation whose ids a task remembers until it ends (some 35 MB), and the longest one it does.
+# Parts of one generation whose ids a task remembers until it ends (some 35 MB), and the longest one it does.
 MEMORY, LONGEST = 260_000, 64
 # Places in which is marked what was met once. Two parts at one place only make the second be remembered at once.
 MARKS = 1 << 22
@@ -53,50 +55,36 @@ WORD_STEPS = {
         ],
     },
 }
-# Latin letters as UTF-8 (A-Z, a-z and the letters of Latin-1, all composed), then stops.
-_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)")
-_STOPS = b".,;:!?"
-# Characters that byte-level vocabularies write in place of unprintable bytes.
+# ASCII marks, and the Latin letters that are (A-Z, a-z and those of Latin-1, all composed) words.
+_STOPS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_LETTERS = "".join(c for c in map(chr, [*range(65, 91), *range(97, 123), *range(192, 256)]) if c.isalpha())
+# The character that byte-level vocabularies write for each byte: others in place of unprintable ones.
 _UNPRINTABLE = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
-_BYTE_LETTERS = {b: 256 + i for i, b in enumerate(_UNPRINTABLE)}
-
-
-def _word_ids(tokenizer: Tokenizer, word: bytes) -> bytes:
-    letters = word.lower().decode("latin-1")
-    if not word.isascii():
-        letters = word.decode().lower().encode().decode("latin-1").translate(_BYTE_LETTERS)
-    return array("I", [t.id for t in tokenizer.model.tokenize(letters)]).tobytes()
+_BYTE_LETTERS = "".join(chr(256 + _UNPRINTABLE.index(b) if b in _UNPRINTABLE else b) for b in range(256))
 
 
 def _plain_ids(tokenizer: Tokenizer, part: bytes) -> bytes:
     return array("I", tokenizer.encode(part.decode(), add_special_tokens=False).ids).tobytes()
 
 
-def _chunk_ids(tokenizer: Tokenizer, by_word: bool, words: _Known, stops: _Known, chunk: bytes) -> bytes:
-    if not by_word or len(chunk) > LONGEST:
-        return _plain_ids(tokenizer, chunk)
-    word = chunk.rstrip(_STOPS)
-    if word.isalpha():
-        # ASCII letters: case makes no difference to their ids. One object is the key of both tables if it can be.
-        small = word.lower()
-        ids = words[chunk if small == chunk else small]
-        return ids + stops[chunk[len(word) :]] if len(word) < len(chunk) else ids
-    parts = _WORD.fullmatch(chunk)
-    if parts is None:
-        return _plain_ids(tokenizer, chunk)
-    word, behind = parts.groups()
-    return words[word] + (stops[behind] if behind else b"")
+def _part_ids(tokenizer: Tokenizer, tokenize: Callable, by_word: bool, part: bytes) -> bytes:
+    if not by_word or len(part) > LONGEST:
+        return _plain_ids(tokenizer, part)
+    if not part.isalpha() and part.decode().strip(_LETTERS):
+        return _plain_ids(tokenizer, part)
+    return array("I", [t.id for t in tokenize(charmap_decode(part, "strict", _BYTE_LETTERS)[0])]).tobytes()
 
 
 class ChunkTokenizer:
     """Token ids of whole texts, put together from those of their chunks.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its chunks between ASCII white space, one after the other. A
-    chunk met before is looked up. A new one that is a word of Latin letters and
-    stops behind it is put together from both, if the tokenizer's steps are the
-    ones that makes right (lower case, words apart from stops, byte-level pairs);
-    any other is handed to the tokenizer.
+    are those of its chunks between ASCII white space, one after the other. Of
+    the chunks of some texts every different one is looked at once. One that is a
+    word of Latin letters and stops behind it is put together from both, if the
+    tokenizer's steps are the ones that makes right (lower case, words apart from
+    stops, byte-level pairs). A part met before is looked up, a new word goes
+    through the pairs alone, any other part is handed to the tokenizer.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -112,20 +100,43 @@ class ChunkTokenizer:
         self.end = array("I", [end_id]).tobytes()
         with open(path, "rb") as file:
             steps = json.loads(file.read())
-        by_word = {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
-        # Most chunks never come again; their words may, behind other stops or in other case.
+        # A token of its own, as <|endoftext|>, must not stand inside a word and the stops behind it either.
+        own = all(t["content"].rstrip(_STOPS).strip(_LETTERS) for t in steps.get("added_tokens") or [])
+        self.by_word = own and {k: steps[k] for k in WORD_STEPS} == WORD_STEPS
         # Nothing here refers back to its owner, so all of it goes with the last one who uses it.
-        self.words, self.stops = _Known(partial(_word_ids, tokenizer)), _Known(partial(_plain_ids, tokenizer))
-        self.known = _Known(partial(_chunk_ids, tokenizer, by_word, self.words, self.stops), repeated=True)
+        self.known = _Known(partial(_part_ids, tokenizer, tokenizer.model.tokenize, self.by_word), repeated=True)
         del steps
         # Reading the vocabulary takes much more than keeping it.
         give_back()
 
     def batch(self, raw: list[bytes]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text, the end id last."""
-        known = self.known
-        for text in raw:
-            yield b"".join(map(known.__getitem__, text.split())) + self.end
+        chunks = pc.ascii_split_whitespace(pa.array(raw, pa.string()))
+        coded = chunks.values.dictionary_encode()
+        ids = self._chunk_ids(coded.dictionary).take(coded.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[chunks.offsets.to_numpy()].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        for first, last in pairwise(places):
+            yield b"".join((data[first:last], self.end))
+
+    def _chunk_ids(self, chunks: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of different chunks."""
+        if not self.by_word:
+            return self._part_ids(chunks)
+        words, stops = pc.ascii_rtrim(chunks, _STOPS), pc.utf8_ltrim(chunks, _LETTERS)
+        size = pc.binary_length(chunks)
+        apart = pc.and_(
+            pc.equal(pc.add(pc.binary_length(words), pc.binary_length(stops)), size), pc.less_equal(size, LONGEST)
+        )
+        heads = pc.if_else(apart, pc.utf8_lower(words), chunks)
+        return pc.binary_join_element_wise(
+            self._part_ids(heads), self._part_ids(pc.if_else(apart, stops, "")), pa.scalar(b"", pa.large_binary())
+        )
+
+    def _part_ids(self, parts: pa.StringArray) -> pa.LargeBinaryArray:
+        coded = parts.dictionary_encode()
+        different = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        return pa.array(list(map(self.known.__getitem__, different)), pa.large_binary()).take(coded.indices)
 
 
 class _Known(dict):
@@ -150,7 +161,7 @@ class _Known(dict):
                 if not self.met[place]:
                     self.met[place] = 1
                     return ids
-        if len(part) <= LONGEST:
+        if 0 < len(part) <= LONGEST:
             if len(self) >= MEMORY:
                 # The oldest go before the copy is made, so that there are never three generations.
                 self.before.clear()

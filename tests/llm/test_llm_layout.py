@@ -263,6 +263,41 @@ def test_packing_forgets_the_oldest_generation(monkeypatch):
         assert len(known) <= 5 and len(known.before) <= 5
 
 
+def test_packing_hands_words_before_any_marks_to_the_pairs_alone(monkeypatch):
+    """The whole tokenizer, several times as slow, sees only the marks, and those once for all words of a batch."""
+    from tokenizers import Tokenizer
+
+    handed, plain = [], packing._plain_ids
+    monkeypatch.setattr(packing, "_plain_ids", lambda tokenizer, part: handed.append(part) or plain(tokenizer, part))
+    marks = ["", "***", "###", "%%$", "'", '."', "_", "<|", "!"]
+    words = [a + b + c for a in "aÉßzÿ" for b in "IkðØ" for c in ("na", "çon", "TH")]
+    text = " ".join(word + mark for word in words for mark in marks)
+    got = list(packing.ChunkTokenizer(tokenizer_path(), 2).batch([text.encode(), text.lower().encode()]))
+    whole = Tokenizer.from_file(tokenizer_path())
+    ids = np.array(whole.encode(text, add_special_tokens=False).ids + [2], "<u4").tobytes()
+    assert got == [ids, ids]
+    assert sorted(handed) == sorted(m.encode() for m in marks if m)
+
+
+def test_packing_minds_a_tokenizers_own_tokens(folder):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(tokenizer_path()) as file:
+        steps = json.load(file)
+    kind = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
+    steps["added_tokens"].append({"id": 49_408, "content": "do?", **kind})
+    path = f"{folder}/own_tokens.json"
+    with open(path, "w") as file:
+        json.dump(steps, file)
+    text = "What to do?? Undo? do ?"
+    whole = Tokenizer.from_file(path)
+    ids = whole.encode(text, add_special_tokens=False).ids
+    assert ids.count(whole.token_to_id("do?")) == 2
+    assert list(packing.ChunkTokenizer(path, 2).batch([text.encode()])) == [np.array(ids + [2], "<u4").tobytes()]
+
+
 def test_packing_sends_short_batches():
     import pyarrow as pa
 
