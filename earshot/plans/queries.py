@@ -73,8 +73,9 @@ def _land(d: Domain, name: str, bodies: DataFrame, file_name: str = "data.jsonl"
 
 @query
 def transcripts_strict(d: Domain) -> DataFrame:
+    """Episodes with text; one without any must not cost the others theirs."""
     path = _land(d, "strict", d.transcripts.withColumn("body", _json_lines("transcript_text")))
-    return lake.read_transcripts(d.spark, path, "strict")
+    return lake.read_transcripts(d.spark, path, "strict", textless="leave_out")
 
 
 @query

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions.grouping import ordered_concat
-from earshot.functions.once import let
+from earshot.functions.once import compute_once, let
 from earshot.functions.text import SPACE, is_missing, strip
 from earshot.schemas import PARTITION_KEYS, SEGMENT_RECORD, SUMMARY_RECORD, TRANSCRIPT_RECORD
 from earshot.sources import keyed
@@ -105,11 +105,12 @@ def assemble_transcripts(lines: DataFrame) -> DataFrame:
 
 
 def read_transcripts(
-    spark: SparkSession, path: str, policy: str = "strict", format: str = "jsonl"
+    spark: SparkSession, path: str, policy: str = "strict", format: str = "jsonl", textless: str = "fail"
 ) -> DataFrame:
     """One row per file: ``podcast_id``, ``episode_id``, ``transcript_text``.
 
-    ``strict`` drops lines without text and fails on a file that has none;
+    ``strict`` drops lines without text and fails on a file that has none, or with
+    ``textless="leave_out"`` goes on without that file;
     ``keep_empty`` keeps them as ``''``. ``format="auto"`` goes by suffix: JSON
     files are read with ``keep_empty``, any other file is one plain text. A file
     is one row already, so its lines are joined in place without a shuffle.
@@ -122,8 +123,15 @@ def read_transcripts(
         return files.select(*KEYS, text.alias("transcript_text"))
     if format != "jsonl":
         raise ValueError(f"unknown format {format!r}")
-    read = files.select(*KEYS, _line_texts(F.col("body"), policy).alias("texts"))
+    if textless not in ("fail", "leave_out"):
+        raise ValueError(f"unknown way with files without text {textless!r}")
+    texts = _line_texts(F.col("body"), policy)
     text = F.array_join("texts", " ")
+    if policy == "strict" and textless == "leave_out":
+        read = compute_once(files.select(*KEYS, "body"), {"texts": texts})
+        has_text = F.coalesce(F.size("texts") > 0, F.lit(True))
+        return read.filter(has_text).select(*KEYS, text.alias("transcript_text"))
+    read = files.select(*KEYS, texts.alias("texts"))
     if policy == "strict":
         complaint = F.concat(F.lit("no transcript text for episode "), F.col("episode_id"))
         text = F.when(F.size("texts") == 0, F.raise_error(complaint).cast("string")).otherwise(text)

@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from earshot.plans import queries as registered
 from earshot.sources import keyed, lake, lookups, tables
 
 
@@ -59,6 +60,18 @@ def test_file_without_text(spark, folder):
     assert lake.read_transcripts(spark, folder, "keep_empty").first()["transcript_text"] == " "
 
 
+def test_strict_query_goes_on_without_textless_episodes(spark, folder, rows):
+    """As its SQL does, which has no row for a document without a line of text."""
+    said = [(1, "one\n\ntwo"), (2, ""), (3, "\n\n"), (4, " "), (5, None)]
+    df = spark.createDataFrame([(i, "src", text) for i, text in said], "doc_id bigint, source string, text string")
+    df.write.parquet(f"{folder}/documents.parquet")
+    got = rows(registered.REGISTRY["transcripts_strict"](spark, folder))
+    # A null document is no empty file; its row stays null.
+    assert got == [("src", "1", "one two"), ("src", "4", " "), ("src", "5", None)]
+    with pytest.raises(ValueError, match="unknown way"):
+        lake.read_transcripts(spark, f"{folder}/documents.parquet", textless="drop")
+
+
 def test_auto_goes_by_suffix(spark, folder, rows):
     put(folder, 1, 1, line("a") + "\n" + line("") + "\n" + line("b"))
     put(folder, 1, 2, "plain\ntext " * 1000, "transcript.txt")
