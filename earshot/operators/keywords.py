@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 from earshot.functions.once import let
 from earshot.session import fixed, scratch_path, scratch_removed
 from earshot.sources import keyed
+from earshot.sources.shared import held as held_batches
 from earshot.sources.shared import read_block, write_blocks
 
 # Characters of a gram, and texts and characters of a block: a posting list is cut by blocks, so the longest one is a
@@ -21,6 +24,10 @@ from earshot.sources.shared import read_block, write_blocks
 GRAM, BLOCK_TEXTS, BLOCK_CHARS = 3, 4096, 4 << 20
 # Words that are looked for in a block at a time, and lists that are turned into bits at a time.
 WORDS_TOGETHER, ROWS_TOGETHER = 2048, 1024
+# Characters in which a part's words are looked for at a time, and texts they may be of.
+STRETCH, TEXTS_TOGETHER = 1 << 17, 1024
+# Largest table of the steps from one character to the next, and parts whose tables a task keeps.
+TABLE, TREES = 1 << 19, 8
 # Bits of a character in the number of a gram; characters count from one, so a shorter gram ends in zeros.
 _BITS = 21
 _BLOCKS = "gram string, block bigint, texts array<smallint>, ids array<bigint>"
@@ -141,6 +148,144 @@ def _in_texts(lists: pa.Table, texts: int, grams: pa.ListArray) -> tuple[np.ndar
     return place, known[word]
 
 
+class _Level(NamedTuple):
+    """Steps by one character: ``keys`` are ``state * alphabet + character``, a key's place is the state it leads to.
+
+    ``table`` is the same, by key (-1 for no step), where it is small; ``words`` has the word that ends in a state, or -1.
+    """
+
+    keys: np.ndarray
+    table: np.ndarray | None
+    words: np.ndarray
+
+    def step(self, state: np.ndarray, radix: int, char: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[state * np.int32(radix) + char]
+        key = state.astype(np.int64) * radix + char
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, place, -1).astype(np.int32)
+
+
+class _Tree(NamedTuple):
+    """Words by their beginnings; characters are numbered from one, zero stands for those of no word."""
+
+    numbers: np.ndarray
+    levels: list[_Level]
+
+
+def _points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+
+
+def _tree(words: list[str]) -> _Tree:
+    sizes = np.array([len(word) for word in words], np.int64)
+    points = _points(words).astype(np.int64)
+    alphabet = np.unique(points)
+    numbers = np.zeros(int(points.max(initial=0)) + 2, np.int32)
+    numbers[alphabet] = np.arange(1, len(alphabet) + 1)
+    chars, starts, radix = numbers[points], np.cumsum(sizes) - sizes, len(alphabet) + 1
+    levels, states, size = [], np.zeros(len(words), np.int64), 1
+    for depth in range(int(sizes.max(initial=0))):
+        longer = np.flatnonzero(sizes > depth)
+        keys, states[longer] = np.unique(states[longer] * radix + chars[starts[longer] + depth], return_inverse=True)
+        ends = longer[sizes[longer] == depth + 1]
+        final = np.full(len(keys), -1, np.int32)
+        final[states[ends]] = ends
+        table = None
+        if size * radix <= TABLE:
+            table = np.full(size * radix, -1, np.int32)
+            table[keys] = np.arange(len(keys))
+        levels.append(_Level(keys, table, final))
+        size = len(keys)
+    return _Tree(numbers, levels)
+
+
+def _contained(tree: _Tree, texts: list[str], words: int) -> np.ndarray:
+    """Which texts contain which words, as flags ``texts x words``.
+
+    From every character the tree is followed as far as the text goes with it, all characters of a stretch together; a text
+    of any length is some stretches.
+    """
+    found = np.zeros((len(texts), words), bool)
+    sizes = np.array([len(text) + 1 for text in texts], np.int64)
+    # A text ends with a character of no word, and so many follow the last that no step leaves the array.
+    points = np.minimum(_points([text + "\0" for text in texts]), len(tree.numbers) - 1)
+    chars = np.append(tree.numbers[points], np.zeros(len(tree.levels), np.int32))
+    chars[np.cumsum(sizes) - 1] = 0
+    owner, radix = np.repeat(np.arange(len(texts), dtype=np.int32), sizes), int(tree.numbers.max(initial=0)) + 1
+    for first in range(0, len(points), STRETCH):
+        place = np.arange(first, min(first + STRETCH, len(points)))
+        state = np.zeros(len(place), np.int32)
+        for depth, level in enumerate(tree.levels):
+            state = level.step(state, radix, chars[place + depth])
+            on = np.flatnonzero(state >= 0)
+            place, state = place[on], state[on]
+            if not len(place):
+                break
+            word = level.words[state]
+            ends = np.flatnonzero(word >= 0)
+            found[owner[place[ends]], word[ends]] = True
+    return found
+
+
+def _stretches(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """A column's texts in pieces that are searched together, and where each begins."""
+    first, kept, chars = 0, [], 0
+    for place, text in enumerate(texts):
+        text = text.as_py()
+        if kept and (chars + len(text) > STRETCH or len(kept) >= TEXTS_TOGETHER):
+            yield first, kept
+            first, kept, chars = place, [], 0
+        kept.append(text)
+        chars += len(text)
+    if kept:
+        yield first, kept
+
+
+def _verified(found: DataFrame, parts: DataFrame) -> DataFrame:
+    """Of ``numbers`` in each row (with ``text_id, part``), those of words that the row's text does contain.
+
+    ``found`` has ``episode_key, in_title, text, asked``, the last an array of ``part, numbers``; the result has
+    ``episode_key, in_title, part, numbers`` where a word is left.
+    """
+    files = write_blocks(parts, parts.count() or 1, "part", "verified")
+    schema = pa.schema(
+        [("episode_key", pa.string()), ("in_title", pa.bool_()), ("part", pa.int32()), ("numbers", pa.list_(pa.int16()))]
+    )
+
+    def in_batch(batch: pa.RecordBatch, part: int, tree: _Tree, words: int, asked: np.ndarray) -> pa.RecordBatch:
+        lists = batch.column("asked").flatten()
+        of_part = np.flatnonzero(lists.field("part").to_numpy() == part)
+        rows, numbers = asked[of_part], lists.field("numbers").take(pa.array(of_part))
+        sizes = numbers.value_lengths().to_numpy()
+        number, place = numbers.flatten().to_numpy(), np.repeat(np.arange(len(rows)), sizes)
+        used, text = np.unique(rows, return_inverse=True)
+        keep, ends = np.zeros(len(number), bool), np.append(0, np.cumsum(sizes))
+        for first, texts in _stretches(batch.column("text").take(pa.array(used))):
+            own = slice(*ends[np.searchsorted(text, [first, first + len(texts)])])
+            keep[own] = _contained(tree, texts, words)[text[place[own]] - first, number[own]]
+        own, starts = np.unique(place[keep], return_index=True)
+        left = pa.ListArray.from_arrays(pa.array(np.append(starts, keep.sum()), pa.int32()), pa.array(number[keep], pa.int16()))
+        row = pa.array(rows[own])
+        keys = [batch.column(name).take(row) for name in ("episode_key", "in_title")]
+        return pa.RecordBatch.from_arrays([*keys, pa.array(np.full(len(own), part, np.int32)), left], schema=schema)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = {}
+        for file in files:
+            table = read_block(file)
+            words |= dict(zip(table["part"].to_pylist(), table["words"].combine_chunks()))
+        tree = lru_cache(TREES)(lambda part: _tree(words[part].as_py()))
+        for few in held_batches(batches):
+            for batch in pa.Table.from_batches(few).combine_chunks().to_batches():
+                asked = np.repeat(np.arange(len(batch)), batch.column("asked").value_lengths().to_numpy())
+                for part in pc.unique(batch.column("asked").flatten().field("part")).to_pylist():
+                    yield in_batch(batch, part, tree(part), len(words[part]), asked)
+
+    columns = "episode_key string, in_title boolean, part int, numbers array<smallint>"
+    return found.select("episode_key", "in_title", "text", "asked").mapInArrow(verify, columns)
+
+
 def _parts(words: DataFrame) -> DataFrame:
     """The distinct words in parts that are searched together: ``part, words``; a word's number is its place in its part."""
     distinct = fixed(words.select("word").distinct())
@@ -206,13 +351,12 @@ def keyword_search(
         )
     )
     parts = _parts(asked)
-    found = _candidates(parts, postings).join(texts, "text_id").join(parts, "part")
     # Words stay numbers, together in one row per text and then per episode, until the names are there.
-    in_text = lambda number: F.contains("text", F.get("words", number.cast("int")))
-    held = found.select("episode_key", "in_title", "part", F.filter("numbers", in_text).alias("numbers"))
+    found = _candidates(parts, postings).groupBy("text_id").agg(F.collect_list(F.struct("part", "numbers")).alias("asked"))
+    contained = _verified(found.join(texts, "text_id"), parts)
     numbers_of = lambda rows: F.flatten(F.collect_list(F.when(rows, F.col("numbers"))))
     matched = (
-        held.filter(F.size("numbers") > 0)
+        contained.filter(F.size("numbers") > 0)
         .groupBy("episode_key", "part")
         .agg(numbers_of(F.col("in_title")).alias("title"), numbers_of(~F.col("in_title")).alias("transcript"))
     )

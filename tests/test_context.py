@@ -127,6 +127,35 @@ def test_grams_of_a_block():
     assert lists == {g: [i for i, p in enumerate(pieces) if g in p] for g in set().union(*pieces)}
 
 
+@pytest.mark.parametrize("table", [0, 1 << 19])
+@pytest.mark.parametrize("stretch", [5, 1 << 17])
+def test_words_of_a_text_are_looked_for_together(monkeypatch, table, stretch):
+    monkeypatch.setattr(keywords, "TABLE", table)
+    monkeypatch.setattr(keywords, "STRETCH", stretch)
+    dice = random.Random(11)
+    texts = ["".join(dice.choices("abé😀\0 ", k=dice.randrange(0, 70))) for _ in range(60)] + ["", "aaaa", "ab", "\uffff"]
+    words = list(dict.fromkeys("".join(dice.choices("abé😀\0", k=dice.randrange(1, 6))) for _ in range(90))) + ["aaaaaaaa", "z", "ab é"]
+    found = keywords._contained(keywords._tree(words), texts, len(words))
+    assert found.tolist() == [[word in text for word in words] for text in texts]
+
+
+def test_every_word_is_not_looked_for_by_itself(spark, folder):
+    """Long texts hold the grams of most words, so a pass over a text for each of them is texts times words."""
+    dice = random.Random(3)
+    syllables = ["".join(dice.choices("abcdefghij", k=3)) for _ in range(40)]
+    said = [" ".join("".join(dice.choices(syllables, k=2)) for _ in range(3000)) for _ in range(60)]
+    words = list(dict.fromkeys("".join(dice.choices(syllables, k=3)) for _ in range(3000)))
+    texts = spark.createDataFrame(list(enumerate(said)), "episode_id bigint, transcript_text string").repartition(1)
+    episodes = spark.createDataFrame([(i, f"No {i}") for i in range(60)], "episode_id bigint, episode_title string")
+    asked = spark.createDataFrame(list(enumerate(words)), "query_id bigint, keyword string")
+    found = keywords.keyword_search(asked, episodes, texts)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    # No `contains` per candidate word is left in the plan; the words of a text are verified in one function.
+    assert "contains(" not in plan and "mapinarrow" in plan
+    want = {(q, i) for q, word in enumerate(words) for i, text in enumerate(said) if word in text}
+    assert {(r["query_id"], r["episode_id"]) for r in found.collect()} == want
+
+
 def test_facets(spark, rows):
     frame = lambda data, schema: spark.createDataFrame(data, schema)
     tables = {
