@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +31,10 @@ MARGIN = 1e-9
 # Scores a task computes at a time, and rows it gathers before it keeps the best.
 MAX_SCORES, MAX_PENDING = 250_000, 250_000
 CORPUS_TILE = 2048
+# Rows of the first tile where what a query has found bounds the next ones; each next tile is twice as large.
+FIRST_TILE = 128
+# Pairs that are scored row by row at a time.
+PAIRS_TOGETHER = 16_384
 # Bytes of queries in one file; four tasks of an executor hold one each.
 MAX_QUERY_BYTES = 16 << 20
 # Hit tables of at most this many rows are small enough to send to every task.
@@ -82,6 +87,15 @@ class _Queries:
     own_episode: np.ndarray
     match: np.ndarray | None
 
+    @cached_property
+    def directions(self) -> np.ndarray:
+        return _directions(self.vectors)
+
+    @cached_property
+    def directed(self) -> np.ndarray:
+        """Which of them have a direction and so can match anything."""
+        return ~np.isnan(unit(self.vectors)).any(axis=1)
+
     @classmethod
     def read(cls, table: pa.Table) -> "_Queries":
         names = table.column_names
@@ -110,6 +124,16 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, length, out=np.full_like(vectors, np.nan), where=length > 0)
 
 
+def _directions(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors in single precision, zeros for rows without direction."""
+    return np.nan_to_num(unit(vectors)).astype(np.float32)
+
+
+def _direction_margin(dim: int) -> float:
+    """How far off a product of such directions may be, twice over: every step rounds by 2^-24 at most of parts that sum to one."""
+    return (dim + 8) * 2.0**-23
+
+
 def _about(queries: np.ndarray, chunks: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray | float]:
     """Scores (squared for distances) by one matrix product, and how far off they may be."""
     if metric == "cosine":
@@ -167,7 +191,17 @@ def _candidates(
         # Everything that may be as good as the k-th best, so ties are all kept.
         keep &= low <= np.partition(own, ranking.k - 1, axis=1)[:, ranking.k - 1 : ranking.k]
     q, c = np.nonzero(keep)
-    score = _scores(queries.vectors[picked[q]], vectors[c], ranking.metric)
+    return _scored_pairs(queries, picked, q, c, vectors, episodes, chunks, ranking)
+
+
+def _scored_pairs(
+    queries: _Queries, picked: np.ndarray, q: np.ndarray, c: np.ndarray, vectors, episodes, chunks, ranking: Ranking
+) -> dict[str, np.ndarray]:
+    """The best of these pairs of picked queries and chunks, by their exact scores."""
+    score = np.empty(len(q))
+    for first in range(0, len(q), PAIRS_TOGETHER):
+        some = slice(first, first + PAIRS_TOGETHER)
+        score[some] = _scores(queries.vectors[picked[q[some]]], vectors[c[some]], ranking.metric)
     good = ~np.isnan(score)
     if ranking.threshold is not None:
         good &= score > ranking.threshold if ranking.metric == "cosine" else score < ranking.threshold
@@ -176,6 +210,37 @@ def _candidates(
     return _keep_best({"query": picked[q], "episode": episodes[c], "chunk": chunk, "score": score[good]}, ranking)
 
 
+def _floors(queries: _Queries, best: dict[str, np.ndarray], ranking: Ranking) -> np.ndarray:
+    """The least cosine that may still be among the best of each query; the threshold where fewer than ``k`` rows are known."""
+    bound = -np.inf if ranking.threshold is None else ranking.threshold
+    found = np.bincount(best["query"], minlength=len(queries.ids))
+    floors, full = np.where(queries.directed, bound, np.inf), found >= ranking.k
+    floors[full] = best["score"][np.cumsum(found)[full] - 1]
+    return floors
+
+
+def _above(
+    queries: _Queries, picked: np.ndarray, floors: np.ndarray, directions, vectors, episodes, chunks, ranking: Ranking
+) -> list[dict[str, np.ndarray]]:
+    """Rows of one tile that reach the floors of the picked queries; most tiles have few, so little is done per pair."""
+    about = queries.directions[picked] @ directions.T
+    least = (floors[picked] - _direction_margin(vectors.shape[1])).astype(np.float32)
+    some = np.flatnonzero(about.max(axis=1) >= least)
+    if not len(some):
+        return []
+    keep = about[some] >= least[some, None]
+    if ranking.skip_own_episode:
+        keep &= queries.own_episode[picked[some]][:, None] != episodes[None, :]
+    # Where a tile has many such rows, as when better ones stand later, it is cut to the best before they are scored.
+    many = keep.sum(axis=1) > 4 * ranking.k
+    found = []
+    if many.any():
+        found.append(_candidates(queries, picked[some[many]], vectors, episodes, chunks, ranking))
+    q, c = np.nonzero(keep & ~many[:, None])
+    found.append(_scored_pairs(queries, picked[some], q, c, vectors, episodes, chunks, ranking))
+    return found
+
+
 def _positions(values: np.ndarray) -> dict[int, np.ndarray]:
     """Where each value occurs."""
     order = np.argsort(values, kind="stable")
@@ -193,32 +258,51 @@ def _scan(queries: _Queries, ranking: Ranking, batches: Iterator[pa.RecordBatch]
         return best
     everything = np.arange(len(queries.ids))
     asked = None if queries.match is None else _positions(queries.match)
+    # What a query has found bounds what is worth a closer look; the first rows of each give the bounds.
+    floors, bounded = np.full(len(queries.ids), -np.inf), ranking.metric == "cosine"
     pending, waiting = [best], 0
 
-    def kept() -> dict[str, np.ndarray]:
-        return _keep_best({name: np.concatenate([p[name] for p in pending]) for name in best}, ranking)
+    def merge() -> None:
+        nonlocal pending, waiting, floors
+        pending, waiting = [_keep_best({name: np.concatenate([p[name] for p in pending]) for name in best}, ranking)], 0
+        if bounded:
+            floors = _floors(queries, pending[0], ranking)
 
+    rows_next = FIRST_TILE if bounded and asked is None else CORPUS_TILE
     for batch in batches:
-        for offset in range(0, batch.num_rows, CORPUS_TILE):
-            part = batch.slice(offset, CORPUS_TILE)
+        offset = 0
+        while offset < batch.num_rows:
+            part = batch.slice(offset, rows_next)
+            offset, rows_next = offset + rows_next, min(2 * rows_next, CORPUS_TILE)
             vectors = matrix(part.column("transcript_embedding"))
+            directions = _directions(vectors) if bounded else None
             episodes = part.column("episode_id").to_numpy()
             chunks = part.column("chunk_index").to_numpy()
             if asked is None:
-                groups = [(everything, np.arange(len(chunks)))]
+                groups = [(everything, slice(None), len(chunks))]
             else:
                 values = _positions(part.column("match").to_numpy())
-                groups = [(asked[value], rows) for value, rows in values.items() if value in asked]
-            for wanted, rows in groups:
-                block = max(1, MAX_SCORES // len(rows))
+                groups = [(asked[value], rows, len(rows)) for value, rows in values.items() if value in asked]
+            for wanted, rows, size in groups:
+                tile = vectors[rows], episodes[rows], chunks[rows]
+                block = max(1, MAX_SCORES // size)
                 for first in range(0, len(wanted), block):
                     picked = wanted[first : first + block]
-                    found = _candidates(queries, picked, vectors[rows], episodes[rows], chunks[rows], ranking)
-                    pending.append(found)
-                    waiting += len(found["query"])
+                    known = floors[picked] > -np.inf
+                    if known.any():
+                        found = _above(queries, picked[known], floors, directions[rows], *tile, ranking)
+                    else:
+                        found = []
+                    if not known.all():
+                        found.append(_candidates(queries, picked[~known], *tile, ranking))
+                    pending += [rows_of for rows_of in found if len(rows_of["query"])]
+                    waiting += sum(len(rows_of["query"]) for rows_of in found)
                     if waiting > MAX_PENDING:
-                        pending, waiting = [kept()], 0
-    return kept()
+                        merge()
+            if bounded and waiting and 2 * waiting >= len(pending[0]["query"]):
+                merge()
+    merge()
+    return pending[0]
 
 
 def _as_table(queries: _Queries, best: dict[str, np.ndarray]) -> pa.Table:

@@ -305,3 +305,46 @@ def test_scan_works_on_small_blocks_of_scores():
             assert tracemalloc.get_traced_memory()[1] < 35e6
         finally:
             tracemalloc.stop()
+
+
+@pytest.mark.parametrize("order", ["any", "better later"])
+@pytest.mark.parametrize(
+    "ranking", [Ranking(3, threshold=0.2), Ranking(3), Ranking(4, per_episode=True), Ranking(2, per_episode=True, skip_own_episode=True), Ranking(3, "l2")]
+)
+def test_bounds_lose_nothing(ranking, order):
+    """Many tiles, with copies, rows without direction and queries that match little."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(3000, DIM)).astype("float32").astype(float)
+    vectors[rng.integers(3000, size=900)] = vectors[0]
+    vectors[5] = vectors[2500] = 0
+    asked = np.concatenate([vectors[:40], rng.normal(size=(20, DIM)), np.full((1, DIM), 1e-3)])
+    if order == "better later":
+        vectors = vectors[np.argsort(vectors @ asked[7])]
+    episodes, chunks = np.arange(3000) // 5, np.arange(3000) % 5
+    queries = scoring._Queries(np.arange(len(asked)), asked, np.arange(len(asked)) / 1.0, None)
+    table = pa.table({"episode_id": episodes, "chunk_index": chunks, "transcript_embedding": list(vectors)})
+    best = scoring._scan(queries, ranking, iter(table.to_batches(700)))
+    got = set(zip(best["query"].tolist(), best["episode"].tolist(), best["chunk"].tolist(), best["score"].tolist()))
+    q, c = (x.ravel() for x in np.indices((len(asked), len(vectors))))
+    score = scoring._scores(asked[q], vectors[c], ranking.metric)
+    good = ~np.isnan(score) & (score > (-9 if ranking.threshold is None else ranking.threshold))
+    good &= (not ranking.skip_own_episode) | (queries.own_episode[q] != episodes[c])
+    q, c, score = q[good], c[good], score[good]
+    chunk = chunks[c] * (not ranking.per_episode)
+    want = scoring._keep_best({"query": q, "episode": episodes[c], "chunk": chunk, "score": score}, ranking)
+    assert got == set(zip(want["query"].tolist(), want["episode"].tolist(), want["chunk"].tolist(), want["score"].tolist()))
+
+
+@pytest.mark.parametrize("ranking", [Ranking(3, threshold=0.2), Ranking(3, per_episode=True)])
+def test_few_pairs_get_a_closer_look(monkeypatch, ranking):
+    rng = np.random.default_rng(10)
+    vectors, seen = rng.normal(size=(20_000, DIM)), []
+    table = pa.table({"episode_id": np.arange(20_000), "chunk_index": np.zeros(20_000, int), "transcript_embedding": list(vectors)})
+    ranked = scoring._candidates
+    monkeypatch.setattr(
+        scoring, "_candidates", lambda q, picked, v, *rest: seen.append(len(picked) * len(v)) or ranked(q, picked, v, *rest)
+    )
+    queries = scoring._Queries(np.arange(300), rng.normal(size=(300, DIM)), np.full(300, np.nan), None)
+    best = scoring._scan(queries, ranking, iter(table.to_batches()))
+    assert len(best["query"]) == 900
+    assert sum(seen) < 0.05 * 300 * 20_000
