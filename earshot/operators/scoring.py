@@ -191,13 +191,13 @@ def _candidates(
         # Everything that may be as good as the k-th best, so ties are all kept.
         keep &= low <= np.partition(own, ranking.k - 1, axis=1)[:, ranking.k - 1 : ranking.k]
     q, c = np.nonzero(keep)
-    return _scored_pairs(queries, picked, q, c, vectors, episodes, chunks, ranking)
+    return _keep_best(_scored_pairs(queries, picked, q, c, vectors, episodes, chunks, ranking), ranking)
 
 
 def _scored_pairs(
     queries: _Queries, picked: np.ndarray, q: np.ndarray, c: np.ndarray, vectors, episodes, chunks, ranking: Ranking
 ) -> dict[str, np.ndarray]:
-    """The best of these pairs of picked queries and chunks, by their exact scores."""
+    """Rows of these pairs of picked queries and chunks with their exact scores, where those may count."""
     score = np.empty(len(q))
     for first in range(0, len(q), PAIRS_TOGETHER):
         some = slice(first, first + PAIRS_TOGETHER)
@@ -207,7 +207,7 @@ def _scored_pairs(
         good &= score > ranking.threshold if ranking.metric == "cosine" else score < ranking.threshold
     q, c = q[good], c[good]
     chunk = np.zeros(len(c), np.int64) if ranking.per_episode else chunks[c]
-    return _keep_best({"query": picked[q], "episode": episodes[c], "chunk": chunk, "score": score[good]}, ranking)
+    return {"query": picked[q], "episode": episodes[c], "chunk": chunk, "score": score[good]}
 
 
 def _floors(queries: _Queries, best: dict[str, np.ndarray], ranking: Ranking) -> np.ndarray:
@@ -231,12 +231,13 @@ def _above(
     keep = about[some] >= least[some, None]
     if ranking.skip_own_episode:
         keep &= queries.own_episode[picked[some]][:, None] != episodes[None, :]
+    q, c = np.divmod(np.flatnonzero(keep), keep.shape[1])
     # Where a tile has many such rows, as when better ones stand later, it is cut to the best before they are scored.
-    many = keep.sum(axis=1) > 4 * ranking.k
+    many = np.bincount(q, minlength=len(some)) > 4 * ranking.k
     found = []
     if many.any():
         found.append(_candidates(queries, picked[some[many]], vectors, episodes, chunks, ranking))
-    q, c = np.nonzero(keep & ~many[:, None])
+        q, c = q[~many[q]], c[~many[q]]
     found.append(_scored_pairs(queries, picked[some], q, c, vectors, episodes, chunks, ranking))
     return found
 
