@@ -26,7 +26,8 @@ GRAM, BLOCK_TEXTS, BLOCK_CHARS = 3, 4096, 4 << 20
 WORDS_TOGETHER, ROWS_TOGETHER = 2048, 1024
 # Characters in which a part's words are looked for at a time, and texts they may be of.
 STRETCH, TEXTS_TOGETHER = 1 << 17, 1024
-# Largest table of the steps from one character to the next, and parts whose tables a task keeps.
+# Entries in the tables of a part's first steps (further ones, which few places reach, are searched), and parts whose
+# tables a task keeps.
 TABLE, TREES = 1 << 19, 8
 # Bits of a character in the number of a gram; characters count from one, so a shorter gram ends in zeros.
 _BITS = 21
@@ -151,7 +152,7 @@ def _in_texts(lists: pa.Table, texts: int, grams: pa.ListArray) -> tuple[np.ndar
 class _Level(NamedTuple):
     """Steps by one character: ``keys`` are ``state * alphabet + character``, a key's place is the state it leads to.
 
-    ``table`` is the same, by key (-1 for no step), where it is small; ``words`` has the word that ends in a state, or -1.
+    ``table`` is the same, by key (-1 for no step), where there is room; ``words`` has the word that ends in a state, or -1.
     """
 
     keys: np.ndarray
@@ -184,7 +185,7 @@ def _tree(words: list[str]) -> _Tree:
     numbers = np.zeros(int(points.max(initial=0)) + 2, np.int32)
     numbers[alphabet] = np.arange(1, len(alphabet) + 1)
     chars, starts, radix = numbers[points], np.cumsum(sizes) - sizes, len(alphabet) + 1
-    levels, states, size = [], np.zeros(len(words), np.int64), 1
+    levels, states, size, room = [], np.zeros(len(words), np.int64), 1, TABLE
     for depth in range(int(sizes.max(initial=0))):
         longer = np.flatnonzero(sizes > depth)
         keys, states[longer] = np.unique(states[longer] * radix + chars[starts[longer] + depth], return_inverse=True)
@@ -192,7 +193,8 @@ def _tree(words: list[str]) -> _Tree:
         final = np.full(len(keys), -1, np.int32)
         final[states[ends]] = ends
         table = None
-        if size * radix <= TABLE:
+        if size * radix <= room:
+            room -= size * radix
             table = np.full(size * radix, -1, np.int32)
             table[keys] = np.arange(len(keys))
         levels.append(_Level(keys, table, final))

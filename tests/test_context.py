@@ -2,6 +2,7 @@ import random
 from datetime import datetime
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,7 +128,7 @@ def test_grams_of_a_block():
     assert lists == {g: [i for i, p in enumerate(pieces) if g in p] for g in set().union(*pieces)}
 
 
-@pytest.mark.parametrize("table", [0, 1 << 19])
+@pytest.mark.parametrize("table", [0, 40, 1 << 19])
 @pytest.mark.parametrize("stretch", [5, 1 << 17])
 def test_words_of_a_text_are_looked_for_together(monkeypatch, table, stretch):
     monkeypatch.setattr(keywords, "TABLE", table)
@@ -139,6 +140,15 @@ def test_words_of_a_text_are_looked_for_together(monkeypatch, table, stretch):
     assert found.tolist() == [[word in text for word in words] for text in texts]
 
 
+def test_tables_of_long_words_stay_small():
+    dice = random.Random(7)
+    words = ["".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=300)) for _ in range(500)]
+    tree = keywords._tree(words)
+    assert sum(level.table.nbytes for level in tree.levels if level.table is not None) <= 4 * keywords.TABLE
+    text = words[3] + words[8][:-1] + words[77]
+    assert np.flatnonzero(keywords._contained(tree, [text], len(words))[0]).tolist() == [3, 77]
+
+
 def test_every_word_is_not_looked_for_by_itself(spark, folder):
     """Long texts hold the grams of most words, so a pass over a text for each of them is texts times words."""
     dice = random.Random(3)
